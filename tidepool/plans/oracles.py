@@ -24,7 +24,8 @@ app_log as (
              when {_K} % 4 = 1 then '"displays":[{{"item":"1"}}],'
              when {_K} % 4 = 2 then '"displays":[{{"item":"1"}},{{"item":"2"}}],'
              else '"displays":[{{"item":"1"}},{{"item":"2"}},{{"item":"3"}}],' end) end,
-      '"ts":', cast(epoch_us(ts) // 1000 as varchar), '}}') end as value
+      '"ts":', cast(epoch_us(ts) // 1000 as varchar), '}}') end as value,
+    epoch_us(ts) // 1000 as received_ms
   from events
 ),
 valid_log as (
@@ -78,6 +79,58 @@ def _with(body: str) -> str:
     return "with " + APP_LOG.strip() + "\n" + body
 
 
+CDC = """
+cdc as (
+  select o_orderkey as arrival, o_orderkey as seq, 'orders' as table_name,
+    case when o_orderkey % 10 < 4 then 'insert' when o_orderkey % 10 < 8 then 'update'
+         when o_orderkey % 10 = 8 then 'delete' else 'read' end as type,
+    cast(o_custkey as varchar) as id, o_orderpriority,
+    case when o_orderkey % 3 = 0 then null else o_orderstatus end as o_orderstatus
+  from orders
+),
+rules as (
+  select * from (values
+    ('orders','insert','kafka','dwd_order_info','id,o_orderpriority'),
+    ('orders','update','hbase','dim_order','id,o_orderpriority,o_orderstatus'),
+    ('orders','delete','clickhouse','unused','id'))
+    as r(source_table, operate_type, sink_type, sink_table, sink_columns)
+),
+looked as (
+  select c.*, r.sink_type, r.sink_table, r.sink_columns, r.source_table is not null as matched
+  from cdc c left join rules r on c.table_name = r.source_table and c.type = r.operate_type
+),
+trimmed as (
+  select arrival, seq, type, matched, sink_type, sink_table, sink_columns,
+    case when not matched or list_contains(string_split(sink_columns, ','), 'id') then id end as id,
+    case when not matched or list_contains(string_split(sink_columns, ','), 'o_orderpriority')
+         then o_orderpriority end as o_orderpriority,
+    case when not matched or list_contains(string_split(sink_columns, ','), 'o_orderstatus')
+         then o_orderstatus end as o_orderstatus,
+    case when not matched then 'no_rule' when sink_type = 'kafka' then 'kafka'
+         when sink_type = 'hbase' then 'hbase' else 'unknown_sink' end as route
+  from looked
+),
+rule_log as (
+  select o_orderkey as arrival, o_orderkey as seq, 'orders' as source_table,
+    case o_custkey % 4 when 0 then 'insert' when 1 then 'update' when 2 then 'delete'
+         else 'read' end as operate_type,
+    case o_orderstatus when 'O' then 'kafka' when 'F' then 'hbase' else 'clickhouse' end as sink_type,
+    concat('sink_', substr(o_orderpriority, 1, 1)) as sink_table,
+    case when o_orderkey % 2 = 0 then 'id,o_orderpriority'
+         else 'id,o_orderpriority,o_orderstatus' end as sink_columns
+  from orders
+)
+"""
+
+
+def _cdc(body: str) -> str:
+    return "with " + CDC.strip() + "\n" + body
+
+
+_N_AFTER = ("cast((id is not null) as integer) + cast((o_orderpriority is not null) as integer) "
+            "+ cast((o_orderstatus is not null) as integer)")
+
+
 ORACLES: dict[str, str] = {
     "dirty_split": _with("select arrival, seq, reason, value from parsed where reason is not null"),
     "json_fields": _with(
@@ -102,4 +155,55 @@ select 'page', seq, 0, mid, is_new, page_id, last_page_id, ts, null from pages
 union all
 select 'display', seq, pos, null, null, page_id, null, null, item from displays"""),
     "uv_pipeline": _with("select seq, arrival, mid, is_new, page_id, ts, day from uv"),
+    "raw_log_landing": _with(
+        "select strftime(epoch_ms(received_ms), '%Y-%m-%d') as dt, seq, value from app_log"),
+    "cdc_normalize": _cdc(f"""
+select arrival, seq, 'shop' as database, table_name, type, id, o_orderpriority, o_orderstatus,
+  0 as n_before, {_N_AFTER} as n_after from cdc"""),
+    "cdc_initial_snapshot": _cdc("""
+select -1 as arrival, o_orderkey as seq, 'read' as type, 'orders' as table_name,
+  cast(o_custkey as varchar) as id, o_orderpriority, o_orderstatus from orders
+union all
+select arrival, seq, type, table_name, id, o_orderpriority, o_orderstatus from cdc"""),
+    "sql_changelog_select": _cdc("""
+select arrival, seq, type as op, id, o_orderpriority, o_orderstatus from cdc where id is not null"""),
+    "sql_current_state": _cdc("""
+select id, r.o_orderpriority as o_orderpriority, r.o_orderstatus as o_orderstatus from (
+  select id, arg_max(struct_pack(op := type, o_orderpriority := o_orderpriority,
+                                 o_orderstatus := o_orderstatus), arrival) as r
+  from cdc where id is not null group by id) t
+where r.op <> 'delete'"""),
+    "rule_latest": _cdc("""
+select source_table, operate_type, arg_max(sink_type, arrival) as sink_type,
+  arg_max(sink_table, arrival) as sink_table, arg_max(sink_columns, arrival) as sink_columns,
+  max(arrival) as rule_arrival
+from rule_log group by source_table, operate_type"""),
+    "rule_lookup": _cdc("""
+select arrival, seq, type, sink_type, sink_table, sink_columns from looked where matched"""),
+    "rule_miss": _cdc("select arrival, seq, table_name, type from looked where not matched"),
+    "rule_column_filter": _cdc(f"""
+select arrival, seq, sink_table, id, o_orderpriority, o_orderstatus, {_N_AFTER} as n_after
+from trimmed where matched"""),
+    "rule_route": _cdc("select arrival, seq, type, route from trimmed"),
+    "rule_asof": _cdc("""
+select c.arrival, c.seq, c.type, r.arrival as rule_arrival, r.sink_type, r.sink_table,
+  case when r.arrival is null then 'no_rule' when r.sink_type = 'kafka' then 'kafka'
+       when r.sink_type = 'hbase' then 'hbase' else 'unknown_sink' end as route
+from cdc c asof left join rule_log r
+  on c.table_name = r.source_table and c.type = r.operate_type and c.arrival >= r.arrival"""),
+    "dwd_fact_route": _cdc(f"""
+select arrival, seq, sink_table as topic, id, o_orderpriority, o_orderstatus, {_N_AFTER} as n_fields
+from trimmed where route = 'kafka'"""),
+    "dim_upsert": _cdc("""
+, hb as (select * from trimmed where route = 'hbase' and id is not null),
+cells as (
+  select sink_table, id as row_key, 'o_orderpriority' as qualifier, o_orderpriority as value, arrival
+  from hb where o_orderpriority is not null
+  union all
+  select sink_table, id, 'o_orderstatus', o_orderstatus, arrival from hb where o_orderstatus is not null
+)
+select sink_table, row_key, qualifier, arg_max(value, arrival) as value, max(arrival) as arrival
+from cells group by sink_table, row_key, qualifier"""),
+    "db_pipeline": _cdc("""
+select route, arrival, seq, type, sink_table, id, o_orderpriority, o_orderstatus from trimmed"""),
 }

@@ -93,3 +93,7 @@ QUERIES: dict[str, Query] = {
     "log_pipeline": q_log_pipeline,
     "uv_pipeline": q_uv_pipeline,
 }
+
+from tidepool.plans import db_queries as _db  # noqa: E402
+
+QUERIES.update(_db.QUERIES)

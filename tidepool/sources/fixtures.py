@@ -80,8 +80,18 @@ def cdc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    """The fixed rule rows, as the initial snapshot of the rule table."""
-    return spark.createDataFrame(FIXED_RULES, ", ".join(f"{c} string" for c in RULE_COLUMNS))
+    """The fixed rule rows, as the initial snapshot of the rule table; ``seq`` is
+    the row's position."""
+    rows = [(i, *r) for i, r in enumerate(FIXED_RULES)]
+    return spark.createDataFrame(rows, "seq long, " + ", ".join(f"{c} string" for c in RULE_COLUMNS))
+
+
+def app_log_received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The app log as the logger receives it: text plus receive time (epoch ms),
+    taken as the event time."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").alias("seq"), F.expr(_MS).alias("received_ms"),
+                     F.expr(APP_LOG_VALUE).alias("value"))
 
 
 def rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
