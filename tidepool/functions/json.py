@@ -7,10 +7,22 @@ reference's ``getString`` does and yields NULL instead of failing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def evaluate_once(df: DataFrame, expr: Column, name: str, keep: list[str]) -> DataFrame:
+    """``df`` with ``expr`` computed once per row as column ``name``.
+
+    Predicate pushdown substitutes aliases into filters, so a filter on a field of
+    a parsed column would re-run the parse inside the filter (once per reference).
+    A generator output cannot be pushed below its generator, so producing the
+    value through a one-element ``explode`` pins the parse to a single evaluation;
+    fields read from it stay cheap to re-evaluate.
+    """
+    return df.select(*keep, F.explode(F.array(expr)).alias(name))
+
+
 def parse_object(text: Column) -> Column:
     """VARIANT of ``text`` if it is a well-formed JSON object, else NULL.
 

@@ -29,7 +29,10 @@ def normalize(raw: DataFrame, strict: bool = False) -> DataFrame:
     job; ``strict=True`` fails on malformed envelopes (P2).
     """
     opts = {"mode": "FAILFAST"} if strict else {}
-    env = F.from_json(F.col("value"), ENVELOPE, opts)
+    # Parse in its own projection so every field below reads one parsed struct.
+    raw = J.evaluate_once(raw, F.from_json(F.col("value"), ENVELOPE, opts), "_env",
+                          ["arrival", "seq", "topic", "value"])
+    env = F.col("_env")
     parts = F.split(F.col("topic"), r"\.")
     op = F.lower(env["op"])
     type_ = F.coalesce(F.element_at(F.create_map(*[x for k, v in OP_TYPES.items()

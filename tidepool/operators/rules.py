@@ -106,12 +106,14 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BRO
     arriving together: the rule first). Before the first rule, or after a retire,
     it misses.
 
-    A rule history proven small (checked row count) is cut into intervals and
-    broadcast; the change side is not shuffled. A large history goes through the
-    chunked as-of scan, which never puts one rule key in one task.
+    A rule history proven small (checked row count) with few versions per key is
+    cut into intervals and broadcast; the change side is not shuffled. Each change
+    tests the intervals of its key, so this is only chosen while a key has at most
+    ``MAX_VERSIONS_PER_KEY`` versions. Otherwise the chunked as-of scan runs: one
+    shuffle on (key, chunk), linear in both sides, never one rule key in one task.
     ``force`` ("broadcast" / "chunked") pins the plan for tests.
     """
-    plan = force or ("broadcast" if row_count_at_most(rule_events, bound) else "chunked")
+    plan = force or choose_asof_plan(rule_events, bound)
     if plan == "broadcast":
         out = _asof_broadcast(changes, rule_events)
     else:
@@ -122,6 +124,18 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BRO
     return out.withColumn("matched", hit).drop("_retired")
 
 
+MAX_VERSIONS_PER_KEY = 64
+
+
+def choose_asof_plan(rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> str:
+    """"broadcast" when the history is proven small and shallow, else "chunked"."""
+    if not row_count_at_most(rule_events, bound):
+        return "chunked"
+    deepest = (rule_events.groupBy(*KEY).count()
+               .agg(F.max("count").alias("m")).first()["m"]) or 0
+    return "broadcast" if deepest <= MAX_VERSIONS_PER_KEY else "chunked"
+
+
 def _asof_broadcast(changes: DataFrame, rule_events: DataFrame) -> DataFrame:
     iv = _intervals(rule_events).select(
         F.col("source_table").alias("_st"), F.col("operate_type").alias("_ot"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import logs as L
 from tidepool.plans import log_jobs
+from tidepool.session import checkpoint_root
 from tidepool.sources import fixtures as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,8 +76,12 @@ def q_log_pipeline(spark, sf_dir):
 
 
 def q_uv_pipeline(spark, sf_dir):
+    # J2 reads the durable page dataset J1 publishes; a reliable checkpoint in the
+    # shared checkpoint folder stands in for that topic and cuts the lineage.
+    checkpoint_root(spark)
     j1 = log_jobs.log_pipeline(FX.app_log(spark, sf_dir))
-    return log_jobs.uv_pipeline(log_jobs.page_route(j1)).select(
+    pages = log_jobs.page_route(j1).checkpoint(eager=True)
+    return log_jobs.uv_pipeline(pages).select(
         "seq", "arrival", "mid", "is_new", "page_id", "ts", "day")
 
 

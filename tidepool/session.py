@@ -40,8 +40,9 @@ def get_session(master: str | None = None, app_name: str = "tidepool",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    # A reused session keeps its static settings; re-apply the runtime SQL ones.
     for k, v in conf.items():
-        if not k.startswith("spark.ui") and not k.startswith("spark.sql.streaming.stateStore"):
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     return spark
 
