@@ -28,15 +28,18 @@ def parse_app_log(raw: DataFrame) -> DataFrame:
     """P1 + P3: parse once, expose the fields the jobs read, tag dirty records.
 
     Adds ``v`` (VARIANT of the object), ``reason`` (NULL for clean records) and the
-    typed fields ``mid, is_new, start, page_id, last_page_id, ts``. The parse is its
+    typed fields ``mid, is_new, start, page_id, last_page_id, ts``; other input
+    columns are carried through. The parse is its
     own step (``evaluate_once``) and the fields read the parsed column, so each
     text is parsed once even when later filters are pushed down.
     """
-    parsed = J.evaluate_once(raw, J.parse_object(F.col("value")), "v", ["arrival", "seq", "value"])
+    carried = [c for c in raw.columns if c not in ("arrival", "seq", "value")]
+    parsed = J.evaluate_once(raw, J.parse_object(F.col("value")), "v",
+                             ["arrival", "seq", "value", *carried])
     v = F.col("v")
     mid = J.get(v, "$.common.mid")
     return parsed.select(
-        "arrival", "seq", "value", "v",
+        "arrival", "seq", "value", *carried, "v",
         F.when(v.isNull(), F.lit(MALFORMED)).when(mid.isNull(), F.lit(NO_MID)).alias("reason"),
         mid.alias("mid"),
         J.get(v, "$.common.is_new").alias("is_new"),
