@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import json as J
 
-ENVELOPE = "struct<before: map<string,string>, after: map<string,string>, op: string>"
+ENVELOPE = ("struct<before: map<string,string>, after: map<string,string>, op: string, "
+            "_corrupt_record: string>")
 
 # Change types by envelope op, short codes and long names (create -> insert).
 OP_TYPES = {"c": "insert", "create": "insert", "r": "read", "u": "update",
@@ -28,21 +29,24 @@ def normalize(raw: DataFrame, strict: bool = False) -> DataFrame:
     ``insert``. Rows that cannot be read get a ``reason`` instead of failing the
     job; ``strict=True`` fails on malformed envelopes (P2).
     """
-    opts = {"mode": "FAILFAST"} if strict else {}
+    # Permissive parsing gives a struct of nulls for malformed text;
+    # the corrupt-record field is what tells a malformed envelope apart.
+    opts = {"mode": "FAILFAST"} if strict else {"columnNameOfCorruptRecord": "_corrupt_record"}
     # Parse in its own projection so every field below reads one parsed struct.
     raw = J.evaluate_once(raw, F.from_json(F.col("value"), ENVELOPE, opts), "_env",
                           ["arrival", "seq", "topic", "value"])
     env = F.col("_env")
     parts = F.split(F.col("topic"), r"\.")
     op = F.lower(env["op"])
-    type_ = F.coalesce(F.element_at(F.create_map(*[x for k, v in OP_TYPES.items()
+    type_ = F.coalesce(F.try_element_at(F.create_map(*[x for k, v in OP_TYPES.items()
                                                    for x in (F.lit(k), F.lit(v))]), op), op)
     empty = F.create_map().cast("map<string,string>")
-    ok = env.isNotNull() & F.ltrim(F.col("value")).startswith("{")
+    ok = (env.isNotNull() & env["_corrupt_record"].isNull()
+          & F.ltrim(F.col("value")).startswith("{"))
     out = raw.select(
         "arrival", "seq",
-        F.element_at(parts, 2).alias("database"),
-        F.element_at(parts, 3).alias("table_name"),
+        F.try_element_at(parts, F.lit(2)).alias("database"),
+        F.try_element_at(parts, F.lit(3)).alias("table_name"),
         type_.alias("type"),
         F.coalesce(J.drop_null_values(env["before"]), empty).alias("before"),
         F.coalesce(J.drop_null_values(env["after"]), empty).alias("after"),

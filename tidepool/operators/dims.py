@@ -33,7 +33,7 @@ def cells(routed: DataFrame, key: str = "id", honour_sink_pk: bool = False) -> t
     Q10), never written as a tombstone.
     """
     key_name = F.coalesce(F.col("sink_pk"), F.lit(key)) if honour_sink_pk else F.lit(key)
-    with_key = routed.withColumn("row_key", F.element_at(F.col("after"), key_name))
+    with_key = routed.withColumn("row_key", F.try_element_at(F.col("after"), key_name))
     rejects = (with_key.where(F.col("row_key").isNull())
                .select("arrival", "seq", "sink_table", F.lit(NO_ROW_KEY).alias("reason")))
     body = F.map_filter(F.col("after"), lambda k, v: (k != key_name) & v.isNotNull())
