@@ -36,7 +36,7 @@ def test_log_and_uv_stream_equal_batch(spark, workdir):
     drop(2)
     SJ.start_log_job(spark, root, checkpoint=ckpt, max_files_per_trigger=1).awaitTermination()
 
-    batch = log_jobs.log_pipeline(raw)
+    batch = log_jobs.detail_layer(raw)
     for route, topic in SJ.ROUTE_TOPICS.items():
         got = T.read_topic(spark, root, topic)
         want = batch.where(F.col("route") == route)
@@ -50,6 +50,6 @@ def test_log_and_uv_stream_equal_batch(spark, workdir):
 
     SJ.start_uv_job(spark, root, checkpoint=uv_ckpt).awaitTermination()
     uv = T.read_topic(spark, root, SJ.DWM_UV)
-    want_uv = log_jobs.uv_pipeline(log_jobs.page_route(batch))
+    want_uv = log_jobs.uv_from_pages(log_jobs.page_route(batch))
     assert uv.count() == want_uv.count() == 2404
     assert uv.agg(F.sum("seq")).first()[0] == 11835828

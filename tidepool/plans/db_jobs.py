@@ -41,7 +41,7 @@ def rule_events(rule_env: DataFrame) -> DataFrame:
     return R.bind_rules(n.where(F.col("table_name") == RULE_TABLE))
 
 
-def db_pipeline(changes_env: DataFrame, rule_env: DataFrame) -> DataFrame:
+def route_all(changes_env: DataFrame, rule_env: DataFrame) -> DataFrame:
     """Normalise changes (P9), fold rules (R1), look up (R2), trim (P10), add
     the sink table (P11), route (R3). One row per change, with ``route``."""
     changes = C.normalize(changes_env).where(F.col("reason").isNull())

@@ -23,7 +23,7 @@ def _fields(after="after"):
 
 
 def _routed(spark, sf_dir):
-    return DB.db_pipeline(DB.ods_changes(spark, sf_dir), DB.rule_envelopes_fixed(spark))
+    return DB.route_all(DB.ods_changes(spark, sf_dir), DB.rule_envelopes_fixed(spark))
 
 
 def q_cdc_normalize(spark, sf_dir):
@@ -99,7 +99,7 @@ def q_dim_upsert(spark, sf_dir):
     return D.latest_cells(cells).select("sink_table", "row_key", "qualifier", "value", "arrival")
 
 
-def q_db_pipeline(spark, sf_dir):
+def q_db_route(spark, sf_dir):
     return _routed(spark, sf_dir).select("route", "arrival", "seq", "type", "sink_table", *_fields())
 
 
@@ -121,6 +121,6 @@ QUERIES = {
     "rule_asof": q_rule_asof,
     "dwd_fact_route": q_dwd_fact_route,
     "dim_upsert": q_dim_upsert,
-    "db_pipeline": q_db_pipeline,
+    "db_route": q_db_route,
     "raw_log_landing": q_raw_log_landing,
 }

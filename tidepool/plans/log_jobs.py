@@ -9,13 +9,13 @@ from tidepool.operators import logs as L
 from tidepool.operators.ordering import DEFAULT_CHUNK
 
 
-def log_pipeline(raw: DataFrame) -> DataFrame:
+def detail_layer(raw: DataFrame) -> DataFrame:
     """S1 -> P1 -> W1 -> P5 -> P6 as one DataFrame with a ``route`` column
     (dirty, start, page, display) and the JSON ``value`` to publish per route."""
     return L.split_all(L.first_visit_fix(L.parse_app_log(raw)))
 
 
-def uv_pipeline(page_log: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
+def uv_from_pages(page_log: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """The page dataset ``(arrival, seq, value)`` -> P2 -> P7 -> W2.
 
     Returns kept entries with their fields and ``value`` (the record text, P4).

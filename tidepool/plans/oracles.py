@@ -145,7 +145,7 @@ ORACLES: dict[str, str] = {
     "day_bucket": _with(
         "select seq, ts, strftime(epoch_ms(ts), '%Y-%m-%d') as day from clean where ts is not null"),
     "unique_visit": _with("select seq, arrival, mid, page_id, ts, day from uv"),
-    "log_pipeline": _with("""
+    "log_detail": _with("""
 select 'dirty' as route, seq, 0 as pos, null as mid, null as is_new, null as page_id,
        null as last_page_id, cast(null as bigint) as ts, null as item from parsed where reason is not null
 union all
@@ -154,7 +154,7 @@ union all
 select 'page', seq, 0, mid, is_new, page_id, last_page_id, ts, null from pages
 union all
 select 'display', seq, pos, null, null, page_id, null, null, item from displays"""),
-    "uv_pipeline": _with("select seq, arrival, mid, is_new, page_id, ts, day from uv"),
+    "uv_daily": _with("select seq, arrival, mid, is_new, page_id, ts, day from uv"),
     "raw_log_landing": _with(
         "select strftime(epoch_ms(received_ms), '%Y-%m-%d') as dt, seq, value from app_log"),
     "cdc_normalize": _cdc(f"""
@@ -204,6 +204,6 @@ cells as (
 )
 select sink_table, row_key, qualifier, arg_max(value, arrival) as value, max(arrival) as arrival
 from cells group by sink_table, row_key, qualifier"""),
-    "db_pipeline": _cdc("""
+    "db_route": _cdc("""
 select route, arrival, seq, type, sink_table, id, o_orderpriority, o_orderstatus from trimmed"""),
 }

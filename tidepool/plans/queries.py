@@ -70,18 +70,18 @@ def q_unique_visit(spark, sf_dir):
     return L.unique_visit(pages).select("seq", "arrival", "mid", "page_id", "ts", "day")
 
 
-def q_log_pipeline(spark, sf_dir):
-    return log_jobs.log_pipeline(FX.app_log(spark, sf_dir)).select(
+def q_log_detail(spark, sf_dir):
+    return log_jobs.detail_layer(FX.app_log(spark, sf_dir)).select(
         "route", "seq", "pos", "mid", "is_new", "page_id", "last_page_id", "ts", "item")
 
 
-def q_uv_pipeline(spark, sf_dir):
+def q_uv_daily(spark, sf_dir):
     # J2 reads the durable page dataset J1 publishes; a reliable checkpoint in the
     # shared checkpoint folder stands in for that topic and cuts the lineage.
     checkpoint_root(spark)
-    j1 = log_jobs.log_pipeline(FX.app_log(spark, sf_dir))
+    j1 = log_jobs.detail_layer(FX.app_log(spark, sf_dir))
     pages = log_jobs.page_route(j1).checkpoint(eager=True)
-    return log_jobs.uv_pipeline(pages).select(
+    return log_jobs.uv_from_pages(pages).select(
         "seq", "arrival", "mid", "is_new", "page_id", "ts", "day")
 
 
@@ -95,8 +95,8 @@ QUERIES: dict[str, Query] = {
     "session_entries": q_session_entries,
     "day_bucket": q_day_bucket,
     "unique_visit": q_unique_visit,
-    "log_pipeline": q_log_pipeline,
-    "uv_pipeline": q_uv_pipeline,
+    "log_detail": q_log_detail,
+    "uv_daily": q_uv_daily,
 }
 
 from tidepool.plans import db_queries as _db  # noqa: E402
