@@ -53,12 +53,12 @@ def test_first_visit_equals_sequential(spark, sf):
     assert sum(1 for s, v in want.items() if v == "0") > 0
 
 
-@pytest.mark.parametrize("width", [1, 97, 1024, 10 ** 9])
-def test_unique_visit_equals_sequential_any_chunk(spark, width):
+@pytest.mark.parametrize("width,fanout", [(1, 1024), (1, 2), (97, 3), (1024, 1024), (10 ** 9, 1024)])
+def test_unique_visit_equals_sequential_any_chunk(spark, width, fanout):
     pages = L.split_page(L.clean(L.parse_app_log(FX.app_log(spark, SF01))))
     entries = pages.where(L.session_entry(F.col("last_page_id")))
     want = seq_unique_visit(_rows(entries, "arrival", "seq", "mid", "ts"))
-    got = {r[0] for r in _rows(L.unique_visit(pages, chunk_width=width), "seq")}
+    got = {r[0] for r in _rows(L.unique_visit(pages, chunk_width=width, fanout=fanout), "seq")}
     assert got == want
     assert len(want) == 2404
 
@@ -84,15 +84,16 @@ def seq_asof(changes, rules):
     return out
 
 
-@pytest.mark.parametrize("plan,width", [("broadcast", 1024), ("chunked", 1024),
-                                        ("chunked", 7), ("chunked", 10 ** 9)])
-def test_asof_lookup_plans_equal_sequential(spark, plan, width):
+@pytest.mark.parametrize("plan,width,fanout", [("broadcast", 1024, 1024), ("chunked", 1024, 1024),
+                                               ("chunked", 7, 1024), ("chunked", 7, 2),
+                                               ("chunked", 10 ** 9, 1024)])
+def test_asof_lookup_plans_equal_sequential(spark, plan, width, fanout):
     ev = DB.rule_events(DB.rule_envelopes_log(spark, SF001))
     ch = DQ._changes(spark, SF001)
     rules = _rows(ev, "arrival", "seq", F.concat_ws("-", "source_table", "operate_type"), "sink_type")
     changes = _rows(ch, "arrival", "seq", F.concat_ws("-", "table_name", "type"))
     want = seq_asof(changes, rules)
-    got_df = R.lookup_asof(ch, ev, force=plan, chunk_width=width)
+    got_df = R.lookup_asof(ch, ev, force=plan, chunk_width=width, fanout=fanout)
     got = {s: (None if a is None else (a, t))
            for s, a, t in _rows(got_df, "seq", "rule_arrival", "sink_type")}
     assert got == want

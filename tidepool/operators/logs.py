@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import json as J
 from tidepool.functions.time import day_of, day_text
-from tidepool.operators.ordering import DEFAULT_CHUNK, ORDER, carry_in, chunk_of
+from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, ORDER, carry_in, chunk_of
 
 # Dirty reasons.
 MALFORMED = "malformed"      # not a JSON object (P1, Q15)
@@ -195,7 +195,8 @@ def parse_page_log(raw: DataFrame) -> DataFrame:
     return p.withColumn("reason", reason)
 
 
-def unique_visit(pages: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
+def unique_visit(pages: DataFrame, chunk_width: int = DEFAULT_CHUNK,
+                 fanout: int = DEFAULT_FANOUT) -> DataFrame:
     """Among session entries, per mid in arrival order, keep a record iff its
     day differs from the day of the last kept record.
 
@@ -208,13 +209,15 @@ def unique_visit(pages: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataFram
     e = (pages.where(F.col("reason").isNull() & session_entry(F.col("last_page_id")))
               .withColumn("_day", day_of(F.col("ts")))
               .withColumn("_chunk", chunk_of(F.col("arrival"), chunk_width)))
-    carry = carry_in(e, ["mid"], "_chunk", F.col("_day"))
+    # The window's shuffle on (mid, chunk) also serves the per-chunk tails of the
+    # carry (no new exchange) and the join back, so the input is read once.
     w = Window.partitionBy("mid", "_chunk").orderBy(*ORDER)
-    prev = F.coalesce(F.lag("_day").over(w), F.col("carry"))
-    kept = (e.join(carry, ["mid", "_chunk"], "left")
-             .withColumn("_prev", prev)
-             .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_day"))))
-    return kept.withColumn("day", day_text(F.col("ts"))).drop("_day", "_chunk", "carry", "_prev")
+    scanned = e.withColumn("_lag", F.lag("_day").over(w))
+    carry = carry_in(scanned, ["mid"], "_chunk", F.col("_day"), fanout=fanout)
+    kept = (scanned.join(carry, ["mid", "_chunk"], "left")
+            .withColumn("_prev", F.coalesce(F.col("_lag"), F.col("carry")))
+            .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_day"))))
+    return kept.withColumn("day", day_text(F.col("ts"))).drop("_day", "_chunk", "carry", "_prev", "_lag")
 
 
 def day_bucket(parsed: DataFrame) -> DataFrame:

@@ -9,7 +9,15 @@ the state a chunk starts from is the last value of the nearest earlier chunk of
 the same key, found on a per-chunk aggregate (one row per key and chunk), which
 is partially aggregated before it shuffles.
 
-Results do not depend on ``chunk_width``; only the size of the largest task does.
+That carry is itself a scan over a key's chunks, so it is done in two levels:
+chunks are grouped into blocks of ``fanout`` chunks; a window over blocks (one
+row per key and block) gives the state each block starts from, and a window
+within each block finishes the chunks. A key holding a third of 100 TB of rows
+then costs one task ``fanout`` rows at the inner level and ``1/fanout`` of its
+chunk count at the outer level, instead of one task holding all its chunks.
+
+Results do not depend on ``chunk_width`` or ``fanout``; only the size of the
+largest task does.
 """
 
 from __future__ import annotations
@@ -23,12 +31,16 @@ ORDER = ["arrival", "seq"]
 # should pass one minute (60_000); the provided fixtures use ordinal arrivals.
 DEFAULT_CHUNK = 1024
 
+# Chunks per block in the two-level carry scan.
+DEFAULT_FANOUT = 1024
+
 
 def chunk_of(arrival: Column, width: int) -> Column:
     return F.floor(arrival / F.lit(width)).cast("long")
 
 
-def carry_in(df: DataFrame, keys: list[str], chunk: str, value: Column, present: Column | None = None) -> DataFrame:
+def carry_in(df: DataFrame, keys: list[str], chunk: str, value: Column, present: Column | None = None,
+             fanout: int = DEFAULT_FANOUT) -> DataFrame:
     """Per ``(keys, chunk)``: the last ``value`` (by arrival order) of the nearest
     earlier chunk of the same key that has one, as column ``carry``.
 
@@ -37,7 +49,16 @@ def carry_in(df: DataFrame, keys: list[str], chunk: str, value: Column, present:
     """
     order = F.struct(*[F.col(c) for c in ORDER])
     ordering = order if present is None else F.when(present, order)
-    tails = df.groupBy(*keys, chunk).agg(F.max_by(value, ordering).alias("_tail"))
-    w = (Window.partitionBy(*keys).orderBy(chunk)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return tails.select(*keys, chunk, F.last("_tail", ignorenulls=True).over(w).alias("carry"))
+    tails = (df.groupBy(*keys, chunk).agg(F.max_by(value, ordering).alias("_tail"))
+             .withColumn("_blk", F.floor(F.col(chunk) / F.lit(fanout)).cast("long")))
+    before = Window.unboundedPreceding
+    # Outer level: the last tail of each block, then the state each block starts from.
+    blocks = tails.groupBy(*keys, "_blk").agg(
+        F.max_by("_tail", F.when(F.col("_tail").isNotNull(), F.col(chunk))).alias("_btail"))
+    wb = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(before, -1)
+    block_in = blocks.select(*keys, "_blk", F.last("_btail", ignorenulls=True).over(wb).alias("_bin"))
+    # Inner level: within a block, the nearest earlier chunk, else the block's state.
+    wc = Window.partitionBy(*keys, "_blk").orderBy(chunk).rowsBetween(before, -1)
+    inner = tails.select(*keys, "_blk", chunk, F.last("_tail", ignorenulls=True).over(wc).alias("_cin"))
+    return (inner.join(block_in, [*keys, "_blk"], "left")
+            .select(*keys, chunk, F.coalesce("_cin", "_bin").alias("carry")))

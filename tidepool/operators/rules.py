@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.sizing import MAX_BROADCAST_ROWS, checked_broadcast, row_count_at_most
-from tidepool.operators.ordering import DEFAULT_CHUNK, ORDER, carry_in, chunk_of
+from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, ORDER, carry_in, chunk_of
 
 RULE_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns",
                "sink_pk", "sink_extend"]
@@ -100,7 +100,8 @@ def _intervals(rule_events: DataFrame) -> DataFrame:
 
 
 def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS,
-                chunk_width: int = DEFAULT_CHUNK, force: str | None = None) -> DataFrame:
+                chunk_width: int = DEFAULT_CHUNK, force: str | None = None,
+                fanout: int = DEFAULT_FANOUT) -> DataFrame:
     """R2t: each change sees the rule in force when it arrives: the latest rule
     event of its key with ``rule.arrival <= change.arrival`` (a rule and a change
     arriving together: the rule first). Before the first rule, or after a retire,
@@ -117,7 +118,7 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BRO
     if plan == "broadcast":
         out = _asof_broadcast(changes, rule_events)
     else:
-        out = _asof_chunked(changes, rule_events, chunk_width)
+        out = _asof_chunked(changes, rule_events, chunk_width, fanout)
     hit = F.col("rule_arrival").isNotNull() & ~F.coalesce(F.col("_retired"), F.lit(True))
     for c in PAYLOAD:
         out = out.withColumn(c, F.when(hit, F.col(c)))
@@ -147,7 +148,8 @@ def _asof_broadcast(changes: DataFrame, rule_events: DataFrame) -> DataFrame:
     return changes.join(F.broadcast(iv), cond, "left").drop("_st", "_ot", "_until")
 
 
-def _asof_chunked(changes: DataFrame, rule_events: DataFrame, chunk_width: int) -> DataFrame:
+def _asof_chunked(changes: DataFrame, rule_events: DataFrame, chunk_width: int,
+                  fanout: int = DEFAULT_FANOUT) -> DataFrame:
     rule = F.struct(F.col("arrival").alias("rule_arrival"), *PAYLOAD,
                     F.col("retired").alias("_retired"))
     r = rule_events.select(F.col("source_table").alias("_st"), F.col("operate_type").alias("_ot"),
@@ -160,13 +162,13 @@ def _asof_chunked(changes: DataFrame, rule_events: DataFrame, chunk_width: int)
           .unionByName(c)
           .withColumn("_chunk", chunk_of(F.col("arrival"), chunk_width)))
     keys = ["_st", "_ot"]
-    carry = carry_in(u, keys, "_chunk", F.col("_rule"), present=F.col("_tag") == 0)
     w = (Window.partitionBy(*keys, "_chunk").orderBy("arrival", "_tag", "seq")
          .rowsBetween(Window.unboundedPreceding, 0))
-    seen = F.coalesce(F.last("_rule", ignorenulls=True).over(w), F.col("carry"))
-    out = (u.join(carry, keys + ["_chunk"], "left")
-            .withColumn("_in_force", seen)
-            .where(F.col("_tag") == 1))
+    scanned = u.withColumn("_seen", F.last("_rule", ignorenulls=True).over(w))
+    carry = carry_in(scanned, keys, "_chunk", F.col("_rule"), present=F.col("_tag") == 0, fanout=fanout)
+    out = (scanned.where(F.col("_tag") == 1)
+           .join(carry, keys + ["_chunk"], "left")
+           .withColumn("_in_force", F.coalesce(F.col("_seen"), F.col("carry"))))
     return out.select("_row.*", F.col("_in_force.rule_arrival").alias("rule_arrival"),
                       *[F.col(f"_in_force.{p}").alias(p) for p in PAYLOAD],
                       F.col("_in_force._retired").alias("_retired"))
