@@ -52,6 +52,20 @@ def test_cdc_and_routing_stream_equal_batch(spark, workdir):
     assert got.count() == 2895
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
+    # Compaction folds the appended history to one row per cell, same content.
+    store.compact(["dim_order"])
+    assert spark.table(store.table).count() == 2895
+    again = store.current().select("sink_table", "row_key", "qualifier", "value")
+    assert again.exceptAll(want).count() == 0 and want.exceptAll(again).count() == 0
+
+    # The same change stream printed to the console; every row goes through.
+    changes2 = spark.readStream.schema(ENV_SCHEMA).option("recursiveFileLookup", "true") \
+        .parquet(incoming)
+    q = SJ.start_console_job(spark, changes2, checkpoint=os.path.join(workdir, "ck_console"),
+                             num_rows=2)
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 15000
+
 
 def test_landing_job(spark, workdir):
     incoming = os.path.join(workdir, "incoming")

@@ -95,3 +95,25 @@ class DimStore:
 
     def current(self) -> DataFrame:
         return latest_cells(self.spark.table(self.table))
+
+    def compact(self, sink_tables: list[str] | None = None) -> None:
+        """Fold the appended history down to the latest cell per key, rewriting
+        only the ``sink_table`` partitions named (all when None); other tables'
+        files are left alone (dynamic partition overwrite).
+
+        The folded cells are first checkpointed to the shared checkpoint folder,
+        which cuts the lineage to the files about to be replaced; a lost executor
+        recomputes from the checkpoint, not from half-overwritten files.
+        """
+        self.ensure()
+        cur = self.spark.table(self.table)
+        if sink_tables is not None:
+            cur = cur.where(F.col("sink_table").isin(sink_tables))
+        folded = latest_cells(cur).select("row_key", "qualifier", "value", "arrival", "seq",
+                                          "sink_table").checkpoint(eager=True)
+        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            folded.write.mode("overwrite").insertInto(self.table, overwrite=True)
+        finally:
+            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

@@ -1,5 +1,5 @@
 """Streaming jobs: J1 (log split), J2 (unique visits), J3 (change ingestion),
-J4 (rule routing), S4 (raw landing).
+J4 (rule routing), J6 (change stream to console), S4 (raw landing).
 
 Every query has a checkpoint location under the shared checkpoint folder
 (``spark.checkpoint.dir``), so state and source progress survive a restart or a
@@ -130,6 +130,19 @@ def start_cdc_job(spark: SparkSession, root: str, changes: DataFrame, trigger: d
                   trigger or {"availableNow": True})
 
 
+def start_console_job(spark: SparkSession, changes: DataFrame, trigger: dict | None = None,
+                      checkpoint: str | None = None, num_rows: int = 20) -> StreamingQuery:
+    """Raw change envelopes -> normalised records printed per micro-batch (K5).
+    The console sink shows at most ``num_rows`` rows per batch; it is a debugging
+    view, every row is still normalised."""
+    norm = C.normalize(changes)
+    return (C.as_json(norm.where(F.col("reason").isNull()))
+            .writeStream.queryName("console_job").format("console")
+            .option("truncate", "false").option("numRows", str(num_rows))
+            .option("checkpointLocation", _checkpoint(spark, "console_job", checkpoint))
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def start_rule_job(spark: SparkSession, root: str, rule_changes: DataFrame,
                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """J4 query A (R1): rule-table changes -> the rule event log. The rule table
