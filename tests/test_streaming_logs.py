@@ -53,3 +53,49 @@ def test_log_and_uv_stream_equal_batch(spark, workdir):
     want_uv = log_jobs.uv_from_pages(log_jobs.page_route(batch))
     assert uv.count() == want_uv.count() == 2404
     assert uv.agg(F.sum("seq")).first()[0] == 11835828
+
+
+def test_first_visit_processor_across_arrow_batches(spark, workdir):
+    """A mid whose claims span many Arrow batches, out of arrival order: only the
+    earliest claim keeps "1"; after a restart every claim of that mid is repaired."""
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(60):
+        mid = "hot" if i % 5 else f"m{i}"
+        rows.append((1000 - i // 2, i, '{"common":{"mid":"%s","is_new":"1"},"ts":1}' % mid))
+    rnd.shuffle(rows)
+    src = os.path.join(workdir, "claims")
+    schema = "arrival long, seq long, value string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(os.path.join(src, "a"))
+    prev = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        out = os.path.join(workdir, "claims_out")
+
+        def run(name):
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+            q = (SJ.repaired_log(stream).writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", os.path.join(workdir, "ck_claims"))
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+            return {r.seq: (r.is_new, r.repaired) for r in spark.read.parquet(out).collect()}
+
+        got = run("claims_a")
+        hot = [(a, s) for a, s, v in rows if '"hot"' in v]
+        first_hot = min(hot)[1]
+        assert len(got) == 60
+        assert spark.read.parquet(out).count() == 60
+        for a, s, v in rows:
+            keeps = s == first_hot or '"hot"' not in v
+            assert got[s] == (("1", False) if keeps else ("0", True)), s
+        spark.createDataFrame([(5000, 100, '{"common":{"mid":"fresh","is_new":"1"},"ts":1}'),
+                               (4000, 101, '{"common":{"mid":"hot","is_new":"1"},"ts":1}')],
+                              schema).write.parquet(os.path.join(src, "b"))
+        got2 = run("claims_b")
+        assert got2[101] == ("0", True)
+        assert got2[100] == ("1", False)
+        assert spark.read.parquet(out).count() == 62
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", prev)

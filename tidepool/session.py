@@ -50,12 +50,17 @@ def get_session(master: str | None = None, app_name: str = "tidepool",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by whoever runs the job (a shared file system). Only
-    when it is unset, as in local tests, a folder under the temp dir is created and
-    recorded in the session so later calls agree.
+    On a cluster this is set by whoever runs the job (a shared file system), and
+    an unset value is an error: a machine-local folder would lose checkpoints with
+    the machine. Only on a ``local`` master (tests, single-machine runs) is a
+    folder under the temp dir created and recorded in the session, so later calls
+    agree.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                               "object store) before running on a cluster")
         d = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -1,8 +1,9 @@
 """Keyed state for the two stateful reference operators, as
 ``transformWithStateInPandas`` processors keyed by ``mid``.
 
-Rows of one key in one micro-batch arrive unordered (H2), so each call sorts them
-by ``(arrival, seq)`` and applies the sequential rule vectorised over the batch.
+Rows of one key in one micro-batch arrive unordered (H2). W2 sorts them by
+``(arrival, seq)`` and applies the sequential rule vectorised over the batch; W1
+needs only the earliest claim, so it streams the rows with one row held back.
 Only rows that can touch state are sent to a processor: claims of ``is_new = "1"``
 for W1 and session entries for W2; the filters run before the shuffle.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -28,28 +30,54 @@ def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pdf.sort_values(["arrival", "seq"], kind="stable").reset_index(drop=True)
 
 
+_W1_COLS = ["mid", "arrival", "seq", "value", "is_new", "repaired"]
+
+
 class FirstVisitProcessor(StatefulProcessor):
     """The first claim of ``is_new = "1"`` per mid keeps it; later claims
-    become ``"0"``. State: a flag per mid, no expiry."""
+    become ``"0"``. State: a flag per mid, no expiry.
+
+    Only claims reach this processor, and of a mid's claims only the earliest by
+    ``(arrival, seq)`` can keep the flag. So the rows are streamed batch by batch
+    (no concatenation, no sort): every row but the earliest seen so far is
+    emitted as repaired at once, and one candidate row is held back to the end.
+    A mid with a huge share of a micro-batch costs one Arrow batch of memory.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.claimed = handle.getValueState("claimed", "flag boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        claim = (pdf["is_new"] == "1").to_numpy()
-        repaired = claim.copy()
-        if not self.claimed.exists() and claim.any():
-            repaired[claim.argmax()] = False
-            self.claimed.update((True,))
-        pdf["repaired"] = repaired
-        pdf["is_new"] = pdf["is_new"].where(~pdf["repaired"], "0")
-        yield pdf[["mid", "arrival", "seq", "value", "is_new", "repaired"]]
+        held = None  # one-row frame: the earliest claim seen so far
+        for pdf in rows:
+            if not len(pdf):
+                continue
+            if held is not None:
+                pdf = pd.concat([held, pdf[held.columns]], ignore_index=True)
+            else:
+                pdf = pdf.reset_index(drop=True)
+            pos = _earliest(pdf)
+            held = pdf.iloc[[pos]].reset_index(drop=True)
+            rest = pdf.drop(index=pos)
+            if len(rest):
+                yield rest.assign(is_new="0", repaired=True)[_W1_COLS]
+        if held is not None:
+            keep = not self.claimed.exists()
+            if keep:
+                self.claimed.update((True,))
+            yield held.assign(is_new="1" if keep else "0", repaired=not keep)[_W1_COLS]
 
     def close(self) -> None:
         pass
 
 
+def _earliest(pdf: pd.DataFrame) -> int:
+    """Position of the row with the smallest ``(arrival, seq)``, without a sort."""
+    arrival = pdf["arrival"].to_numpy()
+    cand = np.flatnonzero(arrival == arrival.min())
+    return int(cand[pdf["seq"].to_numpy()[cand].argmin()])
+
+
 class UniqueVisitProcessor(StatefulProcessor):
     """Keep a session entry iff its day differs from the day last kept for
     the mid. With ``ttl_ms`` (W3) the stored day expires that long after it was
