@@ -117,3 +117,12 @@ def test_asof_fixed_history_anchor(spark):
         out = R.lookup_asof(orders, hist, force=plan).where(F.col("arrival") > 0)
         counts = dict(_rows(out.groupBy("sink_type").count(), "sink_type", "count"))
         assert counts == {"kafka": 10999, "hbase": 4000}, plan
+
+
+def test_asof_plan_choice(spark):
+    """Broadcast only a history proven small and shallow; the check is bounded."""
+    deep = DB.rule_events(DB.rule_envelopes_log(spark, SF001))
+    shallow = DB.rule_events(DB.rule_envelopes_fixed(spark))
+    assert R.choose_asof_plan(shallow) == "broadcast"
+    assert R.choose_asof_plan(shallow, bound=2) == "chunked"
+    assert R.choose_asof_plan(deep) == "chunked"

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.sizing import MAX_BROADCAST_ROWS, checked_broadcast, row_count_at_most
+from tidepool.functions.sizing import MAX_BROADCAST_ROWS, checked_broadcast
 from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, ORDER, carry_in, chunk_of
 
 RULE_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns",
@@ -129,12 +129,16 @@ MAX_VERSIONS_PER_KEY = 64
 
 
 def choose_asof_plan(rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> str:
-    """"broadcast" when the history is proven small and shallow, else "chunked"."""
-    if not row_count_at_most(rule_events, bound):
-        return "chunked"
-    deepest = (rule_events.groupBy(*KEY).count()
-               .agg(F.max("count").alias("m")).first()["m"]) or 0
-    return "broadcast" if deepest <= MAX_VERSIONS_PER_KEY else "chunked"
+    """"broadcast" when the history is proven small and shallow, else "chunked".
+
+    One bounded action: at most ``bound + 1`` events (key columns only) are
+    counted per key. If fewer than that exist, the counts are exact and give the
+    depth; otherwise the history is large and the chunked scan is chosen.
+    """
+    stats = (rule_events.select(*KEY).limit(bound + 1).groupBy(*KEY).count()
+             .agg(F.sum("count").alias("n"), F.max("count").alias("deepest")).first())
+    n, deepest = (stats["n"] or 0), (stats["deepest"] or 0)
+    return "broadcast" if n <= bound and deepest <= MAX_VERSIONS_PER_KEY else "chunked"
 
 
 def _asof_broadcast(changes: DataFrame, rule_events: DataFrame) -> DataFrame:
