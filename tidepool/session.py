@@ -21,6 +21,27 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, cores: int, scan_partition_bytes: int = 256 << 20,
+               input_bytes_per_shuffle_partition: int = 1 << 30,
+               max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes`` on ``cores`` task slots.
+
+    Scan splits of ``scan_partition_bytes``; an initial shuffle partition count of
+    one per GiB of input (at least two per core, at most ``max_shuffle_partitions``
+    so map-output metadata stays bounded), which AQE then coalesces towards
+    ``scan_partition_bytes`` per partition and splits where skewed. At 100 TB this
+    gives 100,000 shuffle partitions of roughly 100-300 MB after projection.
+    """
+    n = -(-input_bytes // input_bytes_per_shuffle_partition)
+    n = max(2 * cores, min(max_shuffle_partitions, n))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(scan_partition_bytes),
+    }
+
+
 def get_session(master: str | None = None, app_name: str = "tidepool",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
