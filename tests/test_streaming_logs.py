@@ -1,9 +1,10 @@
 """Stream = batch for J1 and J2: the app log cut into files in arrival order,
 processed one file per micro-batch with a stop and restart from the checkpoint
-in between, gives the batch answers (SURVEY §5 item 3)."""
+in between, gives the batch answers (SURVEY §5 item 3), for 1, 3 and 8 files."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -14,26 +15,30 @@ from tidepool.sources import topics as T
 from tidepool.streaming import jobs as SJ
 
 
-def test_log_and_uv_stream_equal_batch(spark, workdir):
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_log_and_uv_stream_equal_batch(spark, workdir, parts):
     root = os.path.join(workdir, "topics")
     raw = FX.app_log(spark, SF01)
     pdf = raw.toPandas().sort_values(["arrival", "seq"]).reset_index(drop=True)
-    thirds = [pdf.iloc[:3500], pdf.iloc[3500:7000], pdf.iloc[7000:]]
+    n = len(pdf)
+    files = [pdf.iloc[round(i * n / parts):round((i + 1) * n / parts)] for i in range(parts)]
     ckpt = os.path.join(workdir, "ckpt_log")
 
     def drop(i):
-        spark.createDataFrame(thirds[i], "arrival long, seq long, value string") \
+        spark.createDataFrame(files[i], "arrival long, seq long, value string") \
             .coalesce(1).write.parquet(os.path.join(root, SJ.ODS_LOG, f"batch_id={i}"))
 
     uv_ckpt = os.path.join(workdir, "ckpt_uv")
-    drop(0)
-    drop(1)
+    first = max(1, (2 * parts) // 3)
+    for i in range(first):
+        drop(i)
     SJ.start_log_job(spark, root, checkpoint=ckpt, max_files_per_trigger=1).awaitTermination()
     # J2 consumes what J1 published so far, then stops; it resumes after J1's
     # restart. Files of one J1 batch are read in one J2 batch, so a mid's entries
     # are ordered inside the processor.
     SJ.start_uv_job(spark, root, checkpoint=uv_ckpt).awaitTermination()
-    drop(2)
+    for i in range(first, parts):
+        drop(i)
     SJ.start_log_job(spark, root, checkpoint=ckpt, max_files_per_trigger=1).awaitTermination()
 
     batch = log_jobs.detail_layer(raw)
