@@ -37,11 +37,12 @@ def test_cdc_and_routing_stream_equal_batch(spark, workdir):
     rules_in = os.path.join(workdir, "rules_in")
     DB.rule_envelopes_fixed(spark).coalesce(1).write.parquet(rules_in)
     rule_stream = spark.readStream.schema(ENV_SCHEMA).parquet(rules_in)
-    SJ.start_rule_job(spark, root, rule_stream,
+    store = D.DimStore(spark, os.path.join(workdir, "dims"), database="dims_stream")
+    SJ.start_rule_job(spark, root, rule_stream, dims=store,
                       checkpoint=os.path.join(workdir, "ck_rules")).awaitTermination()
     assert SJ.current_rules(spark, root).count() == 3
-
-    store = D.DimStore(spark, os.path.join(workdir, "dims"), database="dims_stream")
+    # K3: the dimension rule created its dimension view.
+    assert spark.catalog.tableExists("dims_stream.dim_order")
     SJ.start_route_job(spark, root, store,
                        checkpoint=os.path.join(workdir, "ck_route")).awaitTermination()
 
@@ -51,6 +52,12 @@ def test_cdc_and_routing_stream_equal_batch(spark, workdir):
     want = DQ.q_dim_upsert(spark, SF01).select("sink_table", "row_key", "qualifier", "value")
     assert got.count() == 2895
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # The wide dimension (FIXTURES §5): 1,480 keys, 2,895 non-null cells.
+    wide = spark.table("dims_stream.dim_order")
+    assert wide.columns == ["row_key", "o_orderpriority", "o_orderstatus"]
+    assert wide.count() == 1480
+    assert wide.select(F.sum(F.col("o_orderpriority").isNotNull().cast("int")
+                             + F.col("o_orderstatus").isNotNull().cast("int"))).first()[0] == 2895
 
     # Compaction folds the appended history to one row per cell, same content.
     store.compact(["dim_order"])

@@ -51,14 +51,6 @@ def latest_cells(cell_rows: DataFrame) -> DataFrame:
             .select(*CELL_KEY, "_c.value", "_c.arrival", "_c.seq"))
 
 
-def dimension_view(cell_rows: DataFrame, sink_table: str, columns: list[str]) -> DataFrame:
-    """One dimension as a wide table: row key plus one column per qualifier.
-    The column list comes from the rule, so no distinct scan of qualifiers."""
-    cur = latest_cells(cell_rows.where(F.col("sink_table") == sink_table))
-    return (cur.groupBy("row_key").pivot("qualifier", columns)
-            .agg(F.first("value")))
-
-
 class DimStore:
     """Append-only cell store under a shared folder, registered in the catalog."""
 
@@ -77,13 +69,25 @@ class DimStore:
             f"PARTITIONED BY (sink_table) LOCATION '{self.path}'")
 
     def ensure_dimension(self, sink_table: str, columns: list[str]) -> str:
-        """K3 per rule: a view ``<database>.<sink_table>`` over the latest cells."""
+        """K3 per rule: a catalog view ``<database>.<sink_table>`` with the row key
+        and one column per qualifier, the latest cell each.
+
+        One grouped pass over the table's partition of the store (conditional
+        ``max_by`` per column), so it needs no distinct scan of qualifiers and no
+        pivot. Re-creating it for a rule change is idempotent; failures raise.
+        """
         if not _NAME.match(sink_table) or not all(_NAME.match(c) for c in columns):
             raise ValueError(f"bad dimension name {sink_table!r} / {columns!r}")
         self.ensure()
-        name = f"{self.database}_{sink_table}"
-        dimension_view(self.spark.table(self.table), sink_table, columns) \
-            .createOrReplaceTempView(name)
+        name = f"{self.database}.{sink_table}"
+        cols = "".join(
+            f",\n  max_by(value, struct(arrival, seq)) filter (where qualifier = '{c}') as {c}"
+            for c in columns)
+        self.spark.sql(f"""create or replace view {name} as
+select row_key{cols}
+from {self.table}
+where sink_table = '{sink_table}'
+group by row_key""")
         return name
 
     def append(self, cell_rows: DataFrame) -> None:

@@ -144,14 +144,27 @@ def start_console_job(spark: SparkSession, changes: DataFrame, trigger: dict | N
 
 
 def start_rule_job(spark: SparkSession, root: str, rule_changes: DataFrame,
-                   trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, checkpoint: str | None = None,
+                   dims: D.DimStore | None = None) -> StreamingQuery:
     """J4 query A (R1): rule-table changes -> the rule event log. The rule table
-    in force is the fold of that log (``current_rules``)."""
+    in force is the fold of that log (``current_rules``).
+
+    With ``dims``, each batch's dimension rules create their dimension (K3), as
+    the reference creates its table when such a rule arrives. The rows read back
+    are the distinct dimension names of the batch's rule changes: DDL runs on the
+    driver, once per dimension table, and the rule table is configuration-sized.
+    """
     events = R.bind_rules(C.normalize(rule_changes))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.write.mode("overwrite")
          .parquet(os.path.join(root, "_rules", f"batch_id={batch_id}")))
+        if dims is not None:
+            wanted = (batch.where((F.col("sink_type") == R.SINK_HBASE) & ~F.col("retired"))
+                      .select("sink_table", "sink_columns").distinct())
+            for row in wanted.collect():
+                cols = [c for c in (row.sink_columns or "").split(",") if c and c != "id"]
+                dims.ensure_dimension(row.sink_table, cols)
 
     return _start(events, "rule_job", _checkpoint(spark, "rule_job", checkpoint), write,
                   trigger or {"availableNow": True})
