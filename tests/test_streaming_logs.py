@@ -55,6 +55,11 @@ def test_log_and_uv_stream_equal_batch(spark, workdir, parts):
 
     SJ.start_uv_job(spark, root, checkpoint=uv_ckpt).awaitTermination()
     uv = T.read_topic(spark, root, SJ.DWM_UV)
+    if parts == 1:
+        q = SJ.start_topic_console(spark, root, SJ.DWD_PAGE, num_rows=1,
+                                   checkpoint=os.path.join(workdir, "ck_console"))
+        q.awaitTermination()
+        assert sum(p["numInputRows"] for p in q.recentProgress) == got_pages.count()
     want_uv = log_jobs.uv_from_pages(log_jobs.page_route(batch))
     assert uv.count() == want_uv.count() == 2404
     assert uv.agg(F.sum("seq")).first()[0] == 11835828

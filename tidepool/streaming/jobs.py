@@ -143,6 +143,18 @@ def start_console_job(spark: SparkSession, changes: DataFrame, trigger: dict | N
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def start_topic_console(spark: SparkSession, root: str, topic: str, trigger: dict | None = None,
+                        checkpoint: str | None = None, num_rows: int = 20) -> StreamingQuery:
+    """S1 + K5 debug reader: print a topic's records as they arrive (the
+    reference's manual check of the page topic)."""
+    name = f"console_{topic}"
+    return (T.read_topic(spark, root, topic, stream=True)
+            .writeStream.queryName(name).format("console")
+            .option("truncate", "false").option("numRows", str(num_rows))
+            .option("checkpointLocation", _checkpoint(spark, name, checkpoint))
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def start_rule_job(spark: SparkSession, root: str, rule_changes: DataFrame,
                    trigger: dict | None = None, checkpoint: str | None = None,
                    dims: D.DimStore | None = None) -> StreamingQuery:
