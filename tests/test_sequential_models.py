@@ -126,3 +126,16 @@ def test_asof_plan_choice(spark):
     assert R.choose_asof_plan(shallow) == "broadcast"
     assert R.choose_asof_plan(shallow, bound=2) == "chunked"
     assert R.choose_asof_plan(deep) == "chunked"
+
+
+def test_chunk_of_is_floor_division(spark):
+    from tidepool.operators.ordering import chunk_of
+
+    vals = [-2049, -1024, -1, 0, 1, 1023, 1024, 2 ** 62 + 5, 2 ** 63 - 1]
+    df = spark.createDataFrame([(v,) for v in vals], "a long")
+    for width in (1, 1024, 7):
+        got = [r[0] for r in df.select(chunk_of(F.col("a"), width)).collect()]
+        want = [v // width for v in vals]
+        if width == 7:   # double path: exact below 2^53
+            got, want = got[:7], want[:7]
+        assert got == want, width

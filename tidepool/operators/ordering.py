@@ -36,6 +36,13 @@ DEFAULT_FANOUT = 1024
 
 
 def chunk_of(arrival: Column, width: int) -> Column:
+    """Chunk number of an arrival: monotone in arrival, ``width`` units per chunk.
+
+    A power-of-two width is an arithmetic shift, exact for every long (floor
+    division); other widths divide in double, exact below 2^53.
+    """
+    if width > 0 and width & (width - 1) == 0:
+        return F.shiftright(arrival.cast("long"), width.bit_length() - 1)
     return F.floor(arrival / F.lit(width)).cast("long")
 
 
@@ -50,7 +57,7 @@ def carry_in(df: DataFrame, keys: list[str], chunk: str, value: Column, present:
     order = F.struct(*[F.col(c) for c in ORDER])
     ordering = order if present is None else F.when(present, order)
     tails = (df.groupBy(*keys, chunk).agg(F.max_by(value, ordering).alias("_tail"))
-             .withColumn("_blk", F.floor(F.col(chunk) / F.lit(fanout)).cast("long")))
+             .withColumn("_blk", chunk_of(F.col(chunk), fanout)))
     before = Window.unboundedPreceding
     # Outer level: the last tail of each block, then the state each block starts from.
     blocks = tails.groupBy(*keys, "_blk").agg(
