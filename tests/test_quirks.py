@@ -198,3 +198,36 @@ def test_s3_views(spark):
     log_v, cur_v = C.register_table_views(spark, _changes(spark, rows), "t", ["id", "n"])
     assert spark.sql(f"select count(*) from {log_v}").first()[0] == 4   # NOT NULL id
     assert [tuple(r) for r in spark.sql(f"select * from {cur_v}").collect()] == [("1", "b")]
+
+
+def test_p2_strict_parse_fails_on_malformed(spark):
+    import pytest
+
+    rows = [(1, 1, "srv.db1.t1", json.dumps({"after": {"id": "1"}, "op": "c"})),
+            (2, 2, "srv.db1.t1", "{oops")]
+    df = spark.createDataFrame(rows, "arrival long, seq long, topic string, value string")
+    good = spark.createDataFrame(rows[:1], df.schema)
+    assert [r.type for r in C.normalize(good, strict=True).collect()] == ["insert"]
+    with pytest.raises(Exception):
+        C.normalize(df, strict=True).collect()
+    # Tolerant (default): the malformed envelope is tagged, the job goes on.
+    assert {r.seq: r.reason for r in C.normalize(df).collect()} == {1: None, 2: "malformed"}
+
+
+def test_p13_empty_after_filter(spark):
+    rows = [(1, 1, "srv.db1.t1", json.dumps({"after": {"id": "1"}, "op": "c"})),
+            (2, 2, "srv.db1.t1", json.dumps({"before": {"id": "1"}, "after": None, "op": "d"}))]
+    ch = _changes(spark, rows)
+    assert ch.count() == 2                                     # off by default
+    assert [r.seq for r in C.drop_empty_after(ch).collect()] == [1]
+
+
+def test_q19_store_name_is_configurable_and_checked(spark, workdir):
+    import pytest
+
+    store = D.DimStore(spark, f"{workdir}/dims_q19", database="shop_dims")
+    assert store.table == "shop_dims.cells"
+    with pytest.raises(ValueError):
+        D.DimStore(spark, f"{workdir}/x", database="bad-name; drop")
+    with pytest.raises(ValueError):
+        store.ensure_dimension("dim x", ["a"])
