@@ -43,13 +43,17 @@ def seq_unique_visit(entries):
     return kept
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
-def test_first_visit_equals_sequential(spark, sf):
+@pytest.mark.parametrize("sf,bound", [(SF001, 10 ** 6), (SF01, 10 ** 6), (SF01, 0)])
+def test_first_visit_equals_sequential(spark, sf, bound):
+    """Both plans (broadcast of a proven-small first-claim table, and the
+    claims-only shuffled join beyond the bound) equal the sequential rule."""
     parsed = L.parse_app_log(FX.app_log(spark, sf))
     clean = L.clean(parsed)
     want = seq_first_visit(_rows(clean, "arrival", "seq", "mid", "is_new"))
-    got = dict(_rows(L.clean(L.first_visit_fix(parsed)), "seq", "is_new"))
+    fixed = L.first_visit_fix(parsed, bound=bound)
+    got = dict(_rows(L.clean(fixed), "seq", "is_new"))
     assert got == want
+    assert fixed.count() == parsed.count()
     assert sum(1 for s, v in want.items() if v == "0") > 0
 
 

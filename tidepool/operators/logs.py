@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions import json as J
+from tidepool.functions.sizing import MAX_BROADCAST_ROWS, checked_broadcast
 from tidepool.functions.time import day_of, day_text
 from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, ORDER, carry_in, chunk_of
+from tidepool.session import checkpoint_root
 
 # Dirty reasons.
 MALFORMED = "malformed"      # not a JSON object (P1, Q15)
@@ -59,30 +61,44 @@ def dirty(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNotNull()).select("arrival", "seq", "reason", "value")
 
 
-def first_visit_fix(parsed: DataFrame) -> DataFrame:
+def first_visit_fix(parsed: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Per mid, only the first arriving record claiming ``is_new = "1"`` keeps
     it; later claims become ``"0"``. Other records pass unchanged.
 
     Adds ``is_new_in`` (as received), ``is_new`` (repaired) and ``repaired``.
 
     The first claim per mid is a partial aggregate (map-side combined, so a hot mid
-    costs one row per partition), joined back on ``(mid, arrival, seq)``; the join
-    hashes on the unique ``seq`` too, so no mid becomes one task. AQE broadcasts the
-    first-claim table when its runtime size is small.
+    costs one row per partition), written once as a reliable checkpoint in the
+    shared checkpoint folder and then counted with a bound:
+
+    * proven small: broadcast to a left join with every record; the log is not
+      shuffled and is read twice in all (aggregate, join);
+    * otherwise only the claims are joined back, on ``(mid, arrival, seq)``, which
+      hashes on the unique ``seq`` too, so no mid becomes one task; all other
+      records go through without an exchange. The whole log is never shuffled.
     """
-    claims = (parsed.where(F.col("reason").isNull() & (F.col("is_new") == "1"))
-              .groupBy("mid")
-              .agg(F.min(F.struct(*ORDER)).alias("_first"))
-              .select(F.col("mid").alias("_fm"), F.col("_first.arrival").alias("_fa"),
-                      F.col("_first.seq").alias("_fs")))
-    j = parsed.join(claims,
-                    (F.col("mid") == F.col("_fm")) & (F.col("arrival") == F.col("_fa"))
-                    & (F.col("seq") == F.col("_fs")), "left")
-    repaired = (F.col("is_new") == "1") & F.col("_fm").isNull() & F.col("reason").isNull()
-    return (j.withColumn("repaired", F.coalesce(repaired, F.lit(False)))
-             .withColumn("is_new_in", F.col("is_new"))
-             .withColumn("is_new", F.when(F.col("repaired"), F.lit("0")).otherwise(F.col("is_new")))
-             .drop("_fm", "_fa", "_fs"))
+    checkpoint_root(parsed.sparkSession)
+    is_claim = F.col("reason").isNull() & (F.col("is_new") == "1")
+    first = (parsed.where(is_claim).groupBy("mid")
+             .agg(F.min(F.struct(*ORDER)).alias("_first"))
+             .select(F.col("mid").alias("_fm"), F.col("_first.arrival").alias("_fa"),
+                     F.col("_first.seq").alias("_fs"))
+             .checkpoint(eager=True))
+    first, small = checked_broadcast(first, bound)
+    cond = ((F.col("mid") == F.col("_fm")) & (F.col("arrival") == F.col("_fa"))
+            & (F.col("seq") == F.col("_fs")))
+    if small:
+        j = parsed.join(first, cond, "left")
+        repaired = F.coalesce(is_claim & F.col("_fm").isNull(), F.lit(False))
+        out = j.withColumn("repaired", repaired).drop("_fm", "_fa", "_fs")
+    else:
+        checked = (parsed.where(is_claim).join(first, cond, "left")
+                   .withColumn("repaired", F.col("_fm").isNull())
+                   .drop("_fm", "_fa", "_fs"))
+        rest = parsed.where(~F.coalesce(is_claim, F.lit(False))).withColumn("repaired", F.lit(False))
+        out = checked.unionByName(rest)
+    return (out.withColumn("is_new_in", F.col("is_new"))
+               .withColumn("is_new", F.when(F.col("repaired"), F.lit("0")).otherwise(F.col("is_new"))))
 
 
 def is_start(start: Column) -> Column:
