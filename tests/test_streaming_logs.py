@@ -86,7 +86,8 @@ def test_first_visit_processor_across_arrow_batches(spark, workdir):
 
         def run(name):
             stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
-            q = (SJ.repaired_log(stream).writeStream.format("parquet").option("path", out)
+            q = (SJ.repaired_log(stream).select("arrival", "seq", "is_new", "repaired")
+                 .writeStream.format("parquet").option("path", out)
                  .option("checkpointLocation", os.path.join(workdir, "ck_claims"))
                  .trigger(availableNow=True).start())
             q.awaitTermination()

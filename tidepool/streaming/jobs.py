@@ -43,26 +43,25 @@ def _start(df: DataFrame, name: str, checkpoint: str, handler, trigger: dict) ->
 
 def repaired_log(raw: DataFrame) -> DataFrame:
     """P1 + W1 on a stream: claims go through the keyed processor, every other
-    record bypasses it (no state to touch, no shuffle)."""
+    record bypasses it (no state to touch, no shuffle).
+
+    Returns the parsed columns of ``logs.parse_app_log`` plus ``is_new_in`` and
+    ``repaired``, ready for ``logs.split_all``. Records are parsed once; only the
+    claims, which cross the Python processor as text, are parsed again after it.
+    """
     parsed = L.parse_app_log(raw)
     is_claim = F.col("reason").isNull() & (F.col("is_new") == "1")
     claims = (parsed.where(is_claim).select(*W1_INPUT).groupBy("mid")
               .transformWithStateInPandas(FirstVisitProcessor(), W1_OUTPUT, "Append", "None")
-              .select("arrival", "seq", "value", "is_new", "repaired"))
+              .select("arrival", "seq", "value", F.col("is_new").alias("_fixed"), "repaired"))
+    claims = (L.parse_app_log(claims)
+              .withColumn("is_new_in", F.col("is_new"))
+              .withColumn("is_new", F.col("_fixed")).drop("_fixed"))
     rest = (parsed.where(~F.coalesce(is_claim, F.lit(False)))
-            .select("arrival", "seq", "value", "is_new", F.lit(False).alias("repaired")))
+            .withColumn("repaired", F.lit(False)).withColumn("is_new_in", F.col("is_new")))
     return claims.unionByName(rest)
 
 
-def split_batch(batch: DataFrame) -> DataFrame:
-    """J1 split of repaired records ``(arrival, seq, value, is_new, repaired)``."""
-    parsed = L.parse_app_log(batch.select("arrival", "seq", "value",
-                                          F.col("is_new").alias("_fixed"), "repaired"))
-    fixed = (parsed.withColumn("is_new_in", F.col("is_new"))
-             .withColumn("is_new", F.col("_fixed")).drop("_fixed"))
-    return L.split_all(fixed)
-
-
 def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
                   checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                   source: DataFrame | None = None) -> StreamingQuery:
@@ -72,7 +71,7 @@ def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
     stream = repaired_log(raw)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = split_batch(batch).persist()
+        out = L.split_all(batch).persist()
         try:
             for route, topic in ROUTE_TOPICS.items():
                 T.write_topic(out.where(F.col("route") == route), root, topic, batch_id)
