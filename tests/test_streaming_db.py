@@ -87,3 +87,31 @@ def test_landing_job(spark, workdir):
     ods = T.read_topic(spark, root, SJ.ODS_LOG)
     assert ods.count() == 10000
     assert ods.select("arrival", "seq").distinct().count() == 10000
+
+
+def test_route_job_uses_rule_in_force_at_arrival(spark, workdir):
+    """Rule changes interleaved with the changes, all in one micro-batch: each
+    change is routed by the rule in force at its arrival (R2t), equal to batch."""
+    from conftest import SF001
+
+    root = os.path.join(workdir, "topics")
+    incoming = os.path.join(workdir, "binlog")
+    _drop(spark, DB.ods_changes(spark, SF001), incoming, 1)
+    rules_in = os.path.join(workdir, "rules_in")
+    DB.rule_envelopes_log(spark, SF001).coalesce(1).write.parquet(rules_in)
+    SJ.start_rule_job(spark, root, spark.readStream.schema(ENV_SCHEMA).parquet(rules_in),
+                      checkpoint=os.path.join(workdir, "ck_rules")).awaitTermination()
+    changes = spark.readStream.schema(ENV_SCHEMA).option("recursiveFileLookup", "true") \
+        .parquet(incoming)
+    SJ.start_cdc_job(spark, root, changes,
+                     checkpoint=os.path.join(workdir, "ck_cdc")).awaitTermination()
+    store = D.DimStore(spark, os.path.join(workdir, "dims"), database="dims_asof")
+    SJ.start_route_job(spark, root, store,
+                       checkpoint=os.path.join(workdir, "ck_route")).awaitTermination()
+
+    want = DQ.q_rule_asof(spark, SF001)
+    got = spark.read.parquet(os.path.join(root, "_dynamic"))
+    want_kafka = want.where(F.col("route") == "kafka")
+    assert got.count() == want_kafka.count() > 0
+    assert (got.select("seq", "topic").exceptAll(
+        want_kafka.select("seq", F.col("sink_table").alias("topic"))).count() == 0)

@@ -181,26 +181,44 @@ def start_rule_job(spark: SparkSession, root: str, rule_changes: DataFrame,
                   trigger or {"availableNow": True})
 
 
-def current_rules(spark: SparkSession, root: str) -> DataFrame:
+def rule_log(spark: SparkSession, root: str) -> DataFrame:
+    """The rule event log written by ``start_rule_job``."""
     path = os.path.join(root, "_rules")
     schema = ("arrival long, seq long, " + ", ".join(f"{c} string" for c in R.RULE_FIELDS)
               + ", retired boolean, batch_id long")
-    return R.latest_rules(spark.read.schema(schema).parquet(path).drop("batch_id"))
+    return spark.read.schema(schema).parquet(path).drop("batch_id")
+
+
+def current_rules(spark: SparkSession, root: str) -> DataFrame:
+    """The rule table in force now: the fold of the rule event log."""
+    return R.latest_rules(rule_log(spark, root))
 
 
 def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: DataFrame | None = None,
-                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, checkpoint: str | None = None,
+                    asof: bool = True) -> StreamingQuery:
     """J4 query B: ods_base_db -> rule lookup (R2), trim (P10), route (R3) ->
-    dynamic fact topics (K2) and dimension upsert (K4). The rule table is re-read
-    per micro-batch, so a rule change takes effect from the next batch."""
+    dynamic fact topics (K2) and dimension upsert (K4).
+
+    The rule log is re-read per micro-batch. With ``asof`` (default) each change
+    takes the rule in force at its own arrival (R2t), as the reference does when
+    it handles records in arrival order, even when a rule change and the changes
+    around it fall into one batch. ``asof=False`` uses the latest rules, so a rule
+    change takes effect from the next batch.
+    """
     src = changes if changes is not None else T.read_topic(spark, root, ODS_DB, stream=True)
     ods_schema = ("struct<database: string, tableName: string, before: map<string,string>, "
                   "after: map<string,string>, type: string>")
     rec = F.from_json(F.col("value"), ods_schema)
     norm = _ods_columns(src, rec)
 
+    def lookup(batch: DataFrame) -> DataFrame:
+        if asof:
+            return R.apply_rules(R.lookup_asof(batch, rule_log(spark, root)))
+        return R.route_changes(batch, current_rules(spark, root))
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = R.route_changes(batch, current_rules(spark, root)).persist()
+        routed = lookup(batch).persist()
         try:
             facts = (routed.where(F.col("route") == R.SINK_KAFKA)
                      .select(F.col("sink_table").alias("topic"), "arrival", "seq",
