@@ -80,3 +80,13 @@ def test_scans_read_only_used_columns(spark, qs):
                               "event_type:string,props:string>" for s in ev)
     od = re.findall(r"ReadSchema: (struct<[^>]*>)", _plan(qs["dim_upsert"](spark, SF001)))
     assert od and all("o_totalprice" not in s and "o_comment" not in s for s in od)
+
+
+def test_asof_broadcast_never_shuffles_changes(spark):
+    ev = DB.rule_events(DB.rule_envelopes_log(spark, SF001))
+    out = R.lookup_asof(DQ._changes(spark, SF001), ev, force="broadcast")
+    plan = _plan(out)
+    parts = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert "BroadcastHashJoin" in plan
+    # Only the small rule side is hash-partitioned (its interval window).
+    assert parts and all("source_table" in p or "operate_type" in p for p in parts), parts

@@ -124,12 +124,21 @@ def test_asof_fixed_history_anchor(spark):
 
 
 def test_asof_plan_choice(spark):
-    """Broadcast only a history proven small and shallow; the check is bounded."""
+    """Broadcast only a history proven small whose busiest bucket is bounded; the
+    size check is bounded too."""
     deep = DB.rule_events(DB.rule_envelopes_log(spark, SF001))
     shallow = DB.rule_events(DB.rule_envelopes_fixed(spark))
     assert R.choose_asof_plan(shallow) == "broadcast"
     assert R.choose_asof_plan(shallow, bound=2) == "chunked"
-    assert R.choose_asof_plan(deep) == "chunked"
+    # ~375 versions per key spread over the arrival axis: a few per bucket.
+    assert R.choose_asof_plan(deep) == "broadcast"
+    # 100 versions packed at the start of a long span share one bucket.
+    packed = spark.createDataFrame(
+        [(a, a, "t", "k", "kafka", None, None, None, None, False) for a in range(100)]
+        + [(10 ** 9, 100, "t", "k", "hbase", None, None, None, None, False)],
+        "arrival long, seq long, source_table string, operate_type string, sink_type string, "
+        "sink_table string, sink_columns string, sink_pk string, sink_extend string, retired boolean")
+    assert R.choose_asof_plan(packed) == "chunked"
 
 
 def test_chunk_of_is_floor_division(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.sizing import MAX_BROADCAST_ROWS, checked_broadcast
 from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, ORDER, carry_in, chunk_of
+from tidepool.session import checkpoint_root
 
 RULE_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns",
                "sink_pk", "sink_extend"]
@@ -107,14 +108,23 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BRO
     arriving together: the rule first). Before the first rule, or after a retire,
     it misses.
 
-    A rule history proven small (checked row count) with few versions per key is
-    cut into intervals and broadcast; the change side is not shuffled. Each change
-    tests the intervals of its key, so this is only chosen while a key has at most
-    ``MAX_VERSIONS_PER_KEY`` versions. Otherwise the chunked as-of scan runs: one
-    shuffle on (key, chunk), linear in both sides, never one rule key in one task.
+    Two plans:
+
+    * ``broadcast``: a rule history proven small (checked row count) is cut into
+      intervals ``[arrival, next arrival)``, binned per key into about as many
+      buckets as the key has versions, and broadcast; each change probes the one
+      ``(key, bucket)`` its arrival falls in. The change side is not shuffled.
+      Chosen while no bucket holds more than ``MAX_INTERVALS_PER_BUCKET``
+      intervals, which bounds the work per change.
+    * ``chunked``: otherwise, the chunked as-of scan: one shuffle on (key, chunk),
+      linear in both sides, never one rule key in one task.
+
     ``force`` ("broadcast" / "chunked") pins the plan for tests.
     """
-    plan = force or choose_asof_plan(rule_events, bound)
+    if force:
+        plan = force
+    else:
+        rule_events, plan = prepare_asof(rule_events, bound)
     if plan == "broadcast":
         out = _asof_broadcast(changes, rule_events)
     else:
@@ -125,31 +135,81 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BRO
     return out.withColumn("matched", hit).drop("_retired")
 
 
-MAX_VERSIONS_PER_KEY = 64
+MAX_INTERVALS_PER_BUCKET = 64
+
+
+def prepare_asof(rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, str]:
+    """Pick the as-of plan and the history to run it on.
+
+    At most ``bound + 1`` events are written once as a reliable checkpoint in the
+    shared checkpoint folder. If that is the whole history, it is proven small: the
+    checkpoint serves the bucket check and the lookup, so the history is computed
+    once, and the plan is "broadcast" when the busiest bucket holds at most
+    ``MAX_INTERVALS_PER_BUCKET`` intervals. Otherwise the full history goes to the
+    chunked scan.
+    """
+    checkpoint_root(rule_events.sparkSession)
+    head = rule_events.limit(bound + 1).checkpoint(eager=True)
+    if head.count() > bound:
+        return rule_events, "chunked"
+    _, binned = _bucket_layout(head)
+    busiest = (binned.where(F.col("_b").isNotNull()).groupBy(*KEY, "_b").count()
+               .agg(F.max("count").alias("m")).first()["m"]) or 0
+    return head, ("broadcast" if busiest <= MAX_INTERVALS_PER_BUCKET else "chunked")
 
 
 def choose_asof_plan(rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> str:
-    """"broadcast" when the history is proven small and shallow, else "chunked".
+    """The plan ``prepare_asof`` picks."""
+    return prepare_asof(rule_events, bound)[1]
+
+
+def _bucket_layout(rule_events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(key_map, binned)`` for the broadcast plan.
 
-    One bounded action: at most ``bound + 1`` events (key columns only) are
-    counted per key. If fewer than that exist, the counts are exact and give the
-    depth; otherwise the history is large and the chunked scan is chosen.
+    ``key_map``: per key, the first arrival ``_kmin``, the bucket width ``_kw``
+    (the key's arrival span over its number of intervals, at least 1) and the last
+    bucket ``_klast``. ``binned``: each non-empty interval once per bucket it
+    overlaps, ``_b``; the last interval runs to the last bucket. An interval left
+    empty by a later event at the same arrival is one row with a NULL bucket.
+    Intervals are disjoint per key, so the rows
+    total at most events + buckets, about twice the history.
     """
-    stats = (rule_events.select(*KEY).limit(bound + 1).groupBy(*KEY).count()
-             .agg(F.sum("count").alias("n"), F.max("count").alias("deepest")).first())
-    n, deepest = (stats["n"] or 0), (stats["deepest"] or 0)
-    return "broadcast" if n <= bound and deepest <= MAX_VERSIONS_PER_KEY else "chunked"
+    iv = _intervals(rule_events)
+    nonempty = F.col("_until").isNull() | (F.col("_until") > F.col("arrival"))
+    km = (iv.where(nonempty).groupBy(*KEY)
+          .agg(F.min("arrival").alias("_kmin"), F.max("arrival").alias("_kmax"),
+               F.count(F.lit(1)).alias("_kn"))
+          .withColumn("_kw", F.greatest(F.lit(1), F.ceil((F.col("_kmax") - F.col("_kmin") + 1)
+                                                         / F.col("_kn"))).cast("long"))
+          .withColumn("_klast", F.expr("(_kmax - _kmin) div _kw"))
+          .drop("_kmax", "_kn"))
+    first = F.expr("(arrival - _kmin) div _kw")
+    last = F.when(F.col("_until").isNull(), F.col("_klast")) \
+            .otherwise(F.expr("(_until - 1 - _kmin) div _kw"))
+    binned = (iv.join(km, KEY)
+              .withColumn("_b", F.explode_outer(F.when(nonempty, F.sequence(first, last)))))
+    return km, binned
 
 
 def _asof_broadcast(changes: DataFrame, rule_events: DataFrame) -> DataFrame:
-    iv = _intervals(rule_events).select(
-        F.col("source_table").alias("_st"), F.col("operate_type").alias("_ot"),
+    km, binned = _bucket_layout(rule_events)
+    km = km.select(F.col("source_table").alias("_st"), F.col("operate_type").alias("_ot"),
+                   "_kmin", "_kw", "_klast")
+    bt = binned.where(F.col("_b").isNotNull()).select(
+        F.col("source_table").alias("_bst"), F.col("operate_type").alias("_bot"), "_b",
         F.col("arrival").alias("rule_arrival"), "_until", *PAYLOAD,
         F.col("retired").alias("_retired"))
-    cond = ((F.col("table_name") == F.col("_st")) & (F.col("type") == F.col("_ot"))
+    probe = (changes.join(F.broadcast(km), (F.col("table_name") == F.col("_st"))
+                          & (F.col("type") == F.col("_ot")), "left")
+             .withColumn("_qb", F.least(F.greatest(F.expr("(arrival - _kmin) div _kw"), F.lit(0)),
+                                        F.col("_klast")))
+             .drop("_st", "_ot", "_kmin", "_kw", "_klast"))
+    cond = ((F.col("table_name") == F.col("_bst")) & (F.col("type") == F.col("_bot"))
+            & (F.col("_qb") == F.col("_b"))
             & (F.col("arrival") >= F.col("rule_arrival"))
             & (F.col("_until").isNull() | (F.col("arrival") < F.col("_until"))))
-    return changes.join(F.broadcast(iv), cond, "left").drop("_st", "_ot", "_until")
+    return (probe.join(F.broadcast(bt), cond, "left")
+            .drop("_bst", "_bot", "_b", "_qb", "_until"))
 
 
 def _asof_chunked(changes: DataFrame, rule_events: DataFrame, chunk_width: int,
