@@ -66,8 +66,3 @@ def variant_text(s: Column) -> Column:
 def object_to_json(obj_map: Column) -> Column:
     """MAP<STRING, VARIANT> -> JSON object text."""
     return F.to_json(F.to_variant_object(obj_map))
-
-
-def string_map(text: Column) -> Column:
-    """JSON object text -> MAP<STRING,STRING>; nested values keep their JSON text."""
-    return F.from_json(text, "map<string,string>")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.functions.time import day_text
 from tidepool.operators import cdc as C
 from tidepool.operators import dims as D
 from tidepool.operators import rules as R

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -86,8 +85,3 @@ def checkpoint_root(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder, for durable intermediate tables."""
-    return os.path.join(checkpoint_root(spark), *parts)
