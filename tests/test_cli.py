@@ -1,0 +1,55 @@
+"""The job entry points (``python -m tidepool <job>``), run in-process on the
+smallest fixture with ``--trigger available-now``."""
+
+import os
+
+import pytest
+
+from conftest import SF001
+from tidepool.__main__ import build_parser, main
+from tidepool.plans import db_jobs as DB
+from tidepool.sources import fixtures as FX
+from tidepool.sources import topics as T
+from tidepool.streaming import jobs as SJ
+
+
+def _run(spark, workdir, *argv):
+    job = argv[0]
+    q = main([*argv, "--trigger", "available-now",
+              "--checkpoint", os.path.join(workdir, f"ck_{job}")], spark=spark)
+    q.awaitTermination()
+
+
+def test_parser_rejects_unknown_job():
+    with pytest.raises(SystemExit):
+        build_parser().parse_args(["nope"])
+
+
+def test_all_jobs_run(spark, workdir):
+    root = os.path.join(workdir, "topics")
+    incoming = os.path.join(workdir, "incoming")
+    FX.app_log_received(spark, SF001).select("value").coalesce(1).write.text(incoming)
+    _run(spark, workdir, "land", "--incoming", incoming, "--root", root,
+         "--landing", os.path.join(workdir, "landing"))
+    n = T.read_topic(spark, root, SJ.ODS_LOG).count()
+    assert n == spark.read.parquet(f"{SF001}/events.parquet").count()
+
+    _run(spark, workdir, "log", "--root", root)
+    pages = T.read_topic(spark, root, SJ.DWD_PAGE).count()
+    assert pages > 0
+    _run(spark, workdir, "uv", "--root", root)
+    assert 0 < T.read_topic(spark, root, SJ.DWM_UV).count() <= pages
+    _run(spark, workdir, "topic-console", "--root", root, "--topic", SJ.DWM_UV)
+
+    binlog = os.path.join(workdir, "binlog")
+    DB.ods_changes(spark, SF001).write.parquet(binlog)
+    rules_in = os.path.join(workdir, "rules_in")
+    DB.rule_envelopes_fixed(spark).write.parquet(rules_in)
+    dims = ["--dims-path", os.path.join(workdir, "dims"), "--dims-db", "dims_cli"]
+    _run(spark, workdir, "cdc", "--root", root, "--input", binlog)
+    assert T.read_topic(spark, root, SJ.ODS_DB).count() == 1500
+    _run(spark, workdir, "rules", "--root", root, "--input", rules_in, *dims)
+    _run(spark, workdir, "route", "--root", root, *dims)
+    assert spark.table("dims_cli.dim_order").count() > 0
+    assert T.read_dynamic_topic(spark, root, "dwd_order_info").count() == 600
+    _run(spark, workdir, "console", "--input", binlog)

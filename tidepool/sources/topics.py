@@ -23,9 +23,11 @@ OFFSET_BITS = 40
 
 
 def read_kafka(spark: SparkSession, topic: str, servers: str, stream: bool = True,
-               starting: str = "latest", options: dict | None = None) -> DataFrame:
+               starting: str = "latest", options: dict | None = None,
+               with_topic: bool = False) -> DataFrame:
     """S1 on Kafka: UTF-8 values with their arrival order. ``starting`` maps the
-    reference's startup modes (``latest`` / ``earliest``)."""
+    reference's startup modes (``latest`` / ``earliest``). ``with_topic`` keeps the
+    record's topic, which names the source table for change envelopes (S2)."""
     r = spark.readStream if stream else spark.read
     df = (r.format("kafka").option("kafka.bootstrap.servers", servers)
           .option("subscribe", topic).option("startingOffsets", starting)
@@ -33,6 +35,7 @@ def read_kafka(spark: SparkSession, topic: str, servers: str, stream: bool = Tru
     return df.select(
         F.unix_millis(F.col("timestamp")).alias("arrival"),
         (F.shiftleft(F.col("partition").cast("long"), OFFSET_BITS) + F.col("offset")).alias("seq"),
+        *([F.col("topic")] if with_topic else []),
         F.col("value").cast("string").alias("value"))
 
 
