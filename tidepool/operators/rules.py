@@ -100,7 +100,12 @@ def _intervals(rule_events: DataFrame) -> DataFrame:
     return rule_events.withColumn("_until", F.lead("arrival").over(w))
 
 
-def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS,
+# Rule events above which the as-of lookup is not broadcast. Binned intervals are
+# at most twice the events, ~150 bytes each: at most ~75 MB shipped per executor.
+MAX_ASOF_BROADCAST_EVENTS = 250_000
+
+
+def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_ASOF_BROADCAST_EVENTS,
                 chunk_width: int = DEFAULT_CHUNK, force: str | None = None,
                 fanout: int = DEFAULT_FANOUT) -> DataFrame:
     """R2t: each change sees the rule in force when it arrives: the latest rule
@@ -110,7 +115,7 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BRO
 
     Two plans:
 
-    * ``broadcast``: a rule history proven small (checked row count) is cut into
+    * ``broadcast``: a rule history proven small (at most ``bound`` events) is cut into
       intervals ``[arrival, next arrival)``, binned per key into about as many
       buckets as the key has versions, and broadcast; each change probes the one
       ``(key, bucket)`` its arrival falls in. The change side is not shuffled.
@@ -138,7 +143,7 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_BRO
 MAX_INTERVALS_PER_BUCKET = 64
 
 
-def prepare_asof(rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, str]:
+def prepare_asof(rule_events: DataFrame, bound: int = MAX_ASOF_BROADCAST_EVENTS) -> tuple[DataFrame, str]:
     """Pick the as-of plan and the history to run it on.
 
     At most ``bound + 1`` events are written once as a reliable checkpoint in the
@@ -158,7 +163,7 @@ def prepare_asof(rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> tup
     return head, ("broadcast" if busiest <= MAX_INTERVALS_PER_BUCKET else "chunked")
 
 
-def choose_asof_plan(rule_events: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> str:
+def choose_asof_plan(rule_events: DataFrame, bound: int = MAX_ASOF_BROADCAST_EVENTS) -> str:
     """The plan ``prepare_asof`` picks."""
     return prepare_asof(rule_events, bound)[1]
 
