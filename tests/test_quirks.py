@@ -231,3 +231,17 @@ def test_q19_store_name_is_configurable_and_checked(spark, workdir):
         D.DimStore(spark, f"{workdir}/x", database="bad-name; drop")
     with pytest.raises(ValueError):
         store.ensure_dimension("dim x", ["a"])
+
+
+def test_empty_inputs(spark):
+    """No rule history: every change misses, under either plan. No session
+    entries: no unique visits."""
+    ev = _rule_events(spark, [(1, "c", _rule("t1", "insert", "kafka", "x", "id"), None)]).limit(0)
+    rows = [(5, 5, "srv.db1.t1", json.dumps({"after": {"id": "1"}, "op": "c"}))]
+    ch = _changes(spark, rows)
+    for plan in (None, "broadcast", "chunked"):
+        got = R.lookup_asof(ch, ev, force=plan).collect()
+        assert [(r.seq, r.matched, r.rule_arrival) for r in got] == [(5, False, None)], plan
+    pages = L.split_page(L.clean(L.parse_app_log(_log(
+        spark, '{"common":{"mid":"m"},"page":{"page_id":"a","last_page_id":"b"},"ts":1}'))))
+    assert L.unique_visit(pages).count() == 0
