@@ -57,6 +57,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--dims-path", help="folder of the dimension cell store (rules, route)")
     p.add_argument("--dims-db", default="dims", help="catalog database of the dimensions")
     p.add_argument("--ttl", action="store_true", help="24 h expiry of unique-visit state (W3)")
+    p.add_argument("--honour-sink-pk", action="store_true",
+                   help="key dimension rows by the rule's sink_pk instead of id")
     p.add_argument("--latest-rules", action="store_true",
                    help="route by the latest rules instead of the rules in force at arrival")
     p.add_argument("--trigger", default="10 seconds",
@@ -93,7 +95,7 @@ def main(argv: list[str] | None = None, spark=None):
         q = SJ.start_rule_job(spark, args.root, _envelopes(spark, args), trig, ck, dims=dims)
     elif args.job == "route":
         q = SJ.start_route_job(spark, args.root, _store(spark, args), trigger=trig, checkpoint=ck,
-                               asof=not args.latest_rules)
+                               asof=not args.latest_rules, honour_sink_pk=args.honour_sink_pk)
     elif args.job == "console":
         q = SJ.start_console_job(spark, _envelopes(spark, args), trig, ck)
     else:

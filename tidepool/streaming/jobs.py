@@ -196,7 +196,7 @@ def current_rules(spark: SparkSession, root: str) -> DataFrame:
 
 def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: DataFrame | None = None,
                     trigger: dict | None = None, checkpoint: str | None = None,
-                    asof: bool = True) -> StreamingQuery:
+                    asof: bool = True, honour_sink_pk: bool = False) -> StreamingQuery:
     """J4 query B: ods_base_db -> rule lookup (R2), trim (P10), route (R3) ->
     dynamic fact topics (K2) and dimension upsert (K4).
 
@@ -204,7 +204,8 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
     takes the rule in force at its own arrival (R2t), as the reference does when
     it handles records in arrival order, even when a rule change and the changes
     around it fall into one batch. ``asof=False`` uses the latest rules, so a rule
-    change takes effect from the next batch.
+    change takes effect from the next batch. ``honour_sink_pk`` keys dimension rows
+    by the rule's ``sink_pk`` instead of ``id`` (Q9, off as in the reference).
     """
     src = changes if changes is not None else T.read_topic(spark, root, ODS_DB, stream=True)
     ods_schema = ("struct<database: string, tableName: string, before: map<string,string>, "
@@ -224,7 +225,8 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
                      .select(F.col("sink_table").alias("topic"), "arrival", "seq",
                              F.to_json("after").alias("value")))
             T.write_dynamic_topics(facts, root, batch_id)
-            cells, rejects = D.cells(routed.where(F.col("route") == R.SINK_HBASE))
+            cells, rejects = D.cells(routed.where(F.col("route") == R.SINK_HBASE),
+                                     honour_sink_pk=honour_sink_pk)
             dims.append(cells)
             (rejects.write.mode("overwrite")
              .parquet(os.path.join(root, "_dim_rejects", f"batch_id={batch_id}")))
