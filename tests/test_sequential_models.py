@@ -152,3 +152,27 @@ def test_chunk_of_is_floor_division(spark):
         if width == 7:   # double path: exact below 2^53
             got, want = got[:7], want[:7]
         assert got == want, width
+
+
+def test_hot_device_with_a_third_of_rows(spark):
+    """One device holds a third of all events (derived from the given table):
+    W1 under both plans and W2 still equal the sequential loops, and no W2 scan
+    partition holds more than one chunk of arrivals."""
+    parsed = L.parse_app_log(FX.app_log(spark, SF01))
+    hot = parsed.withColumn("mid", F.when(F.col("mid").isNotNull() & (F.col("seq") % 3 == 0),
+                                          F.lit("hot")).otherwise(F.col("mid")))
+    clean = L.clean(hot)
+    want_w1 = seq_first_visit(_rows(clean, "arrival", "seq", "mid", "is_new"))
+    for bound in (10 ** 6, 0):
+        got = dict(_rows(L.clean(L.first_visit_fix(hot, bound=bound)), "seq", "is_new"))
+        assert got == want_w1, bound
+    pages = L.split_page(clean)
+    entries = pages.where(L.session_entry(F.col("last_page_id")))
+    assert entries.where(F.col("mid") == "hot").count() * 4 > entries.count()
+    want_w2 = seq_unique_visit(_rows(entries, "arrival", "seq", "mid", "ts"))
+    got_w2 = {r[0] for r in _rows(L.unique_visit(pages, chunk_width=64, fanout=4), "seq")}
+    assert got_w2 == want_w2
+    from tidepool.operators.ordering import chunk_of
+    biggest = (entries.groupBy("mid", chunk_of(F.col("arrival"), 64).alias("c")).count()
+               .agg(F.max("count")).first()[0])
+    assert biggest <= 64
