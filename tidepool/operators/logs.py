@@ -113,13 +113,15 @@ def route_of(df: DataFrame) -> Column:
 
 
 def record_json(df: DataFrame) -> Column:
-    """The whole record re-serialised, with the repaired flag written back as
-    the string ``"0"`` (Q1). Unrepaired records serialise their parsed object."""
+    """The record to publish. A repaired record is re-serialised with the flag
+    written back as the string ``"0"`` (Q1); every other record is published as
+    received, which carries all its fields through untouched without a second
+    serialisation per record."""
     obj = J.as_object_map(F.col("v"))
     common = J.as_object_map(J.get(F.col("v"), "$.common", "variant"))
     fixed_common = F.to_variant_object(J.put(common, "is_new", J.variant_text(F.lit("0"))))
     return F.when(F.col("repaired"), J.object_to_json(J.put(obj, "common", fixed_common))) \
-            .otherwise(F.to_json(F.col("v")))
+            .otherwise(F.col("value"))
 
 
 def displays(v: Column) -> Column:

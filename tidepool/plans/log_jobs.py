@@ -18,10 +18,11 @@ def detail_layer(raw: DataFrame) -> DataFrame:
 def uv_from_pages(page_log: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """The page dataset ``(arrival, seq, value)`` -> P2 -> P7 -> W2.
 
-    Returns kept entries with their fields and ``value`` (the record text, P4).
+    Returns kept entries with their fields and ``value``, the record text as read
+    from the page topic (P4: all fields pass through).
     """
     parsed = L.parse_page_log(page_log)
-    return L.unique_visit(parsed, chunk_width).withColumn("value", F.to_json(F.col("v")))
+    return L.unique_visit(parsed, chunk_width)
 
 
 def page_route(j1: DataFrame) -> DataFrame:
