@@ -51,6 +51,16 @@ def latest_cells(cell_rows: DataFrame) -> DataFrame:
             .select(*CELL_KEY, "_c.value", "_c.arrival", "_c.seq"))
 
 
+def wide_dimension(cell_rows: DataFrame, sink_table: str, columns: list[str]) -> DataFrame:
+    """One dimension as a wide table: the row key and one column per qualifier,
+    the latest cell each. One grouped pass with a conditional ``max_by`` per
+    column; the columns come from the rule, so no distinct scan of qualifiers."""
+    order = F.struct(*ORDER)
+    cur = cell_rows.where(F.col("sink_table") == sink_table)
+    return cur.groupBy("row_key").agg(*[
+        F.max_by(F.col("value"), F.when(F.col("qualifier") == c, order)).alias(c) for c in columns])
+
+
 class DimStore:
     """Append-only cell store under a shared folder, registered in the catalog."""
 

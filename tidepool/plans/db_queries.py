@@ -98,6 +98,16 @@ def q_dim_upsert(spark, sf_dir):
     return D.latest_cells(cells).select("sink_table", "row_key", "qualifier", "value", "arrival")
 
 
+def q_dim_table(spark, sf_dir):
+    cells, _ = DB.dim_cells(_routed(spark, sf_dir))
+    return D.wide_dimension(cells, "dim_order", ["o_orderpriority", "o_orderstatus"])
+
+
+def q_cdc_nonempty_after(spark, sf_dir):
+    return C.drop_empty_after(_changes(spark, sf_dir)).select(
+        "arrival", "seq", "type", F.cardinality("after").alias("n_after"))
+
+
 def q_db_route(spark, sf_dir):
     return _routed(spark, sf_dir).select("route", "arrival", "seq", "type", "sink_table", *_fields())
 
@@ -120,6 +130,8 @@ QUERIES = {
     "rule_asof": q_rule_asof,
     "dwd_fact_route": q_dwd_fact_route,
     "dim_upsert": q_dim_upsert,
+    "dim_table": q_dim_table,
+    "cdc_nonempty_after": q_cdc_nonempty_after,
     "db_route": q_db_route,
     "raw_log_landing": q_raw_log_landing,
 }

@@ -204,6 +204,20 @@ cells as (
 )
 select sink_table, row_key, qualifier, arg_max(value, arrival) as value, max(arrival) as arrival
 from cells group by sink_table, row_key, qualifier"""),
+    "dim_table": _cdc("""
+, hb as (select * from trimmed where route = 'hbase' and id is not null),
+cells as (
+  select id as row_key, 'o_orderpriority' as qualifier, o_orderpriority as value, arrival, seq
+  from hb where o_orderpriority is not null
+  union all
+  select id, 'o_orderstatus', o_orderstatus, arrival, seq from hb where o_orderstatus is not null
+)
+select row_key,
+  arg_max(value, arrival) filter (where qualifier = 'o_orderpriority') as o_orderpriority,
+  arg_max(value, arrival) filter (where qualifier = 'o_orderstatus') as o_orderstatus
+from cells group by row_key"""),
+    "cdc_nonempty_after": _cdc(f"""
+select arrival, seq, type, {_N_AFTER} as n_after from cdc where {_N_AFTER} > 0"""),
     "db_route": _cdc("""
 select route, arrival, seq, type, sink_table, id, o_orderpriority, o_orderstatus from trimmed"""),
 }
