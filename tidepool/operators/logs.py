@@ -77,6 +77,9 @@ def first_visit_fix(parsed: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> DataF
       hashes on the unique ``seq`` too, so no mid becomes one task; all other
       records go through without an exchange. The whole log is never shuffled.
     """
+    if parsed.isStreaming:
+        raise ValueError("first_visit_fix is the batch form of W1; streams use "
+                         "tidepool.streaming.jobs.repaired_log")
     checkpoint_root(parsed.sparkSession)
     is_claim = F.col("reason").isNull() & (F.col("is_new") == "1")
     first = (parsed.where(is_claim).groupBy("mid")
