@@ -26,7 +26,7 @@ def test_log_and_uv_stream_equal_batch(spark, workdir, parts):
 
     def drop(i):
         spark.createDataFrame(files[i], "arrival long, seq long, value string") \
-            .coalesce(1).write.parquet(os.path.join(root, SJ.ODS_LOG, f"batch_id={i}"))
+            .coalesce(1).write.parquet(os.path.join(T.topic_path(root, SJ.ODS_LOG), f"batch_id={i}"))
 
     uv_ckpt = os.path.join(workdir, "ckpt_uv")
     first = max(1, (2 * parts) // 3)

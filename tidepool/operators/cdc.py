@@ -3,7 +3,7 @@ views over a change table (S3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import json as J
@@ -56,11 +56,15 @@ def normalize(raw: DataFrame, strict: bool = False) -> DataFrame:
     return out
 
 
+def record_json() -> Column:
+    """P4 for the ods_base_db topic: a normalised record as JSON text."""
+    return F.to_json(F.struct("database", F.col("table_name").alias("tableName"),
+                              "before", "after", "type"))
+
+
 def as_json(changes: DataFrame) -> DataFrame:
-    """P4 for the ods_base_db topic: the normalised record as JSON text."""
-    return changes.select("arrival", "seq", F.to_json(F.struct(
-        "database", F.col("table_name").alias("tableName"), "before", "after", "type"))
-        .alias("value"))
+    """``(arrival, seq, value)`` with the normalised record as JSON text."""
+    return changes.select("arrival", "seq", record_json().alias("value"))
 
 
 def drop_empty_after(changes: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ On a cluster a topic is a Kafka topic: ``arrival`` is the record timestamp (ms)
 and ``seq`` packs (partition, offset), so ``(arrival, seq)`` is the order the
 reference consumes in. The Kafka connector is not installed in this image, so
 every reader and writer also has a file stand-in: a topic is a folder
-``<root>/<topic>/batch_id=<n>/`` of parquet ``(arrival, seq, value)`` files, one
-sub-folder per micro-batch, written with overwrite so a retried batch replaces
-its own output (at-least-once delivery becomes effectively-once).
+``<root>/topic=<topic>/batch_id=<n>/`` of parquet ``(arrival, seq, value)``
+files. A micro-batch writes all its topics in one job, partitioned by topic and
+batch, with dynamic partition overwrite, so a retried batch replaces exactly its
+own output (at-least-once delivery becomes effectively-once).
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ def write_kafka(df: DataFrame, servers: str, topic: str | None = None) -> None:
 
 
 def topic_path(root: str, topic: str) -> str:
-    return os.path.join(root, topic)
+    return os.path.join(root, f"topic={topic}")
 
 
 def read_topic(spark: SparkSession, root: str, topic: str, stream: bool = False,
@@ -67,19 +68,26 @@ def read_topic(spark: SparkSession, root: str, topic: str, stream: bool = False,
     return df.select("arrival", "seq", "value")
 
 
+def write_topics(df: DataFrame, root: str, batch_id: int) -> None:
+    """K1 / K2 file stand-in: records ``(topic, arrival, seq, value)``, each to its
+    own topic, in one job; only the ``(topic, batch_id)`` folders of this batch are
+    replaced."""
+    (df.select("topic", "arrival", "seq", "value")
+       .withColumn("batch_id", F.lit(batch_id).cast("long"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("topic", "batch_id").parquet(root))
+
+
 def write_topic(df: DataFrame, root: str, topic: str, batch_id: int) -> None:
-    """K1 file stand-in: one micro-batch of ``(arrival, seq, value)``."""
-    (df.select("arrival", "seq", "value").write.mode("overwrite")
-       .parquet(os.path.join(topic_path(root, topic), f"batch_id={batch_id}")))
+    """K1 file stand-in: one micro-batch of ``(arrival, seq, value)`` to ``topic``."""
+    write_topics(df.withColumn("topic", F.lit(topic)), root, batch_id)
 
 
 def write_dynamic_topics(df: DataFrame, root: str, batch_id: int) -> None:
-    """K2 file stand-in: records carry their own ``topic``; one folder per topic."""
-    (df.select("topic", "arrival", "seq", "value").write.mode("overwrite")
-       .partitionBy("topic").parquet(os.path.join(root, "_dynamic", f"batch_id={batch_id}")))
+    """K2 file stand-in: records carry their own ``topic`` (the rule's sink table)."""
+    write_topics(df, root, batch_id)
 
 
 def read_dynamic_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """Read back one dynamic topic written by ``write_dynamic_topics``."""
-    df = spark.read.parquet(os.path.join(root, "_dynamic"))
-    return df.where(F.col("topic") == topic).select("arrival", "seq", "value")
+    """Read back one topic written by ``write_dynamic_topics``."""
+    return read_topic(spark, root, topic)

@@ -28,6 +28,7 @@ from tidepool.streaming.processors import (
 ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
 DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY = "dwd_start_log", "dwd_page_log", "dwd_display_log", "dirty_log"
 DWM_UV = "dwm_unique_visit"
+DIRTY_DB = "dirty_db"
 ROUTE_TOPICS = {L.ROUTE_START: DWD_START, L.ROUTE_PAGE: DWD_PAGE,
                 L.ROUTE_DISPLAY: DWD_DISPLAY, L.ROUTE_DIRTY: DIRTY}
 
@@ -70,13 +71,12 @@ def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
         spark, root, ODS_LOG, stream=True, max_files_per_trigger=max_files_per_trigger)
     stream = repaired_log(raw)
 
+    topic_of = F.create_map(*[x for kv in ROUTE_TOPICS.items() for x in map(F.lit, kv)])
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = L.split_all(batch).persist()
-        try:
-            for route, topic in ROUTE_TOPICS.items():
-                T.write_topic(out.where(F.col("route") == route), root, topic, batch_id)
-        finally:
-            out.unpersist()
+        # All four topics in one job: the batch is computed once, nothing cached.
+        out = L.split_all(batch)
+        T.write_topics(out.withColumn("topic", topic_of[F.col("route")]), root, batch_id)
 
     return _start(stream, "log_job", _checkpoint(spark, "log_job", checkpoint), write,
                   trigger or {"availableNow": True})
@@ -116,14 +116,11 @@ def start_cdc_job(spark: SparkSession, root: str, changes: DataFrame, trigger: d
     norm = C.normalize(changes)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
-        try:
-            T.write_topic(C.as_json(b.where(F.col("reason").isNull())), root, ODS_DB, batch_id)
-            T.write_topic(b.where(F.col("reason").isNotNull())
-                          .select("arrival", "seq", F.col("reason").alias("value")),
-                          root, "dirty_db", batch_id)
-        finally:
-            b.unpersist()
+        # Normalised records and rejects in one job, each to its topic.
+        good = F.col("reason").isNull()
+        T.write_topics(batch.select(
+            F.when(good, F.lit(ODS_DB)).otherwise(F.lit(DIRTY_DB)).alias("topic"), "arrival", "seq",
+            F.when(good, C.record_json()).otherwise(F.col("reason")).alias("value")), root, batch_id)
 
     return _start(norm, "cdc_job", _checkpoint(spark, "cdc_job", checkpoint), write,
                   trigger or {"availableNow": True})
