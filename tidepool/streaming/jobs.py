@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidepool.functions.time import day_text
 from tidepool.operators import cdc as C
@@ -23,7 +24,8 @@ from tidepool.operators import rules as R
 from tidepool.session import checkpoint_root
 from tidepool.sources import topics as T
 from tidepool.streaming.processors import (
-    DAY_MS, W1_INPUT, W1_OUTPUT, W2_INPUT, W2_OUTPUT, FirstVisitProcessor, UniqueVisitProcessor)
+    DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_INPUT, W2_OUTPUT, UniqueVisitProcessor,
+    first_visit_groups)
 
 ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
 DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY = "dwd_start_log", "dwd_page_log", "dwd_display_log", "dirty_log"
@@ -53,7 +55,8 @@ def repaired_log(raw: DataFrame) -> DataFrame:
     parsed = L.parse_app_log(raw)
     is_claim = F.col("reason").isNull() & (F.col("is_new") == "1")
     claims = (parsed.where(is_claim).select(*W1_INPUT).groupBy("mid")
-              .transformWithStateInPandas(FirstVisitProcessor(), W1_OUTPUT, "Append", "None")
+              .applyInPandasWithState(first_visit_groups, W1_OUTPUT, W1_STATE, "append",
+                                      GroupStateTimeout.NoTimeout)
               .select("arrival", "seq", "value", F.col("is_new").alias("_fixed"), "repaired"))
     claims = (L.parse_app_log(claims)
               .withColumn("is_new_in", F.col("is_new"))

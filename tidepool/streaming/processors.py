@@ -1,5 +1,7 @@
-"""Keyed state for the two stateful reference operators, as
-``transformWithStateInPandas`` processors keyed by ``mid``.
+"""Keyed state for the two stateful reference operators, keyed by ``mid``:
+W1 as an ``applyInPandasWithState`` function (its one flag travels with the
+rows, no state call per key), W2 as a ``transformWithStateInPandas`` processor
+(it needs a value state with a time-to-live, W3).
 
 Rows of one key in one micro-batch arrive unordered (H2). W2 sorts them by
 ``(arrival, seq)`` and applies the sequential rule vectorised over the batch; W1
@@ -31,44 +33,37 @@ def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 _W1_COLS = ["mid", "arrival", "seq", "value", "is_new", "repaired"]
+W1_STATE = "claimed boolean"
 
 
-class FirstVisitProcessor(StatefulProcessor):
+def first_visit_groups(key, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     """The first claim of ``is_new = "1"`` per mid keeps it; later claims
     become ``"0"``. State: a flag per mid, no expiry.
 
-    Only claims reach this processor, and of a mid's claims only the earliest by
+    Only claims reach this function, and of a mid's claims only the earliest by
     ``(arrival, seq)`` can keep the flag. So the rows are streamed batch by batch
     (no concatenation, no sort): every row but the earliest seen so far is
     emitted as repaired at once, and one candidate row is held back to the end.
     A mid with a huge share of a micro-batch costs one Arrow batch of memory.
     """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.claimed = handle.getValueState("claimed", "flag boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = None  # one-row frame: the earliest claim seen so far
-        for pdf in rows:
-            if not len(pdf):
-                continue
-            if held is not None:
-                pdf = pd.concat([held, pdf[held.columns]], ignore_index=True)
-            else:
-                pdf = pdf.reset_index(drop=True)
-            pos = _earliest(pdf)
-            held = pdf.iloc[[pos]].reset_index(drop=True)
-            rest = pdf.drop(index=pos)
-            if len(rest):
-                yield rest.assign(is_new="0", repaired=True)[_W1_COLS]
+    held = None
+    for pdf in rows:
+        if not len(pdf):
+            continue
         if held is not None:
-            keep = not self.claimed.exists()
-            if keep:
-                self.claimed.update((True,))
-            yield held.assign(is_new="1" if keep else "0", repaired=not keep)[_W1_COLS]
-
-    def close(self) -> None:
-        pass
+            pdf = pd.concat([held, pdf[held.columns]], ignore_index=True)
+        else:
+            pdf = pdf.reset_index(drop=True)
+        pos = _earliest(pdf)
+        held = pdf.iloc[[pos]].reset_index(drop=True)
+        rest = pdf.drop(index=pos)
+        if len(rest):
+            yield rest.assign(is_new="0", repaired=True)[_W1_COLS]
+    if held is not None:
+        keep = not state.exists
+        if keep:
+            state.update((True,))
+        yield held.assign(is_new="1" if keep else "0", repaired=not keep)[_W1_COLS]
 
 
 def _earliest(pdf: pd.DataFrame) -> int:
