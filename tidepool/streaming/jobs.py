@@ -31,6 +31,7 @@ ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
 DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY = "dwd_start_log", "dwd_page_log", "dwd_display_log", "dirty_log"
 DWM_UV = "dwm_unique_visit"
 DIRTY_DB = "dirty_db"
+DIM_REJECTS = "dim_rejects"
 ROUTE_TOPICS = {L.ROUTE_START: DWD_START, L.ROUTE_PAGE: DWD_PAGE,
                 L.ROUTE_DISPLAY: DWD_DISPLAY, L.ROUTE_DIRTY: DIRTY}
 
@@ -224,12 +225,13 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
             facts = (routed.where(F.col("route") == R.SINK_KAFKA)
                      .select(F.col("sink_table").alias("topic"), "arrival", "seq",
                              F.to_json("after").alias("value")))
-            T.write_dynamic_topics(facts, root, batch_id)
             cells, rejects = D.cells(routed.where(F.col("route") == R.SINK_HBASE),
                                      honour_sink_pk=honour_sink_pk)
+            rejected = rejects.select(F.lit(DIM_REJECTS).alias("topic"), "arrival", "seq",
+                                      F.to_json(F.struct("sink_table", "reason")).alias("value"))
+            # Fact topics and rejects in one job; the cells go to the dimension store.
+            T.write_topics(facts.unionByName(rejected), root, batch_id)
             dims.append(cells)
-            (rejects.write.mode("overwrite")
-             .parquet(os.path.join(root, "_dim_rejects", f"batch_id={batch_id}")))
         finally:
             routed.unpersist()
 
