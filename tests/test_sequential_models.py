@@ -176,3 +176,13 @@ def test_hot_device_with_a_third_of_rows(spark):
     biggest = (entries.groupBy("mid", chunk_of(F.col("arrival"), 64).alias("c")).count()
                .agg(F.max("count")).first()[0])
     assert biggest <= 64
+
+
+def test_page_topic_equals_j1_page_route(spark):
+    from tidepool.plans import log_jobs
+
+    raw = FX.app_log(spark, SF001)
+    a = log_jobs.page_topic(raw)
+    b = log_jobs.page_route(log_jobs.detail_layer(raw))
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -28,3 +28,10 @@ def uv_from_pages(page_log: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> Data
 def page_route(j1: DataFrame) -> DataFrame:
     """The dwd_page_log topic of J1's output."""
     return j1.where(F.col("route") == L.ROUTE_PAGE).select("arrival", "seq", "value")
+
+
+def page_topic(raw: DataFrame) -> DataFrame:
+    """J1's dwd_page_log topic alone: the same records as ``page_route`` of
+    ``detail_layer``, without building the start, dirty and display rows."""
+    fixed = L.first_visit_fix(L.parse_app_log(raw))
+    return L.split_page(fixed).select("arrival", "seq", L.record_json(fixed).alias("value"))

@@ -79,8 +79,7 @@ def q_uv_daily(spark, sf_dir):
     # J2 reads the durable page dataset J1 publishes; a reliable checkpoint in the
     # shared checkpoint folder stands in for that topic and cuts the lineage.
     checkpoint_root(spark)
-    j1 = log_jobs.detail_layer(FX.app_log(spark, sf_dir))
-    pages = log_jobs.page_route(j1).checkpoint(eager=True)
+    pages = log_jobs.page_topic(FX.app_log(spark, sf_dir)).checkpoint(eager=True)
     return log_jobs.uv_from_pages(pages).select(
         "seq", "arrival", "mid", "is_new", "page_id", "ts", "day")
 
