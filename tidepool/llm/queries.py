@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from tidepool.llm.mixing import op1_mixing
+from tidepool.llm.packing import op4_packing
+from tidepool.llm.sharding import op6_sharding
+from tidepool.llm.warc import op9_warc
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_packing": op4_packing,
+    "op6_sharding": op6_sharding,
+    "op9_warc": op9_warc,
 }
 
 ORACLES: dict[str, str] = {}
