@@ -78,7 +78,7 @@ def splitters(keys: DataFrame, n_shards: int, tolerance: float, probes: int) ->
     return sorted(min(max(best(j)[0], LOWEST), HIGHEST - 1) for j in range(len(want)))
 
 
-def shard(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.001, probes: int = 64) -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.001, probes: int = 255) -> DataFrame:
     """All rows of ``docs`` (doc_id, text, ...) with their shard and place in it.
 
     Adds ``size`` (UTF-8 bytes plus 1), ``text_crc32``, ``law`` ('bytes'),
