@@ -137,7 +137,9 @@ def candidates(index: DataFrame, queries: dict[str, list[list[frozenset[str]]]])
     spark = index.sparkSession
     terms = [(k, len(q), c, a, len(s), t) for k, q in queries.items() for c, alts in enumerate(q)
              for a, s in enumerate(alts) for t in sorted(s)]
-    wanted = spark.createDataFrame(terms, "kind string, clauses int, clause int, alt int, need int, trigram string")
+    names = ("kind", "clauses", "clause", "alt", "need", "trigram")
+    wanted = spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(x).alias(c) for c, x in zip(names, t, strict=True)]) for t in terms])))
     # One exchange: the later groupings keep a text's rows where they are.
     at = index.join(F.broadcast(wanted), "trigram").repartition("doc_id", "mark")
     alternatives = (at.groupBy("doc_id", "mark", "kind", "clauses", "clause", "alt", "need")
@@ -180,7 +182,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     queries = {k: q for k, q in queries.items() if q}
-    keyed = docs.select(*[c for c in docs.columns if c != "secrets"],
+    kept = [c for c in docs.columns if c != "secrets"]
+    keyed = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in kept], "doc_id", "text",
                         F.xxhash64(F.lit("secret-scan"), body).alias("_mark"))
     trigrams = sorted({t for q in queries.values() for alts in q for s in alts for t in s})
     index = staged(docs.sparkSession, postings(
@@ -193,7 +196,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for i, r in enumerate(rules):
         wanted = F.array_contains("_kinds", r.kind) if r.kind in queries else body.rlike(r.pattern)
         lists.append(F.when(wanted, _spans(body, r, i)).otherwise(none))
-    return joined.withColumn("secrets", F.array_sort(F.concat(*lists))).drop("_mark", "_id", "_m", "_kinds")
+    return joined.select(*[F.col(f"`in_{c}`").alias(c) for c in kept], F.array_sort(F.concat(*lists)).alias("secrets"))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -204,6 +207,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     columns = docs.columns
     text = F.col("text")
+    sealed = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in columns], "doc_id", "text")
 
     def step(acc, s):
         new = s["start"] >= acc["at"]
@@ -216,8 +220,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     changed = F.size("secrets") > 0
     out = {"text": F.when(changed, clean).otherwise(text)}
     if "n_chars" in columns:
-        out["n_chars"] = F.when(changed, F.length(clean)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return scan(docs, rules).select(*[out.get(c, F.col(c)).alias(c) for c in columns])
+        out["n_chars"] = F.when(changed, F.length(clean)).otherwise(F.col("in_n_chars")).cast(docs.schema["n_chars"].dataType)
+    return scan(sealed, rules).select(*[out.get(c, F.col(f"`in_{c}`")).alias(c) for c in columns])
 
 
 def op10_secrets(spark, sf_dir):
