@@ -106,7 +106,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1
     """The mix of ``docs`` (doc_id, text, source): ``(lines, pieces)``.
 
     ``lines`` has one row per document: ``row, doc_id, source, size, src,
-    source_size, target, off`` and the columns of ``keep``. ``pieces`` has one row
+    source_size, target, off`` and the columns of ``keep``, named ``in_<name>``. ``pieces`` has one row
     per part of a document in the mix: ``slot, row, epoch, start, words`` (word
     offsets in the document); in slot order they are the mixed stream.
 
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1
     spark = docs.sparkSession
     rows = staged(spark, docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.col("source"),
-        word_count(F.col("text")).alias("size"), *[F.col(c).alias(f"doc_{c}") for c in keep]), "mix-rows")
+        word_count(F.col("text")).alias("size"), *[F.col(f"`{c}`").alias(f"in_{c}") for c in keep]), "mix-rows")
     sizes = rows.select("row", "doc_id", "source", "size")
     targets = staged(spark, source_targets(sizes, weights, epochs, cap), "mix-targets")
     slots = staged(spark, schedule(targets, block_words), "mix-slots")
@@ -158,7 +158,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1
               .join(slots.select("slot", "src", "k"), ["src", "k"])
               .select("slot", "row", "epoch", "start", "words"))
     if keep:
-        lines = lines.join(rows.select("row", *[F.col(f"doc_{c}") for c in keep]), "row")
+        lines = lines.join(rows.select("row", *[f"`in_{c}`" for c in keep]), "row")
     return lines, pieces
 
 
@@ -171,13 +171,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     columns = docs.columns
     lines, pieces = mix(docs, keep=columns, **options)
     taken = pieces.groupBy("row", "epoch").agg(F.min("start").alias("start"), F.sum("words").alias("words"))
-    part = F.array_join(F.slice(F.regexp_extract_all(F.col("doc_text"), F.lit(WORD), F.lit(0)),
+    part = F.array_join(F.slice(F.regexp_extract_all(F.col("in_text"), F.lit(WORD), F.lit(0)),
                                 (F.col("start") + 1).cast("int"), F.col("words").cast("int")), " ")
     whole = F.col("words") == F.col("size")
-    out = {"text": F.when(whole, F.col("doc_text")).otherwise(part)}
+    out = {"text": F.when(whole, F.col("in_text")).otherwise(part)}
     if "n_chars" in columns:
-        out["n_chars"] = F.when(whole, F.col("doc_n_chars")).otherwise(F.length(part)).cast(docs.schema["n_chars"].dataType)
-    return lines.join(taken, "row").select(*[out.get(c, F.col(f"doc_{c}")).alias(c) for c in columns])
+        out["n_chars"] = F.when(whole, F.col("in_n_chars")).otherwise(F.length(part)).cast(docs.schema["n_chars"].dataType)
+    return lines.join(taken, "row").select(*[out.get(c, F.col(f"`in_{c}`")).alias(c) for c in columns])
 
 
 def op1_mixing(spark, sf_dir):

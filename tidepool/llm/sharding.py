@@ -95,7 +95,8 @@ def shard(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.001, probes:
     spark = docs.sparkSession
     body = F.coalesce(F.col("text"), F.lit(""))
     own = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
-    rows = docs.select(*[F.col(c) for c in docs.columns if c not in own],
+    kept = [c for c in docs.columns if c not in own]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in kept], "doc_id",
                        (F.octet_length(body) + 1).cast("long").alias("size"),
                        F.crc32(body.cast("binary")).alias("text_crc32"),
                        F.xxhash64(body).alias("_key"), F.xxhash64("doc_id", F.lit(16)).alias("_tie"))
@@ -115,8 +116,8 @@ def shard(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.001, probes:
     inside = Window.partitionBy(*bucket).orderBy("_key", "_tie", "doc_id")
     return (placed(rows).withColumn("_r", F.row_number().over(inside)).join(base, bucket)
             .withColumn("slot", (F.col("_base") + F.col("_r") - 1).cast("long"))
-            .withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
-            .drop("_key", "_tie", "_hi", "_lo", "_r", "_base"))
+            .select(*[F.col(f"`in_{c}`").alias(c) for c in kept], "size", "text_crc32", F.lit("bytes").alias("law"),
+                    "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
 
 
 def write_shards(shards: DataFrame, path: str) -> None:

@@ -275,7 +275,7 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
     index = fit(docs, labels, sample_rows)
     sent = spark.sparkContext.broadcast(index)
     keep = [c for c in docs.columns if c not in ("score", "predicted", "held_out", "neighbours", "terms")]
-    base = docs.select(*keep)
+    base = docs.select(*[f"`{c}`" for c in keep])
     schema = T.StructType([*base.schema.fields, *T.StructType.fromDDL(SCORED).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,9 +318,9 @@ def _scored(index: Index | None, counts: dict[int, int], evidence: int) -> tuple
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns as they are."""
-    marked = docs.select(*[F.col(c).alias(f"in_{c}") for c in docs.columns], F.col("text"), F.col("doc_id"))
+    marked = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns], F.col("text"), F.col("doc_id"))
     return score(marked, labels, **options).filter("predicted = 0") \
-        .select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
+        .select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def op2_toxicity(spark, sf_dir):
