@@ -1,0 +1,168 @@
+"""Packing (4) and WARC archives (9): round trips of whole tables, odd rows, empty tables."""
+
+import base64
+import gzip
+import hashlib
+import os
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from conftest import SF001
+from tidepool.llm import packing, warc
+
+ODD_TEXTS = ["", "  a b", "ΑΣ ΟΔΟΣ test", "x<|endoftext|>y", "İstanbul don't WE'LL it's'", "日本語 テキスト", "á é",
+             "½²³ x1y22 __ a_b", "tab\x0bv\x1cw", "﻿hi", "ß ẞ ŉ ǰ", "\xa0café́", "a.b, c.", "x's. y're! we'll.",
+             "end.''. 's", "12. 3,4 x²!", "(a) [b] -- c/d/ \"e\"", "<| |> <|x|>"]
+
+
+def encode(texts):
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def check_pieces(rows, docs, sequence=2048):
+    """Pieces against the token ids of all documents (pieces of equal documents may swap)."""
+    want = defaultdict(int)
+    for (doc_id, _), ids in zip(docs, encode([t or "" for _, t in docs]), strict=True):
+        want[doc_id, tuple([*ids, 1])] += 1
+    place = defaultdict(list)
+    by_doc = defaultdict(list)
+    for r in rows:
+        place[r["sequence_id"]].append((r["offset"], r["length"]))
+        by_doc[r["doc_id"]].append(r)
+    for doc_id, ps in by_doc.items():
+        texts = [ids for (d, ids), n in want.items() if d == doc_id for _ in range(n)]
+        if len(texts) == 1:
+            at = 0
+            for r in sorted(ps, key=lambda r: r["start"]):
+                assert r["start"] == at and r["doc_tokens"] == len(texts[0])
+                piece = np.array(texts[0][at:at + r["length"]], dtype="<u4").tobytes()
+                assert zlib.crc32(piece) == r["ids_crc32"]
+                at += r["length"]
+            assert at == len(texts[0])
+        assert sum(r["length"] for r in ps) == sum(map(len, texts))
+    lengths = {}
+    for s, p in place.items():
+        at = 0
+        for off, n in sorted(p):
+            assert off == at
+            at += n
+        lengths[s] = at
+    assert sorted(lengths) == list(range(len(lengths)))
+    assert all(lengths[s] == sequence for s in range(len(lengths) - 1))
+
+
+def test_pack_of_the_whole_table(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
+    check_pieces(packing.op4_packing(spark, SF001).collect(), docs)
+
+
+def test_pack_of_odd_rows(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, t, "abc"[i % 3], 1) for i, t in enumerate(ODD_TEXTS)]
+    rows += [(100, None, None, 1), (101, "w x y " * 3000, None, 1), (102, "same", "a", 1), (102, "same", "a", 1),
+             (None, "no id", "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, queue int")
+    for options in ({}, {"max_queues": 2}, {"proportions": {"a": 3.0, "b": 0.5}}):
+        out = packing.pack(docs, **options).withColumn("ids_crc32", F.crc32("ids")).collect()
+        check_pieces(out, [(r[0], r[1]) for r in rows])
+    assert not packing.pack(docs.limit(0)).collect()
+
+
+def test_windows_hold_their_proportions():
+    rr = packing.RoundRobin([6000, 3000, 1000], [6.0, 3.0, 1.0], 100)
+    owner = {}
+    for q, n in enumerate((6000, 3000, 1000)):
+        for _, at, m in rr.runs(q, 0, n):
+            owner.update(dict.fromkeys(range(at, at + m), q))
+    assert sorted(owner) == list(range(10000))
+    for w in range(0, 10000, 100):
+        held = [owner[i] for i in range(w, w + 100)]
+        assert all(abs(held.count(q) - k) <= 1 for q, k in enumerate((60, 30, 10)))
+
+
+def test_round_robin_places_every_token_once():
+    rnd = random.Random(1)
+    for _ in range(200):
+        totals = [rnd.choice([1, 3, 50, 1000]) for _ in range(rnd.randint(1, 6))]
+        weights = [float(t) for t in totals] if rnd.random() < 0.4 else [rnd.choice([0.1, 1, 5, 100]) for _ in totals]
+        rr = packing.RoundRobin(totals, weights, rnd.choice([8, 64, 4096]))
+        seen = set()
+        for q, t in enumerate(totals):
+            i = 0
+            while i < t:
+                m = min(t - i, rnd.randint(1, 200))
+                for _, at, n in rr.runs(q, i, m):
+                    seen.update(range(at, at + n))
+                i += m
+        assert seen == set(range(sum(totals)))
+
+
+def test_word_encoder_equals_the_tokenizer():
+    enc = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), limit=3)
+    rnd = random.Random(2)
+    alphabet = "abCéß'.,!-*<|>1² \n\t\xa0İΣ"
+    texts = ODD_TEXTS + ["".join(rnd.choices(alphabet, k=rnd.randint(0, 40))) for _ in range(400)]
+    for lo in range(0, len(texts), 50):
+        part = texts[lo:lo + 50]
+        got = [np.frombuffer(x, dtype="<u2").tolist() for x in enc.encode(part)]
+        assert got == encode(part)
+
+
+def check_pages(rows, pages, min_bytes=0):
+    first = {}
+    for i, html in pages:
+        k = (html or "").encode()
+        if i is not None:
+            first[k] = min(first.get(k, i), i)
+    groups = defaultdict(int)
+    for _, html in pages:
+        groups[(html or "").encode()] += 1
+    want = []
+    for i, html in pages:
+        k = (html or "").encode()
+        low = first.get(k)
+        revisit = groups[k] > 1 and len(k) >= min_bytes and low is not None and i != low
+        digest = base64.b32encode(hashlib.sha1(k).digest()).decode()
+        want.append((i, len(k), digest, "revisit" if revisit else "response", low if revisit else None))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, rows), key=key) == sorted(want, key=key)
+
+
+def test_warc_of_the_whole_table(spark):
+    pages = [tuple(r) for r in spark.read.parquet(f"{SF001}/pages.parquet").select("page_id", "html").collect()]
+    check_pages(warc.op9_warc(spark, SF001).collect(), pages)
+
+
+def test_warc_of_odd_rows(spark, workdir):
+    big = "".join(random.Random(3).choices("abc\r\nWARC/1.1 é", k=300_000))
+    rows = [(1, "http://a/ b\r\nX: y", "same", 0), (2, None, "same", 0), (3, "http://c", None, 0), (4, "http://d", "", 0),
+            (5, "http://e", big, 0), (None, "http://f", "same", 0), (None, "http://g", "lone", 0), (2, None, "same", 0),
+            (6, "http://é", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n", 0), (0, "u", big, 0)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, size int")
+    cols = ["page_id", "payload_bytes", "digest", "record_type", "refers_to"]
+    for min_bytes in (0, 100):
+        folder = f"{workdir}/w{min_bytes}"
+        manifest = warc.write_archives(pages, folder, min_bytes)
+        chunks = warc.read_archives(manifest, folder)
+        check_pages(chunks.filter("last").select(*cols).collect(), [(r[0], r[2]) for r in rows], min_bytes)
+        assert max(len(r["data"]) for r in chunks.collect()) <= warc.CHUNK_BYTES
+        # Chunks of a record add up to its payload, and each digest covers the payload so far.
+        parts = sorted((r["chunk_no"], bytes(r["data"]), r["digest"]) for r in
+                       chunks.filter("page_id = 0 and record_type = 'response'").collect())
+        assert b"".join(p[1] for p in parts) == big.encode() and len(parts) > 1
+        so_far = hashlib.sha1()
+        for _, data, digest in parts:
+            so_far.update(data)
+            assert digest == base64.b32encode(so_far.digest()).decode()
+        names = [f for f in os.listdir(folder) if not f.startswith(".")]
+        assert names and not any(f.startswith("_attempt") for f in names)
+        assert sum(gzip.open(f"{folder}/{f}").read().count(b"WARC-Record-ID") for f in names) == len(rows)
+    empty = warc.write_archives(pages.limit(0), f"{workdir}/none")
+    assert not warc.read_archives(empty, f"{workdir}/none").collect()

@@ -37,6 +37,8 @@ SKETCH = 64
 LEAF = 64
 BLOCK = 512
 SEGMENT = 1 << 20
+# Texts to read again are first told by a remainder of their hash: so many at most are broadcast.
+REMAINDERS = 1 << 20
 
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -165,9 +167,12 @@ def _children(path: np.ndarray, sig: np.ndarray, threshold: float) -> list[tuple
             rows = np.flatnonzero((_mix(path + np.uint64(7)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
                                   < 1 / threshold - 1)
         c = (pick[rows] % np.uint64(SKETCH)).astype(np.int64)
+        if turn:                     # the same choice again adds nothing
+            other = c != out[0][2][rows]
+            rows, c = rows[other], c[other]
         child = _mix(_mix(path[rows] + c.astype(np.uint64)) ^ sig[rows, c].astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-        out.append((rows, child))
-    return out
+        out.append((rows, child, c))
+    return [(rows, child) for rows, child, _ in out]
 
 
 def _matrix(sig) -> np.ndarray:
@@ -267,7 +272,7 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth:
         leaf = leaf.unionByName(x)
     leaf = staged(spark, leaf.distinct(), "jac-leaves")
     places = leaf.groupBy("cid").agg(F.sort_array(F.collect_list("path")).alias("places"))
-    member = staged(spark, places.join(sets, "cid"), "jac-members")
+    member = staged(spark, places.join(classes.select("cid", "sig", "w"), "cid"), "jac-members")
     cells = (leaf.withColumn("sub", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("cid", "path", "sub", F.least("sub", "other").alias("x"), F.greatest("sub", "other").alias("y")))
@@ -310,7 +315,10 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth:
     wanted = staged(spark, suspects.select("cid").distinct()
                     .join(classes.select("cid", F.col("rep.doc_id").alias("_id"), F.col("rep.mark").alias("_mark")), "cid"),
                     "jac-wanted")
-    tokens = staged(spark, text.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
+    # At most REMAINDERS numbers, whatever the table: most other texts are not shuffled.
+    hint = F.broadcast(wanted.select(F.pmod("_mark", F.lit(REMAINDERS)).alias("_rest")).distinct())
+    again = text.join(hint, F.pmod("mark", F.lit(REMAINDERS)) == F.col("_rest"), "left_semi")
+    tokens = staged(spark, again.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
                     .select("cid", "text").mapInArrow(exact_sets, "cid long, tokens binary")
                     .dropDuplicates(["cid"]), "jac-tokens")
 
@@ -337,7 +345,7 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth:
                 yield pd.DataFrame({k: np.concatenate(c) for k, c in
                                     zip(("cid", "links", "label"), zip(*out, strict=True), strict=True)})
 
-    found = staged(spark, suspects.join(member, "cid").join(tokens, "cid").join(classes.select("cid", "w"), "cid")
+    found = staged(spark, suspects.join(member, "cid").join(tokens, "cid")
                    .repartition(*key).sortWithinPartitions(*key)
                    .mapInPandas(verify, "cid long, links long, label long")
                    .groupBy("cid", "label").agg(F.sum("links").alias("links")), "jac-links")
