@@ -36,6 +36,7 @@ SAMPLE_ROWS = 20_000
 MOST_TERMS = 2048
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST_BLOCKS = 8
 # A term enters the vocabulary with this many rows and standard deviations above chance.
 LEAST_ROWS, LEAST_Z = 5, 4.0
 # Besides words, terms are word beginnings of these lengths, written with a star.
@@ -45,25 +46,40 @@ ANY = "*"
 _WORD = re.compile(r"[^\W_]+")
 
 
-def _words(text: str | None) -> Counter:
-    return Counter(_WORD.findall(text.lower())) if text else Counter()
+def _words(text: str | None) -> list[str]:
+    return _WORD.findall(text.lower()) if text else []
 
 
-def _terms(words: Counter) -> set[str]:
+def _terms(words: list[str]) -> set[str]:
     """The distinct terms of a text."""
-    return {*words, *(f"{w[:n]}*" for w in words for n in PREFIXES if len(w) > n)}
+    once = set(words)
+    return {*once, *(f"{w[:n]}*" for w in once for n in PREFIXES if len(w) > n)}
 
 
-def _chosen(words: Counter, known: frozenset[str]) -> Counter:
-    """Counts of those terms of a text that are known, of a single pass over its words."""
-    out = Counter()
-    for w, c in words.items():
-        if w in known:
-            out[w] += c
-        for n in PREFIXES:
-            if len(w) > n and (p := f"{w[:n]}*") in known:
-                out[p] += c
-    return out
+class Chooser:
+    """Finds the vocabulary's terms in texts, remembering what each word holds."""
+
+    def __init__(self, known: frozenset[str], limit: int = 300_000):
+        self.known, self.limit, self.memory = known, limit, {}
+
+    def _held(self, word: str) -> tuple[str, ...]:
+        found = [word] if word in self.known else []
+        found += [p for n in PREFIXES if len(word) > n and (p := f"{word[:n]}*") in self.known]
+        if len(self.memory) >= self.limit:
+            self.memory.clear()
+        self.memory[word] = out = tuple(found)
+        return out
+
+    def counts(self, words: list[str]) -> Counter:
+        """Counts of the known terms among the words of a text."""
+        out, memory = Counter(), self.memory
+        for w in words:
+            held = memory.get(w)
+            if held is None:
+                held = self._held(w)
+            for t in held:
+                out[t] += 1
+        return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -89,13 +105,13 @@ class Index:
     knots: tuple[np.ndarray, np.ndarray] | None = None
 
     def __post_init__(self):
-        self.terms = frozenset(self.vocabulary) - {ANY}
+        self.chooser = Chooser(frozenset(self.vocabulary) - {ANY})
 
     @staticmethod
     def build(vocabulary: list[str], idf: np.ndarray, rows: list[tuple[int, int, dict[int, int]]], rate: float,
               none_rate: float) -> Index:
         """``rows``: (doc_id, label, term counts) of the examples with a term."""
-        rows = sorted(rows, key=lambda r: (sorted(r[2], key=lambda t: (-idf[t], t)), r[0]))
+        rows = sorted(rows, key=lambda r: (sorted(r[2], key=lambda t: (-(1 + math.log(r[2][t])) * idf[t], t)), r[0]))
         triples = []
         for e, (_, _, counts) in enumerate(rows):
             w = {t: (1 + math.log(c)) * idf[t] for t, c in counts.items()}
@@ -117,32 +133,44 @@ class Index:
     def counts(self, text: str | None) -> dict[int, int]:
         """Counts of the vocabulary's terms in a whole text; none if it has but the term of all words."""
         words = _words(text)
-        found = {self.vocabulary[t]: n for t, n in _chosen(words, self.terms).items()}
+        found = {self.vocabulary[t]: n for t, n in self.chooser.counts(words).items()}
         if found:
-            found[self.vocabulary[ANY]] = sum(words.values())
+            found[self.vocabulary[ANY]] = len(words)
         return found
 
+    def _scores(self, terms: np.ndarray, q: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of these blocks that share a term with the query, and their cosines."""
+        first = self.block_at[np.ix_(terms, blocks)]
+        n = (self.block_at[np.ix_(terms, blocks + 1)] - first).ravel()
+        at = np.repeat(first.ravel() - np.cumsum(n) + n, n) + np.arange(n.sum())
+        score = np.bincount(self.example[at], self.weight[at] * np.repeat(np.repeat(q, len(blocks)), n),
+                            minlength=len(self.ids))
+        found = np.flatnonzero(score > 0)
+        return found, score[found]
+
     def nearest(self, counts: dict[int, int], without: int | None = None, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """The k nearest examples as (similarity, example); ties go to the earlier example."""
-        terms = sorted(counts)
-        q = np.array([(1 + math.log(counts[t])) * self.idf[t] for t in terms])
-        q /= math.sqrt((q * q).sum())
+        """The k nearest examples as (similarity, example); ties go to the earlier example.
+
+        The blocks of the highest bounds are read first; then, at once, all others
+        whose bound reaches the k-th similarity found.
+        """
+        terms = np.array(sorted(counts))
+        q = (1 + np.log([counts[t] for t in terms])) * self.idf[terms]
+        q = q / math.sqrt(q @ q)
         bound = q @ self.block_max[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            # The slack covers rounding; a block that only ties may hold an earlier example.
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] - 1e-9):
-                break
-            score = np.zeros(BLOCK)
-            for t, x in zip(terms, q, strict=True):
-                p = slice(self.block_at[t, b], self.block_at[t, b + 1])
-                score[self.example[p] - b * BLOCK] += x * self.weight[p]
-            for i in np.flatnonzero(score > 0):
-                e = int(b) * BLOCK + int(i)
-                if without is None or self.ids[e] != without:
-                    best.append((float(score[i]), e))
-            best = sorted(best, key=lambda x: (-round(x[0], 9), x[1]))[:k]
-        return best
+        order = np.argsort(-bound, kind="stable")
+        found, score = self._scores(terms, q, order[:FIRST_BLOCKS])
+        others = score if without is None else score[self.ids[found] != without]
+        floor = np.partition(others, len(others) - k)[len(others) - k] if len(others) >= k else 0.0
+        # The slack covers rounding; a block that only ties may hold an earlier example.
+        rest = order[FIRST_BLOCKS:]
+        more, more_score = self._scores(terms, q, rest[bound[rest] >= max(floor - 1e-9, 1e-12)])
+        found, score = np.concatenate([found, more]), np.concatenate([score, more_score])
+        if without is not None:
+            other = self.ids[found] != without
+            found, score = found[other], score[other]
+        best = np.lexsort((found, -np.round(score, 9)))[:k]
+        return list(zip(score[best].tolist(), found[best].tolist(), strict=True))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Share of the neighbours that is toxic, each weighed by the inverse of its distance."""
@@ -204,14 +232,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> I
               .withColumn("z", z).filter((F.col("n") >= LEAST_ROWS) & (F.col("z") >= LEAST_Z))
               .orderBy(F.desc("z"), "term").limit(MOST_TERMS).select("term").collect())
     vocabulary = [*sorted(r["term"] for r in chosen), ANY]
-    known = frozenset(vocabulary)
+    known = frozenset(vocabulary) - {ANY}
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, rows_ = Counter(), 0
+        n, rows_, chooser = Counter(), 0, Chooser(known)
         for b in batches:
             rows_ += b.num_rows
             for text in b.column("text").to_pylist():
-                n.update(_chosen(_words(text), known).keys())
+                n.update(chooser.counts(_words(text)).keys())
         n[ANY] = rows_
         yield pa.RecordBatch.from_pydict({"term": list(n), "n": list(n.values())},
                                          pa.schema([("term", pa.string()), ("n", pa.int64())]))
@@ -222,12 +250,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> I
     idf = np.array([math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in vocabulary])
     number = {t: i for i, t in enumerate(vocabulary)}
 
-    def counted(text: str) -> dict[int, int]:
-        words = _words(text)
-        found = {number[t]: n for t, n in _chosen(words, known).items()}
-        return found | {number[ANY]: sum(words.values())} if found else {}
-
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chooser = Chooser(known)
+
+        def counted(text: str) -> dict[int, int]:
+            words = _words(text)
+            found = {number[t]: n for t, n in chooser.counts(words).items()}
+            return found | {number[ANY]: len(words)} if found else {}
+
         for b in batches:
             counts = [counted(x) for x in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
