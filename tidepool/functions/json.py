@@ -23,15 +23,26 @@ def evaluate_once(df: DataFrame, expr: Column, name: str, keep: list[str]) -> Da
     return df.select(*keep, F.explode(F.array(expr)).alias(name))
 
 
+# White space that JSON allows around a document.
+JSON_BLANKS = " \t\n\r"
+
+
+def opens_object(text: Column) -> Column:
+    """True iff the first character other than JSON white space is ``{``."""
+    return F.ltrim(text, F.lit(JSON_BLANKS)).startswith("{")
+
+
 def parse_object(text: Column) -> Column:
     """VARIANT of ``text`` if it is a well-formed JSON object, else NULL.
 
     ``try_parse_json`` is NULL for malformed or empty text; a valid document whose
-    first non-blank character is ``{`` is an object, so ``null``, arrays and bare
-    scalars are rejected too (quirk Q15).
+    first character after white space is ``{`` is an object, so ``null``, arrays and
+    bare scalars are rejected too (quirk Q15). An object that repeats a key is read
+    with its last value where the session allows duplicate keys (the engine's own
+    sessions do, like a map-based parser); elsewhere it is NULL.
     """
     v = F.try_parse_json(text)
-    return F.when(F.ltrim(text).startswith("{"), v)
+    return F.when(opens_object(text), v)
 
 
 def get(v: Column, path: str, type_: str = "string") -> Column:
@@ -58,6 +69,15 @@ def drop_null_values(m: Column) -> Column:
     return F.map_filter(m, lambda _, x: x.isNotNull())
 
 
+def last_wins(m: Column) -> Column:
+    """A MAP read from text with a repeated key: the last value stays."""
+    keys, values = F.map_keys(m), F.map_values(m)
+    once = F.array_distinct(keys)
+    last = F.transform(once, lambda k: F.element_at(
+        values, (F.size(keys) + 1 - F.array_position(F.reverse(keys), k)).cast("int")))
+    return F.when(F.size(once) < F.size(keys), F.map_from_arrays(once, last)).otherwise(m)
+
+
 def variant_text(s: Column) -> Column:
     """A string as a VARIANT string scalar."""
     return s.cast("variant")
@@ -66,3 +86,17 @@ def variant_text(s: Column) -> Column:
 def object_to_json(obj_map: Column) -> Column:
     """MAP<STRING, VARIANT> -> JSON object text."""
     return F.to_json(F.to_variant_object(obj_map))
+
+
+def without_nulls(v: Column, depth: int = 4) -> Column:
+    """VARIANT without the null entries of its objects, nested ones down to ``depth``
+    levels; nulls in arrays stay (quirk Q12)."""
+    obj = as_object_map(v)
+    kept = F.map_filter(obj, lambda _, x: x.isNotNull() & ~F.is_variant_null(x))
+    if depth == 0:
+        return F.when(obj.isNotNull(), F.to_variant_object(kept)).otherwise(v)
+    inner = F.transform_values(kept, lambda _, x: without_nulls(x, depth - 1))
+    items = F.try_variant_get(v, "$", "array<variant>")
+    return (F.when(obj.isNotNull(), F.to_variant_object(inner))
+             .when(items.isNotNull(), F.to_variant_object(F.transform(items, lambda x: without_nulls(x, depth - 1))))
+             .otherwise(v))

@@ -5,26 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a "small" side is not broadcast. Rule tables hold one row per
-# (table, operation); a million rows of ~200 bytes is ~200 MB, well under an
-# executor's memory, and far beyond any real rule table.
+# A side beyond either bound is not broadcast. Text columns have no bound of their
+# own, so bytes are measured, not assumed from rows.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+# Bytes of a row besides the text in its columns.
+ROW_BYTES = 64
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True iff ``df`` has at most ``bound`` rows.
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes of ``df``: one pass, summed per partition first."""
+    text = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) for f in df.schema.fields]
+    size = sum(text, F.lit(ROW_BYTES)).cast("long")
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n, size
 
-    Reads at most ``bound + 1`` rows, so the check itself stays bounded even when
-    the side turns out to be large.
-    """
-    return df.limit(bound + 1).count() <= bound
+
+def fits(df: DataFrame, rows: int = MAX_BROADCAST_ROWS, size: int = MAX_BROADCAST_BYTES) -> bool:
+    """True iff ``df`` is within both bounds."""
+    n, b = measure(df)
+    return n <= rows and b <= size
 
 
-def checked_broadcast(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def checked_broadcast(df: DataFrame, bound: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when ``df`` is proven small, else ``(df, False)``.
 
-    The caller chooses a shuffle-based plan when the flag is False.
+    ``df`` is read for the check and again for the join, so pass a checkpointed or
+    otherwise cheap DataFrame. The caller chooses a shuffle-based plan when the flag
+    is False.
     """
-    if row_count_at_most(df, bound):
+    if fits(df, bound, max_bytes):
         return F.broadcast(df), True
     return df, False

@@ -21,13 +21,14 @@ BAD_TOPIC = "bad_topic"
 
 def normalize(raw: DataFrame, strict: bool = False) -> DataFrame:
     """``(arrival, seq, topic, value)`` -> ``(arrival, seq, database, table_name,
-    type, before, after, reason)``.
+    type, before, after, reason, raw)``.
 
     The topic's second and third dot-separated parts are the database and table;
-    ``before``/``after`` become MAP<STRING,STRING> without null entries (Q12), an
-    empty map when absent; the op is lower-cased and ``create``/``c`` become
+    ``before``/``after`` become MAP<STRING,STRING> without null entries (Q12), the
+    last value of a repeated key, an empty map when absent; the op is lower-cased and ``create``/``c`` become
     ``insert``. Rows that cannot be read get a ``reason`` instead of failing the
-    job; ``strict=True`` fails on malformed envelopes (P2).
+    job and keep what was received as ``raw`` (topic, value); ``strict=True`` fails
+    on malformed envelopes (P2).
     """
     # Permissive parsing gives a struct of nulls for malformed text;
     # the corrupt-record field is what tells a malformed envelope apart.
@@ -42,20 +43,32 @@ def normalize(raw: DataFrame, strict: bool = False) -> DataFrame:
                                                    for x in (F.lit(k), F.lit(v))]), op), op)
     empty = F.create_map().cast("map<string,string>")
     ok = (env.isNotNull() & env["_corrupt_record"].isNull()
-          & F.ltrim(F.col("value")).startswith("{"))
+          & J.opens_object(F.col("value")))
+    reason = F.when(~ok, F.lit(MALFORMED)).when(F.size(parts) < 3, F.lit(BAD_TOPIC))
     out = raw.select(
         "arrival", "seq",
         F.try_element_at(parts, F.lit(2)).alias("database"),
         F.try_element_at(parts, F.lit(3)).alias("table_name"),
         type_.alias("type"),
-        F.coalesce(J.drop_null_values(env["before"]), empty).alias("before"),
-        F.coalesce(J.drop_null_values(env["after"]), empty).alias("after"),
-        F.when(~ok, F.lit(MALFORMED))
-         .when(F.size(parts) < 3, F.lit(BAD_TOPIC)).alias("reason"),
+        F.coalesce(J.drop_null_values(J.last_wins(env["before"])), empty).alias("before"),
+        F.coalesce(J.drop_null_values(J.last_wins(env["after"])), empty).alias("after"),
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.struct("topic", "value")).alias("raw"),
     )
     return out
 
 
+def rejects(changes: DataFrame) -> DataFrame:
+    """Normalised rows that could not be read: ``arrival, seq, reason, topic, value``."""
+    return changes.where(F.col("reason").isNotNull()).select(
+        "arrival", "seq", "reason", F.col("raw.topic").alias("topic"), F.col("raw.value").alias("value"))
+
+
+def reject_json() -> Column:
+    """The text published for a reject: why, and what was received."""
+    return F.to_json(F.struct("reason", F.col("raw.topic").alias("topic"), F.col("raw.value").alias("value")))
+
+
 def record_json() -> Column:
     """P4 for the ods_base_db topic: a normalised record as JSON text."""
     return F.to_json(F.struct("database", F.col("table_name").alias("tableName"),
@@ -74,12 +87,12 @@ def drop_empty_after(changes: DataFrame) -> DataFrame:
 
 def register_table_views(spark: SparkSession, changes: DataFrame, table: str,
                          columns: list[str], not_null: list[str] = ("id",)) -> tuple[str, str]:
-    """S3: declare a SQL table over a change stream as two temp views.
+    """S3: declare a SQL table over a change stream as temp views.
 
     ``<table>_changelog``: every change of ``table`` projected to the declared
     columns, with its ``op`` and order; the row image is ``after``, or ``before`` for
     a change with an empty ``after`` (a delete). Rows violating a NOT NULL column
-    are left out.
+    are in ``<table>_rejects`` instead, with the ``reason`` ``null_<column>``.
     ``<table>_current``: the table the change log converges to, latest change per
     key, deleted keys absent. One partial aggregate per key, no window.
     """
@@ -87,6 +100,8 @@ def register_table_views(spark: SparkSession, changes: DataFrame, table: str,
     log = (changes.where(F.col("reason").isNull() & (F.col("table_name") == table))
                   .select("arrival", "seq", F.col("type").alias("op"),
                           *[image[c].alias(c) for c in columns]))
+    broken = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in not_null], F.lit(None).cast("string"))
+    log.withColumn("reason", broken).where(F.col("reason").isNotNull()).createOrReplaceTempView(f"{table}_rejects")
     for c in not_null:
         log = log.where(F.col(c).isNotNull())
     changelog_view = f"{table}_changelog"

@@ -5,13 +5,15 @@ A dimension is kept in long form, one row per cell
 wide-column store with one column family. Writing a cell replaces it; cells not
 in a record stay. The store is append-only: each write adds the batch's latest
 cells, and the current table is the latest cell per ``(sink_table, row_key,
-qualifier)``. Re-running a write appends the same cells with the same order key,
-which leaves the current table unchanged, so at-least-once writers are safe.
+qualifier)``. Each append is a partition of its own, so a retried batch replaces
+exactly its cells, and compaction folds only the appends it has seen: it writes the
+fold as one more part, then drops those. Reading a cell twice changes nothing.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,22 +63,42 @@ def wide_dimension(cell_rows: DataFrame, sink_table: str, columns: list[str]) ->
         F.max_by(F.col("value"), F.when(F.col("qualifier") == c, order)).alias(c) for c in columns])
 
 
+def is_name(text: str | None) -> bool:
+    """Whether a rule's text can name a catalog table or column."""
+    return bool(text) and bool(_NAME.match(text))
+
+
 class DimStore:
-    """Append-only cell store under a shared folder, registered in the catalog."""
+    """Cells under a shared folder, registered in the catalog as one table
+    partitioned by dimension and by append (``part``)."""
 
     def __init__(self, spark: SparkSession, path: str, database: str = "dims"):
-        if not _NAME.match(database):
+        if not is_name(database):
             raise ValueError(f"bad database name {database!r}")
         self.spark, self.path, self.database = spark, path, database
         self.table = f"{database}.cells"
+        self.ready = False
+
+    def _hadoop_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _filesystem(self, path: str):
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return self._hadoop_path(path).getFileSystem(conf)
 
     def ensure(self) -> None:
-        """K3: create the store if missing; idempotent; failures raise."""
+        """K3: create the store if missing and find the parts already under its
+        folder; idempotent; failures raise."""
+        if self.ready:
+            return
+        self._filesystem(self.path).mkdirs(self._hadoop_path(self.path))
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (row_key STRING, qualifier STRING, "
-            f"value STRING, arrival BIGINT, seq BIGINT, sink_table STRING) USING parquet "
-            f"PARTITIONED BY (sink_table) LOCATION '{self.path}'")
+            f"value STRING, arrival BIGINT, seq BIGINT, sink_table STRING, part STRING) USING parquet "
+            f"PARTITIONED BY (sink_table, part) LOCATION '{self.path}'")
+        self.spark.sql(f"MSCK REPAIR TABLE {self.table}")
+        self.ready = True
 
     def ensure_dimension(self, sink_table: str, columns: list[str]) -> str:
         """K3 per rule: a catalog view ``<database>.<sink_table>`` with the row key
@@ -84,9 +106,10 @@ class DimStore:
 
         One grouped pass over the table's partition of the store (conditional
         ``max_by`` per column), so it needs no distinct scan of qualifiers and no
-        pivot. Re-creating it for a rule change is idempotent; failures raise.
+        pivot. Re-creating it for a rule change is idempotent; failures raise. The
+        columns are those of all live rules of the dimension together.
         """
-        if not _NAME.match(sink_table) or not all(_NAME.match(c) for c in columns):
+        if not is_name(sink_table) or not all(is_name(c) for c in columns):
             raise ValueError(f"bad dimension name {sink_table!r} / {columns!r}")
         self.ensure()
         name = f"{self.database}.{sink_table}"
@@ -100,34 +123,49 @@ where sink_table = '{sink_table}'
 group by row_key""")
         return name
 
-    def append(self, cell_rows: DataFrame) -> None:
-        """K4 write: the batch's latest cells, appended by partition."""
+    def append(self, cell_rows: DataFrame, part: str | None = None) -> None:
+        """K4 write: the batch's latest cells as the part ``part`` (a new one if not
+        given) of each dimension; the same part is replaced."""
         self.ensure()
-        latest_cells(cell_rows).select("row_key", "qualifier", "value", "arrival", "seq",
-                                       "sink_table") \
-            .write.mode("append").insertInto(self.table)
+        self._write(latest_cells(cell_rows), part or uuid.uuid4().hex)
+
+    def _write(self, rows: DataFrame, part: str) -> None:
+        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            (rows.select("row_key", "qualifier", "value", "arrival", "seq", "sink_table", F.lit(part).alias("part"))
+             .write.mode("overwrite").insertInto(self.table, overwrite=True))
+        finally:
+            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
     def current(self) -> DataFrame:
+        self.ensure()
         return latest_cells(self.spark.table(self.table))
 
+    def parts(self, sink_tables: list[str] | None = None) -> list[tuple[str, str]]:
+        """(dimension, part) of every append there is; one each, kept few by compaction."""
+        self.ensure()
+        found = [dict(x.split("=", 1) for x in r[0].split("/"))
+                 for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()]
+        return [(p["sink_table"], p["part"]) for p in found
+                if sink_tables is None or p["sink_table"] in sink_tables]
+
     def compact(self, sink_tables: list[str] | None = None) -> None:
-        """Fold the appended history down to the latest cell per key, rewriting
-        only the ``sink_table`` partitions named (all when None); other tables'
-        files are left alone (dynamic partition overwrite).
+        """Fold the parts present now to the latest cell per key, for the dimensions
+        named (all when None).
 
-        The folded cells are first checkpointed to the shared checkpoint folder,
-        which cuts the lineage to the files about to be replaced; a lost executor
-        recomputes from the checkpoint, not from half-overwritten files.
+        The fold is written as a new part before the folded ones are dropped. A part
+        appended meanwhile is not touched, and a run that stops in between leaves
+        cells twice, which reads the same.
         """
-        self.ensure()
-        cur = self.spark.table(self.table)
-        if sink_tables is not None:
-            cur = cur.where(F.col("sink_table").isin(sink_tables))
-        folded = latest_cells(cur).select("row_key", "qualifier", "value", "arrival", "seq",
-                                          "sink_table").checkpoint(eager=True)
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            folded.write.mode("overwrite").insertInto(self.table, overwrite=True)
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        old = self.parts(sink_tables)
+        if not old:
+            return
+        seen = self.spark.createDataFrame(old, "sink_table string, part string")
+        folded = latest_cells(self.spark.table(self.table).join(F.broadcast(seen), ["sink_table", "part"]))
+        self._write(folded, f"fold-{uuid.uuid4().hex}")
+        for dimension, part in old:
+            spec = f"sink_table='{dimension}', part='{part}'"
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec})")
+            folder = f"{self.path}/sink_table={dimension}/part={part}"
+            self._filesystem(folder).delete(self._hadoop_path(folder), True)

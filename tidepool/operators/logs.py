@@ -116,15 +116,17 @@ def route_of(df: DataFrame) -> Column:
 
 
 def record_json(df: DataFrame) -> Column:
-    """The record to publish. A repaired record is re-serialised with the flag
-    written back as the string ``"0"`` (Q1); every other record is published as
-    received, which carries all its fields through untouched without a second
-    serialisation per record."""
-    obj = J.as_object_map(F.col("v"))
-    common = J.as_object_map(J.get(F.col("v"), "$.common", "variant"))
+    """The record to publish, without the null fields of its objects (Q12). A
+    repaired record has the flag written back as the string ``"0"`` (Q1). Only those
+    records, and records whose text holds a ``null``, are serialised anew; all others
+    are published as received."""
+    obj = J.as_object_map(J.without_nulls(F.col("v")))
+    common = F.map_filter(J.as_object_map(J.get(F.col("v"), "$.common", "variant")),
+                          lambda _, x: x.isNotNull() & ~F.is_variant_null(x))
     fixed_common = F.to_variant_object(J.put(common, "is_new", J.variant_text(F.lit("0"))))
-    return F.when(F.col("repaired"), J.object_to_json(J.put(obj, "common", fixed_common))) \
-            .otherwise(F.col("value"))
+    return (F.when(F.col("repaired"), J.object_to_json(J.put(obj, "common", fixed_common)))
+             .when(F.contains(F.col("value"), F.lit("null")), J.object_to_json(obj))
+             .otherwise(F.col("value")))
 
 
 def displays(v: Column) -> Column:
@@ -135,7 +137,7 @@ def displays(v: Column) -> Column:
 def display_json(d: Column, page_id: Column) -> Column:
     """A display's own fields with ``page_id`` set (overwritten); a NULL page id
     is left out, as the reference's serialiser drops nulls."""
-    m = J.put(J.as_object_map(d), "page_id", J.variant_text(page_id))
+    m = J.put(J.as_object_map(J.without_nulls(d)), "page_id", J.variant_text(page_id))
     return J.object_to_json(J.drop_null_values(m))
 
 
@@ -241,6 +243,11 @@ def unique_visit(pages: DataFrame, chunk_width: int = DEFAULT_CHUNK,
     return kept.withColumn("day", day_text(F.col("ts"))).drop("_day", "_chunk", "carry", "_prev", "_lag")
 
 
+def page_rejects(pages: DataFrame) -> DataFrame:
+    """Page records that unique visits cannot use (Q4, Q5): ``arrival, seq, reason, value``."""
+    return pages.where(F.col("reason").isNotNull()).select("arrival", "seq", "reason", "value")
+
+
 def day_bucket(parsed: DataFrame) -> DataFrame:
     """P8 over clean records that carry a ts."""
     return (clean(parsed).where(F.col("ts").isNotNull())

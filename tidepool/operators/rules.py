@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.sizing import MAX_BROADCAST_ROWS, checked_broadcast
+from tidepool.functions.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, fits
 from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, ORDER, carry_in, chunk_of
 from tidepool.session import checkpoint_root
 
@@ -53,9 +53,12 @@ def lookup(changes: DataFrame, rules: DataFrame, bound: int = MAX_BROADCAST_ROWS
     """R2: attach the rule for ``tableName-type``; equi-join on the two columns.
 
     Misses are kept with NULL rule fields and ``matched = false``. The rule table is
-    broadcast only after its row count is checked; otherwise a shuffled join is
-    planned and AQE splits skewed keys.
+    folded once into a reliable checkpoint and broadcast only after its rows and
+    bytes are checked; otherwise a shuffled join is planned and AQE splits skewed
+    keys.
     """
+    checkpoint_root(rules.sparkSession)
+    rules = rules.checkpoint(eager=True)
     r = rules.select(F.col("source_table").alias("_st"), F.col("operate_type").alias("_ot"),
                      *PAYLOAD, F.lit(True).alias("matched"))
     r, _ = checked_broadcast(r, bound)
@@ -94,12 +97,6 @@ def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
 
 # --- R2t: lookup under changing rules -------------------------------------------------
 
-def _intervals(rule_events: DataFrame) -> DataFrame:
-    """Each rule event is in force from its arrival until the next event of its key."""
-    w = Window.partitionBy(*KEY).orderBy(*ORDER)
-    return rule_events.withColumn("_until", F.lead("arrival").over(w))
-
-
 # Rule events above which the as-of lookup is not broadcast. Binned intervals are
 # at most twice the events, ~150 bytes each: at most ~75 MB shipped per executor.
 MAX_ASOF_BROADCAST_EVENTS = 250_000
@@ -113,25 +110,26 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_ASO
     arriving together: the rule first). Before the first rule, or after a retire,
     it misses.
 
+    A NULL table or type matches no rule, on either side and in either plan.
+
     Two plans:
 
-    * ``broadcast``: a rule history proven small (at most ``bound`` events) is cut into
-      intervals ``[arrival, next arrival)``, binned per key into about as many
-      buckets as the key has versions, and broadcast; each change probes the one
-      ``(key, bucket)`` its arrival falls in. The change side is not shuffled.
-      Chosen while no bucket holds more than ``MAX_INTERVALS_PER_BUCKET``
-      intervals, which bounds the work per change.
+    * ``broadcast``: a rule history proven small (at most ``bound`` events, and bytes
+      within the broadcast bound) is cut into intervals ``[arrival, next arrival)``,
+      binned per key into about as many buckets as the key has versions, written
+      once as a checkpoint and broadcast; each change probes the one ``(key,
+      bucket)`` its arrival falls in. The change side is not shuffled. Chosen while
+      no bucket holds more than ``MAX_INTERVALS_PER_BUCKET`` intervals, which bounds
+      the work per change.
     * ``chunked``: otherwise, the chunked as-of scan: one shuffle on (key, chunk),
       linear in both sides, never one rule key in one task.
 
     ``force`` ("broadcast" / "chunked") pins the plan for tests.
     """
-    if force:
-        plan = force
-    else:
-        rule_events, plan = prepare_asof(rule_events, bound)
-    if plan == "broadcast":
-        out = _asof_broadcast(changes, rule_events)
+    rule_events = rule_events.where(F.col("source_table").isNotNull() & F.col("operate_type").isNotNull())
+    binned = None if force == "chunked" else prepare_asof(rule_events, bound, force == "broadcast")
+    if binned is not None:
+        out = _asof_broadcast(changes, binned)
     else:
         out = _asof_chunked(changes, rule_events, chunk_width, fanout)
     hit = F.col("rule_arrival").isNotNull() & ~F.coalesce(F.col("_retired"), F.lit(True))
@@ -143,63 +141,60 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_ASO
 MAX_INTERVALS_PER_BUCKET = 64
 
 
-def prepare_asof(rule_events: DataFrame, bound: int = MAX_ASOF_BROADCAST_EVENTS) -> tuple[DataFrame, str]:
-    """Pick the as-of plan and the history to run it on.
+def prepare_asof(rule_events: DataFrame, bound: int = MAX_ASOF_BROADCAST_EVENTS,
+                 always: bool = False) -> DataFrame | None:
+    """The binned history for the broadcast plan, or None when the chunked one is due.
 
-    At most ``bound + 1`` events are written once as a reliable checkpoint in the
-    shared checkpoint folder. If that is the whole history, it is proven small: the
-    checkpoint serves the bucket check and the lookup, so the history is computed
-    once, and the plan is "broadcast" when the busiest bucket holds at most
-    ``MAX_INTERVALS_PER_BUCKET`` intervals. Otherwise the full history goes to the
-    chunked scan.
+    The history is measured in one distributed pass. If it is within the bounds, its
+    binned intervals are computed once and written as a reliable checkpoint in the
+    shared checkpoint folder; the bucket check, the key map and the interval table
+    all read that. ``always`` skips the checks (tests).
     """
+    if not always and not fits(rule_events, bound, MAX_BROADCAST_BYTES):
+        return None
     checkpoint_root(rule_events.sparkSession)
-    head = rule_events.limit(bound + 1).checkpoint(eager=True)
-    if head.count() > bound:
-        return rule_events, "chunked"
-    _, binned = _bucket_layout(head)
+    binned = _bucket_layout(rule_events).checkpoint(eager=True)
     busiest = (binned.where(F.col("_b").isNotNull()).groupBy(*KEY, "_b").count()
                .agg(F.max("count").alias("m")).first()["m"]) or 0
-    return head, ("broadcast" if busiest <= MAX_INTERVALS_PER_BUCKET else "chunked")
+    return binned if always or busiest <= MAX_INTERVALS_PER_BUCKET else None
 
 
 def choose_asof_plan(rule_events: DataFrame, bound: int = MAX_ASOF_BROADCAST_EVENTS) -> str:
-    """The plan ``prepare_asof`` picks."""
-    return prepare_asof(rule_events, bound)[1]
+    """The plan ``lookup_asof`` takes for this history."""
+    return "chunked" if prepare_asof(rule_events, bound) is None else "broadcast"
 
 
-def _bucket_layout(rule_events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(key_map, binned)`` for the broadcast plan.
+def _bucket_layout(rule_events: DataFrame) -> DataFrame:
+    """Each non-empty interval once per bucket ``_b`` it overlaps, with its key's layout.
 
-    ``key_map``: per key, the first arrival ``_kmin``, the bucket width ``_kw``
-    (the key's arrival span over its number of intervals, at least 1) and the last
-    bucket ``_klast``. ``binned``: each non-empty interval once per bucket it
-    overlaps, ``_b``; the last interval runs to the last bucket. An interval left
+    An event is in force from its arrival until the next event of its key. Per key,
+    ``_kmin`` is the first arrival of a non-empty interval, ``_kw`` the bucket width
+    (the key's arrival span over its number of intervals, at least 1) and ``_klast``
+    the last bucket; the last interval runs to the last bucket. An interval left
     empty by a later event at the same arrival is one row with a NULL bucket.
-    Intervals are disjoint per key, so the rows
-    total at most events + buckets, about twice the history.
+    Intervals are disjoint per key, so the rows total at most events + buckets,
+    about twice the history. All windows share one exchange on the rule key, and the
+    history is bounded by then.
     """
-    iv = _intervals(rule_events)
+    whole = Window.partitionBy(*KEY)
+    until = F.lead("arrival").over(whole.orderBy(*ORDER))
     nonempty = F.col("_until").isNull() | (F.col("_until") > F.col("arrival"))
-    km = (iv.where(nonempty).groupBy(*KEY)
-          .agg(F.min("arrival").alias("_kmin"), F.max("arrival").alias("_kmax"),
-               F.count(F.lit(1)).alias("_kn"))
+    at = F.when(nonempty, F.col("arrival"))
+    iv = (rule_events.withColumn("_until", until)
+          .withColumn("_kmin", F.min(at).over(whole)).withColumn("_kmax", F.max(at).over(whole))
+          .withColumn("_kn", F.count(at).over(whole))
           .withColumn("_kw", F.greatest(F.lit(1), F.ceil((F.col("_kmax") - F.col("_kmin") + 1)
                                                          / F.col("_kn"))).cast("long"))
-          .withColumn("_klast", F.expr("(_kmax - _kmin) div _kw"))
-          .drop("_kmax", "_kn"))
+          .withColumn("_klast", F.expr("(_kmax - _kmin) div _kw")).drop("_kmax", "_kn"))
     first = F.expr("(arrival - _kmin) div _kw")
     last = F.when(F.col("_until").isNull(), F.col("_klast")) \
             .otherwise(F.expr("(_until - 1 - _kmin) div _kw"))
-    binned = (iv.join(km, KEY)
-              .withColumn("_b", F.explode_outer(F.when(nonempty, F.sequence(first, last)))))
-    return km, binned
+    return iv.withColumn("_b", F.explode_outer(F.when(nonempty, F.sequence(first, last))))
 
 
-def _asof_broadcast(changes: DataFrame, rule_events: DataFrame) -> DataFrame:
-    km, binned = _bucket_layout(rule_events)
-    km = km.select(F.col("source_table").alias("_st"), F.col("operate_type").alias("_ot"),
-                   "_kmin", "_kw", "_klast")
+def _asof_broadcast(changes: DataFrame, binned: DataFrame) -> DataFrame:
+    km = (binned.groupBy(F.col("source_table").alias("_st"), F.col("operate_type").alias("_ot"))
+          .agg(*[F.first(c).alias(c) for c in ("_kmin", "_kw", "_klast")]))
     bt = binned.where(F.col("_b").isNotNull()).select(
         F.col("source_table").alias("_bst"), F.col("operate_type").alias("_bot"), "_b",
         F.col("arrival").alias("rule_arrival"), "_until", *PAYLOAD,
@@ -231,6 +226,10 @@ def _asof_chunked(changes: DataFrame, rule_events: DataFrame, chunk_width: int,
           .unionByName(c)
           .withColumn("_chunk", chunk_of(F.col("arrival"), chunk_width)))
     keys = ["_st", "_ot"]
+    # NULL-keyed changes match nothing; their own seq keeps them out of one group.
+    u = u.withColumn("_st", F.when(F.col("_st").isNull() | F.col("_ot").isNull(),
+                                   F.concat(F.lit("\0"), F.col("seq").cast("string"))).otherwise(F.col("_st"))) \
+         .withColumn("_ot", F.coalesce("_ot", F.lit("")))
     w = (Window.partitionBy(*keys, "_chunk").orderBy("arrival", "_tag", "seq")
          .rowsBetween(Window.unboundedPreceding, 0))
     scanned = u.withColumn("_seen", F.last("_rule", ignorenulls=True).over(w))

@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A record that repeats a key keeps the last value, as a map-based parser does.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Checkpoints written by queries (first claims, rule history, page topic) are
     # removed once their DataFrames are gone, so the shared folder does not fill.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

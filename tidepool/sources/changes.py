@@ -10,7 +10,7 @@ of the table (from parquet or JDBC) before the log, each row as op ``r``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Envelope op codes by change type (fixed Debezium values).
@@ -56,12 +56,37 @@ def snapshot_envelopes(snapshot: DataFrame, server: str, database: str, table: s
     return envelopes(rows, server, database, "_table", "_type", columns)
 
 
+def only_tables(changes: DataFrame, database: str | None = None, tables: list[str] | None = None) -> DataFrame:
+    """Changes of one database and, if given, of its named tables only. Records whose
+    topic names no table are kept: normalisation rejects them with their text."""
+    parts = F.split(F.col("topic"), r"\.")
+    named = F.size(parts) >= 3
+    keep = F.lit(True)
+    if database:
+        keep = keep & (F.try_element_at(parts, F.lit(2)) == database)
+    if tables:
+        keep = keep & F.try_element_at(parts, F.lit(3)).isin(tables)
+    return changes.where(~named | keep)
+
+
 def change_source(log: DataFrame, snapshot: DataFrame | None = None,
                   startup: str = "latest") -> DataFrame:
     """S2 startup modes: ``latest`` reads only the log; ``initial`` puts the snapshot
-    first. Both inputs are raw envelopes."""
+    first. Both inputs are raw envelopes; for a streaming log the snapshot is a stream
+    over files of envelopes (``snapshot_stream``)."""
     if startup == "latest" or snapshot is None:
         return log
     if startup != "initial":
         raise ValueError(f"unknown startup mode {startup!r}")
     return snapshot.unionByName(log)
+
+
+def snapshot_stream(spark: SparkSession, path: str, server: str, database: str, table: str,
+                    key: str, columns: list[str]) -> DataFrame:
+    """The initial snapshot of a table as a stream: its parquet files under ``path``,
+    read once each, every row as op ``r`` with an arrival before the log. ``key`` is the
+    table's numeric primary key, which orders the rows."""
+    schema = spark.read.parquet(path).schema
+    rows = (spark.readStream.schema(schema).parquet(path)
+            .select(F.col(key).cast("long").alias("seq"), *[F.col(c).cast("string").alias(c) for c in columns]))
+    return snapshot_envelopes(rows, server, database, table, columns)
