@@ -114,3 +114,47 @@ def rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("case when o_orderkey % 2 = 0 then 'id,o_orderpriority' "
                "else 'id,o_orderpriority,o_orderstatus' end").alias("sink_columns"),
     )
+
+
+# Kinds of app-log text by event id modulo 10, besides plain records: what surrounds,
+# replaces or fills the object.
+LOG_KINDS = """
+case event_id % 10
+  when 0 then concat(chr(9), chr(10), {plain})
+  when 1 then concat('[', {plain}, ']')
+  when 2 then 'null'
+  when 3 then concat('"', event_type, '"')
+  when 4 then ''
+  when 5 then concat('{{"x":null,', substring({plain}, 2))
+  when 6 then replace({plain}, '"page":{{', '"page":{{"ref":null,')
+  else {plain} end
+"""
+
+
+def app_log_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The app log with all kinds of text a tolerant parse meets (FIXTURES.md §6)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").alias("arrival"), F.col("event_id").alias("seq"),
+                     F.expr(LOG_KINDS.format(plain=f"({APP_LOG_VALUE})")).alias("value"))
+
+
+def cdc_envelopes_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw change envelopes of ``orders`` with what a change source also sends: deletes
+    with a filled ``before`` and no ``after``, cut-off text, topics without a table, and
+    white space before the object (FIXTURES.md §6)."""
+    o = table(spark, sf_dir, "orders")
+    row = "concat('{\"id\":\"', o_custkey, '\",\"o_orderpriority\":\"', o_orderpriority, '\"}')"
+    env = f"""
+    case when o_orderkey % 10 = 8 then concat('{{"before":', {row}, ',"after":null,"op":"d"}}')
+         when o_orderkey % 10 = 7 then concat('{{"before":', {row}, ',"after":', {row}, ',"op":"u"}}')
+         else concat('{{"before":null,"after":', {row}, ',"op":"c"}}') end"""
+    return o.select(
+        F.col("o_orderkey").alias("arrival"), F.col("o_orderkey").alias("seq"),
+        F.expr(f"case when o_orderkey % 13 = 0 then '{CDC_SERVER}' else '{CDC_SERVER}.{CDC_DATABASE}.orders' end").alias("topic"),
+        F.expr(f"case when o_orderkey % 11 = 0 then concat('{{oops ', o_orderkey) "
+               f"when o_orderkey % 11 = 1 then concat(chr(10), {env}) else {env} end").alias("value"))
+
+
+def rule_log_retiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rule_log`` where every ninth edit retires the rule of its key."""
+    return rule_log(spark, sf_dir).withColumn("retired", F.col("seq") % 9 == 0)

@@ -2,12 +2,17 @@
 
 On a cluster a topic is a Kafka topic: ``arrival`` is the record timestamp (ms)
 and ``seq`` packs (partition, offset), so ``(arrival, seq)`` is the order the
-reference consumes in. The Kafka connector is not installed in this image, so
-every reader and writer also has a file stand-in: a topic is a folder
-``<root>/topic=<topic>/batch_id=<n>/`` of parquet ``(arrival, seq, value)``
-files. A micro-batch writes all its topics in one job, partitioned by topic and
-batch, with dynamic partition overwrite, so a retried batch replaces exactly its
-own output (at-least-once delivery becomes effectively-once).
+reference consumes in. Jobs read from and write to either Kafka (``read_kafka``,
+``KafkaTopics``) or files (``read_topic``, ``FileTopics``); the Kafka connector is
+not installed in this image, so the tests run on files.
+
+A file topic is a folder ``<root>/topic=<topic>/producer=<id>/batch_id=<n>/`` of
+parquet ``(arrival, seq, value)`` files. A micro-batch writes all its topics in one
+job, partitioned by topic, producer and batch, with dynamic partition overwrite:
+a retried batch replaces exactly its own output (at-least-once delivery becomes
+effectively-once), and no producer touches another's. The producer is the id of
+the streaming query, which its checkpoint keeps: a query started anew with another
+checkpoint counts its batches from 0 again, but as another producer.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOPIC_SCHEMA = "arrival long, seq long, value string, batch_id long"
+TOPIC_SCHEMA = "arrival long, seq long, value string, producer string, batch_id long"
 
 # Offsets are packed under the partition number: 2^40 offsets per partition.
 OFFSET_BITS = 40
@@ -25,14 +30,19 @@ OFFSET_BITS = 40
 
 def read_kafka(spark: SparkSession, topic: str, servers: str, stream: bool = True,
                starting: str = "latest", options: dict | None = None,
-               with_topic: bool = False) -> DataFrame:
+               with_topic: bool = False, group: str | None = None) -> DataFrame:
     """S1 on Kafka: UTF-8 values with their arrival order. ``starting`` maps the
     reference's startup modes (``latest`` / ``earliest``). ``with_topic`` keeps the
-    record's topic, which names the source table for change envelopes (S2)."""
+    record's topic, which names the source table for change envelopes (S2).
+    ``group`` is the consumer group; a stream's position is in its checkpoint, so the
+    group only names the reader to the broker."""
+    options = dict(options or {})
+    if group:
+        options["kafka.group.id"] = group
     r = spark.readStream if stream else spark.read
     df = (r.format("kafka").option("kafka.bootstrap.servers", servers)
           .option("subscribe", topic).option("startingOffsets", starting)
-          .options(**(options or {})).load())
+          .options(**options).load())
     return df.select(
         F.unix_millis(F.col("timestamp")).alias("arrival"),
         (F.shiftleft(F.col("partition").cast("long"), OFFSET_BITS) + F.col("offset")).alias("seq"),
@@ -40,16 +50,6 @@ def read_kafka(spark: SparkSession, topic: str, servers: str, stream: bool = Tru
         F.col("value").cast("string").alias("value"))
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str | None = None) -> None:
-    """K1 (fixed ``topic``) or K2 (per-row ``topic`` column) on Kafka, from a
-    micro-batch or batch DataFrame."""
-    w = df.select(*(["topic"] if topic is None else []), "value").write.format("kafka") \
-          .option("kafka.bootstrap.servers", servers)
-    if topic is not None:
-        w = w.option("topic", topic)
-    w.save()
-
-
 def topic_path(root: str, topic: str) -> str:
     return os.path.join(root, f"topic={topic}")
 
@@ -68,26 +68,45 @@ def read_topic(spark: SparkSession, root: str, topic: str, stream: bool = False,
     return df.select("arrival", "seq", "value")
 
 
-def write_topics(df: DataFrame, root: str, batch_id: int) -> None:
+def producer_of(df: DataFrame) -> str:
+    """The id of the streaming query that handles this micro-batch; ``batch`` outside one."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def write_topics(df: DataFrame, root: str, batch_id: int, producer: str | None = None) -> None:
     """K1 / K2 file stand-in: records ``(topic, arrival, seq, value)``, each to its
-    own topic, in one job; only the ``(topic, batch_id)`` folders of this batch are
-    replaced."""
+    own topic, in one job; only the ``(topic, producer, batch_id)`` folders of this
+    batch are replaced."""
     (df.select("topic", "arrival", "seq", "value")
+       .withColumn("producer", F.lit(producer or producer_of(df)))
        .withColumn("batch_id", F.lit(batch_id).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("topic", "batch_id").parquet(root))
+       .partitionBy("topic", "producer", "batch_id").parquet(root))
+
+
+class FileTopics:
+    """Topics as folders under ``root``."""
+
+    def __init__(self, root: str, producer: str | None = None):
+        self.root, self.producer = root, producer
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Records ``(topic, arrival, seq, value)`` of one micro-batch."""
+        write_topics(df, self.root, batch_id, self.producer)
 
 
-def write_topic(df: DataFrame, root: str, topic: str, batch_id: int) -> None:
-    """K1 file stand-in: one micro-batch of ``(arrival, seq, value)`` to ``topic``."""
-    write_topics(df.withColumn("topic", F.lit(topic)), root, batch_id)
+class KafkaTopics:
+    """Topics on a Kafka cluster; a retried batch is delivered again (at least once)."""
 
+    def __init__(self, servers: str, options: dict | None = None):
+        self.servers, self.options = servers, options or {}
 
-def write_dynamic_topics(df: DataFrame, root: str, batch_id: int) -> None:
-    """K2 file stand-in: records carry their own ``topic`` (the rule's sink table)."""
-    write_topics(df, root, batch_id)
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """K1 and K2: each record to the topic it names."""
+        (df.select("topic", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", self.servers).options(**self.options).save())
 
 
 def read_dynamic_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """Read back one topic written by ``write_dynamic_topics``."""
+    """Read back one topic that records named themselves (K2)."""
     return read_topic(spark, root, topic)

@@ -4,7 +4,13 @@ J4 (rule routing), J6 (change stream to console), S4 (raw landing).
 Every query has a checkpoint location under the shared checkpoint folder
 (``spark.checkpoint.dir``), so state and source progress survive a restart or a
 lost executor (Q16). Multi-output and dynamic sinks run in ``foreachBatch`` and
-write under the batch id with overwrite, so a retried batch replaces its output.
+write under the query's and the batch's id with overwrite, so a retried batch
+replaces its output. Every record read is written somewhere: what a job cannot use
+goes to a topic of its own with the reason and the text received.
+
+Jobs write to file topics under ``root`` unless given another ``sink`` (an object
+with ``write(records, batch_id)``, e.g. ``KafkaTopics``), and read file topics unless
+given a ``source``.
 """
 
 from __future__ import annotations
@@ -16,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tidepool.functions import json as J
 from tidepool.functions.time import day_text
 from tidepool.operators import cdc as C
 from tidepool.operators import dims as D
 from tidepool.operators import logs as L
 from tidepool.operators import rules as R
 from tidepool.session import checkpoint_root
+from tidepool.sources import landing as S4
 from tidepool.sources import topics as T
 from tidepool.streaming.processors import (
     DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_INPUT, W2_OUTPUT, UniqueVisitProcessor,
@@ -32,6 +40,13 @@ DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY = "dwd_start_log", "dwd_page_log", "dwd_
 DWM_UV = "dwm_unique_visit"
 DIRTY_DB = "dirty_db"
 DIM_REJECTS = "dim_rejects"
+DIRTY_PAGE = "dirty_page_log"
+ROUTE_MISSES, RULE_REJECTS = "route_misses", "rule_rejects"
+RULE_TABLE = "table_process"
+# Topics of the engine itself, which no rule may name as its sink.
+SYSTEM_TOPICS = [ODS_LOG, ODS_DB, DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY, DWM_UV, DIRTY_DB, DIRTY_PAGE,
+                 DIM_REJECTS, ROUTE_MISSES, RULE_REJECTS]
+RESERVED = "reserved_topic"
 ROUTE_TOPICS = {L.ROUTE_START: DWD_START, L.ROUTE_PAGE: DWD_PAGE,
                 L.ROUTE_DISPLAY: DWD_DISPLAY, L.ROUTE_DIRTY: DIRTY}
 
@@ -69,18 +84,18 @@ def repaired_log(raw: DataFrame) -> DataFrame:
 
 def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
                   checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                  source: DataFrame | None = None) -> StreamingQuery:
+                  source: DataFrame | None = None, sink=None) -> StreamingQuery:
     """ods_base_log -> dirty / start / page / display topics."""
     raw = source if source is not None else T.read_topic(
         spark, root, ODS_LOG, stream=True, max_files_per_trigger=max_files_per_trigger)
     stream = repaired_log(raw)
-
+    sink = sink or T.FileTopics(root)
     topic_of = F.create_map(*[x for kv in ROUTE_TOPICS.items() for x in map(F.lit, kv)])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # All four topics in one job: the batch is computed once, nothing cached.
         out = L.split_all(batch)
-        T.write_topics(out.withColumn("topic", topic_of[F.col("route")]), root, batch_id)
+        sink.write(out.withColumn("topic", topic_of[F.col("route")]), batch_id)
 
     return _start(stream, "log_job", _checkpoint(spark, "log_job", checkpoint), write,
                   trigger or {"availableNow": True})
@@ -89,8 +104,11 @@ def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
 def unique_visits(raw_pages: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """P2 + P7 + W2 (+ W3 when ``ttl_ms``) on a stream of page records; only
     session entries are shuffled to the keyed processor."""
-    parsed = L.parse_page_log(raw_pages)
-    entries = (parsed.where(F.col("reason").isNull() & L.session_entry(F.col("last_page_id")))
+    return _visits_of(L.parse_page_log(raw_pages), ttl_ms)
+
+
+def _visits_of(parsed_pages: DataFrame, ttl_ms: int | None) -> DataFrame:
+    entries = (parsed_pages.where(F.col("reason").isNull() & L.session_entry(F.col("last_page_id")))
                .withColumn("day", day_text(F.col("ts"))).select(*W2_INPUT))
     time_mode = "ProcessingTime" if ttl_ms else "None"
     return (entries.groupBy("mid")
@@ -99,95 +117,161 @@ def unique_visits(raw_pages: DataFrame, ttl_ms: int | None = None) -> DataFrame:
 
 def start_uv_job(spark: SparkSession, root: str, trigger: dict | None = None,
                  checkpoint: str | None = None, ttl: bool = False,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """dwd_page_log -> dwm_unique_visit. ``ttl=True`` adds the 24 h state
-    expiry (W3); such a query keeps making batches, so stop it explicitly (H4)."""
-    pages = T.read_topic(spark, root, DWD_PAGE, stream=True,
-                         max_files_per_trigger=max_files_per_trigger)
-    uv = unique_visits(pages, DAY_MS if ttl else None)
+                 max_files_per_trigger: int | None = None, source: DataFrame | None = None,
+                 sink=None) -> StreamingQuery:
+    """dwd_page_log -> dwm_unique_visit; records it cannot use (Q4, Q5) to
+    ``dirty_page_log``. ``ttl=True`` adds the 24 h state expiry (W3); such a query
+    keeps making batches, so stop it explicitly (H4)."""
+    pages = source if source is not None else T.read_topic(
+        spark, root, DWD_PAGE, stream=True, max_files_per_trigger=max_files_per_trigger)
+    parsed = L.parse_page_log(pages)
+    uv = _visits_of(parsed, DAY_MS if ttl else None).select(
+        F.lit(DWM_UV).alias("topic"), "arrival", "seq", "value")
+    rejects = L.page_rejects(parsed).select(
+        F.lit(DIRTY_PAGE).alias("topic"), "arrival", "seq", F.to_json(F.struct("reason", "value")).alias("value"))
+    sink = sink or T.FileTopics(root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        T.write_topic(batch, root, DWM_UV, batch_id)
+        sink.write(batch, batch_id)
 
-    return _start(uv, "uv_job", _checkpoint(spark, "uv_job", checkpoint), write,
+    return _start(uv.unionByName(rejects), "uv_job", _checkpoint(spark, "uv_job", checkpoint), write,
                   trigger or {"availableNow": True})
 
 
 def start_cdc_job(spark: SparkSession, root: str, changes: DataFrame, trigger: dict | None = None,
-                  checkpoint: str | None = None) -> StreamingQuery:
-    """Raw change envelopes -> normalised ods_base_db (P9, P4); rejects to
-    ``dirty_db``."""
+                  checkpoint: str | None = None, sink=None) -> StreamingQuery:
+    """Raw change envelopes -> normalised ods_base_db (P9, P4); what cannot be
+    read goes to ``dirty_db`` with the reason, topic and text received."""
     norm = C.normalize(changes)
+    sink = sink or T.FileTopics(root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Normalised records and rejects in one job, each to its topic.
         good = F.col("reason").isNull()
-        T.write_topics(batch.select(
+        sink.write(batch.select(
             F.when(good, F.lit(ODS_DB)).otherwise(F.lit(DIRTY_DB)).alias("topic"), "arrival", "seq",
-            F.when(good, C.record_json()).otherwise(F.col("reason")).alias("value")), root, batch_id)
+            F.when(good, C.record_json()).otherwise(C.reject_json()).alias("value")), batch_id)
 
     return _start(norm, "cdc_job", _checkpoint(spark, "cdc_job", checkpoint), write,
                   trigger or {"availableNow": True})
 
 
+def _start_print(records: DataFrame, name: str, label: str, out: str | None, num_rows: int,
+                 trigger: dict | None, checkpoint: str | None) -> StreamingQuery:
+    """K5: every record as a labelled line in ``out``, one folder per batch, and the
+    first ``num_rows`` of each batch on the console as a view of them."""
+    spark = records.sparkSession
+    out = out or os.path.join(checkpoint_root(spark), "printed", name)
+    lines = records.select(F.concat(F.lit(f"{label}> "), F.coalesce("value", F.lit("null"))).alias("value"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = os.path.join(out, f"producer={T.producer_of(batch)}", f"batch_id={batch_id}")
+        batch.write.mode("overwrite").text(folder)
+        batch.sparkSession.read.text(folder).show(num_rows, truncate=False)
+
+    return _start(lines, name, _checkpoint(spark, name, checkpoint), write, trigger or {"availableNow": True})
+
+
 def start_console_job(spark: SparkSession, changes: DataFrame, trigger: dict | None = None,
-                      checkpoint: str | None = None, num_rows: int = 20) -> StreamingQuery:
-    """Raw change envelopes -> normalised records printed per micro-batch (K5).
-    The console sink shows at most ``num_rows`` rows per batch; it is a debugging
-    view, every row is still normalised."""
+                      checkpoint: str | None = None, num_rows: int = 20, out: str | None = None) -> StreamingQuery:
+    """Raw change envelopes -> every normalised record, and every reject with its
+    reason, printed (K5)."""
     norm = C.normalize(changes)
-    return (C.as_json(norm.where(F.col("reason").isNull()))
-            .writeStream.queryName("console_job").format("console")
-            .option("truncate", "false").option("numRows", str(num_rows))
-            .option("checkpointLocation", _checkpoint(spark, "console_job", checkpoint))
-            .trigger(**(trigger or {"availableNow": True})).start())
+    text = norm.select(F.when(F.col("reason").isNull(), C.record_json()).otherwise(C.reject_json()).alias("value"))
+    return _start_print(text, "console_job", "change", out, num_rows, trigger, checkpoint)
 
 
 def start_topic_console(spark: SparkSession, root: str, topic: str, trigger: dict | None = None,
-                        checkpoint: str | None = None, num_rows: int = 20) -> StreamingQuery:
+                        checkpoint: str | None = None, num_rows: int = 20, out: str | None = None,
+                        source: DataFrame | None = None) -> StreamingQuery:
     """S1 + K5 debug reader: print a topic's records as they arrive (the
     reference's manual check of the page topic)."""
-    name = f"console_{topic}"
-    return (T.read_topic(spark, root, topic, stream=True)
-            .writeStream.queryName(name).format("console")
-            .option("truncate", "false").option("numRows", str(num_rows))
-            .option("checkpointLocation", _checkpoint(spark, name, checkpoint))
-            .trigger(**(trigger or {"availableNow": True})).start())
+    records = source if source is not None else T.read_topic(spark, root, topic, stream=True)
+    return _start_print(records, f"console_{topic}", topic, out, num_rows, trigger, checkpoint)
 
 
 def start_rule_job(spark: SparkSession, root: str, rule_changes: DataFrame,
                    trigger: dict | None = None, checkpoint: str | None = None,
-                   dims: D.DimStore | None = None) -> StreamingQuery:
-    """J4 query A (R1): rule-table changes -> the rule event log. The rule table
-    in force is the fold of that log (``current_rules``).
-
-    With ``dims``, each batch's dimension rules create their dimension (K3), as
-    the reference creates its table when such a rule arrives. The rows read back
-    are the distinct dimension names of the batch's rule changes: DDL runs on the
-    driver, once per dimension table, and the rule table is configuration-sized.
+                   dims: D.DimStore | None = None, rule_table: str = RULE_TABLE,
+                   honour_sink_pk: bool = False, sink=None) -> StreamingQuery:
+    """J4 query A (R1): changes of the rule table -> the rule event log. The rule
+    table in force is the fold of that log (``current_rules``). Changes of other
+    tables are no rules and are left out; unreadable ones, and rules whose names
+    cannot be used, go to ``rule_rejects``.
+
+    With ``dims``, each batch's dimension rules create their dimension (K3), as the
+    reference creates its table when such a rule arrives, over the columns of all
+    live rules of that dimension. The rows read back are those rules: DDL runs on
+    the driver, once per dimension, and the rule table is configuration-sized.
     """
-    events = R.bind_rules(C.normalize(rule_changes))
+    norm = C.normalize(rule_changes)
+    sink = sink or T.FileTopics(root)
+    _ensure_rule_log(spark, root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite")
-         .parquet(os.path.join(root, "_rules", f"batch_id={batch_id}")))
+        events = R.bind_rules(batch.where(F.col("reason").isNull() & (F.col("table_name") == rule_table)))
+        (events.withColumn("producer", F.lit(T.producer_of(batch))).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("producer", "batch_id").parquet(_rule_path(root)))
+        rejected = batch.where(F.col("reason").isNotNull()).select("arrival", "seq", C.reject_json().alias("value"))
+        bad = _unusable(events)
+        sink.write(rejected.unionByName(bad).withColumn("topic", F.lit(RULE_REJECTS)), batch_id)
         if dims is not None:
-            wanted = (batch.where((F.col("sink_type") == R.SINK_HBASE) & ~F.col("retired"))
-                      .select("sink_table", "sink_columns").distinct())
-            for row in wanted.collect():
-                cols = [c for c in (row.sink_columns or "").split(",") if c and c != "id"]
-                dims.ensure_dimension(row.sink_table, cols)
+            _ensure_dimensions(spark, root, events, dims, honour_sink_pk)
 
-    return _start(events, "rule_job", _checkpoint(spark, "rule_job", checkpoint), write,
+    return _start(norm, "rule_job", _checkpoint(spark, "rule_job", checkpoint), write,
                   trigger or {"availableNow": True})
 
 
+_RULE_SCHEMA = ("arrival long, seq long, " + ", ".join(f"{c} string" for c in R.RULE_FIELDS)
+                + ", retired boolean, producer string, batch_id long")
+
+
+def _rule_path(root: str) -> str:
+    return os.path.join(root, "_rules")
+
+
+def _ensure_rule_log(spark: SparkSession, root: str) -> None:
+    """An empty rule log, so that a reader before the first rule finds none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_rule_path(root))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(path)
+
+
+def _dimension_columns(sink_columns: str | None, key: str) -> list[str]:
+    return [c for c in (sink_columns or "").split(",") if c and c != key]
+
+
+def _unusable(events: DataFrame) -> DataFrame:
+    """Live dimension rules with a name that cannot be a table or column: ``arrival, seq, value``."""
+    word = r"^[A-Za-z_][A-Za-z0-9_]*$"
+    bad = F.exists(F.filter(F.split(F.coalesce("sink_columns", F.lit("")), ","), lambda c: c != ""),
+                   lambda c: ~c.rlike(word))
+    return (events.where((F.col("sink_type") == R.SINK_HBASE) & ~F.col("retired")
+                         & (bad | ~F.coalesce("sink_table", F.lit("")).rlike(word)))
+            .select("arrival", "seq", F.to_json(F.struct(
+                F.lit("bad_name").alias("reason"), "source_table", "operate_type", "sink_table", "sink_columns")).alias("value")))
+
+
+def _ensure_dimensions(spark: SparkSession, root: str, events: DataFrame, dims: D.DimStore,
+                       honour_sink_pk: bool) -> None:
+    """Views of the dimensions that this batch's rules name, over all their live rules.
+    Columns whose name cannot be used hold no cell and are left out."""
+    named = events.where((F.col("sink_type") == R.SINK_HBASE) & ~F.col("retired")).select("sink_table").distinct()
+    live = current_rules(spark, root).where(F.col("sink_type") == R.SINK_HBASE).join(named, "sink_table", "left_semi")
+    columns: dict[str, set[str]] = {}
+    for r in live.select("sink_table", "sink_columns", "sink_pk").distinct().collect():
+        if D.is_name(r["sink_table"]):
+            key = r["sink_pk"] if honour_sink_pk and r["sink_pk"] else "id"
+            columns.setdefault(r["sink_table"], set()).update(
+                c for c in _dimension_columns(r["sink_columns"], key) if D.is_name(c))
+    for name, cols in sorted(columns.items()):
+        dims.ensure_dimension(name, sorted(cols))
+
+
 def rule_log(spark: SparkSession, root: str) -> DataFrame:
-    """The rule event log written by ``start_rule_job``."""
-    path = os.path.join(root, "_rules")
-    schema = ("arrival long, seq long, " + ", ".join(f"{c} string" for c in R.RULE_FIELDS)
-              + ", retired boolean, batch_id long")
-    return spark.read.schema(schema).parquet(path).drop("batch_id")
+    """The rule event log written by ``start_rule_job``; empty before its first batch."""
+    _ensure_rule_log(spark, root)
+    return spark.read.schema(_RULE_SCHEMA).parquet(_rule_path(root)).drop("producer", "batch_id")
 
 
 def current_rules(spark: SparkSession, root: str) -> DataFrame:
@@ -195,9 +279,14 @@ def current_rules(spark: SparkSession, root: str) -> DataFrame:
     return R.latest_rules(rule_log(spark, root))
 
 
+ODS_SCHEMA = ("struct<database: string, tableName: string, before: map<string,string>, "
+              "after: map<string,string>, type: string, _corrupt_record: string>")
+
+
 def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: DataFrame | None = None,
                     trigger: dict | None = None, checkpoint: str | None = None,
-                    asof: bool = True, honour_sink_pk: bool = False) -> StreamingQuery:
+                    asof: bool = True, honour_sink_pk: bool = False, sink=None,
+                    compact_every: int = 100) -> StreamingQuery:
     """J4 query B: ods_base_db -> rule lookup (R2), trim (P10), route (R3) ->
     dynamic fact topics (K2) and dimension upsert (K4).
 
@@ -207,12 +296,16 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
     around it fall into one batch. ``asof=False`` uses the latest rules, so a rule
     change takes effect from the next batch. ``honour_sink_pk`` keys dimension rows
     by the rule's ``sink_pk`` instead of ``id`` (Q9, off as in the reference).
+
+    Text that is no record goes to ``dirty_db`` (P2), records without a rule, with a
+    sink of unknown type or with a system topic as their sink to ``route_misses``,
+    records without a row key to ``dim_rejects``. Every ``compact_every`` batches the
+    dimension store is folded, by this job as its only writer.
     """
     src = changes if changes is not None else T.read_topic(spark, root, ODS_DB, stream=True)
-    ods_schema = ("struct<database: string, tableName: string, before: map<string,string>, "
-                  "after: map<string,string>, type: string>")
-    rec = F.from_json(F.col("value"), ods_schema)
+    rec = F.from_json(F.col("value"), ODS_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
     norm = _ods_columns(src, rec)
+    sink = sink or T.FileTopics(root)
 
     def lookup(batch: DataFrame) -> DataFrame:
         if asof:
@@ -220,51 +313,68 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
         return R.route_changes(batch, current_rules(spark, root))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = lookup(batch).persist()
+        dirty = batch.where(F.col("reason").isNotNull()).select(
+            F.lit(DIRTY_DB).alias("topic"), "arrival", "seq",
+            F.to_json(F.struct("reason", F.lit(ODS_DB).alias("topic"), "value")).alias("value"))
+        routed = lookup(batch.where(F.col("reason").isNull()).drop("reason", "value")).persist()
         try:
-            facts = (routed.where(F.col("route") == R.SINK_KAFKA)
-                     .select(F.col("sink_table").alias("topic"), "arrival", "seq",
-                             F.to_json("after").alias("value")))
+            out = fact_and_miss_records(routed)
             cells, rejects = D.cells(routed.where(F.col("route") == R.SINK_HBASE),
                                      honour_sink_pk=honour_sink_pk)
             rejected = rejects.select(F.lit(DIM_REJECTS).alias("topic"), "arrival", "seq",
                                       F.to_json(F.struct("sink_table", "reason")).alias("value"))
-            # Fact topics and rejects in one job; the cells go to the dimension store.
-            T.write_topics(facts.unionByName(rejected), root, batch_id)
-            dims.append(cells)
+            # Facts, misses and rejects in one job; the cells go to the dimension store.
+            sink.write(out.unionByName(rejected).unionByName(dirty), batch_id)
+            dims.append(cells, f"{T.producer_of(batch)}-{batch_id}")
         finally:
             routed.unpersist()
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            dims.compact()
 
     return _start(norm, "route_job", _checkpoint(spark, "route_job", checkpoint), write,
                   trigger or {"availableNow": True})
 
 
+def fact_and_miss_records(routed: DataFrame) -> DataFrame:
+    """Routed changes that are no dimension rows, as topic records: facts to the topic
+    their rule names (K2), all others to ``route_misses`` with the reason."""
+    route = F.when((F.col("route") == R.SINK_KAFKA) & (F.col("sink_table").isNull() | F.col("sink_table").isin(SYSTEM_TOPICS)),
+                   F.lit(RESERVED)).otherwise(F.col("route"))
+    fact = F.col("_route") == R.SINK_KAFKA
+    miss = F.to_json(F.struct(F.col("_route").alias("reason"), "database", F.col("table_name").alias("tableName"),
+                              "type", "before", "after", F.col("sink_table").alias("sinkTable")))
+    return (routed.where(F.col("route") != R.SINK_HBASE).withColumn("_route", route)
+            .select(F.when(fact, F.col("sink_table")).otherwise(F.lit(ROUTE_MISSES)).alias("topic"), "arrival", "seq",
+                    F.when(fact, F.to_json("after")).otherwise(miss).alias("value")))
+
+
 def _ods_columns(src: DataFrame, rec) -> DataFrame:
-    """ods_base_db text -> the normalised columns the router reads."""
-    return (src.select("arrival", "seq", rec.alias("_r"))
-            .select("arrival", "seq", F.col("_r.database").alias("database"),
+    """ods_base_db text -> the normalised columns the router reads; text that is no
+    record has a ``reason`` (P2)."""
+    empty = F.create_map().cast("map<string,string>")
+    ok = (F.col("_r").isNotNull() & F.col("_r._corrupt_record").isNull() & J.opens_object(F.col("value")))
+    return (J.evaluate_once(src, rec, "_r", ["arrival", "seq", "value"])
+            .select("arrival", "seq", "value", F.when(~F.coalesce(ok, F.lit(False)), F.lit(C.MALFORMED)).alias("reason"),
+                    F.col("_r.database").alias("database"),
                     F.col("_r.tableName").alias("table_name"), F.col("_r.type").alias("type"),
-                    F.col("_r.before").alias("before"), F.col("_r.after").alias("after")))
+                    F.coalesce("_r.before", empty).alias("before"), F.coalesce("_r.after", empty).alias("after")))
 
 
 def start_landing_job(spark: SparkSession, incoming: str, root: str, landing: str,
-                      trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """Text lines dropped in ``incoming`` -> bare lines under
-    ``landing/dt=<ingest day>/batch_id=<n>/`` and the ods_base_log topic.
-    Arrival is the batch; ``seq`` orders lines within it."""
-    lines = spark.readStream.text(incoming)
+                      trigger: dict | None = None, checkpoint: str | None = None, sink=None) -> StreamingQuery:
+    """Text lines of files dropped in ``incoming`` -> bare lines under
+    ``landing/dt=<day of receipt>/batch_id=<n>/`` and the ods_base_log topic, in the
+    order received (file time, path, place in the file)."""
+    sink = sink or T.FileTopics(root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        now = batch.sparkSession.sql("select current_timestamp() t").first()["t"]
-        day = now.strftime("%Y-%m-%d")
-        b = batch.persist()
+        lines = batch.withColumn("line", F.monotonically_increasing_id()).persist()
         try:
-            b.write.mode("overwrite").text(os.path.join(landing, f"dt={day}", f"batch_id={batch_id}"))
-            ods = b.select(F.lit(batch_id).cast("long").alias("arrival"),
-                           F.monotonically_increasing_id().alias("seq"), "value")
-            T.write_topic(ods, root, ODS_LOG, batch_id)
+            b = S4.in_order(lines)
+            S4.write_landing(S4.land(b, "received_ms"), landing, batch_id)
+            sink.write(b.select(F.lit(ODS_LOG).alias("topic"), "arrival", "seq", "value"), batch_id)
         finally:
-            b.unpersist()
+            lines.unpersist()
 
-    return _start(lines, "landing_job", _checkpoint(spark, "landing_job", checkpoint), write,
-                  trigger or {"availableNow": True})
+    return _start(S4.received_lines(spark, incoming), "landing_job", _checkpoint(spark, "landing_job", checkpoint),
+                  write, trigger or {"availableNow": True})
