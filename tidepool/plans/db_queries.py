@@ -67,7 +67,8 @@ def q_rule_miss(spark, sf_dir):
     rules = R.latest_rules(DB.rule_events(DB.rule_envelopes_fixed(spark)))
     ch = _changes(spark, sf_dir)
     keys = rules.select(F.col("source_table").alias("table_name"), F.col("operate_type").alias("type"))
-    return ch.join(F.broadcast(keys), ["table_name", "type"], "left_anti") \
+    # The optimizer broadcasts the keys if their measured size allows it.
+    return ch.join(keys, ["table_name", "type"], "left_anti") \
              .select("arrival", "seq", "table_name", "type")
 
 
@@ -117,7 +118,67 @@ def q_raw_log_landing(spark, sf_dir):
     return land(FX.app_log_received(spark, sf_dir), "received_ms").select("dt", "seq", "value")
 
 
+def q_cdc_kinds(spark, sf_dir):
+    """P9 on every kind of envelope, deletes with a filled ``before`` among them."""
+    n = C.normalize(FX.cdc_envelopes_kinds(spark, sf_dir)).where(F.col("reason").isNull())
+    return n.select("arrival", "seq", "table_name", "type", F.cardinality("before").alias("n_before"),
+                    F.cardinality("after").alias("n_after"), F.col("before")["id"].alias("id_before"),
+                    F.col("after")["id"].alias("id_after"))
+
+
+def q_cdc_filled_after(spark, sf_dir):
+    """P13 where it has something to drop."""
+    n = C.normalize(FX.cdc_envelopes_kinds(spark, sf_dir)).where(F.col("reason").isNull())
+    return C.drop_empty_after(n).select("arrival", "seq", "type")
+
+
+def q_cdc_rejects(spark, sf_dir):
+    return C.rejects(C.normalize(FX.cdc_envelopes_kinds(spark, sf_dir)))
+
+
+def q_route_rejects(spark, sf_dir):
+    """What the router can deliver nowhere, with the reason."""
+    from tidepool.streaming.jobs import ROUTE_MISSES, fact_and_miss_records
+
+    out = fact_and_miss_records(_routed(spark, sf_dir)).where(F.col("topic") == ROUTE_MISSES)
+    return out.select("arrival", "seq", F.get_json_object("value", "$.reason").alias("reason"),
+                      F.get_json_object("value", "$.type").alias("type"),
+                      F.get_json_object("value", "$.after.id").alias("id"))
+
+
+def _retiring(spark, sf_dir):
+    return FX.rule_log_retiring(spark, sf_dir).withColumns(
+        {"sink_pk": F.lit(None).cast("string"), "sink_extend": F.lit(None).cast("string")})
+
+
+def q_rule_retired(spark, sf_dir):
+    """R1 with rules that are retired and come back."""
+    return R.latest_rules(_retiring(spark, sf_dir)).select("source_table", "operate_type", "sink_type", "rule_arrival")
+
+
+def _asof_retired(spark, sf_dir, force):
+    out = R.lookup_asof(_changes(spark, sf_dir), _retiring(spark, sf_dir), force=force)
+    return out.select("arrival", "seq", "type", "sink_type", "sink_table",
+                      R.route(F.col("matched"), F.col("sink_type")).alias("route"))
+
+
+def q_rule_asof_retired(spark, sf_dir):
+    return _asof_retired(spark, sf_dir, None)
+
+
+def q_rule_asof_large(spark, sf_dir):
+    """R2t's plan beyond the broadcast bound."""
+    return _asof_retired(spark, sf_dir, "chunked")
+
+
 QUERIES = {
+    "cdc_kinds": q_cdc_kinds,
+    "cdc_filled_after": q_cdc_filled_after,
+    "cdc_rejects": q_cdc_rejects,
+    "route_rejects": q_route_rejects,
+    "rule_retired": q_rule_retired,
+    "rule_asof_retired": q_rule_asof_retired,
+    "rule_asof_large": q_rule_asof_large,
     "cdc_normalize": q_cdc_normalize,
     "cdc_initial_snapshot": q_cdc_initial_snapshot,
     "sql_changelog_select": q_sql_changelog_select,

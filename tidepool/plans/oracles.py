@@ -127,6 +127,45 @@ def _cdc(body: str) -> str:
     return "with " + CDC.strip() + "\n" + body
 
 
+# The texts of FIXTURES.md §6.
+LOG_KINDS = """
+, kinds as (
+  select e.event_id as seq, e.event_id % 10 as kind, e.event_type, a.value as plain,
+    case e.event_id % 10
+      when 0 then concat(chr(9), chr(10), a.value) when 1 then concat('[', a.value, ']') when 2 then 'null'
+      when 3 then concat('"', e.event_type, '"') when 4 then ''
+      when 5 then concat('{"x":null,', substr(a.value, 2))
+      when 6 then replace(a.value, '"page":{', '"page":{"ref":null,') else a.value end as value,
+    a.value = '{bad' as bad, e.user_id
+  from events e join app_log a on a.seq = e.event_id
+),
+objects as (
+  select *, bad or kind in (1, 2, 3, 4) as dirty from kinds
+)
+"""
+
+CDC_KINDS = """
+with sent as (
+  select o_orderkey as arrival, o_orderkey as seq, cast(o_custkey as varchar) as id, o_orderpriority,
+    case when o_orderkey % 13 = 0 then 'dbserver' else 'dbserver.shop.orders' end as topic,
+    concat('{"id":"', o_custkey, '","o_orderpriority":"', o_orderpriority, '"}') as r,
+    case when o_orderkey % 10 = 8 then 'delete' when o_orderkey % 10 = 7 then 'update' else 'insert' end as type,
+    o_orderkey % 11 = 0 as cut, o_orderkey % 11 = 1 as blank, o_orderkey % 13 = 0 as lost
+  from orders
+),
+texts as (
+  select *, case type when 'delete' then concat('{"before":', r, ',"after":null,"op":"d"}')
+                      when 'update' then concat('{"before":', r, ',"after":', r, ',"op":"u"}')
+                      else concat('{"before":null,"after":', r, ',"op":"c"}') end as env
+  from sent
+),
+kinds as (
+  select *, case when cut then concat('{oops ', seq) when blank then concat(chr(10), env) else env end as value,
+    case when cut then 'malformed' when lost then 'bad_topic' end as reason
+  from texts
+)
+"""
+
 _N_AFTER = ("cast((id is not null) as integer) + cast((o_orderpriority is not null) as integer) "
             "+ cast((o_orderstatus is not null) as integer)")
 
@@ -220,4 +259,43 @@ from cells group by row_key"""),
 select arrival, seq, type, {_N_AFTER} as n_after from cdc where {_N_AFTER} > 0"""),
     "db_route": _cdc("""
 select route, arrival, seq, type, sink_table, id, o_orderpriority, o_orderstatus from trimmed"""),
+    "dirty_kinds": _with(LOG_KINDS + """
+select seq as arrival, seq, 'malformed' as reason, value from objects where dirty"""),
+    "published_json": _with(LOG_KINDS + """
+, firsts as (
+  select user_id, min(seq) as first from objects where not dirty and seq % 2 = 0 group by user_id
+)
+select case when event_type = 'signup' then 'start' else 'page' end as route, seq,
+  case when event_type = 'signup' then 'common,start,ts' else 'common,displays,page,ts' end as fields,
+  case when event_type <> 'signup' then
+    case when contains(plain, '"last_page_id"') then 'last_page_id,page_id' else 'page_id' end end as page_fields,
+  case when seq % 2 = 0 and seq = first then '1' else '0' end as is_new
+from objects left join firsts using (user_id) where not dirty"""),
+    "uv_rejects": _with("""
+select arrival, seq, coalesce(reason, 'no_page') as reason, value from parsed
+where reason is not null or json_extract(j, '$.page') is null"""),
+    "first_visit_fix_large": _with(
+        "select seq, mid, is_new_in, is_new, cast(repaired as integer) as repaired from fixed2"),
+    "cdc_kinds": CDC_KINDS + """
+select arrival, seq, 'orders' as table_name, type,
+  case when type = 'insert' then 0 else 2 end as n_before, case when type = 'delete' then 0 else 2 end as n_after,
+  case when type <> 'insert' then id end as id_before, case when type <> 'delete' then id end as id_after
+from kinds where reason is null""",
+    "cdc_filled_after": CDC_KINDS + "select arrival, seq, type from kinds where reason is null and type <> 'delete'",
+    "cdc_rejects": CDC_KINDS + "select arrival, seq, reason, topic, value from kinds where reason is not null",
+    "route_rejects": _cdc("""
+select arrival, seq, route as reason, type, id from trimmed where route in ('no_rule', 'unknown_sink')"""),
+    "rule_retired": _cdc("""
+select source_table, operate_type, arg_max(sink_type, arrival) as sink_type, max(arrival) as rule_arrival
+from rule_log group by source_table, operate_type having arg_max(arrival % 9, arrival) <> 0"""),
+    **{name: _cdc("""
+, found as (
+  select c.arrival, c.seq, c.type, r.arrival % 9 <> 0 as live, r.sink_type, r.sink_table
+  from cdc c asof left join rule_log r
+    on c.table_name = r.source_table and c.type = r.operate_type and c.arrival >= r.arrival
+)
+select arrival, seq, type, case when live then sink_type end as sink_type, case when live then sink_table end as sink_table,
+  case when live is null or not live then 'no_rule' when sink_type = 'kafka' then 'kafka'
+       when sink_type = 'hbase' then 'hbase' else 'unknown_sink' end as route
+from found""") for name in ("rule_asof_retired", "rule_asof_large")},
 }

@@ -84,6 +84,32 @@ def q_uv_daily(spark, sf_dir):
         "seq", "arrival", "mid", "is_new", "page_id", "ts", "day")
 
 
+def q_dirty_kinds(spark, sf_dir):
+    return L.dirty(L.parse_app_log(FX.app_log_kinds(spark, sf_dir)))
+
+
+def q_published_json(spark, sf_dir):
+    """Keys of the published text of start and page records: null fields are gone."""
+    out = log_jobs.detail_layer(FX.app_log_kinds(spark, sf_dir)).where(F.col("route").isin("start", "page"))
+
+    def keys(text):
+        return F.array_join(F.array_sort(F.json_object_keys(text)), ",")
+
+    return out.select("route", "seq", keys(F.col("value")).alias("fields"),
+                      keys(F.get_json_object("value", "$.page")).alias("page_fields"),
+                      F.get_json_object("value", "$.common.is_new").alias("is_new"))
+
+
+def q_uv_rejects(spark, sf_dir):
+    return L.page_rejects(L.parse_page_log(FX.app_log(spark, sf_dir)))
+
+
+def q_first_visit_fix_large(spark, sf_dir):
+    """W1's plan beyond the broadcast bound."""
+    return L.clean(L.first_visit_fix(_parsed(spark, sf_dir), bound=0)).select(
+        "seq", "mid", "is_new_in", "is_new", F.col("repaired").cast("int").alias("repaired"))
+
+
 QUERIES: dict[str, Query] = {
     "dirty_split": q_dirty_split,
     "json_fields": q_json_fields,
@@ -96,6 +122,10 @@ QUERIES: dict[str, Query] = {
     "unique_visit": q_unique_visit,
     "log_detail": q_log_detail,
     "uv_daily": q_uv_daily,
+    "dirty_kinds": q_dirty_kinds,
+    "published_json": q_published_json,
+    "uv_rejects": q_uv_rejects,
+    "first_visit_fix_large": q_first_visit_fix_large,
 }
 
 from tidepool.plans import db_queries as _db  # noqa: E402
