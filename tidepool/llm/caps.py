@@ -1,8 +1,9 @@
 """Embedding near-duplicates by spherical-cap filters with structured product codes.
 
 A filter is a direction made of one random unit code word for each half of the
-dimensions; a book of B words a half gives B^2 filters. A vector passes the filters
-whose inner product with it exceeds a threshold. These are listed without trying
+dimensions, which are turned at random first; a book of B words a half gives B^2
+filters, and there are eight such codes. A vector passes the filters
+whose inner product with it exceeds a threshold (of each code one at least). These are listed without trying
 all: with the second half's products sorted, each word of the first half takes a
 prefix of them. Vectors that share a filter meet and are compared exactly.
 
@@ -30,44 +31,64 @@ from tidepool.llm.common import staged, table
 from tidepool.llm.graph import components
 
 BLOCK = 1024
+ROTATIONS = 8
+LEAST_DIMS = 16
 
 
 class CapCode:
-    """The filters of one dimension count: code words, threshold, list decoding."""
+    """The filters of one dimension count: code words, threshold, list decoding.
+
+    There are ``ROTATIONS`` independent codes. Each turns the vectors at random
+    (short ones into ``LEAST_DIMS`` dimensions), which keeps all cosines, and pairs
+    the words of two books, one for each half of the turned dimensions.
+    """
 
     def __init__(self, dims: int, book: int, passes: float, seed: int = 11):
         rng = np.random.default_rng([seed, dims])
-        self.dims, self.book = max(2, dims), book
-        self.halves = [range(0, self.dims // 2), range(self.dims // 2, self.dims)]
-        self.words = []
-        for h in self.halves:
-            w = rng.standard_normal((book, len(h)))
-            self.words.append(w / np.linalg.norm(w, axis=1, keepdims=True))
-        # The threshold that a random direction's products exceed for `passes` filters on average.
-        x = rng.standard_normal((64, self.dims))
-        a, b = self.products(x / np.linalg.norm(x, axis=1, keepdims=True))
-        want, lo, hi = passes * len(x), 0.0, 2.0
+        self.book, wide = book, max(LEAST_DIMS, dims)
+        self.codes = []
+        for _ in range(ROTATIONS):
+            turn = np.linalg.qr(rng.standard_normal((wide, wide)))[0][:, :dims]
+            halves = [rng.standard_normal((book, h)) for h in (wide // 2, wide - wide // 2)]
+            halves = [w / np.linalg.norm(w, axis=1, keepdims=True) for w in halves]
+            # Products of a vector with the words, turning included.
+            self.codes.append((halves[0] @ turn[:wide // 2], halves[1] @ turn[wide // 2:]))
+        # The threshold that random directions exceed for `passes` filters on average.
+        x = rng.standard_normal((128, dims))
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        sums = [(a, np.sort(b, axis=1)) for a, b in ((x @ u.T, x @ w.T) for u, w in self.codes)]
+        lo, hi = -2.0, 2.0
         for _ in range(40):
             mid = (lo + hi) / 2
-            n = sum((len(r) - np.searchsorted(np.sort(r), mid - s, side="left")).sum() for s, r in zip(a, b, strict=True))
-            lo, hi = (mid, hi) if n > want else (lo, mid)
+            n = sum((book - np.searchsorted(r, mid - s, side="left")).sum()
+                    for a, b in sums for s, r in zip(a, b, strict=True))
+            lo, hi = (mid, hi) if n > passes * len(x) else (lo, mid)
         self.limit = lo
 
-    def products(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(x[:, h.start:h.stop] @ w.T for h, w in zip(self.halves, self.words, strict=True))
-
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
-        """For each unit row, the sorted numbers of all filters it passes."""
-        a, b = self.products(x)
-        order = np.argsort(-b, axis=1)
-        out = []
-        for i in range(len(x)):
-            desc = b[i][order[i]]
-            first = np.flatnonzero(a[i] + desc[0] >= self.limit)
-            n = np.searchsorted(-desc, a[i][first] - self.limit, side="right")
-            out.append(np.sort(np.repeat(first * self.book, n)
-                               + np.concatenate([order[i][:k] for k in n] or [np.zeros(0, np.int64)])))
-        return out
+        """For each unit row, the sorted numbers of all filters it passes; of a code
+        none of whose filters it passes, the nearest one."""
+        rows, book = len(x), self.book
+        apart = np.arange(rows)[:, None] * 8.0      # sums lie within -2 and 2
+        owner, number = [], []
+        for c, (u, w) in enumerate(self.codes):
+            a, b = x @ u.T, x @ w.T
+            order = np.argsort(-b, axis=1, kind="stable")
+            falling = np.take_along_axis(b, order, axis=1)
+            # How many words of the second half each word of the first goes with, for all rows at once.
+            n = np.searchsorted((apart - falling).ravel(), (a - self.limit + apart).ravel(), side="right") \
+                .reshape(rows, book) - np.arange(rows)[:, None] * book
+            none = np.flatnonzero(n.sum(axis=1) == 0)
+            n[none, a[none].argmax(axis=1)] = 1
+            n = n.ravel()
+            who = np.repeat(np.arange(rows * book), n)
+            row, word = who // book, who % book
+            place = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+            owner.append(row)
+            number.append((c * book + word) * book + order[row, place])
+        owner, number = np.concatenate(owner), np.concatenate(number)
+        sort = np.lexsort((number, owner))
+        return np.split(number[sort], np.searchsorted(owner[sort], np.arange(1, rows)))
 
 
 def passes_for(recall: float, cosine: float, rate: float) -> float:
@@ -134,9 +155,9 @@ def linked(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.9999, buc
     n = max(1, classes.count())
 
     passes = 16.0
-    for _ in range(20):
-        book = max(8, math.ceil(math.sqrt(passes * n / bucket)))
-        passes = passes_for(recall, cosine, min(0.4, passes / book ** 2))
+    for _ in range(20):          # lists vary in length, so a third more than the mean is asked for
+        book = max(8, math.ceil(math.sqrt(passes * n / bucket / ROTATIONS)))
+        passes = 4 / 3 * passes_for(recall, cosine, min(0.4, passes / book ** 2 / ROTATIONS))
     codes: dict[int, CapCode] = {}
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +174,7 @@ def linked(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.9999, buc
                     m = np.stack([vs[i] for i in at])
                     m = m / np.abs(m).max(axis=1, keepdims=True)
                     m = m / np.linalg.norm(m, axis=1, keepdims=True)
-                    padded = np.pad(m, ((0, 0), (0, max(0, 2 - d))))
-                    for i, row, f in zip(at, m, codes[d].decode(padded), strict=True):
+                    for i, row, f in zip(at, m, codes[d].decode(m), strict=True):
                         found[i] = f + d * (1 << 40)
                         unit[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
