@@ -95,7 +95,7 @@ class _Archives:
         if self.out is None:
             self.name = f"{self.part:06d}-{self.n:04d}.warc.gz"
             self.temp = posixpath.join(self.root, f"_attempt-{self.attempt}-{self.name}")
-            self.out, self.records = self.fs.open_output_stream(self.temp), 0
+            self.out, self.records = self.fs.open_output_stream(self.temp, compression=None), 0
 
     def begin(self, head: bytes) -> None:
         self.open()
@@ -228,7 +228,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for archive in batch.column("archive").to_pylist():
                 rows, held = [], 0
-                with store.open_input_stream(archive) as f:
+                with store.open_input_stream(archive, compression=None) as f:
                     for r in read_records(f, archive):
                         rows.append(r)
                         held += len(r["data"]) + 300
