@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import jaccard, mixing, packing, secrets, toxicity
 from tidepool.llm.common import drop_staged, staged_paths, table
-from tidepool.session import checkpoint_root
+from tidepool.session import checkpoint_root, ship_package
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +56,7 @@ def _stage(function):
     """``function``, which first deletes what earlier stages staged: their results are written by then."""
 
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         drop_staged(spark, _obsolete)
         _obsolete.clear()
         before = set(staged_paths())

@@ -6,7 +6,7 @@ import sys
 import tempfile
 
 import corpus_pipeline as P
-from conftest import ROOT, SF001
+from conftest import ROOT, SF01, SF001
 from test_packing_warc import check_pieces
 from test_texts import base_spans, brute_groups
 from tidepool.llm import toxicity
@@ -24,11 +24,11 @@ def run_stages(spark, sf_dir, docs):
 
 
 def test_stages_of_the_whole_table(spark):
-    docs = spark.read.parquet(f"{SF001}/documents.parquet")
-    raw, clean, single, masked, mixed, packed = run_stages(spark, SF001, docs)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    raw, clean, single, masked, mixed, packed = run_stages(spark, SF01, docs)
     assert all(x.columns == raw.columns for x in (clean, single, masked, mixed))
     rows = lambda df: sorted(map(tuple, df.select("doc_id", "text").collect()))
-    said = toxicity.score(raw, spark.read.parquet(f"{SF001}/labels.parquet")).filter("predicted = 0")
+    said = toxicity.score(raw, spark.read.parquet(f"{SF01}/labels.parquet")).filter("predicted = 0")
     assert rows(clean) == rows(said) and len(rows(clean)) < len(rows(raw))
     keep = {d for d, _, _, kept in brute_groups(rows(clean)) if kept}
     assert rows(single) == [r for r in rows(clean) if r[0] in keep]

@@ -218,10 +218,11 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     clean = F.aggregate("secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     changed = F.size("secrets") > 0
-    out = {"text": F.when(changed, clean).otherwise(text)}
+    out = {"text": F.when(changed, F.col("_clean")).otherwise(text)}
     if "n_chars" in columns:
-        out["n_chars"] = F.when(changed, F.length(clean)).otherwise(F.col("in_n_chars")).cast(docs.schema["n_chars"].dataType)
-    return scan(sealed, rules).select(*[out.get(c, F.col(f"`in_{c}`")).alias(c) for c in columns])
+        out["n_chars"] = F.when(changed, F.length("_clean")).otherwise(F.col("in_n_chars")).cast(docs.schema["n_chars"].dataType)
+    return scan(sealed, rules).withColumn("_clean", F.when(changed, clean)) \
+        .select(*[out.get(c, F.col(f"`in_{c}`")).alias(c) for c in columns])
 
 
 def op10_secrets(spark, sf_dir):
