@@ -155,7 +155,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1
               .filter("b > a")
               .select("row", "src", "epoch", "k", (F.col("a") - F.col("lo")).alias("start"),
                       (F.col("b") - F.col("a")).alias("words"))
-              .join(slots.select("slot", "src", "k"), ["src", "k"])
+              # Slots grow with the words and compress well on disk: their file size proves nothing.
+              .join(slots.select("slot", "src", "k").hint("merge"), ["src", "k"])
               .select("slot", "row", "epoch", "start", "words"))
     if keep:
         lines = lines.join(rows.select("row", *[f"`in_{c}`" for c in keep]), "row")
