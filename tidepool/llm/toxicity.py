@@ -61,6 +61,7 @@ class Chooser:
 
     def __init__(self, known: frozenset[str], limit: int = 300_000):
         self.known, self.limit, self.memory = known, limit, {}
+        self.starts = frozenset(t.rstrip("*")[:3] for t in known)      # no other word holds a term
 
     def _held(self, word: str) -> tuple[str, ...]:
         found = [word] if word in self.known else []
@@ -72,13 +73,18 @@ class Chooser:
 
     def counts(self, words: list[str]) -> Counter:
         """Counts of the known terms among the words of a text."""
-        out, memory = Counter(), self.memory
-        for w in words:
+        out, memory, starts, found = Counter(), self.memory, self.starts, []
+        for w in {w for w in set(words) if w[:3] in starts}:
             held = memory.get(w)
             if held is None:
                 held = self._held(w)
+            if held:
+                found.append((w, held))
+        often = Counter(words) if len(found) > 8 else None
+        for w, held in found:
+            n = often[w] if often else words.count(w)
             for t in held:
-                out[t] += 1
+                out[t] += n
         return out
 
 
