@@ -279,3 +279,19 @@ def test_kafka_options_of_every_job(spark):
     with pytest.raises(SystemExit):
         cli._kafka(_Recorder(spark), build_parser().parse_args(["cdc", "--kafka", "h:1"]))
     assert isinstance(cli._sink(build_parser().parse_args(["uv", "--kafka-out", "h:1"])), T.KafkaTopics)
+
+
+def test_a_snapshot_is_spread_over_chunks(spark):
+    """All snapshot rows share one arrival; the chunked plan cuts them by their order."""
+    from tidepool.operators.ordering import chunk_of
+
+    rows = spark.range(5000).select(F.lit(S.SNAPSHOT_ARRIVAL).cast("long").alias("arrival"), F.col("id").alias("seq"))
+    sizes = rows.groupBy(chunk_of(F.col("arrival"), 64, F.col("seq")).alias("c")).count()
+    assert sizes.agg(F.max("count")).first()[0] == 64 and sizes.agg(F.max("c")).first()[0] < -1
+    schema = "arrival long, seq long, " + ", ".join(f"{c} string" for c in R.RULE_FIELDS) + ", retired boolean"
+    rules = spark.createDataFrame([(S.SNAPSHOT_ARRIVAL, 100, "o", "read", "kafka", "t", "a", None, None, False)], schema)
+    changes = rows.select("arrival", "seq", F.lit("o").alias("table_name"), F.lit("read").alias("type"))
+    later = spark.createDataFrame([(0, 1, "o", "read"), (9, 2, "o", "read")], "arrival long, seq long, table_name string, type string")
+    both = changes.unionByName(later)
+    got = {f: R.lookup_asof(both, rules, force=f, chunk_width=64).where("matched").count() for f in ("broadcast", "chunked")}
+    assert got == {"broadcast": 5002, "chunked": 5002}

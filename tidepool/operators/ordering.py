@@ -35,12 +35,20 @@ DEFAULT_CHUNK = 1024
 DEFAULT_FANOUT = 1024
 
 
-def chunk_of(arrival: Column, width: int) -> Column:
+# Chunks of rows that precede all arrivals are numbered from here, by their ``seq``.
+FIRST_CHUNK = -(1 << 52)
+
+
+def chunk_of(arrival: Column, width: int, seq: Column | None = None) -> Column:
     """Chunk number of an arrival: monotone in arrival, ``width`` units per chunk.
 
     A power-of-two width is an arithmetic shift, exact for every long (floor
-    division); other widths divide in double, exact below 2^53.
+    division); other widths divide in double, exact below 2^53. With ``seq``, the
+    rows of an initial snapshot, which all have one negative arrival, are cut by
+    their (non-negative) ``seq`` instead, in order and before every other chunk.
     """
+    if seq is not None:
+        return F.when(arrival < 0, chunk_of(seq, width) + F.lit(FIRST_CHUNK)).otherwise(chunk_of(arrival, width))
     if width > 0 and width & (width - 1) == 0:
         return F.shiftright(arrival.cast("long"), width.bit_length() - 1)
     return F.floor(arrival / F.lit(width)).cast("long")
