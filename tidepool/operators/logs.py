@@ -115,17 +115,22 @@ def route_of(df: DataFrame) -> Column:
              .otherwise(F.lit(ROUTE_PAGE)))
 
 
+def may_hold_null() -> Column:
+    """Whether a record's text can hold a null field at all; most cannot."""
+    return F.contains(F.col("value"), F.lit("null"))
+
+
 def record_json(df: DataFrame) -> Column:
     """The record to publish, without the null fields of its objects (Q12). A
     repaired record has the flag written back as the string ``"0"`` (Q1). Only those
     records, and records whose text holds a ``null``, are serialised anew; all others
     are published as received."""
-    obj = J.as_object_map(J.without_nulls(F.col("v")))
+    obj = J.as_object_map(F.when(may_hold_null(), J.without_nulls(F.col("v"))).otherwise(F.col("v")))
     common = F.map_filter(J.as_object_map(J.get(F.col("v"), "$.common", "variant")),
                           lambda _, x: x.isNotNull() & ~F.is_variant_null(x))
     fixed_common = F.to_variant_object(J.put(common, "is_new", J.variant_text(F.lit("0"))))
     return (F.when(F.col("repaired"), J.object_to_json(J.put(obj, "common", fixed_common)))
-             .when(F.contains(F.col("value"), F.lit("null")), J.object_to_json(obj))
+             .when(may_hold_null(), J.object_to_json(obj))
              .otherwise(F.col("value")))
 
 
@@ -134,10 +139,12 @@ def displays(v: Column) -> Column:
     return J.get(v, "$.displays", "array<variant>")
 
 
-def display_json(d: Column, page_id: Column) -> Column:
+def display_json(d: Column, page_id: Column, nulls: Column) -> Column:
     """A display's own fields with ``page_id`` set (overwritten); a NULL page id
-    is left out, as the reference's serialiser drops nulls."""
-    m = J.put(J.as_object_map(J.without_nulls(d)), "page_id", J.variant_text(page_id))
+    is left out, as the reference's serialiser drops nulls; ``nulls`` tells whether
+    the record may hold others."""
+    d = F.when(nulls, J.without_nulls(d)).otherwise(d)
+    m = J.put(J.as_object_map(d), "page_id", J.variant_text(page_id))
     return J.object_to_json(J.drop_null_values(m))
 
 
@@ -155,13 +162,13 @@ def explode_displays(pages: DataFrame) -> DataFrame:
     Empty or missing arrays give no rows; non-object elements are skipped. A page
     record without a page object still emits its displays with a NULL page id (Q3).
     """
-    rows = pages.select("arrival", "seq", "page_id",
+    rows = pages.select("arrival", "seq", "page_id", may_hold_null().alias("_nulls"),
                         F.posexplode(displays(F.col("v"))).alias("_pos", "_d"))
     rows = rows.where(J.as_object_map(F.col("_d")).isNotNull())
     return rows.select(
         "arrival", "seq", (F.col("_pos") + 1).alias("pos"), "page_id",
         J.get(F.col("_d"), "$.item").alias("item"),
-        display_json(F.col("_d"), F.col("page_id")).alias("value"),
+        display_json(F.col("_d"), F.col("page_id"), F.col("_nulls")).alias("value"),
     )
 
 
@@ -178,12 +185,12 @@ def split_all(fixed: DataFrame) -> DataFrame:
         route.alias("route"), F.lit(0).alias("pos"),
         F.when(route == ROUTE_DIRTY, F.col("value")).otherwise(record_json(fixed)).alias("value"),
         F.lit(None).cast("string").alias("item"))
-    page_id = F.col("page_id")
+    page_id, nulls = F.col("page_id"), may_hold_null()
     shown = F.transform(
         F.filter(F.coalesce(displays(F.col("v")), F.array().cast("array<variant>")),
                  lambda d: J.as_object_map(d).isNotNull()),
         lambda d, i: F.struct(F.lit(ROUTE_DISPLAY).alias("route"), (i + 1).alias("pos"),
-                              display_json(d, page_id).alias("value"),
+                              display_json(d, page_id, nulls).alias("value"),
                               J.get(d, "$.item").alias("item")))
     rows = F.when(route == ROUTE_PAGE, F.concat(F.array(own), shown)).otherwise(F.array(own))
     out = fixed.select("arrival", "seq", "mid", "is_new", "page_id", "last_page_id", "ts",
