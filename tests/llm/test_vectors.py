@@ -29,6 +29,14 @@ def test_top_k_of_the_whole_table(spark):
     assert rows_of(topk.op3_topk(spark, SF001)) == want
 
 
+def test_top_k_equals_its_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{SF001}/embeddings.parquet')")
+    assert sorted(con.sql(topk.OP3_SQL).fetchall()) == rows_of(topk.op3_topk(spark, SF001))
+
+
 def test_top_k_of_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 4)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
