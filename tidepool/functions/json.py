@@ -88,9 +88,10 @@ def object_to_json(obj_map: Column) -> Column:
     return F.to_json(F.to_variant_object(obj_map))
 
 
-def without_nulls(v: Column, depth: int = 4) -> Column:
+def without_nulls(v: Column, depth: int = 2) -> Column:
     """VARIANT without the null entries of its objects, nested ones down to ``depth``
-    levels; nulls in arrays stay (quirk Q12)."""
+    levels; nulls in arrays stay (quirk Q12). The expression doubles with each level,
+    and the records have no more than these."""
     obj = as_object_map(v)
     kept = F.map_filter(obj, lambda _, x: x.isNotNull() & ~F.is_variant_null(x))
     if depth == 0:

@@ -129,9 +129,9 @@ def record_json(df: DataFrame) -> Column:
     common = F.map_filter(J.as_object_map(J.get(F.col("v"), "$.common", "variant")),
                           lambda _, x: x.isNotNull() & ~F.is_variant_null(x))
     fixed_common = F.to_variant_object(J.put(common, "is_new", J.variant_text(F.lit("0"))))
-    return (F.when(F.col("repaired"), J.object_to_json(J.put(obj, "common", fixed_common)))
-             .when(may_hold_null(), J.object_to_json(obj))
-             .otherwise(F.col("value")))
+    return F.when(F.col("repaired") | may_hold_null(), J.object_to_json(F.transform_values(
+        obj, lambda k, x: F.when(F.col("repaired") & (k == "common"), fixed_common).otherwise(x)))) \
+        .otherwise(F.col("value"))
 
 
 def displays(v: Column) -> Column:
@@ -143,7 +143,7 @@ def display_json(d: Column, page_id: Column, nulls: Column) -> Column:
     """A display's own fields with ``page_id`` set (overwritten); a NULL page id
     is left out, as the reference's serialiser drops nulls; ``nulls`` tells whether
     the record may hold others."""
-    d = F.when(nulls, J.without_nulls(d)).otherwise(d)
+    d = F.when(nulls, J.without_nulls(d, 1)).otherwise(d)
     m = J.put(J.as_object_map(d), "page_id", J.variant_text(page_id))
     return J.object_to_json(J.drop_null_values(m))
 
