@@ -102,3 +102,29 @@ def test_odd_rows(spark):
     assert kept.filter("doc_id in (9001, 9002, 9005) and score = 1.5").count() == 3
     assert not toxicity.score(docs.limit(0), truth).collect()
     assert {r["score"] for r in toxicity.score(docs, truth.limit(0)).collect()} == {0.0}
+
+
+def test_every_example_is_searched_over_all_its_terms(spark):
+    """Texts without a leaning term have their exact neighbours too, among all examples."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("klmnopqr", k=rnd.randint(2, 9))) for _ in range(400)]
+    texts = {i: " ".join(rnd.choices(words, k=rnd.randint(3, 60)) + (["vile"] if i % 9 == 0 else [])) for i in range(500)}
+    learnt = {i: int(i % 9 == 0) for i in texts if zlib.crc32(str(i).encode()) % 5}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(
+        docs, spark.createDataFrame(list(learnt.items()), "doc_id long, toxic int")).collect()}
+
+    counts = {}
+    for i, t in texts.items():
+        counts[i] = {}
+        for w in t.split():
+            for term in {w, *(f"{w[:n]}*" for n in toxicity.PREFIXES if len(w) > n)}:
+                counts[i][term] = counts[i].get(term, 0) + 1
+    known = sorted({t for i in learnt for t in counts[i]})
+    df = {t: sum(t in c for c in counts.values()) for t in known}
+    idf = {t: math.log((1 + len(texts)) / (1 + df[t])) + 1 for t in known}
+    rows = [(i, y, counts[i]) for i, y in learnt.items()]
+    for i in range(0, 500, 7):
+        near = brute_nearest(rows, idf, {t: n for t, n in counts[i].items() if t in idf}, 3)
+        assert [e["similarity"] for e in got[i]["neighbours"]] == pytest.approx(near), i
+    assert all(got[i]["neighbours"][0]["doc_id"] == i for i in learnt)

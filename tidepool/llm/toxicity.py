@@ -1,31 +1,40 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
-A bounded sample of labelled rows gives the vocabulary (terms whose share of toxic
-rows is far above chance; words and word beginnings) and the examples. Inverse document frequencies are counted
-over all documents. The examples' weights form an inverted index cut into blocks of
-neighbouring examples, each posting list with its largest weight per block. A query
-adds up these maxima to an upper bound for every block, reads blocks from the highest
-bound down, and stops when no block left can hold a nearer example than the k-th
-found: the neighbours are exact.
-
-The nearest examples vote with the inverse of their distance. Votes are turned into
-probabilities by a monotone fit on the sample, each of its rows scored without
-itself. The vote comes with its evidence: the neighbours and the shared terms.
-
-Only the sample's examples and the vocabulary, both bounded by parameters, are sent
+A bounded sample of labelled rows gives the examples. Their terms are words and word
+beginnings, all of them; inverse document frequencies are counted over all documents.
+Every text is held against every example: terms of many examples by a matrix product,
+the others by posting lists, both in single precision; what may be among the nearest
+is then decided in double precision.
+
+A second vote is taken over the leaning terms only (those whose share of toxic rows
+is far above chance), which few words among many decide. These weights form an
+inverted index cut into blocks of neighbouring examples, each posting list with its
+largest weight per block. A query adds up these maxima to an upper bound for every
+block, reads blocks from the highest bound down, and stops when no block left can hold
+a nearer example than the k-th found: the neighbours are exact here too.
+
+The nearest examples vote with the inverse of their distance. The mean of both votes
+is turned into a probability by a monotone fit on the sample, each of its rows scored
+without itself. The score comes with its evidence: the neighbours over all terms, and
+the leaning terms.
+
+Only the sample's examples and their terms, both bounded by parameters, are sent
 to the executors; texts never leave them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +46,16 @@ MOST_TERMS = 2048
 NEIGHBOURS = 15
 BLOCK = 64
 FIRST_BLOCKS = 8
-# A term enters the vocabulary with this many rows and standard deviations above chance.
+# A term leans toxic with this many rows and standard deviations above chance.
 LEAST_ROWS, LEAST_Z = 5, 4.0
 # Besides words, terms are word beginnings of these lengths, written with a star.
 PREFIXES = (3, 4, 5, 6)
 # The term of all words: it is in every text, so that the others weigh by their density.
 ANY = "*"
+# Terms of the most examples that are kept as a matrix, and texts multiplied with it at once.
+DENSE, TOGETHER = 1024, 128
+# More than what single precision can be off for two unit vectors.
+SLACK = 2e-4
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -56,6 +69,149 @@ def _terms(words: list[str]) -> set[str]:
     return {*once, *(f"{w[:n]}*" for w in once for n in PREFIXES if len(w) > n)}
 
 
+class Words:
+    """Numbers of all terms of the examples, remembering what each word holds."""
+
+    def __init__(self, terms: list[str], limit: int = 100_000):
+        self.terms, self.number = terms, {t: i for i, t in enumerate(terms)}
+        self.limit, self.memory = limit, {}
+
+    def __reduce__(self):
+        return _words_again, (zlib.compress("\n".join(self.terms).encode(), 1), self.limit)
+
+    def _held(self, word: str) -> tuple[int, ...]:
+        found = (self.number.get(t) for t in (word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)))
+        if len(self.memory) >= self.limit:
+            self.memory.clear()
+        self.memory[word] = out = tuple(i for i in found if i is not None)
+        return out
+
+    def held(self, words: list[str]) -> np.ndarray:
+        """The known terms of a text, in no order."""
+        found, memory = set(), self.memory
+        for w in set(words):
+            held = memory.get(w)
+            found.update(self._held(w) if held is None else held)
+        return np.fromiter(found, dtype=np.int64, count=len(found))
+
+    def counts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The known terms of a text, in order, and their counts."""
+        ids, often, memory = [], [], self.memory
+        for w, n in Counter(words).items():
+            held = memory.get(w)
+            if held is None:
+                held = self._held(w)
+            ids.extend(held)
+            often.extend([n] * len(held))
+        terms, at = np.unique(np.array(ids, dtype=np.int64), return_inverse=True)
+        return terms, np.bincount(at, often, minlength=len(terms)).astype(np.int64)
+
+
+def _words_again(packed: bytes, limit: int) -> Words:
+    joined = zlib.decompress(packed).decode()
+    return Words(joined.split("\n") if joined else [], limit)
+
+
+def packed(x: np.ndarray) -> list[bytes]:
+    """Small non-negative numbers as their compressed bytes, lowest bytes first."""
+    raw = x.astype("<u4")
+    return [zlib.compress((raw >> np.uint32(8 * j)).astype(np.uint8).tobytes(), 1) for j in range(4)]
+
+
+def unpacked(planes: list[bytes]) -> np.ndarray:
+    out = np.frombuffer(zlib.decompress(planes[0]), dtype=np.uint8).astype(np.int32)
+    for j in (1, 2, 3):
+        out |= np.frombuffer(zlib.decompress(planes[j]), dtype=np.uint8).astype(np.int32) << (8 * j)
+    return out
+
+
+class Whole:
+    """Examples over all their terms, as rows and as postings."""
+
+    def __init__(self, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray, at: np.ndarray, term: np.ndarray,
+                 count: np.ndarray):
+        """Example ``e`` has the terms ``term[at[e]:at[e + 1]]``, as often as ``count`` says."""
+        self.idf, self.ids, self.toxic, self.at, self.term, self.count = idf, ids, toxic, at, term, count
+        self.tf = 1 + np.log(np.maximum(1, np.arange(count.max(initial=0) + 1)))
+        n, v = len(ids), len(idf)
+        df = np.bincount(term, minlength=v)
+        most = np.argsort(-df, kind="stable")[:min(DENSE, v)]
+        self.place = np.full(v, -1, dtype=np.int32)        # row of the matrix, or -1
+        self.place[most] = np.arange(len(most))
+        self.matrix = np.zeros((len(most), n), dtype=np.float32)
+        self.norm = np.zeros(n)
+        self.start = np.concatenate([[0], np.cumsum(np.where(self.place < 0, df, 0))])
+        self.example = np.zeros(self.start[-1], dtype=np.int32)
+        self.weight = np.zeros(self.start[-1], dtype=np.float32)
+        free = self.start[:-1].copy()
+        for lo in range(0, n, 1000):                       # in pieces: no array of the whole size besides
+            hi = min(n, lo + 1000)
+            t = term[at[lo]:at[hi]]
+            owner = np.repeat(np.arange(lo, hi), np.diff(at[lo:hi + 1]))
+            w = self.tf[count[at[lo]:at[hi]]] * idf[t]
+            self.norm[lo:hi] = np.sqrt(np.bincount(owner - lo, w * w, minlength=hi - lo))
+            w /= self.norm[owner]
+            row = self.place[t]
+            dense = row >= 0
+            self.matrix[row[dense], owner[dense]] = w[dense]
+            order = np.flatnonzero(~dense)
+            order = order[np.argsort(t[order], kind="stable")]
+            once, first, m = np.unique(t[order], return_index=True, return_counts=True)
+            to = np.repeat(free[once] - first, m) + np.arange(len(order))
+            self.example[to], self.weight[to] = owner[order], w[order]
+            free[once] += m
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None,
+                k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
+        """For each text (terms, counts), its k nearest examples as (similarity, example); ties go
+        to the earlier example. The cosine is over the terms that any example has."""
+        weights = []
+        for terms, counts in texts:
+            q = (1 + np.log(counts)) * self.idf[terms]
+            weights.append(q / math.sqrt(q @ q) if len(q) else q)
+        left = np.zeros((len(texts), len(self.matrix)), dtype=np.float32)
+        for i, (terms, _) in enumerate(texts):
+            row = self.place[terms]
+            left[i, row[row >= 0]] = weights[i][row >= 0]
+        scores = left @ self.matrix
+        out, q = [], np.zeros(len(self.idf))
+        for i, (terms, _) in enumerate(texts):
+            score = scores[i]
+            light = self.place[terms] < 0
+            first = self.start[terms[light]]
+            n = self.start[terms[light] + 1] - first
+            if n.sum():
+                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                score = score + np.bincount(self.example[at], self.weight[at] * np.repeat(weights[i][light], n),
+                                            minlength=len(self.ids))
+            if without is not None:
+                score[self.ids == without[i]] = 0
+            floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+            # Both the k-th and the other may be off by the slack.
+            found = np.flatnonzero((score > 0) & (score >= floor - 2 * SLACK))
+            q[terms] = weights[i]
+            exact = self._exact(found, q)
+            q[terms] = 0
+            best = np.lexsort((found, -np.round(exact, 9)))[:k]
+            out.append(list(zip(exact[best].tolist(), found[best].tolist(), strict=True)))
+        return out
+
+    def _exact(self, examples: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Cosines of these examples with the query in double precision."""
+        n = self.at[examples + 1] - self.at[examples]
+        at = np.repeat(self.at[examples] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        term = self.term[at]
+        w = self.tf[self.count[at]] * self.idf[term] * q[term]
+        return np.bincount(np.repeat(np.arange(len(examples)), n), w, minlength=len(examples)) / self.norm[examples]
+
+    def shared(self, example: int, terms: np.ndarray) -> np.ndarray:
+        """Terms of a text that this example has, the heaviest first."""
+        a, b = self.at[example], self.at[example + 1]
+        both, at, _ = np.intersect1d(self.term[a:b], terms, return_indices=True)
+        tf = self.tf[self.count[a:b][at]]
+        return both[np.lexsort((both, -tf * self.idf[both]))]
+
+
 class Chooser:
     """Finds the vocabulary's terms in texts, remembering what each word holds."""
 
@@ -95,7 +251,7 @@ def held_out(doc_id: Column) -> Column:
 
 @dataclass
 class Index:
-    """Examples as a block-max inverted index, with what scoring needs."""
+    """Examples over the leaning terms as a block-max inverted index."""
 
     vocabulary: dict[str, int]
     idf: np.ndarray
@@ -108,7 +264,6 @@ class Index:
     block_max: np.ndarray
     rate: float                  # share of toxic rows in the sample
     none_rate: float             # the same among rows without any term
-    knots: tuple[np.ndarray, np.ndarray] | None = None
 
     def __post_init__(self):
         self.chooser = Chooser(frozenset(self.vocabulary) - {ANY})
@@ -178,13 +333,19 @@ class Index:
         best = np.lexsort((found, -np.round(score, 9)))[:k]
         return list(zip(score[best].tolist(), found[best].tolist(), strict=True))
 
-    def vote(self, near: list[tuple[float, int]]) -> float:
-        """Share of the neighbours that is toxic, each weighed by the inverse of its distance."""
-        w = np.array([1 / (0.02 + max(0.0, 1 - s)) for s, _ in near])
-        return float(w @ self.toxic[[e for _, e in near]] / w.sum())
+    def vote(self, counts: dict[int, int], without: int | None = None) -> float:
+        """Vote of the examples nearest over the leaning terms."""
+        if not counts:
+            return self.none_rate
+        return vote(self.nearest(counts, without), self.toxic, self.rate)
 
-    def probability(self, vote: float) -> float:
-        return float(np.interp(vote, *self.knots)) if self.knots else vote
+
+def vote(near: list[tuple[float, int]], toxic: np.ndarray, otherwise: float) -> float:
+    """Share of the neighbours that is toxic, each weighed by the inverse of its distance."""
+    if not near:
+        return otherwise
+    w = np.array([1 / (0.02 + max(0.0, 1 - s)) for s, _ in near])
+    return float(w @ toxic[[e for _, e in near]] / w.sum())
 
 
 def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,8 +361,56 @@ def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.
     return x, np.array([(g[0] + 0.5) / (g[1] + 1) for g in groups])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Index | None:
-    """The index learnt from at most ``sample_rows`` labelled rows; None without labels.
+class Sent:
+    """The parts of a ``Whole``, put together where they are used first."""
+
+    def __init__(self, parts: tuple):
+        self.parts, self.built = parts, None
+
+    def __reduce__(self):
+        return Sent, (self.parts,)
+
+    def index(self) -> Whole:
+        if self.built is None:
+            idf, ids, toxic, at, steps, count = self.parts
+            term = np.cumsum(unpacked(steps), dtype=np.int64)
+            before = np.concatenate([[0], term])[at[:-1]]
+            term -= np.repeat(before, np.diff(at))
+            self.built, self.parts = Whole(idf, ids, toxic, at, term.astype(np.int32), unpacked(count)), None
+        return self.built
+
+
+@dataclass
+class Model:
+    """What scoring needs: three broadcasts, the share of toxic rows and the fit."""
+
+    words: Broadcast
+    whole: Broadcast
+    lean: Broadcast
+    rate: float
+    knots: tuple[np.ndarray, np.ndarray] | None = None
+
+    def votes(self, texts: list[str | None], without: list[int] | None = None) -> list[tuple[float, list, list[str]]]:
+        """The mean of both votes, the nearest over all terms, and the terms that speak for it."""
+        words, whole, lean = self.words.value, self.whole.value.index(), self.lean.value
+        split = [_words(t) for t in texts]
+        vectors = [words.counts(w) for w in split]
+        out = []
+        for i, near in enumerate(whole.nearest(vectors, without)):
+            found = {lean.vocabulary[t]: n for t, n in lean.chooser.counts(split[i]).items()}
+            held = {i: w for w, i in lean.vocabulary.items() if i in found}
+            terms = [held[t] for t in sorted(found, key=lambda t: (-(1 + math.log(found[t])) * lean.idf[t], t))]
+            if not terms and near:
+                terms = [words.terms[t] for t in whole.shared(near[0][1], vectors[i][0])[:10]]
+            if found:
+                found[lean.vocabulary[ANY]] = len(split[i])
+            own = None if without is None else without[i]
+            out.append(((lean.vote(found, own) + vote(near, whole.toxic, self.rate)) / 2, near, terms))
+        return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
+    """The examples learnt from at most ``sample_rows`` labelled rows; None without labels.
 
     The sample has the smallest hashes of doc_id, so that it does not depend on the
     order of rows; repeated labels of an id count as toxic if any is, rows of a
@@ -232,65 +441,75 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> I
         yield pa.RecordBatch.from_pydict({"term": list(all_), "n": list(all_.values()), "bad": [bad[t] for t in all_]},
                                          pa.schema([("term", pa.string()), ("n", pa.int64()), ("bad", pa.int64())]))
 
-    z = (F.col("bad") - F.col("n") * rate) / F.sqrt(F.col("n") * F.lit(max(rate * (1 - rate), 1e-9)))
-    chosen = (rows.select("text", "toxic").mapInArrow(seen, "term string, n long, bad long")
-              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-              .withColumn("z", z).filter((F.col("n") >= LEAST_ROWS) & (F.col("z") >= LEAST_Z))
-              .orderBy(F.desc("z"), "term").limit(MOST_TERMS).select("term").collect())
-    vocabulary = [*sorted(r["term"] for r in chosen), ANY]
-    known = frozenset(vocabulary) - {ANY}
+    found = (rows.select("text", "toxic").mapInArrow(seen, "term string, n long, bad long")
+             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).toArrow().sort_by("term"))
+    terms = found.column("term").to_pylist()
+    n_, bad = found.column("n").to_numpy(), found.column("bad").to_numpy()
+    z = (bad - n_ * rate) / np.sqrt(n_ * max(rate * (1 - rate), 1e-9))
+    leaning = np.flatnonzero((n_ >= LEAST_ROWS) & (z >= LEAST_Z))
+    leaning = np.sort(leaning[np.argsort(-z[leaning], kind="stable")][:MOST_TERMS])
+    vocabulary = [*(terms[i] for i in leaning), ANY]
+    del found
+    words = spark.sparkContext.broadcast(Words(terms))
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, rows_, chooser = Counter(), 0, Chooser(known)
+        known, total = words.value, 0
+        n = np.zeros(len(known.number), dtype=np.int64)
         for b in batches:
-            rows_ += b.num_rows
+            total += b.num_rows
             for text in b.column("text").to_pylist():
-                n.update(chooser.counts(_words(text)).keys())
-        n[ANY] = rows_
-        yield pa.RecordBatch.from_pydict({"term": list(n), "n": list(n.values())},
-                                         pa.schema([("term", pa.string()), ("n", pa.int64())]))
+                n[known.held(_words(text))] += 1
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(n[some], total))],
+                                         names=["term", "n"])
 
-    df = {r["term"]: r["m"] for r in docs.select("text").mapInArrow(frequency, "term string, n long")
-          .groupBy("term").agg(F.sum("n").alias("m")).collect()}
-    total = df.get(ANY, 0)
-    idf = np.array([math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in vocabulary])
-    number = {t: i for i, t in enumerate(vocabulary)}
+    counted = docs.select("text").mapInArrow(frequency, "term long, n long").groupBy("term").agg(F.sum("n").alias("m")).toArrow()
+    df = np.zeros(len(terms) + 1, dtype=np.int64)      # the last is the number of documents
+    df[counted.column("term").to_numpy()] = counted.column("m").to_numpy()
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chooser = Chooser(known)
-
-        def counted(text: str) -> dict[int, int]:
-            words = _words(text)
-            found = {number[t]: n for t, n in chooser.counts(words).items()}
-            return found | {number[ANY]: len(words)} if found else {}
-
         for b in batches:
-            counts = [counted(x) for x in b.column("text").to_pylist()]
+            counts = [words.value.counts(_words(x)) for x in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("toxic"), pa.array([list(c) for c in counts], pa.list_(pa.int64())),
-                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], names=["doc_id", "toxic", "t", "c"])
-
-    examples = [(r["doc_id"], r["toxic"], dict(zip(r["t"], r["c"], strict=True))) for r in rows.select("doc_id", "text", "toxic")
-                .mapInArrow(vectors, "doc_id long, toxic int, t array<long>, c array<long>").collect()]
+                [b.column("doc_id"), b.column("toxic"),
+                 pa.array([len(_words(x)) for x in b.column("text").to_pylist()], pa.int64()),
+                 pa.array([t.astype("<i4").tobytes() for t, _ in counts], pa.binary()),
+                 pa.array([c.astype("<i4").tobytes() for _, c in counts], pa.binary())], names=["doc_id", "toxic", "n", "t", "c"])
+
+    got = rows.select("doc_id", "text", "toxic").mapInArrow(vectors, "doc_id long, toxic int, n long, t binary, c binary") \
+        .toArrow().sort_by("doc_id")
+    ids, toxic_ = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy()
+    lengths = got.column("n").to_pylist()
+    per = [np.frombuffer(x.as_buffer(), "<i4") for x in got.column("t")]
+    often = [np.frombuffer(x.as_buffer(), "<i4") for x in got.column("c")]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in per])])
+    examples = []
+    for e, (t, c) in enumerate(zip(per, often, strict=True)):
+        place = np.searchsorted(leaning, t)
+        has = np.flatnonzero(leaning[np.minimum(place, len(leaning) - 1)] == t) if len(leaning) else []
+        held = {int(place[j]): int(c[j]) for j in has}
+        examples.append((int(ids[e]), int(toxic_[e]), held | {len(leaning): lengths[e]} if held else {}))
     bare = [y for _, y, c in examples if not c]
-    index = Index.build(vocabulary, idf, [e for e in examples if e[2]], rate,
-                        (sum(bare) + rate) / (len(bare) + 1))
-    if not len(index.ids):
-        return index
-    sent = spark.sparkContext.broadcast(index)
+    lean = Index.build(vocabulary, np.append(idf[leaning], 1.0), [e for e in examples if e[2]], rate,
+                       (sum(bare) + rate) / (len(bare) + 1))
+    # Within an example, each term as its distance from the one before.
+    steps = [np.diff(t, prepend=np.int32(0)) for t in per]
+    parts = (idf, ids, toxic_, at, packed(np.concatenate(steps)), packed(np.concatenate(often)))
+    del got, per, often, steps, examples
+    model = Model(words, spark.sparkContext.broadcast(Sent(parts)), spark.sparkContext.broadcast(lean), rate)
 
     def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for i, y, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "toxic", "text")), strict=True):
-                if counts := sent.value.counts(text):
-                    out.append((sent.value.vote(near) if (near := sent.value.nearest(counts, i)) else sent.value.rate, y))
-            yield pa.RecordBatch.from_pydict({"vote": [x for x, _ in out], "toxic": [y for _, y in out]},
-                                             pa.schema([("vote", pa.float64()), ("toxic", pa.int32())]))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, TOGETHER):
+                b = whole.slice(lo, TOGETHER)
+                votes = model.votes(b.column("text").to_pylist(), b.column("doc_id").to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array([v for v, _, _ in votes], pa.float64()), b.column("toxic")],
+                                                 names=["vote", "toxic"])
 
     votes = rows.select("doc_id", "toxic", "text").mapInArrow(own_votes, "vote double, toxic int").collect()
-    index.knots = monotone_fit(np.array([r["vote"] for r in votes]), np.array([r["toxic"] for r in votes]))
-    return index
+    model.knots = monotone_fit(np.array([r["vote"] for r in votes]), np.array([r["toxic"] for r in votes]))
+    return model
 
 
 SCORED = "score double, neighbours array<struct<doc_id:long,similarity:double,toxic:int>>, terms array<string>"
@@ -301,34 +520,30 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
 
     Adds ``score`` (0 to 1: probability of the label), ``predicted`` (1 from 0.5
     up), ``held_out`` (the row's label was not learnt from), ``neighbours`` (the
-    ``evidence`` nearest examples) and ``terms`` (of the text, in the vocabulary,
-    in order of weight); columns of these names are replaced. A text without terms
-    of the vocabulary, null and empty ones among them, gets the rate of such
-    examples and no evidence. Without any usable label all scores are 0. Repeated
+    ``evidence`` nearest examples over all terms) and ``terms`` (the leaning terms of
+    the text, in order of weight; those shared with the nearest example if there are
+    none); columns of these names are replaced. A text without a term of any example,
+    null and empty ones among them, has no evidence. Without any usable label all scores are 0. Repeated
     rows are scored alike; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    index = fit(docs, labels, sample_rows)
-    sent = spark.sparkContext.broadcast(index)
+    model = fit(docs, labels, sample_rows)
     keep = [c for c in docs.columns if c not in ("score", "predicted", "held_out", "neighbours", "terms")]
     base = docs.select(*[f"`{c}`" for c in keep])
     schema = T.StructType([*base.schema.fields, *T.StructType.fromDDL(SCORED).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        memory: dict[tuple, tuple] = {}
+        memory: dict[bytes, tuple] = {}
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                b = whole.slice(lo, 1000)
-                out = []
-                for text in b.column("text").to_pylist():
-                    counts = known.counts(text) if known else {}
-                    key = tuple(sorted(counts.items()))
-                    if key not in memory:
-                        if len(memory) > 50_000:
-                            memory.clear()
-                        memory[key] = _scored(known, counts, evidence)
-                    out.append(memory[key])
+            for lo in range(0, whole.num_rows, TOGETHER):
+                b = whole.slice(lo, TOGETHER)
+                texts = b.column("text").to_pylist()
+                keys = [hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
+                if len(memory) > 20_000:
+                    memory.clear()
+                new = {k: t for k, t in zip(keys, texts, strict=True) if k not in memory}
+                memory.update(zip(new, _scored(model, list(new.values()), evidence), strict=True))
+                out = [memory[k] for k in keys]
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array([x[0] for x in out], pa.float64()),
                      pa.array([x[1] for x in out], pa.list_(pa.struct(
@@ -340,16 +555,15 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
         .withColumn("held_out", held_out(F.col("doc_id")))
 
 
-def _scored(index: Index | None, counts: dict[int, int], evidence: int) -> tuple[float, list, list]:
-    if index is None:
-        return 0.0, [], []
-    if not counts:
-        return index.none_rate, [], []
-    near = index.nearest(counts)
-    p = index.probability(index.vote(near)) if near else index.rate
-    names = {i: w for w, i in index.vocabulary.items() if i in counts and w != ANY}
-    terms = [names[t] for t in sorted(names, key=lambda t: (-(1 + math.log(counts[t])) * index.idf[t], t))]
-    return p, [{"doc_id": int(index.ids[e]), "similarity": s, "toxic": int(index.toxic[e])} for s, e in near[:evidence]], terms
+def _scored(model: Model | None, texts: list[str | None], evidence: int) -> list[tuple[float, list, list]]:
+    if model is None:
+        return [(0.0, [], [])] * len(texts)
+    if not texts:
+        return []
+    whole = model.whole.value.index()
+    return [(float(np.interp(vote, *model.knots)),
+             [{"doc_id": int(whole.ids[e]), "similarity": s, "toxic": int(whole.toxic[e])} for s, e in near[:evidence]], terms)
+            for vote, near, terms in model.votes(texts)]
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
