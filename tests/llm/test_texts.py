@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -227,3 +228,25 @@ def test_licenses_of_odd_rows(spark):
     m = got[1][0]["matches"][0]
     assert m["whole"] and rows[0][1][m["start"]:m["end"]].startswith("THE  MIT") and m["end"] == len(rows[0][1]) - 5
     assert not licenses.scan(df.limit(0)).collect()
+
+
+def test_licenses_of_wrapped_texts():
+    s, scan = licenses.SENTENCES, licenses.Recogniser(licenses.SENTENCES, licenses.RULES)
+    texts = {"MIT": ("mit-grant", "mit-condition", "as-is", "mit-liability"), "GPL-3.0-or-later": ("gpl-free", "gpl-hope", "gpl-see"),
+             "BSD-3-Clause": ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"), "ISC": ("isc-grant",),
+             "MPL-2.0": ("mpl-form", "mpl-copy")}
+    for licence, keys in texts.items():
+        for width in (30, 60, 72):
+            for sign in ("", "# ", " * ", "// ", ";; "):
+                for end in ("\n", "\r\n"):
+                    blocks = ["Copyright (c) 2020 Some Person and others", *(s[k] for k in keys), "import this"]
+                    lines = [sign + line for b in blocks for line in [*textwrap.wrap(b, width, break_long_words=False), ""]]
+                    n, found = scan.match(end.join(lines))
+                    assert [(x[0], x[1]) for x in found] == [(licence, True)], (licence, width, sign, end)
+                    text = end.join(lines)
+                    assert licenses.normalise(text[found[0][2]:found[0][3]]).startswith(licenses.normalise(s[keys[0]])[:20])
+    # A paragraph of several sentences, and a blank line within a sentence.
+    wrapped = textwrap.fill(" ".join(s[k] for k in texts["GPL-3.0-or-later"]), 60)
+    assert [x[:2] for x in scan.match(wrapped)[1]] == [("GPL-3.0-or-later", True)]
+    assert scan.match("This software is released\n\nunder the MIT License.") == (0, [])
+    assert scan.match("one\ntwo\nMIT License\nthree") == (1, [("MIT", True, 8, 19)])

@@ -2,7 +2,9 @@
 
 A text is cut into sentences, each sentence is normalised (lower case, runs of
 anything but letters and digits become one blank) and looked up among the known
-licence sentences. The identifiers found, in order, are matched against the rules: a
+licence sentences. A line that ends without a mark may go on in the next one (wrapped
+text, also behind comment signs): runs of such lines are looked up joined, the longest
+known sentence first; a blank line ends a run. The identifiers found, in order, are matched against the rules: a
 rule is the ordered sentences of a licence text or notice. At each place the longest
 rule wins; a rule may be interrupted by a few unknown sentences (a name, an address),
 not by known ones. A rule that is followed up to its start only is reported as a part.
@@ -126,8 +128,9 @@ RULES = (
 # Unknown sentences that may stand between two sentences of a rule.
 GAP = 3
 
-# A sentence ends at a line end, or at a mark before white space.
+# A sentence ends at a line end, unless it goes on in the next line, or at a mark before white space.
 _END = re.compile(r"\n+|(?<=[.!?:;])\s+")
+_MARKS = tuple(".!?:;")
 _PLAIN = re.compile(r"[\W_]+")
 
 
@@ -136,14 +139,21 @@ def normalise(sentence: str) -> str:
 
 
 def sentences(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of the sentences of a text, in code points."""
-    at = 0
+    """Spans of the sentences of a text without wrapped lines, in code points."""
+    return ((a, b) for a, b, _, _ in pieces(text))
+
+
+def pieces(text: str) -> Iterator[tuple[int, int, bool, bool]]:
+    """Spans of the pieces between marks and line ends, in code points; whether each
+    begins its line, and whether its line ends with it."""
+    at, begins = 0, True
     for m in _END.finditer(text):
+        ends = "\n" in m.group()
         if m.start() > at:
-            yield at, m.start()
-        at = m.end()
+            yield at, m.start(), begins, ends
+        at, begins = m.end(), ends
     if at < len(text):
-        yield at, len(text)
+        yield at, len(text), begins, True
 
 
 class Recogniser:
@@ -152,6 +162,8 @@ class Recogniser:
     def __init__(self, known: dict[str, str], rules: tuple[Rule, ...], gap: int = GAP):
         # A licence sentence may itself have several parts, when a mark ends one inside it.
         self.parts = {k: [p for a, b in sentences(s) if (p := normalise(s[a:b]))] for k, s in known.items()}
+        # Beginnings of known sentences, by words.
+        self.begun = {p[:m.start()] for ps in self.parts.values() for p in ps for m in re.finditer(" |$", p)}
         self.number = {p: i for i, p in enumerate(sorted({p for ps in self.parts.values() for p in ps}))}
         self.rules = sorted({(tuple(self.number[p] for s in r.sentences for p in self.parts[s]), r.licence) for r in rules},
                             key=lambda x: (-len(x[0]), x))
@@ -159,11 +171,36 @@ class Recogniser:
 
     def known(self, text: str) -> list[tuple[int, int, int, int]]:
         """(identifier, place among the sentences, start, end) of each known sentence."""
-        out = []
-        for n, (a, b) in enumerate(sentences(text)):
-            i = self.number.get(normalise(text[a:b]))
-            if i is not None:
-                out.append((i, n, a, b))
+        found = [(normalise(text[a:b]), a, b, begins, ends) for a, b, begins, ends in pieces(text)]
+        # Whether a piece may go on in the next: the line ends with it, but for no mark, and no blank line follows.
+        on = [ends and text[a:b].rstrip()[-1:] not in _MARKS and not text.startswith("\n\n", b) for _, a, b, _, ends in found]
+        out, i, place, goes_on = [], 0, -1, False
+        while i < len(found):
+            words, a, b, begins, ends = found[i]
+            if not words:                # a blank line ends a run; signs before a comment's text do not
+                goes_on &= not (begins and ends)
+                i += 1
+                continue
+            best, j, joined = None, i, words
+            while joined in self.begun:
+                if joined in self.number:
+                    best = (self.number[joined], j)
+                if not on[j]:
+                    break
+                j += 1
+                if j < len(found) and not found[j][0] and not found[j][4]:
+                    j += 1
+                if j == len(found) or not found[j][0]:
+                    break
+                joined += " " + found[j][0]
+            if best:
+                place += 1
+                out.append((best[0], place, a, found[best[1]][2]))
+                i, goes_on = best[1] + 1, False
+            else:                        # the lines of an unknown sentence have one place
+                place += not goes_on
+                goes_on = on[i]
+                i += 1
         return out
 
     def match(self, text: str | None) -> tuple[int, list[tuple[str, bool, int, int]]]:
