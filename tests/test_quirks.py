@@ -245,3 +245,24 @@ def test_empty_inputs(spark):
     pages = L.split_page(L.clean(L.parse_app_log(_log(
         spark, '{"common":{"mid":"m"},"page":{"page_id":"a","last_page_id":"b"},"ts":1}'))))
     assert L.unique_visit(pages).count() == 0
+
+
+def test_nulls_vanish_at_every_depth(spark):
+    """Q12: null fields at any depth, in array elements and in a repaired ``common``."""
+    deep = {"l": {"m": {"n": {"o": {"p": None, "q": [None, {"r": None, "s": 1}]}}}}, "z": None}
+    odd = {'k":null,"': 'v":null,', "back\\": None, ',":null': ",}", "e": None, "text": 'a "b":null, c\\', "u": {"w": None}}
+    body = {"page": {"page_id": "home", "x": None}, "deep": deep, "odd": odd, "ts": 1,
+            "displays": [{"item": "1", "ext": {"x": None, "y": {"z": None}}}, None]}
+    common = {"mid": "m1", "is_new": "1", "a": {"b": None, "c": {"d": None, "e": 2}}, "f": None}
+    rows = [(i, i, json.dumps({"common": common, **body})) for i in (1, 2)]
+
+    def clean(x):
+        if isinstance(x, dict):
+            return {k: clean(v) for k, v in x.items() if v is not None}
+        return [clean(v) for v in x] if isinstance(x, list) else x
+
+    fixed = L.first_visit_fix(L.parse_app_log(spark.createDataFrame(rows, "arrival long, seq long, value string")))
+    got = {(r.route, r.arrival): json.loads(r.value) for r in L.split_all(fixed).collect()}
+    assert got["page", 1] == clean({"common": common, **body})
+    assert got["page", 2] == clean({"common": {**common, "is_new": "0"}, **body})
+    assert got["display", 1] == got["display", 2] == {"item": "1", "ext": {"y": {}}, "page_id": "home"}

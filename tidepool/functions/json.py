@@ -88,16 +88,12 @@ def object_to_json(obj_map: Column) -> Column:
     return F.to_json(F.to_variant_object(obj_map))
 
 
-def without_nulls(v: Column, depth: int = 2) -> Column:
-    """VARIANT without the null entries of its objects, nested ones down to ``depth``
-    levels; nulls in arrays stay (quirk Q12). The expression doubles with each level,
-    and the records have no more than these."""
-    obj = as_object_map(v)
-    kept = F.map_filter(obj, lambda _, x: x.isNotNull() & ~F.is_variant_null(x))
-    if depth == 0:
-        return F.when(obj.isNotNull(), F.to_variant_object(kept)).otherwise(v)
-    inner = F.transform_values(kept, lambda _, x: without_nulls(x, depth - 1))
-    items = F.try_variant_get(v, "$", "array<variant>")
-    return (F.when(obj.isNotNull(), F.to_variant_object(inner))
-             .when(items.isNotNull(), F.to_variant_object(F.transform(items, lambda x: without_nulls(x, depth - 1))))
-             .otherwise(v))
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def without_nulls(text: Column) -> Column:
+    """JSON text, as ``object_to_json`` writes it, without the null fields of its objects
+    at any depth; nulls in arrays stay (quirk Q12). Every string is matched whole, so
+    that nothing inside one is taken for a field."""
+    dropped = F.regexp_replace(text, f"{_STRING}:null(?:,|(?=}}))|({_STRING})", "$1")
+    return F.regexp_replace(dropped, f"({_STRING})|,(?=}})", "$1")

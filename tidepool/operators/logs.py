@@ -125,13 +125,12 @@ def record_json(df: DataFrame) -> Column:
     repaired record has the flag written back as the string ``"0"`` (Q1). Only those
     records, and records whose text holds a ``null``, are serialised anew; all others
     are published as received."""
-    obj = J.as_object_map(F.when(may_hold_null(), J.without_nulls(F.col("v"))).otherwise(F.col("v")))
-    common = F.map_filter(J.as_object_map(J.get(F.col("v"), "$.common", "variant")),
-                          lambda _, x: x.isNotNull() & ~F.is_variant_null(x))
+    common = J.as_object_map(J.get(F.col("v"), "$.common", "variant"))
     fixed_common = F.to_variant_object(J.put(common, "is_new", J.variant_text(F.lit("0"))))
-    return F.when(F.col("repaired") | may_hold_null(), J.object_to_json(F.transform_values(
-        obj, lambda k, x: F.when(F.col("repaired") & (k == "common"), fixed_common).otherwise(x)))) \
-        .otherwise(F.col("value"))
+    anew = J.object_to_json(F.transform_values(
+        J.as_object_map(F.col("v")),
+        lambda k, x: F.when(F.col("repaired") & (k == "common"), fixed_common).otherwise(x)))
+    return F.when(may_hold_null(), J.without_nulls(anew)).when(F.col("repaired"), anew).otherwise(F.col("value"))
 
 
 def displays(v: Column) -> Column:
@@ -143,9 +142,9 @@ def display_json(d: Column, page_id: Column, nulls: Column) -> Column:
     """A display's own fields with ``page_id`` set (overwritten); a NULL page id
     is left out, as the reference's serialiser drops nulls; ``nulls`` tells whether
     the record may hold others."""
-    d = F.when(nulls, J.without_nulls(d, 1)).otherwise(d)
     m = J.put(J.as_object_map(d), "page_id", J.variant_text(page_id))
-    return J.object_to_json(J.drop_null_values(m))
+    text = J.object_to_json(J.drop_null_values(m))
+    return F.when(nulls, J.without_nulls(text)).otherwise(text)
 
 
 def split_start(fixed: DataFrame) -> DataFrame:
