@@ -250,3 +250,10 @@ def test_licenses_of_wrapped_texts():
     assert [x[:2] for x in scan.match(wrapped)[1]] == [("GPL-3.0-or-later", True)]
     assert scan.match("This software is released\n\nunder the MIT License.") == (0, [])
     assert scan.match("one\ntwo\nMIT License\nthree") == (1, [("MIT", True, 8, 19)])
+
+
+def test_runs_and_screen_keep_the_recall_of_the_join():
+    for threshold in (0.7, 0.8, 0.9):
+        runs, least = jaccard.runs_and_least(threshold, 0.9999, 3, 0.2)
+        assert jaccard.missed(threshold, 3, runs, least) <= 1e-4
+    assert jaccard.missed(0.8, 3, 11, 0.6) > 4e-4          # eleven runs and a fixed screen lose more

@@ -211,6 +211,37 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _agreements(threshold: float) -> list[float]:
+    """Chances of 0 to ``SKETCH`` equal coordinates for a pair at the threshold."""
+    return [math.comb(SKETCH, a) * threshold ** a * (1 - threshold) ** (SKETCH - a) for a in range(SKETCH + 1)]
+
+
+def missed(threshold: float, depth: int, runs: int, least: float) -> float:
+    """Chance that a pair at the threshold that needs every split is not compared: its sketches
+    agree in less than ``least``, or no run of ``depth`` splits keeps it together."""
+    out = 0.0
+    for a, p in enumerate(_agreements(threshold)):
+        s = a / SKETCH
+        once = 1 - (1 - s) * (1 - s * (1 / threshold - 1))
+        out += p * ((1 - once ** depth) ** runs if a >= least * SKETCH else 1.0)
+    return out
+
+
+def runs_and_least(threshold: float, recall: float, depth: int, margin: float) -> tuple[int, float]:
+    """Number of runs and least agreement with which ``missed`` stays within ``1 - recall``.
+    The screen may take half of it, and is never stricter than ``threshold - margin``."""
+    lost, a = 0.0, 0
+    for p in _agreements(threshold):
+        if lost + p > (1 - recall) / 2:
+            break
+        lost, a = lost + p, a + 1
+    least = min(threshold - margin, a / SKETCH)
+    runs = 1
+    while missed(threshold, depth, runs, least) > 1 - recall:
+        runs += 1
+    return runs, least
+
+
 def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth: int = 3, margin: float = 0.2) -> DataFrame:
     """Near-duplicate links of every row of ``docs`` (doc_id, text): one row per row.
 
@@ -219,9 +250,9 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth:
     rows linked directly), ``kept`` (doc_id = component_id). Rows link when the
     Jaccard similarity of their five-word shingle sets is at least ``threshold``.
     Every link is exact; a pair at the threshold is found with the chance
-    ``recall``, equal sets always. ``margin`` is how far below the threshold a
-    sketch may estimate a pair that is still compared (0.2 is four standard
-    errors of ``SKETCH`` coordinates).
+    ``recall`` at least, equal sets always. ``margin`` is how far below the threshold a
+    sketch may at least estimate a pair that is still compared (0.2 is four standard
+    errors of ``SKETCH`` coordinates); it is more where ``recall`` needs it.
 
     Texts of one to four words have one shingle. Texts without words (null, empty,
     white space) have equal, empty sets: they are copies of each other and of
@@ -238,8 +269,7 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth:
         F.first("n").alias("n"), F.first("sig").alias("sig"))
         .select(F.monotonically_increasing_id().alias("cid"), "*"), "jac-classes")
 
-    found_once = 1 - (1 - threshold) * (1 - threshold * (1 / threshold - 1))
-    runs = math.ceil(math.log(1 - recall) / math.log(1 - found_once ** depth))
+    runs, least = runs_and_least(threshold, recall, depth, margin)
     roots = [int(x) for x in _mix(np.arange(1, runs + 1, dtype=np.uint64))]
 
     def first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +307,6 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth:
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("cid", "path", "sub", F.least("sub", "other").alias("x"), F.greatest("sub", "other").alias("y")))
     key = ["path", "x", "y"]
-    least = threshold - margin
 
     def near(b: pd.DataFrame, s: int, e: int) -> np.ndarray:
         sig = _matrix(b["sig"].iloc[s:e])
