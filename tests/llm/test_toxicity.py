@@ -11,34 +11,76 @@ from conftest import SF01, SF001
 from tidepool.llm import toxicity
 
 
-def brute_nearest(rows, idf, counts, k):
-    def vector(c):
-        w = {t: (1 + math.log(n)) * idf[t] for t, n in c.items()}
-        norm = math.sqrt(sum(x * x for x in w.values()))
-        return {t: x / norm for t, x in w.items()}
-
-    q = vector(counts)
-    scored = []
-    for doc_id, _, c in rows:
-        v = vector(c)
-        s = sum(x * v.get(t, 0.0) for t, x in q.items())
-        if s > 0:
-            scored.append((-s, doc_id))
-    return [-s for s, _ in sorted(scored)[:k]]
+def brute_model(rows):
+    """idf of every term of the examples (doc_id, label, term counts), and the weighted unit vectors."""
+    n, toxic = len(rows), sum(y for _, y, _ in rows)
+    rate, df, bad = toxic / n, {}, {}
+    for _, y, c in rows:
+        for t in c:
+            df[t] = df.get(t, 0) + 1
+            bad[t] = bad.get(t, 0) + y
+    idf = {}
+    for t, m in df.items():
+        z = max(0.0, (bad[t] - m * rate) / math.sqrt(m * rate * (1 - rate))) if 0 < rate < 1 else 0.0
+        idf[t] = (math.log((1 + n) / (1 + m)) + 1) * (1 + z * z)
+    return idf, [(i, y, unit(c, idf)) for i, y, c in rows]
+
+
+def unit(counts, idf):
+    w = {t: (1 + math.log(n)) * idf[t] for t, n in counts.items() if t in idf}
+    norm = math.sqrt(sum(x * x for x in w.values()))
+    return {t: x / norm for t, x in w.items()}
+
+
+def brute_nearest(model, counts, k):
+    """(similarity, doc_id, label) of the k nearest examples."""
+    idf, vectors = model
+    q = unit(counts, idf)
+    scored = [(-sum(x * v.get(t, 0.0) for t, x in q.items()), i, y) for i, y, v in vectors]
+    return [(-s, i, y) for s, i, y in sorted(scored)[:k] if s < 0]
+
+
+def counted(text):
+    out = {}
+    for w in (text or "").lower().split():
+        out[w] = out.get(w, 0) + 1
+    return out
+
+
+def index_of(rows):
+    words = sorted({t for _, _, c in rows for t in c})
+    marks = toxicity._marks(words)
+    order = np.argsort(marks)
+    number = {words[j]: i for i, j in enumerate(order)}
+    term = np.array([number[t] for _, _, c in rows for t in c])
+    return toxicity.Index(np.array([i for i, _, _ in rows]), np.array([y for _, y, _ in rows]),
+                          np.concatenate([[0], np.cumsum([len(c) for _, _, c in rows])]), marks[order], term,
+                          np.array([n for _, _, c in rows for n in c.values()]))
 
 
 def test_nearest_examples_are_exact():
     rnd = random.Random(4)
-    terms = 40
-    idf = np.array([1 + rnd.random() * 6 for _ in range(terms)])
-    pick = lambda n: {t: rnd.choice([1, 1, 2, 5]) for t in rnd.sample(range(terms), rnd.randint(1, n))}
+    pick = lambda n: {f"t{t}": rnd.choice([1, 1, 2, 5]) for t in rnd.sample(range(40), rnd.randint(1, n))}
     rows = [(i, rnd.randint(0, 1), pick(6)) for i in range(1500)]
-    index = toxicity.Index.build([f"t{i}" for i in range(terms - 1)] + [toxicity.ANY], idf, rows, 0.5, 0.1)
+    index, model = index_of(rows), brute_model(rows)
     for _ in range(60):
         counts = pick(8)
-        near = index.nearest(counts)
-        assert [s for s, _ in near] == pytest.approx(brute_nearest(rows, idf, counts, toxicity.NEIGHBOURS))
+        terms, often, words = index.counts([t for t, n in counts.items() for _ in range(n)] + ["unknown"])
+        assert dict(zip(words, often.tolist(), strict=True)) == counts
+        near = index.nearest(terms, often)
+        assert [s for s, _ in near] == pytest.approx([s for s, _, _ in brute_nearest(model, counts, toxicity.NEIGHBOURS)])
         assert [e for _, e in near] == sorted((e for _, e in near), key=lambda e: (-round(dict((b, a) for a, b in near)[e], 9), e))
+        held = index.shared(near[0][1], terms)
+        example = next(c for i, _, c in rows if i == index.ids[near[0][1]])
+        assert {words[i] for i in held} == set(counts) & set(example)
+
+
+def test_empty_and_one_sided_indexes():
+    one = index_of([(7, 1, {"a": 2, "b": 1})])
+    assert one.nearest(*one.counts(["a", "zzz"])[:2])[0][1] == 0 and one.nearest(*one.counts(["zzz"])[:2]) == []
+    bare = toxicity.Index(np.array([1, 2]), np.array([0, 1]), np.array([0, 0, 0]), np.zeros(0, dtype=np.uint64),
+                          np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32))
+    assert bare.nearest(*bare.counts(["a"])[:2]) == []
 
 
 def test_monotone_fit_never_falls():
@@ -104,8 +146,8 @@ def test_odd_rows(spark):
     assert {r["score"] for r in toxicity.score(docs, truth.limit(0)).collect()} == {0.0}
 
 
-def test_every_example_is_searched_over_all_its_terms(spark):
-    """Texts without a leaning term have their exact neighbours too, among all examples."""
+def test_scores_equal_brute_force(spark):
+    """Texts without a leaning term have their exact neighbours too; vote, folds and fit are followed to the score."""
     rnd = random.Random(5)
     words = ["".join(rnd.choices("klmnopqr", k=rnd.randint(2, 9))) for _ in range(400)]
     texts = {i: " ".join(rnd.choices(words, k=rnd.randint(3, 60)) + (["vile"] if i % 9 == 0 else [])) for i in range(500)}
@@ -114,17 +156,38 @@ def test_every_example_is_searched_over_all_its_terms(spark):
     got = {r["doc_id"]: r for r in toxicity.score(
         docs, spark.createDataFrame(list(learnt.items()), "doc_id long, toxic int")).collect()}
 
-    counts = {}
-    for i, t in texts.items():
-        counts[i] = {}
-        for w in t.split():
-            for term in {w, *(f"{w[:n]}*" for n in toxicity.PREFIXES if len(w) > n)}:
-                counts[i][term] = counts[i].get(term, 0) + 1
-    known = sorted({t for i in learnt for t in counts[i]})
-    df = {t: sum(t in c for c in counts.values()) for t in known}
-    idf = {t: math.log((1 + len(texts)) / (1 + df[t])) + 1 for t in known}
+    def vote(model, counts, rate):
+        near = brute_nearest(model, counts, toxicity.NEIGHBOURS)
+        w = [1 / (0.02 + max(0.0, 1 - s)) for s, _, _ in near]
+        return sum(x * y for x, (_, _, y) in zip(w, near, strict=True)) / sum(w) if near else rate
+
+    counts = {i: counted(t) for i, t in texts.items()}
     rows = [(i, y, counts[i]) for i, y in learnt.items()]
+    folds = dict(zip(learnt, toxicity.fold_of(np.array(list(learnt))).tolist(), strict=True))
+    assert len(set(folds.values())) == toxicity.FOLDS
+    votes = {}
+    for f in range(toxicity.FOLDS):
+        others = [r for r in rows if folds[r[0]] != f]
+        model, rate = brute_model(others), sum(y for _, y, _ in others) / len(others)
+        votes |= {i: vote(model, counts[i], rate) for i in learnt if folds[i] == f}
+    knots = toxicity.monotone_fit(np.array([votes[i] for i in sorted(learnt)]), np.array([learnt[i] for i in sorted(learnt)]))
+    model, rate = brute_model(rows), sum(learnt.values()) / len(learnt)
     for i in range(0, 500, 7):
-        near = brute_nearest(rows, idf, {t: n for t, n in counts[i].items() if t in idf}, 3)
-        assert [e["similarity"] for e in got[i]["neighbours"]] == pytest.approx(near), i
+        near = brute_nearest(model, counts[i], 3)
+        assert [e["similarity"] for e in got[i]["neighbours"]] == pytest.approx([s for s, _, _ in near]), i
+        assert got[i]["score"] == pytest.approx(float(np.interp(vote(model, counts[i], rate), *knots))), i
     assert all(got[i]["neighbours"][0]["doc_id"] == i for i in learnt)
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    """No more examples than rows and characters allow, and none from a text beyond the longest."""
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 5][:200]
+    rows = [(i, f"w{i} " * (5 if n else 400)) for n, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    size = lambda **o: len(toxicity.fit(docs, labels, **o).examples.value.index().ids)
+    assert size(sample_rows=50) == 50
+    monkeypatch.setattr(toxicity, "LONGEST_EXAMPLE", 1000)
+    assert size() == 199
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 1000)
+    assert 0 < size() < 60

@@ -1,25 +1,22 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
-A bounded sample of labelled rows gives the examples. Their terms are words and word
-beginnings, all of them; inverse document frequencies are counted over all documents.
-Every text is held against every example: terms of many examples by a matrix product,
-the others by posting lists, both in single precision; what may be among the nearest
-is then decided in double precision.
-
-A second vote is taken over the leaning terms only (those whose share of toxic rows
-is far above chance), which few words among many decide. These weights form an
-inverted index cut into blocks of neighbouring examples, each posting list with its
-largest weight per block. A query adds up these maxima to an upper bound for every
-block, reads blocks from the highest bound down, and stops when no block left can hold
-a nearer example than the k-th found: the neighbours are exact here too.
-
-The nearest examples vote with the inverse of their distance. The mean of both votes
-is turned into a probability by a monotone fit on the sample, each of its rows scored
-without itself. The score comes with its evidence: the neighbours over all terms, and
-the leaning terms.
-
-Only the sample's examples and their terms, both bounded by parameters, are sent
-to the executors; texts never leave them.
+A bounded sample of labelled rows gives the examples. Their terms are words, all of
+them. A term's idf is counted over the examples and multiplied by its lean, 1 + z²,
+where z is how many standard deviations the toxic examples among those that hold it
+lie above chance (0 below chance): so the few words that decide outweigh the many
+that do not, and no term is left out.
+
+The weights form an inverted index cut into blocks of neighbouring examples; each
+(term, block) entry has its largest weight. A query adds up these maxima to an upper
+bound for every block, reads blocks from the highest bound down, and stops when no
+block left can hold a nearer example than the k-th found: the neighbours are exact.
+
+The nearest examples vote with the inverse of their distance. The vote is turned
+into a probability by a monotone fit on the sample, each fold of which is scored by
+the other folds alone. The score comes with its evidence: the neighbours and the leaning terms.
+
+Terms are known by a 64-bit hash. Of the sample, which is bounded in rows and in
+characters, packed term numbers and counts pass the driver; its texts do not.
 """
 
 from __future__ import annotations
@@ -34,28 +31,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.llm.common import staged, table
 
-SAMPLE_ROWS = 20_000
-MOST_TERMS = 2048
+# The bounds of the sample: rows, characters of all its texts and of one text.
+SAMPLE_ROWS = 4_000
+SAMPLE_CHARS = 32 << 20
+LONGEST_EXAMPLE = 1 << 19
 NEIGHBOURS = 15
 BLOCK = 64
 FIRST_BLOCKS = 8
-# A term leans toxic with this many rows and standard deviations above chance.
-LEAST_ROWS, LEAST_Z = 5, 4.0
-# Besides words, terms are word beginnings of these lengths, written with a star.
-PREFIXES = (3, 4, 5, 6)
-# The term of all words: it is in every text, so that the others weigh by their density.
-ANY = "*"
-# Terms of the most examples that are kept as a matrix, and texts multiplied with it at once.
-DENSE, TOGETHER = 1024, 128
-# More than what single precision can be off for two unit vectors.
-SLACK = 2e-4
+# Folds of the sample for the fit of the votes.
+FOLDS = 4
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -63,185 +55,15 @@ def _words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def _terms(words: list[str]) -> set[str]:
-    """The distinct terms of a text."""
-    once = set(words)
-    return {*once, *(f"{w[:n]}*" for w in once for n in PREFIXES if len(w) > n)}
+def _marks(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), dtype=np.uint64,
+                       count=len(words))
 
 
-class Words:
-    """Numbers of all terms of the examples, remembering what each word holds."""
-
-    def __init__(self, terms: list[str], limit: int = 100_000):
-        self.terms, self.number = terms, {t: i for i, t in enumerate(terms)}
-        self.limit, self.memory = limit, {}
-
-    def __reduce__(self):
-        return _words_again, (zlib.compress("\n".join(self.terms).encode(), 1), self.limit)
-
-    def _held(self, word: str) -> tuple[int, ...]:
-        found = (self.number.get(t) for t in (word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)))
-        if len(self.memory) >= self.limit:
-            self.memory.clear()
-        self.memory[word] = out = tuple(i for i in found if i is not None)
-        return out
-
-    def held(self, words: list[str]) -> np.ndarray:
-        """The known terms of a text, in no order."""
-        found, memory = set(), self.memory
-        for w in set(words):
-            held = memory.get(w)
-            found.update(self._held(w) if held is None else held)
-        return np.fromiter(found, dtype=np.int64, count=len(found))
-
-    def counts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The known terms of a text, in order, and their counts."""
-        ids, often, memory = [], [], self.memory
-        for w, n in Counter(words).items():
-            held = memory.get(w)
-            if held is None:
-                held = self._held(w)
-            ids.extend(held)
-            often.extend([n] * len(held))
-        terms, at = np.unique(np.array(ids, dtype=np.int64), return_inverse=True)
-        return terms, np.bincount(at, often, minlength=len(terms)).astype(np.int64)
-
-
-def _words_again(packed: bytes, limit: int) -> Words:
-    joined = zlib.decompress(packed).decode()
-    return Words(joined.split("\n") if joined else [], limit)
-
-
-def packed(x: np.ndarray) -> list[bytes]:
-    """Small non-negative numbers as their compressed bytes, lowest bytes first."""
-    raw = x.astype("<u4")
-    return [zlib.compress((raw >> np.uint32(8 * j)).astype(np.uint8).tobytes(), 1) for j in range(4)]
-
-
-def unpacked(planes: list[bytes]) -> np.ndarray:
-    out = np.frombuffer(zlib.decompress(planes[0]), dtype=np.uint8).astype(np.int32)
-    for j in (1, 2, 3):
-        out |= np.frombuffer(zlib.decompress(planes[j]), dtype=np.uint8).astype(np.int32) << (8 * j)
-    return out
-
-
-class Whole:
-    """Examples over all their terms, as rows and as postings."""
-
-    def __init__(self, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray, at: np.ndarray, term: np.ndarray,
-                 count: np.ndarray):
-        """Example ``e`` has the terms ``term[at[e]:at[e + 1]]``, as often as ``count`` says."""
-        self.idf, self.ids, self.toxic, self.at, self.term, self.count = idf, ids, toxic, at, term, count
-        self.tf = 1 + np.log(np.maximum(1, np.arange(count.max(initial=0) + 1)))
-        n, v = len(ids), len(idf)
-        df = np.bincount(term, minlength=v)
-        most = np.argsort(-df, kind="stable")[:min(DENSE, v)]
-        self.place = np.full(v, -1, dtype=np.int32)        # row of the matrix, or -1
-        self.place[most] = np.arange(len(most))
-        self.matrix = np.zeros((len(most), n), dtype=np.float32)
-        self.norm = np.zeros(n)
-        self.start = np.concatenate([[0], np.cumsum(np.where(self.place < 0, df, 0))])
-        self.example = np.zeros(self.start[-1], dtype=np.int32)
-        self.weight = np.zeros(self.start[-1], dtype=np.float32)
-        free = self.start[:-1].copy()
-        for lo in range(0, n, 1000):                       # in pieces: no array of the whole size besides
-            hi = min(n, lo + 1000)
-            t = term[at[lo]:at[hi]]
-            owner = np.repeat(np.arange(lo, hi), np.diff(at[lo:hi + 1]))
-            w = self.tf[count[at[lo]:at[hi]]] * idf[t]
-            self.norm[lo:hi] = np.sqrt(np.bincount(owner - lo, w * w, minlength=hi - lo))
-            w /= self.norm[owner]
-            row = self.place[t]
-            dense = row >= 0
-            self.matrix[row[dense], owner[dense]] = w[dense]
-            order = np.flatnonzero(~dense)
-            order = order[np.argsort(t[order], kind="stable")]
-            once, first, m = np.unique(t[order], return_index=True, return_counts=True)
-            to = np.repeat(free[once] - first, m) + np.arange(len(order))
-            self.example[to], self.weight[to] = owner[order], w[order]
-            free[once] += m
-
-    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None,
-                k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
-        """For each text (terms, counts), its k nearest examples as (similarity, example); ties go
-        to the earlier example. The cosine is over the terms that any example has."""
-        weights = []
-        for terms, counts in texts:
-            q = (1 + np.log(counts)) * self.idf[terms]
-            weights.append(q / math.sqrt(q @ q) if len(q) else q)
-        left = np.zeros((len(texts), len(self.matrix)), dtype=np.float32)
-        for i, (terms, _) in enumerate(texts):
-            row = self.place[terms]
-            left[i, row[row >= 0]] = weights[i][row >= 0]
-        scores = left @ self.matrix
-        out, q = [], np.zeros(len(self.idf))
-        for i, (terms, _) in enumerate(texts):
-            score = scores[i]
-            light = self.place[terms] < 0
-            first = self.start[terms[light]]
-            n = self.start[terms[light] + 1] - first
-            if n.sum():
-                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-                score = score + np.bincount(self.example[at], self.weight[at] * np.repeat(weights[i][light], n),
-                                            minlength=len(self.ids))
-            if without is not None:
-                score[self.ids == without[i]] = 0
-            floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
-            # Both the k-th and the other may be off by the slack.
-            found = np.flatnonzero((score > 0) & (score >= floor - 2 * SLACK))
-            q[terms] = weights[i]
-            exact = self._exact(found, q)
-            q[terms] = 0
-            best = np.lexsort((found, -np.round(exact, 9)))[:k]
-            out.append(list(zip(exact[best].tolist(), found[best].tolist(), strict=True)))
-        return out
-
-    def _exact(self, examples: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Cosines of these examples with the query in double precision."""
-        n = self.at[examples + 1] - self.at[examples]
-        at = np.repeat(self.at[examples] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        term = self.term[at]
-        w = self.tf[self.count[at]] * self.idf[term] * q[term]
-        return np.bincount(np.repeat(np.arange(len(examples)), n), w, minlength=len(examples)) / self.norm[examples]
-
-    def shared(self, example: int, terms: np.ndarray) -> np.ndarray:
-        """Terms of a text that this example has, the heaviest first."""
-        a, b = self.at[example], self.at[example + 1]
-        both, at, _ = np.intersect1d(self.term[a:b], terms, return_indices=True)
-        tf = self.tf[self.count[a:b][at]]
-        return both[np.lexsort((both, -tf * self.idf[both]))]
-
-
-class Chooser:
-    """Finds the vocabulary's terms in texts, remembering what each word holds."""
-
-    def __init__(self, known: frozenset[str], limit: int = 300_000):
-        self.known, self.limit, self.memory = known, limit, {}
-        self.starts = frozenset(t.rstrip("*")[:3] for t in known)      # no other word holds a term
-
-    def _held(self, word: str) -> tuple[str, ...]:
-        found = [word] if word in self.known else []
-        found += [p for n in PREFIXES if len(word) > n and (p := f"{word[:n]}*") in self.known]
-        if len(self.memory) >= self.limit:
-            self.memory.clear()
-        self.memory[word] = out = tuple(found)
-        return out
-
-    def counts(self, words: list[str]) -> Counter:
-        """Counts of the known terms among the words of a text."""
-        out, memory, starts, found = Counter(), self.memory, self.starts, []
-        for w in {w for w in set(words) if w[:3] in starts}:
-            held = memory.get(w)
-            if held is None:
-                held = self._held(w)
-            if held:
-                found.append((w, held))
-        often = Counter(words) if len(found) > 8 else None
-        for w, held in found:
-            n = often[w] if often else words.count(w)
-            for t in held:
-                out[t] += n
-        return out
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers ``first[i] .. first[i] + n[i]`` of all i, in order."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
 def held_out(doc_id: Column) -> Column:
@@ -249,95 +71,104 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-@dataclass
 class Index:
-    """Examples over the leaning terms as a block-max inverted index."""
-
-    vocabulary: dict[str, int]
-    idf: np.ndarray
-    ids: np.ndarray              # doc_id of each example
-    toxic: np.ndarray
-    start: np.ndarray            # postings of term t: start[t] .. start[t + 1]
-    example: np.ndarray
-    weight: np.ndarray
-    block_at: np.ndarray         # first posting of (term, block), one more block at the end
-    block_max: np.ndarray
-    rate: float                  # share of toxic rows in the sample
-    none_rate: float             # the same among rows without any term
-
-    def __post_init__(self):
-        self.chooser = Chooser(frozenset(self.vocabulary) - {ANY})
-
-    @staticmethod
-    def build(vocabulary: list[str], idf: np.ndarray, rows: list[tuple[int, int, dict[int, int]]], rate: float,
-              none_rate: float) -> Index:
-        """``rows``: (doc_id, label, term counts) of the examples with a term."""
-        rows = sorted(rows, key=lambda r: (sorted(r[2], key=lambda t: (-(1 + math.log(r[2][t])) * idf[t], t)), r[0]))
-        triples = []
-        for e, (_, _, counts) in enumerate(rows):
-            w = {t: (1 + math.log(c)) * idf[t] for t, c in counts.items()}
-            norm = math.sqrt(sum(x * x for x in w.values()))
-            triples += [(t, e, x / norm) for t, x in w.items()]
-        triples.sort()
-        t = np.array([x[0] for x in triples], dtype=np.int64)
-        example = np.array([x[1] for x in triples], dtype=np.int64)
-        weight = np.array([x[2] for x in triples])
-        v, blocks = len(vocabulary), -(-len(rows) // BLOCK)
-        at = np.searchsorted(t * (blocks + 1) + example // BLOCK, np.add.outer(
-            np.arange(v) * (blocks + 1), np.arange(blocks + 1)))
-        most = np.zeros((v, blocks), dtype=np.float64)
-        np.maximum.at(most, (t, example // BLOCK), weight)
-        return Index({w: i for i, w in enumerate(vocabulary)}, idf, np.array([r[0] for r in rows], dtype=np.int64),
-                     np.array([r[1] for r in rows], dtype=np.int64), np.searchsorted(t, np.arange(v + 1)),
-                     example, weight, at, most, rate, none_rate)
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        """Counts of the vocabulary's terms in a whole text; none if it has but the term of all words."""
-        words = _words(text)
-        found = {self.vocabulary[t]: n for t, n in self.chooser.counts(words).items()}
-        if found:
-            found[self.vocabulary[ANY]] = len(words)
-        return found
-
-    def _scores(self, terms: np.ndarray, q: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of these blocks that share a term with the query, and their cosines."""
-        first = self.block_at[np.ix_(terms, blocks)]
-        n = (self.block_at[np.ix_(terms, blocks + 1)] - first).ravel()
-        at = np.repeat(first.ravel() - np.cumsum(n) + n, n) + np.arange(n.sum())
-        score = np.bincount(self.example[at], self.weight[at] * np.repeat(np.repeat(q, len(blocks)), n),
-                            minlength=len(self.ids))
-        found = np.flatnonzero(score > 0)
-        return found, score[found]
-
-    def nearest(self, counts: dict[int, int], without: int | None = None, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
+    """The examples as a block-max inverted index over all their terms."""
+
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, at: np.ndarray, marks: np.ndarray, term: np.ndarray,
+                 count: np.ndarray):
+        """Example ``e`` has the terms numbered ``term[at[e]:at[e + 1]]``, as often as ``count``
+        says; ``marks`` are the sorted hashes of the terms."""
+        n, v = len(ids), len(marks)
+        self.marks, self.rate = marks, float(toxic.mean()) if n else 0.0
+        owner = np.repeat(np.arange(n), np.diff(at))
+        df = np.bincount(term, minlength=v)
+        bad = np.bincount(term, toxic[owner], minlength=v)
+        self.lean = np.maximum(0, (bad - df * self.rate) / np.sqrt(np.maximum(
+            df * self.rate * (1 - self.rate), 1e-9))) if 0 < self.rate < 1 else np.zeros(v)
+        self.idf = (np.log((1 + n) / (1 + df)) + 1) * (1 + self.lean ** 2)
+        weight = (1 + np.log(count)) * self.idf[term]
+        weight /= np.sqrt(np.bincount(owner, weight * weight, minlength=n))[owner]
+        # Examples with the same heaviest common term share blocks.
+        common = np.where(df[term] >= min(BLOCK, max(2, n // 8)), weight, 0)
+        theme, some = np.full(n, -1), np.diff(at) > 0
+        heaviest = np.lexsort((term, -common, owner))[at[:-1][some]]
+        theme[some] = np.where(common[heaviest] > 0, term[heaviest], -1)
+        order = np.lexsort((ids, theme))
+        place = np.empty(n, dtype=np.int64)
+        place[order] = np.arange(n)
+        self.ids, self.toxic, owner = ids[order], toxic[order], place[owner]
+        by = np.lexsort((owner, term))
+        term, self.example, self.weight = term[by], owner[by], weight[by]
+        self.blocks = -(-n // BLOCK)
+        slot = term.astype(np.int64) * max(1, self.blocks) + self.example // BLOCK
+        first = np.flatnonzero(np.diff(slot, prepend=-1))
+        self.posting_at = np.append(first, len(term))
+        self.block = self.example[first] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.entry_at = np.searchsorted(term[first], np.arange(v + 1))
+        self.memory: dict[str, int] = {}
+
+    def counts(self, words: list[str], limit: int = 300_000) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """The known terms of a text: their numbers, in order, their counts and words."""
+        often, memory = Counter(words), self.memory
+        new = [w for w in often if w not in memory]
+        if new:
+            if len(memory) > limit:
+                memory.clear()
+                new = list(often)
+            marks = _marks(new)
+            at = np.minimum(np.searchsorted(self.marks, marks), max(0, len(self.marks) - 1))
+            known = self.marks[at] == marks if len(self.marks) else np.zeros(len(new), dtype=bool)
+            memory.update(zip(new, np.where(known, at, -1).tolist(), strict=True))
+        held = sorted((i, n, w) for w, n in often.items() if (i := memory[w]) >= 0)
+        return (np.array([h[0] for h in held], dtype=np.int64), np.array([h[1] for h in held], dtype=np.int64),
+                [h[2] for h in held])
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k nearest examples as (similarity, example); ties go to the earlier example.
 
-        The blocks of the highest bounds are read first; then, at once, all others
-        whose bound reaches the k-th similarity found.
+        The cosine is over the terms that any example has. The blocks of the highest
+        bounds are read first; then, at once, all others whose bound reaches the k-th
+        similarity found.
         """
-        terms = np.array(sorted(counts))
-        q = (1 + np.log([counts[t] for t in terms])) * self.idf[terms]
+        if not len(terms):
+            return []
+        q = (1 + np.log(counts)) * self.idf[terms]
         q = q / math.sqrt(q @ q)
-        bound = q @ self.block_max[terms]
-        order = np.argsort(-bound, kind="stable")
-        found, score = self._scores(terms, q, order[:FIRST_BLOCKS])
-        others = score if without is None else score[self.ids[found] != without]
-        floor = np.partition(others, len(others) - k)[len(others) - k] if len(others) >= k else 0.0
+        n = self.entry_at[terms + 1] - self.entry_at[terms]
+        entry, share = _ranges(self.entry_at[terms], n), np.repeat(q, n)
+        block = self.block[entry]
+        bound = np.bincount(block, self.most[entry] * share, minlength=self.blocks)
+        chosen = np.zeros(self.blocks, dtype=bool)
+        chosen[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
+        score = self._read(entry, share, chosen[block])
+        floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
         # The slack covers rounding; a block that only ties may hold an earlier example.
-        rest = order[FIRST_BLOCKS:]
-        more, more_score = self._scores(terms, q, rest[bound[rest] >= max(floor - 1e-9, 1e-12)])
-        found, score = np.concatenate([found, more]), np.concatenate([score, more_score])
-        if without is not None:
-            other = self.ids[found] != without
-            found, score = found[other], score[other]
-        best = np.lexsort((found, -np.round(score, 9)))[:k]
-        return list(zip(score[best].tolist(), found[best].tolist(), strict=True))
-
-    def vote(self, counts: dict[int, int], without: int | None = None) -> float:
-        """Vote of the examples nearest over the leaning terms."""
-        if not counts:
-            return self.none_rate
-        return vote(self.nearest(counts, without), self.toxic, self.rate)
+        more = (bound >= max(floor - 1e-9, 1e-12)) & ~chosen
+        if more.any():
+            score = score + self._read(entry, share, more[block])
+        floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+        near = np.flatnonzero((score > 0) & (score >= floor - 1e-8))
+        best = near[np.lexsort((near, -np.round(score[near], 9)))][:k]
+        return list(zip(score[best].tolist(), best.tolist(), strict=True))
+
+    def _read(self, entry: np.ndarray, share: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Similarity of each example, as far as it lies in the wanted entries."""
+        entry, share = entry[wanted], share[wanted]
+        n = self.posting_at[entry + 1] - self.posting_at[entry]
+        at = _ranges(self.posting_at[entry], n)
+        return np.bincount(self.example[at], self.weight[at] * np.repeat(share, n), minlength=len(self.ids))
+
+    def shared(self, example: int, terms: np.ndarray) -> np.ndarray:
+        """Positions in ``terms`` of those this example has, the heaviest first."""
+        n = self.entry_at[terms + 1] - self.entry_at[terms]
+        entry, owner = _ranges(self.entry_at[terms], n), np.repeat(np.arange(len(terms)), n)
+        here = self.block[entry] == example // BLOCK
+        entry, owner = entry[here], owner[here]
+        n = self.posting_at[entry + 1] - self.posting_at[entry]
+        at, owner = _ranges(self.posting_at[entry], n), np.repeat(owner, n)
+        has = self.example[at] == example
+        return owner[has][np.lexsort((owner[has], -self.weight[at[has]]))]
 
 
 def vote(near: list[tuple[float, int]], toxic: np.ndarray, otherwise: float) -> float:
@@ -362,51 +193,54 @@ def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.
 
 
 class Sent:
-    """The parts of a ``Whole``, put together where they are used first."""
+    """The packed examples; each Python worker builds its index where it uses it first."""
 
     def __init__(self, parts: tuple):
-        self.parts, self.built = parts, None
+        self.parts, self.built = parts, {}
 
     def __reduce__(self):
         return Sent, (self.parts,)
 
-    def index(self) -> Whole:
-        if self.built is None:
-            idf, ids, toxic, at, steps, count = self.parts
-            term = np.cumsum(unpacked(steps), dtype=np.int64)
-            before = np.concatenate([[0], term])[at[:-1]]
-            term -= np.repeat(before, np.diff(at))
-            self.built, self.parts = Whole(idf, ids, toxic, at, term.astype(np.int32), unpacked(count)), None
-        return self.built
+    def index(self, without_fold: int | None = None) -> Index:
+        """The index of all examples, or of those of the other folds."""
+        if without_fold not in self.built:
+            ids, toxic, at, *rest = self.parts
+            marks, term, count = (np.frombuffer(zlib.decompress(x), dtype=k) for x, k in
+                                  zip(rest, (np.uint64, np.int32, np.int32), strict=True))
+            if without_fold is not None:
+                stay = fold_of(ids) != without_fold
+                n = np.diff(at)
+                inside = np.repeat(stay, n)
+                ids, toxic, at = ids[stay], toxic[stay], np.concatenate([[0], np.cumsum(n[stay])])
+                used, term = np.unique(term[inside], return_inverse=True)
+                marks, count = marks[used], count[inside]
+            self.built[without_fold] = Index(ids, toxic, at, marks, term, count)
+        return self.built[without_fold]
+
+
+def fold_of(ids: np.ndarray) -> np.ndarray:
+    """The fold of each example, by its number."""
+    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % FOLDS
 
 
 @dataclass
 class Model:
-    """What scoring needs: three broadcasts, the share of toxic rows and the fit."""
+    """What scoring needs: the examples, as one broadcast, and the fit."""
 
-    words: Broadcast
-    whole: Broadcast
-    lean: Broadcast
-    rate: float
+    examples: Broadcast
     knots: tuple[np.ndarray, np.ndarray] | None = None
 
-    def votes(self, texts: list[str | None], without: list[int] | None = None) -> list[tuple[float, list, list[str]]]:
-        """The mean of both votes, the nearest over all terms, and the terms that speak for it."""
-        words, whole, lean = self.words.value, self.whole.value.index(), self.lean.value
-        split = [_words(t) for t in texts]
-        vectors = [words.counts(w) for w in split]
-        out = []
-        for i, near in enumerate(whole.nearest(vectors, without)):
-            found = {lean.vocabulary[t]: n for t, n in lean.chooser.counts(split[i]).items()}
-            held = {i: w for w, i in lean.vocabulary.items() if i in found}
-            terms = [held[t] for t in sorted(found, key=lambda t: (-(1 + math.log(found[t])) * lean.idf[t], t))]
-            if not terms and near:
-                terms = [words.terms[t] for t in whole.shared(near[0][1], vectors[i][0])[:10]]
-            if found:
-                found[lean.vocabulary[ANY]] = len(split[i])
-            own = None if without is None else without[i]
-            out.append(((lean.vote(found, own) + vote(near, whole.toxic, self.rate)) / 2, near, terms))
-        return out
+    def vote(self, text: str | None, without_fold: int | None = None) -> tuple[float, list[tuple[float, int]], list[str]]:
+        """The vote, the nearest examples, and the terms that speak for it."""
+        index = self.examples.value.index(without_fold)
+        terms, counts, words = index.counts(_words(text))
+        near = index.nearest(terms, counts)
+        weight = (1 + np.log(counts)) * index.idf[terms]
+        speak = np.flatnonzero(index.lean[terms] > 0)
+        speak = speak[np.lexsort((speak, -weight[speak]))][:10]
+        if not len(speak) and near:
+            speak = index.shared(near[0][1], terms)[:10]
+        return vote(near, index.toxic, index.rate), near, [words[i] for i in speak]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
@@ -414,98 +248,52 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
     The sample has the smallest hashes of doc_id, so that it does not depend on the
     order of rows; repeated labels of an id count as toxic if any is, rows of a
-    repeated doc_id give its first text in byte order, and equal texts are learnt once.
+    repeated doc_id give their first text in byte order, and equal texts are learnt
+    once. Texts of more than ``LONGEST_EXAMPLE`` characters are no examples, nor are
+    those beyond ``SAMPLE_CHARS`` characters in all.
     """
     spark = docs.sparkSession
     sample = staged(spark, labels.filter("toxic is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
                     .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows), "tox-sample")
     # Bounded by sample_rows pairs of numbers.
-    rows = staged(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-                  .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-                  .groupBy(F.xxhash64("text").alias("mark")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("r"))
-                  .select("r.*"), "tox-rows")
-    n, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
-    if not n:
-        return None
-    rate = toxic / n
-
-    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_, bad = Counter(), Counter()
-        for b in batches:
-            for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-                terms = _terms(_words(text))
-                all_.update(terms)
-                if y:
-                    bad.update(terms)
-        yield pa.RecordBatch.from_pydict({"term": list(all_), "n": list(all_.values()), "bad": [bad[t] for t in all_]},
-                                         pa.schema([("term", pa.string()), ("n", pa.int64()), ("bad", pa.int64())]))
-
-    found = (rows.select("text", "toxic").mapInArrow(seen, "term string, n long, bad long")
-             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).toArrow().sort_by("term"))
-    terms = found.column("term").to_pylist()
-    n_, bad = found.column("n").to_numpy(), found.column("bad").to_numpy()
-    z = (bad - n_ * rate) / np.sqrt(n_ * max(rate * (1 - rate), 1e-9))
-    leaning = np.flatnonzero((n_ >= LEAST_ROWS) & (z >= LEAST_Z))
-    leaning = np.sort(leaning[np.argsort(-z[leaning], kind="stable")][:MOST_TERMS])
-    vocabulary = [*(terms[i] for i in leaning), ANY]
-    del found
-    words = spark.sparkContext.broadcast(Words(terms))
-
-    def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = words.value, 0
-        n = np.zeros(len(known.number), dtype=np.int64)
-        for b in batches:
-            total += b.num_rows
-            for text in b.column("text").to_pylist():
-                n[known.held(_words(text))] += 1
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(n[some], total))],
-                                         names=["term", "n"])
-
-    counted = docs.select("text").mapInArrow(frequency, "term long, n long").groupBy("term").agg(F.sum("n").alias("m")).toArrow()
-    df = np.zeros(len(terms) + 1, dtype=np.int64)      # the last is the number of documents
-    df[counted.column("term").to_numpy()] = counted.column("m").to_numpy()
-    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+            .filter(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST_EXAMPLE)
+            .groupBy(F.xxhash64("text").alias("mark")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("r"))
+            .select("r.*").withColumn("chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")))
+    rows = staged(spark, rows, "tox-rows")
+    so_far = Window.partitionBy().orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    within = rows.select("doc_id", F.sum("chars").over(so_far).alias("total")).filter(F.col("total") <= SAMPLE_CHARS)
+    rows = staged(spark, rows.drop("chars").join(F.broadcast(within.select("doc_id")), "doc_id"), "tox-examples")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts = [words.value.counts(_words(x)) for x in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("toxic"),
-                 pa.array([len(_words(x)) for x in b.column("text").to_pylist()], pa.int64()),
-                 pa.array([t.astype("<i4").tobytes() for t, _ in counts], pa.binary()),
-                 pa.array([c.astype("<i4").tobytes() for _, c in counts], pa.binary())], names=["doc_id", "toxic", "n", "t", "c"])
-
-    got = rows.select("doc_id", "text", "toxic").mapInArrow(vectors, "doc_id long, toxic int, n long, t binary, c binary") \
+            terms, often = [], []
+            for text in b.column("text").to_pylist():
+                counted = Counter(_words(text))
+                marks, at = np.unique(_marks(list(counted)), return_index=True)
+                terms.append(marks.tobytes())
+                often.append(np.array(list(counted.values()), dtype=np.int32)[at].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(terms, pa.binary()),
+                                              pa.array(often, pa.binary())], names=["doc_id", "toxic", "t", "c"])
+
+    got = rows.select("doc_id", "text", "toxic").mapInArrow(vectors, "doc_id long, toxic int, t binary, c binary") \
         .toArrow().sort_by("doc_id")
-    ids, toxic_ = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy()
-    lengths = got.column("n").to_pylist()
-    per = [np.frombuffer(x.as_buffer(), "<i4") for x in got.column("t")]
-    often = [np.frombuffer(x.as_buffer(), "<i4") for x in got.column("c")]
-    at = np.concatenate([[0], np.cumsum([len(x) for x in per])])
-    examples = []
-    for e, (t, c) in enumerate(zip(per, often, strict=True)):
-        place = np.searchsorted(leaning, t)
-        has = np.flatnonzero(leaning[np.minimum(place, len(leaning) - 1)] == t) if len(leaning) else []
-        held = {int(place[j]): int(c[j]) for j in has}
-        examples.append((int(ids[e]), int(toxic_[e]), held | {len(leaning): lengths[e]} if held else {}))
-    bare = [y for _, y, c in examples if not c]
-    lean = Index.build(vocabulary, np.append(idf[leaning], 1.0), [e for e in examples if e[2]], rate,
-                       (sum(bare) + rate) / (len(bare) + 1))
-    # Within an example, each term as its distance from the one before.
-    steps = [np.diff(t, prepend=np.int32(0)) for t in per]
-    parts = (idf, ids, toxic_, at, packed(np.concatenate(steps)), packed(np.concatenate(often)))
-    del got, per, often, steps, examples
-    model = Model(words, spark.sparkContext.broadcast(Sent(parts)), spark.sparkContext.broadcast(lean), rate)
+    if not got.num_rows:
+        return None
+    per = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in got.column("t")]
+    marks, term = np.unique(np.concatenate(per), return_inverse=True)
+    count = b"".join(x.as_py() for x in got.column("c"))
+    model = Model(spark.sparkContext.broadcast(Sent((
+        got.column("doc_id").to_numpy(), got.column("toxic").to_numpy(), np.concatenate([[0], np.cumsum([len(x) for x in per])]),
+        *(zlib.compress(x, 1) for x in (marks.tobytes(), term.astype(np.int32).tobytes(), count))))))
 
     def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, TOGETHER):
-                b = whole.slice(lo, TOGETHER)
-                votes = model.votes(b.column("text").to_pylist(), b.column("doc_id").to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array([v for v, _, _ in votes], pa.float64()), b.column("toxic")],
-                                                 names=["vote", "toxic"])
+        for b in batches:
+            folds = fold_of(b.column("doc_id").to_numpy()).tolist()
+            votes = [model.vote(t, f)[0] for t, f in zip(b.column("text").to_pylist(), folds, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column("toxic")], names=["vote", "toxic"])
 
     votes = rows.select("doc_id", "toxic", "text").mapInArrow(own_votes, "vote double, toxic int").collect()
     model.knots = monotone_fit(np.array([r["vote"] for r in votes]), np.array([r["toxic"] for r in votes]))
@@ -520,13 +308,12 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
 
     Adds ``score`` (0 to 1: probability of the label), ``predicted`` (1 from 0.5
     up), ``held_out`` (the row's label was not learnt from), ``neighbours`` (the
-    ``evidence`` nearest examples over all terms) and ``terms`` (the leaning terms of
-    the text, in order of weight; those shared with the nearest example if there are
+    ``evidence`` nearest examples) and ``terms`` (up to ten of the text's terms that
+    lean toxic, in order of weight; those shared with the nearest example if there are
     none); columns of these names are replaced. A text without a term of any example,
     null and empty ones among them, has no evidence. Without any usable label all scores are 0. Repeated
     rows are scored alike; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
     model = fit(docs, labels, sample_rows)
     keep = [c for c in docs.columns if c not in ("score", "predicted", "held_out", "neighbours", "terms")]
     base = docs.select(*[f"`{c}`" for c in keep])
@@ -535,15 +322,16 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[bytes, tuple] = {}
         for whole in batches:
-            for lo in range(0, whole.num_rows, TOGETHER):
-                b = whole.slice(lo, TOGETHER)
-                texts = b.column("text").to_pylist()
-                keys = [hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
-                if len(memory) > 20_000:
-                    memory.clear()
-                new = {k: t for k, t in zip(keys, texts, strict=True) if k not in memory}
-                memory.update(zip(new, _scored(model, list(new.values()), evidence), strict=True))
-                out = [memory[k] for k in keys]
+            for lo in range(0, whole.num_rows, 256):
+                b = whole.slice(lo, 256)
+                out = []
+                for text in b.column("text").to_pylist():
+                    key = hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    if key not in memory:
+                        if len(memory) > 20_000:
+                            memory.clear()
+                        memory[key] = _scored(model, text, evidence)
+                    out.append(memory[key])
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array([x[0] for x in out], pa.float64()),
                      pa.array([x[1] for x in out], pa.list_(pa.struct(
@@ -555,15 +343,13 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
         .withColumn("held_out", held_out(F.col("doc_id")))
 
 
-def _scored(model: Model | None, texts: list[str | None], evidence: int) -> list[tuple[float, list, list]]:
+def _scored(model: Model | None, text: str | None, evidence: int) -> tuple[float, list[dict], list[str]]:
     if model is None:
-        return [(0.0, [], [])] * len(texts)
-    if not texts:
-        return []
-    whole = model.whole.value.index()
-    return [(float(np.interp(vote, *model.knots)),
-             [{"doc_id": int(whole.ids[e]), "similarity": s, "toxic": int(whole.toxic[e])} for s, e in near[:evidence]], terms)
-            for vote, near, terms in model.votes(texts)]
+        return 0.0, [], []
+    share, near, terms = model.vote(text)
+    index = model.examples.value.index()
+    return (float(np.interp(share, *model.knots)),
+            [{"doc_id": int(index.ids[e]), "similarity": s, "toxic": int(index.toxic[e])} for s, e in near[:evidence]], terms)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
