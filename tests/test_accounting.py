@@ -212,7 +212,7 @@ def test_texts_of_every_kind(spark):
     out = {(r["seq"], r["route"]): r for r in L.split_all(L.first_visit_fix(L.parse_app_log(
         spark.createDataFrame(rows, TOPIC)))).collect()}
     assert {s for s, route in out if route == "dirty"} == {2, 3, 5, 6, 7}
-    assert out[1, "page"]["value"] == '{"common":{"is_new":"1","mid":"a"},"page":{"page_id":"p","z":{"l":[null,{"m":null}]}}}'   # three levels deep
+    assert out[1, "page"]["value"] == '{"common":{"is_new":"1","mid":"a"},"page":{"page_id":"p","z":{"l":[null,{}]}}}'   # null fields go at any depth, null elements stay
     assert out[4, "page"]["mid"] == "b"                      # the last value of a repeated key
     assert out[8, "page"]["value"] == \
         '{"common":{"is_new":"0","mid":"a"},"displays":[{"item":"1"}],"page":{"page_id":"p"}}'

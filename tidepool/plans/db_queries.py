@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import cdc as C
 from tidepool.operators import dims as D
+from tidepool.operators import handover as H
 from tidepool.operators import rules as R
 from tidepool.plans import db_jobs as DB
 from tidepool.sources import changes as S
@@ -41,6 +42,18 @@ def q_cdc_initial_snapshot(spark, sf_dir):
     return C.normalize(src).select("arrival", "seq", "type", "table_name", *_fields())
 
 
+def handover_inputs(spark, sf_dir):
+    """Snapshot rows, log and ranges of the hand-over, normalised."""
+    snap = S.snapshot_envelopes(FX.handover_rows(spark, sf_dir), FX.CDC_SERVER, FX.CDC_DATABASE, "orders", DB.ORDER_COLUMNS)
+    return C.normalize(snap), _changes(spark, sf_dir), FX.handover_ranges(spark, sf_dir)
+
+
+def q_cdc_snapshot_handover(spark, sf_dir):
+    """A snapshot taken while changes go on, each changed row once."""
+    out = H.hand_over(*handover_inputs(spark, sf_dir), "orders", width=FX.HANDOVER_WIDTH)
+    return out.select("arrival", "seq", "type", "table_name", *_fields())
+
+
 def q_sql_changelog_select(spark, sf_dir):
     log_view, _ = C.register_table_views(spark, _changes(spark, sf_dir), "orders", DB.ORDER_COLUMNS)
     return spark.sql(f"select * from {log_view}")
@@ -181,6 +194,7 @@ QUERIES = {
     "rule_asof_large": q_rule_asof_large,
     "cdc_normalize": q_cdc_normalize,
     "cdc_initial_snapshot": q_cdc_initial_snapshot,
+    "cdc_snapshot_handover": q_cdc_snapshot_handover,
     "sql_changelog_select": q_sql_changelog_select,
     "sql_current_state": q_sql_current_state,
     "rule_latest": q_rule_latest,

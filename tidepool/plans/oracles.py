@@ -204,6 +204,15 @@ select -1 as arrival, o_orderkey as seq, 'read' as type, 'orders' as table_name,
   cast(o_custkey as varchar) as id, o_orderpriority, o_orderstatus from orders
 union all
 select arrival, seq, type, table_name, id, o_orderpriority, o_orderstatus from cdc"""),
+    # The table's true state at the end of each window, then what follows; when rows were read plays no part.
+    "cdc_snapshot_handover": _cdc("""
+, placed as (select *, 500 + 70 * (cast(id as bigint) // 64) as high from cdc)
+select high as arrival, cast(id as bigint) as seq, 'read' as type, 'orders' as table_name, id, r.p as o_orderpriority, r.s as o_orderstatus
+from (select id, high, arg_max(struct_pack(t := type, p := o_orderpriority, s := o_orderstatus), arrival) as r
+      from placed where arrival <= high group by id, high)
+where r.t <> 'delete'
+union all
+select arrival, seq, type, table_name, id, o_orderpriority, o_orderstatus from placed where arrival > high"""),
     "sql_changelog_select": _cdc("""
 select arrival, seq, type as op, id, o_orderpriority, o_orderstatus from cdc where id is not null"""),
     "sql_current_state": _cdc("""

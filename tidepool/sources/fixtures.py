@@ -158,3 +158,29 @@ def cdc_envelopes_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rule_log_retiring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``rule_log`` where every ninth edit retires the rule of its key."""
     return rule_log(spark, sf_dir).withColumn("retired", F.col("seq") % 9 == 0)
+
+
+# Fixed values of the snapshot fixture (FIXTURES.md §7): keys of a range, and the log
+# positions at which a range's window opens, its rows are read and the window closes.
+HANDOVER_WIDTH = 64
+HANDOVER_LOW = "200 + 70 * {range}"
+HANDOVER_READ = "350 + 70 * {range}"
+HANDOVER_HIGH = "500 + 70 * {range}"
+
+
+def handover_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key ranges of the snapshot of ``orders`` changes, with their windows."""
+    r = table(spark, sf_dir, "orders").select(F.expr(f"o_custkey div {HANDOVER_WIDTH}").cast("long").alias("range")).distinct()
+    return r.select("range", F.expr(HANDOVER_LOW.format(range="range")).alias("low"),
+                    F.expr(HANDOVER_HIGH.format(range="range")).alias("high"))
+
+
+def handover_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows a snapshot finds: of each id the state after the changes up to the position
+    at which its range is read."""
+    c = cdc_rows(spark, sf_dir)
+    read_at = HANDOVER_READ.format(range=f"(cast(id as long) div {HANDOVER_WIDTH})")
+    last = (c.where(F.expr(f"arrival <= {read_at}")).groupBy("id")
+            .agg(F.max_by(F.struct("type", "o_orderpriority", "o_orderstatus"), "arrival").alias("r")))
+    return last.where("r.type <> 'delete'").select(
+        F.col("id").cast("long").alias("seq"), "id", "r.o_orderpriority", "r.o_orderstatus")

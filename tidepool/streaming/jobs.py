@@ -26,6 +26,7 @@ from tidepool.functions import json as J
 from tidepool.functions.time import day_text
 from tidepool.operators import cdc as C
 from tidepool.operators import dims as D
+from tidepool.operators import handover as H
 from tidepool.operators import logs as L
 from tidepool.operators import rules as R
 from tidepool.session import checkpoint_root
@@ -156,6 +157,82 @@ def start_cdc_job(spark: SparkSession, root: str, changes: DataFrame, trigger: d
                   trigger or {"availableNow": True})
 
 
+_PLACED = ["_key", "_range", "_low", "_high"]
+
+
+def start_handover_job(spark: SparkSession, root: str, snapshot: DataFrame, ranges: DataFrame, changes: DataFrame,
+                       table: str, key: str = "id", width: int = H.RANGE_WIDTH, trigger: dict | None = None,
+                       checkpoint: str | None = None, sink=None) -> StreamingQuery:
+    """S2 + J3 with an initial snapshot taken while changes go on (``operators.handover``).
+
+    ``snapshot`` holds the rows read, as raw envelopes, and ``ranges`` their windows, both
+    complete; ``changes`` is the log as a stream, from before the first window on. Records
+    of a window are kept beside the topics until the log has passed its end; then the rows
+    of its range go to ods_base_db as ``read`` changes, with the first records after it.
+    Once all windows have closed, batches read nothing but their records and the ranges. A
+    record that comes after records of a later position is kept with its window, or
+    follows as a change if that has closed.
+    """
+    norm = C.normalize(changes)
+    rows = C.normalize(snapshot).where(F.col("reason").isNull())
+    sink = sink or T.FileTopics(root)
+    folder = os.path.join(root, "_handover", table)
+    end = ranges.agg(F.max("high")).first()[0]
+    closed = [end is None]
+    schemas = {"positions": "position long", "window": ", ".join(
+        [*(f"`{c}` long" for c in _PLACED), *(f"{c} {norm.schema[c].dataType.simpleString()}" for c in H.COLUMNS)])}
+
+    def read(name: str, producer: str, upto: int) -> DataFrame:
+        """What this query's batches up to ``upto`` have kept."""
+        return (spark.read.schema(f"{schemas[name]}, producer string, batch_id long").parquet(H.made(spark, os.path.join(folder, name)))
+                .where((F.col("producer") == producer) & (F.col("batch_id") <= upto)))
+
+    def keep(df: DataFrame, name: str, producer: str, batch_id: int) -> None:
+        (df.withColumn("producer", F.lit(producer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("producer", "batch_id").parquet(os.path.join(folder, name)))
+
+    def closing_reads(before: int | None, now: int | None, producer: str, batch_id: int) -> DataFrame | None:
+        """The reads of the ranges whose windows this batch has passed."""
+        passed = ranges.where(F.col("high") < F.lit(now))
+        passed = passed if before is None else passed.where(F.col("high") >= before)
+        if now is None or passed.isEmpty():
+            return None
+        kept = read("window", producer, batch_id)
+        window = kept.where(F.col("_key").isNotNull()).join(passed.select(F.col("range").alias("_range")), "_range", "left_semi")
+        found = H.with_range(rows, passed, key, width).where(F.col("_high").isNotNull())
+        return H.reconciled(found, window, H.truncations(kept, table))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        producer, mine = T.producer_of(batch), H.is_row_change(table)
+        placed = H.with_range(batch, ranges, key, width).persist()
+        try:
+            reads, gone = None, F.lit(True)
+            if not closed[0]:
+                before = read("positions", producer, batch_id - 1).agg(F.max("position")).first()[0]
+                here = placed.agg(F.max("arrival")).first()[0]
+                now = max((p for p in (before, here) if p is not None), default=None)
+                keep(spark.createDataFrame([(now,)], "position long"), "positions", producer, batch_id)
+                gone = F.lit(False) if before is None else F.col("_high") < before
+                emptied = F.col("reason").isNull() & (F.col("table_name") == table) & (F.col("type") == "truncate")
+                keep(placed.where(F.coalesce((mine & H.in_window() & ~gone) | emptied, F.lit(False))).select(*_PLACED, *H.COLUMNS),
+                     "window", producer, batch_id)
+                reads = closing_reads(before, now, producer, batch_id)
+                closed[0] = before is not None and before > end
+            behind = ~mine | F.col("_high").isNull() | (F.col("arrival") > F.col("_high")) | (H.in_window() & gone)
+            out = placed.where(F.coalesce(behind, F.lit(False))).select(*H.COLUMNS)
+            out = out if reads is None else reads.unionByName(out)
+            good = F.col("reason").isNull()
+            sink.write(out.select(
+                F.when(good, F.lit(ODS_DB)).otherwise(F.lit(DIRTY_DB)).alias("topic"), "arrival", "seq",
+                F.when(good, C.record_json()).otherwise(C.reject_json()).alias("value")), batch_id)
+        finally:
+            placed.unpersist()
+
+    return _start(norm, "handover_job", _checkpoint(spark, "handover_job", checkpoint), write,
+                  trigger or {"availableNow": True})
+
+
 def _start_print(records: DataFrame, name: str, label: str, out: str | None, num_rows: int,
                  trigger: dict | None, checkpoint: str | None) -> StreamingQuery:
     """K5: every record as a labelled line in ``out``, one folder per batch, and the
