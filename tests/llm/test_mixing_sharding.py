@@ -126,6 +126,22 @@ def test_shards_of_the_whole_table(spark):
     assert all(len(s) == 1 for s in of.values())
 
 
+def test_a_group_beyond_its_share_leaves_the_others_even(spark):
+    """Half of all rows are one text and a tenth another: each has a shard, the rest fill the others evenly."""
+    rows = [(i, "the same text again" if i % 2 else "the second text" if i % 10 == 0 else f"text number {i}") for i in range(4000)]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_shards(out, rows, 1 << 30)
+    load, of = Counter(), defaultdict(set)
+    for r in out:
+        load[r["shard"]] += r["size"]
+        of[dict(rows)[r["doc_id"]]].add(r["shard"])
+    assert all(len(s) == 1 for s in of.values()) and len(load) == 16
+    others = sorted(load.values())[:14]
+    assert max(others) - min(others) < 0.1 * max(others)
+    one = sharding.shard(spark.createDataFrame([(i, "x") for i in range(20)], "doc_id long, text string")).collect()
+    assert len({r["shard"] for r in one}) == 1 and sorted(r["slot"] for r in one) == list(range(20))
+
+
 def test_shards_of_odd_rows(spark, workdir):
     docs = spark.createDataFrame(ODD, "doc_id long, text string, slot string, _key long")
     out = sharding.shard(docs)

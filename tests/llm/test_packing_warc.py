@@ -69,7 +69,7 @@ def test_pack_of_odd_rows(spark):
     rows += [(100, None, None, 1), (101, "w x y " * 3000, None, 1), (102, "same", "a", 1), (102, "same", "a", 1),
              (None, "no id", "b", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, queue int")
-    for options in ({}, {"max_queues": 2}, {"proportions": {"a": 3.0, "b": 0.5}}):
+    for options in ({}, {"proportions": {"a": 3.0, "b": 0.5}}, {"proportions": {None: 7.0}}):
         out = packing.pack(docs, **options).withColumn("ids_crc32", F.crc32("ids")).collect()
         check_pieces(out, [(r[0], r[1]) for r in rows])
     assert not packing.pack(docs.limit(0)).collect()
@@ -87,6 +87,29 @@ def test_windows_hold_their_proportions():
         assert all(abs(held.count(q) - k) <= 1 for q, k in enumerate((60, 30, 10)))
 
 
+def test_three_thousand_sources_hold_given_proportions(spark):
+    """Every source has its queue at any number: in each window of the first phase it has its share to within a token."""
+    rnd = random.Random(7)
+    n, window = 3000, 60 * 512
+    words = [rnd.randint(30, 60) for _ in range(n)]
+    rows = [(i, " ".join(["a"] * w), f"s{i:04d}") for i, w in enumerate(words)]
+    weights = {f"s{i:04d}": rnd.choice([1.0, 2.0, 5.0]) for i in range(n)}
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), sequence=512, window_sequences=60,
+                       proportions=weights).collect()
+    assert sum(r["length"] for r in out) == sum(w + 1 for w in words)
+    dry = min((w + 1) / weights[f"s{i:04d}"] for i, w in enumerate(words))
+    phase = sum(round(weights[f"s{i:04d}"] * dry) for i in range(n))      # tokens of the first phase
+    held = defaultdict(lambda: defaultdict(int))
+    for r in out:
+        at = r["sequence_id"] * 512 + r["offset"]
+        for t in range(at // window, (min(at + r["length"], phase) - 1) // window + 1 if at < phase else 0):
+            held[t][r["doc_id"]] += min(at + r["length"], phase, (t + 1) * window) - max(at, t * window)
+    assert len(held) == -(-phase // window)
+    for t, by in held.items():
+        size = min(phase, (t + 1) * window) - t * window
+        assert all(abs(by[i] - size * round(weights[f"s{i:04d}"] * dry) / phase) <= 1 for i in range(n))
+
+
 def test_round_robin_places_every_token_once():
     rnd = random.Random(1)
     for _ in range(200):
@@ -166,3 +189,17 @@ def test_warc_of_odd_rows(spark, workdir):
         assert sum(gzip.open(f"{folder}/{f}").read().count(b"WARC-Record-ID") for f in names) == len(rows)
     empty = warc.write_archives(pages.limit(0), f"{workdir}/none")
     assert not warc.read_archives(empty, f"{workdir}/none").collect()
+
+
+def test_archives_carry_their_attempt(spark, workdir):
+    """Files of former attempts under other names neither disturb a writer nor a reader."""
+    folder = os.path.join(workdir, "warc")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "000000-0000.warc.gz"), "wb") as f:
+        f.write(b"left by a former attempt")
+    pages = spark.createDataFrame([(1, "http://a", "x"), (2, "http://b", "y")], "page_id long, url string, html string").coalesce(1)
+    first, again = (warc.write_archives(pages, folder) for _ in range(2))
+    names = [r["archive"] for m in (first, again) for r in m.collect()]
+    assert len(names) == len(set(names)) and all(os.path.exists(os.path.join(folder, os.path.basename(n))) for n in names)
+    for m in (first, again):
+        assert sorted(r["page_id"] for r in warc.read_archives(m, folder).filter("last").collect()) == [1, 2]

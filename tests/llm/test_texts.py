@@ -106,6 +106,18 @@ def test_jaccard_of_odd_rows(spark):
     assert not jaccard.one_of_each(df.limit(0)).collect()
 
 
+def test_one_of_each_keeps_clashing_columns(spark):
+    names = ["_m", "_id", "_mark", "id", "mark", "in_doc_id", "stay_id", "component", "kept", "a.b"]
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, *range(10)), (2, text, *range(10, 20)), (3, "quite another text with other words in it", *range(20, 30)),
+            (None, None, *range(30, 40)), (4, "", *range(40, 50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` long" for n in names))
+    out = jaccard.one_of_each(df)
+    assert out.columns == df.columns
+    kept = {tuple(r) for r in out.collect()}
+    assert kept <= set(rows) and {rows[0], rows[2]} <= kept and rows[1] not in kept and len(kept) == 3
+
+
 def test_shingles_across_segments(monkeypatch):
     texts = ["a b c d e f g h", "", None, "x " * 50 + "a b c d e f g h", "é ü ö ä ß"]
     whole, at = jaccard.shingle_sets(pa.array(texts))

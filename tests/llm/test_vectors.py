@@ -19,6 +19,12 @@ def brute_top(queries, rows, k=5):
     return out
 
 
+def floor_of(x, scale=256):
+    """floor(scale * x) without rounding."""
+    n, d = float(x).as_integer_ratio()
+    return scale * n // d
+
+
 def rows_of(df):
     return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in df.collect())
 
@@ -53,6 +59,22 @@ def test_top_k_of_odd_rows(spark, monkeypatch):
     assert not topk.top_k(v.limit(0), v).collect()
 
 
+def test_top_k_of_components_of_any_size(spark, monkeypatch):
+    """Scores beyond a long, and products beyond a double, keep their order; only the value is cut."""
+    monkeypatch.setattr(topk, "BLOCK", 3)
+    large = [(0, [1e200, 1.0]), (1, [1e200, 2.0]), (2, [1e200, -2.0]), (3, [2e200, 0.0]), (4, [-1e200, 5.0]), (5, [-3e200, 0.0]),
+             (6, [1e307, 1.0]), (7, [1.7e308, -1.7e308]), (8, [5e-324, 0.3]), (9, [1e6, 1e6]), (10, [9e15, 0.1])]
+    whole = [(i, [floor_of(x) for x in v]) for i, v in large]
+    v = spark.createDataFrame(large, "vec_id long, embedding array<double>")
+    for groups in (1, 5):
+        got = rows_of(topk.top_k(v, v, k=10, groups=groups))
+        want = []
+        for q, a in whole:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole if i != q)
+            want += [(q, r + 1, i, max(-topk.LONG, min(topk.LONG, -s))) for r, (s, i) in enumerate(scored)]
+        assert got == sorted(want)
+
+
 def brute_links(rows, cosine=0.95):
     """(vec_id, n_links, component_id) of every row, in order."""
     ok = [i for i, (_, v) in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]

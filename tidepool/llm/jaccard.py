@@ -392,14 +392,18 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, depth:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: one with the smallest doc_id."""
-    stay = join(docs, **options).filter("kept").dropDuplicates(["component"]) \
-        .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    """``docs`` with one row of each near-duplicate group: one with the smallest doc_id.
+
+    Columns stay as they are, whatever their names; of rows that repeat doc_id and text,
+    one stays.
+    """
+    stay = join(docs.select("doc_id", "text"), **options).filter("kept").dropDuplicates(["component"]) \
+        .select(F.col("doc_id").alias("stay_id"), F.col("mark").alias("stay_mark"))
     stay = staged(docs.sparkSession, stay, "jac-stay")
-    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    left = docs.withColumn("_m", mark).join(
-        stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")), "left_semi")
-    return left.dropDuplicates(["doc_id", "_m"]).select(*docs.columns)
+    sealed = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns], F.col("doc_id").alias("id"),
+                         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("mark"))
+    left = sealed.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("mark") == F.col("stay_mark")), "left_semi")
+    return left.dropDuplicates(["id", "mark"]).select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def op7_jaccard(spark, sf_dir):

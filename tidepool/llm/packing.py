@@ -22,9 +22,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from bisect import bisect_right
-from collections.abc import Iterator, Mapping
-from itertools import accumulate
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -134,59 +132,82 @@ def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 class RoundRobin:
-    """The deficit round-robin over queues of known lengths, in closed form."""
+    """The deficit round-robin over queues of known lengths, in closed form.
 
-    def __init__(self, totals: list[int], weights: list[float], window: int):
+    A phase lasts until the next queue runs dry. By its end a queue that gives ``w`` of
+    every unit of credit has been served ``round(w * v)`` tokens, where ``v`` is the
+    credit dealt out by then. So what a phase gives follows from one number a phase and
+    two a queue, whatever the number of queues.
+    """
+
+    def __init__(self, totals: Sequence[int], weights: Sequence[float], window: int):
         """Queue i holds ``totals[i]`` tokens and is to give ``weights[i]`` of every window."""
         self.window = window
-        drained = sorted({t / w for t, w in zip(totals, weights, strict=True) if t})
-        served = [[0] * len(totals)]
-        for v in drained:
-            served.append([t if t / w <= v else max(before, min(t, round(w * v)))
-                           for t, w, before in zip(totals, weights, served[-1], strict=True)])
-        self.served = list(zip(*served, strict=True)) if totals else []   # per queue: tokens given by each phase's end
-        self.gives, self.start = [], [0]              # per phase: tokens by queue; stream position of its begin
-        for a, b in zip(served, served[1:], strict=False):
-            self.gives.append([y - x for x, y in zip(a, b, strict=True)])
-            self.start.append(self.start[-1] + sum(self.gives[-1]))
-        self._seen: dict[tuple[int, int], list[int]] = {}
-
-    def _before(self, phase: int, t: int) -> list[int]:
+        self.totals, self.weights = np.array(totals, dtype=np.int64), np.array(weights, dtype=np.float64)
+        self.dry = self.totals / self.weights
+        self.ends = np.unique(self.dry[self.totals > 0])
+        self.start = [0]                             # per phase: stream position of its begin
+        for v in self.ends.tolist():
+            self.start.append(int(self._by(v).sum()))
+        self._phase: tuple[int, np.ndarray] | None = None
+        self._seen: dict[tuple[int, int], np.ndarray] = {}
+
+    def _by(self, v: float) -> np.ndarray:
+        """Tokens that each queue has given when ``v`` of credit is dealt out."""
+        return np.where(self.dry <= v, self.totals, np.minimum(self.totals, np.rint(self.weights * v).astype(np.int64)))
+
+    def _served(self, queue: int) -> np.ndarray:
+        """Tokens that a queue has given by the begin of the first phase and the end of each."""
+        some = np.rint(self.weights[queue] * self.ends).astype(np.int64)
+        total = self.totals[queue]
+        return np.concatenate([[0], np.where(self.dry[queue] <= self.ends, total, np.minimum(total, some))])
+
+    def _gives(self, phase: int) -> np.ndarray:
+        """Tokens that each queue gives in a phase."""
+        if self._phase is None or self._phase[0] != phase:
+            before = self._by(self.ends[phase - 1]) if phase else np.zeros_like(self.totals)
+            self._phase = phase, self._by(self.ends[phase]) - before
+        return self._phase[1]
+
+    def _before(self, phase: int, t: int) -> np.ndarray:
         """Running sums over the queues of the tokens given in windows before ``t`` of a phase."""
         if (phase, t) not in self._seen:
             if len(self._seen) > 256:
                 self._seen.clear()
-            total = self.start[phase + 1] - self.start[phase]
+            total, gives = self.start[phase + 1] - self.start[phase], self._gives(phase)
             x = min(total, t * self.window)
-            self._seen[phase, t] = list(accumulate((x * g // total for g in self.gives[phase]), initial=0))
+            # Products beyond 64 bits are taken with Python's integers.
+            given = x * gives // total if x * int(gives.max()) < 1 << 63 else \
+                np.array([x * g // total for g in gives.tolist()], dtype=np.int64)
+            self._seen[phase, t] = np.concatenate([[0], np.cumsum(given)])
         return self._seen[phase, t]
 
     def runs(self, queue: int, first: int, n: int) -> Iterator[tuple[int, int, int]]:
         """Where tokens ``first .. first+n`` of a queue go: ``(offset, stream position, length)``."""
-        done, served = 0, self.served[queue]
+        done, served = 0, self._served(queue)
         while done < n:
-            k = bisect_right(served, first + done) - 1
-            at, give = first + done - served[k], self.gives[k][queue]
+            k = int(np.searchsorted(served, first + done, side="right")) - 1
+            at, give = first + done - int(served[k]), int(served[k + 1] - served[k])
             total = self.start[k + 1] - self.start[k]
             # The window in which the credit of this queue reaches its token number at + 1.
             t = (-(-(at + 1) * total // give) - 1) // self.window
             x, y = self._before(k, t), self._before(k, t + 1)
-            began, ends = x[queue + 1] - x[queue], y[queue + 1] - y[queue]
+            began, ends = int(x[queue + 1] - x[queue]), int(y[queue + 1] - y[queue])
             m = min(n - done, ends - at)
-            yield done, self.start[k] + y[queue] + x[-1] - x[queue] + at - began, m
+            yield done, self.start[k] + int(y[queue] + x[-1] - x[queue]) + at - began, m
             done += m
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENCE, window_sequences: int = 64,
-         proportions: Mapping[str | None, float] | None = None, max_queues: int = 1024) -> DataFrame:
+         proportions: Mapping[str | None, float] | None = None) -> DataFrame:
     """All ``docs`` (doc_id, text, source) as pieces of sequences of ``sequence`` tokens.
 
     Columns: ``doc_id, start, length, ids`` (little-endian 32-bit), ``doc_tokens,
     sequence_id, offset``. Every token, the end id of each document included, is in
     one piece; all sequences but the last are full. ``proportions`` gives target
     weights by source (others weigh 1); by default a source's share of all tokens,
-    so that all queues end together. Beyond ``max_queues`` sources, queues are
-    shared by sources of equal hash and weigh 1 each.
+    so that all queues end together. Every source has a queue of its own; two numbers
+    a source are held by the driver and each task.
 
     Null and empty texts are the end id alone. Null sources are one queue; null
     doc_ids are kept. Repeated rows are packed each. An empty table gives no piece.
@@ -197,17 +218,10 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
     tokens = staged(spark, tokenised(docs, path), "pack-tokens")
     parts = staged(spark, tokens.groupBy("part", "source").agg(F.sum("n").alias("m")), "pack-parts")
     sources = parts.groupBy("source").agg(F.sum("m").alias("total"))
-    if sources.count() <= max_queues:
-        names = sources.orderBy(F.col("source").asc_nulls_first()).collect()
-        queue = F.dense_rank().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_first())) - 1
-        totals = [r["total"] for r in names]
-        weights = [float(t) for t in totals] if proportions is None else \
-            [float(proportions.get(r["source"], 1.0)) for r in names]
-    else:
-        queue = F.pmod(F.xxhash64("source"), F.lit(max_queues)).cast("int")
-        found = dict(sources.groupBy(queue.alias("q")).agg(F.sum("total")).collect())
-        totals = [found.get(i, 0) for i in range(max_queues)]
-        weights = [1.0] * max_queues if proportions else [float(max(1, t)) for t in totals]
+    names = sources.orderBy(F.col("source").asc_nulls_first()).collect()
+    queue = F.dense_rank().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_first())) - 1
+    totals = [r["total"] for r in names]
+    weights = [float(t) for t in totals] if proportions is None else [float(proportions.get(r["source"], 1.0)) for r in names]
     order = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
     numbered = sources.select(F.col("source").alias("_source"), queue.alias("queue"))
     base = staged(spark, parts.join(numbered, F.col("source").eqNullSafe(F.col("_source")))

@@ -41,8 +41,8 @@ def _bytes_below(keys: DataFrame, probes: list[int]) -> list[int]:
     return np.cumsum(acc[:-1]).tolist()
 
 
-def splitters(keys: DataFrame, n_shards: int, tolerance: float, probes: int) -> list[int]:
-    """``n_shards - 1`` ascending keys; shard j holds the keys from splitter j to the next.
+def _refined(keys: DataFrame, n_shards: int, tolerance: float, probes: int) -> tuple[list[int], list[int]]:
+    """``n_shards - 1`` ascending keys, and the keys that alone hold more than a shard's share.
 
     Each splitter's bytes below are within ``tolerance`` of a shard's share from
     the ideal, or it is the nearest key boundary there is.
@@ -75,7 +75,24 @@ def splitters(keys: DataFrame, n_shards: int, tolerance: float, probes: int) ->
                     else:
                         high[j] = (p, n)
                         break
-    return sorted(min(max(best(j)[0], LOWEST), HIGHEST - 1) for j in range(len(want)))
+    heavy = {a[0] for a, b in zip(low, high, strict=True) if b[0] - a[0] == 1 and b[1] - a[1] > share}
+    return sorted(min(max(best(j)[0], LOWEST), HIGHEST - 1) for j in range(len(want))), sorted(heavy)
+
+
+def splitters(keys: DataFrame, n_shards: int, tolerance: float, probes: int) -> tuple[list[int], list[int]]:
+    """Ascending splitters between the first shards, and the keys that have a shard of their own.
+
+    A key that holds more than a shard's share gets one of the last shards to itself, and
+    the other keys share the remaining ones: shard j holds their keys from splitter j to
+    the next. What remains is cut anew until no key exceeds the share that is left.
+    """
+    alone: list[int] = []
+    while True:
+        rest = keys.filter(~F.col("_key").isin(alone)) if alone else keys
+        cuts, heavy = _refined(rest, n_shards - len(alone), tolerance, probes)
+        if not heavy or len(alone) + len(heavy) >= n_shards:
+            return cuts, alone
+        alone += heavy
 
 
 def shard(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.001, probes: int = 255) -> DataFrame:
@@ -85,8 +102,8 @@ def shard(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.001, probes:
     ``shard``, ``slot`` (gapless from 0 in its shard, in key order by bucket) and
     ``grown_shard`` (null); columns of these names are replaced, all others pass.
     Null text counts as empty. Equal texts, repeated rows among them, stay in one
-    shard, which then may exceed its share by one group at most. An empty table
-    gives an empty result.
+    shard; a group larger than a shard's share has a shard to itself, and the other rows
+    share the others evenly. An empty table gives an empty result.
 
     The slot is a two-level rank: inside 1/4,096 of the key range and 1/16 of the
     doc_id hashes (a group of equal texts is spread over 16 tasks), on top of the
@@ -101,11 +118,13 @@ def shard(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.001, probes:
                        F.crc32(body.cast("binary")).alias("text_crc32"),
                        F.xxhash64(body).alias("_key"), F.xxhash64("doc_id", F.lit(16)).alias("_tie"))
     keys = staged(spark, rows.select("_key", "_tie", "size"), "shard-keys")
-    cuts = splitters(keys, n_shards, tolerance, probes)
+    cuts, alone = splitters(keys, n_shards, tolerance, probes)
 
     def placed(df: DataFrame) -> DataFrame:
         at = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= F.col("_key"))) \
             if cuts else F.lit(0)
+        for i, key in enumerate(alone):
+            at = F.when(F.col("_key") == key, len(cuts) + 1 + i).otherwise(at)
         return (df.withColumn("shard", at)
                 .withColumn("_hi", F.shiftright("_key", 52)).withColumn("_lo", F.shiftrightunsigned("_tie", 60)))
 

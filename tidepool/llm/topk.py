@@ -32,6 +32,25 @@ QUERY_BLOCK = 1024
 STEP = 16
 BLOCK_SCHEMA = "block long, ids binary, dims long, m binary, mass binary"
 EXACT = 1 << 53
+LONG = (1 << 63) - 1
+
+
+def _integers(v: np.ndarray) -> np.ndarray:
+    """floor(256 * x) of finite doubles: doubles, or Python's integers where the product has none."""
+    with np.errstate(over="ignore"):
+        m = np.floor(v * SCALE)
+    # A double beyond 2 ** 53 is an integer, so its product is one too.
+    return m if np.isfinite(m).all() else np.array([int(x) * SCALE if abs(x) >= EXACT else int(np.floor(x * SCALE))
+                                                    for x in v.tolist()], dtype=object)
+
+
+def _order(score: int) -> bytes:
+    """Bytes that sort as the scores beyond a long do; none for the others."""
+    if -LONG < score < LONG:
+        return b""
+    raw = abs(score).to_bytes(-(-abs(score).bit_length() // 8), "big")
+    key = len(raw).to_bytes(4, "big") + raw
+    return key if score > 0 else bytes(255 - x for x in key)
 
 
 def _valid(vectors: DataFrame) -> DataFrame:
@@ -52,9 +71,17 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
         def flush():
             dims = max((len(v) for v in vectors), default=0)
+            whole = [_integers(v) for v in vectors]
+            if any(v.dtype == object for v in whole):
+                # Components beyond a double: in decimal, without a mass to prune by.
+                m = np.zeros((dims, len(ids)), dtype=object)
+                for j, v in enumerate(whole):
+                    m[:len(v), j] = [int(x) for x in v]
+                return pd.DataFrame({"block": [part * 1_000_000 + n], "ids": [np.array(ids, dtype=np.int64).tobytes()],
+                                     "dims": [dims], "m": [",".join(map(str, m.ravel())).encode()], "mass": [b""]})
             m = np.zeros((dims, len(ids)))
-            for j, v in enumerate(vectors):
-                m[:len(v), j] = np.floor(v * SCALE)
+            for j, v in enumerate(whole):
+                m[:len(v), j] = v
             left = np.sqrt(np.flip(np.cumsum(np.flip(m ** 2, 0), 0), 0)) if dims else np.zeros((0, len(ids)))
             kept = np.ascontiguousarray(left[::STEP])
             m = m.astype(np.float32) if not m.size or np.abs(m).max() < 1 << 24 else m
@@ -77,6 +104,8 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 def _unpack(ids: bytes, dims: int, m: bytes, mass: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, components (dimension by vector) and remaining mass (step by vector)."""
     i = np.frombuffer(ids, dtype=np.int64)
+    if dims and not mass:
+        return i, np.array([int(x) for x in m.split(b",")], dtype=object).reshape(dims, len(i)), np.zeros((0, len(i)))
     kind = np.float32 if len(m) == 4 * dims * len(i) else np.float64
     a = np.frombuffer(m, dtype=kind).reshape(dims, len(i)).astype(np.float64)
     return i, a, np.frombuffer(mass, dtype=np.float64).reshape(-1, len(i))
@@ -103,8 +132,8 @@ class _Best:
     def meet(self, ids: np.ndarray, c: np.ndarray, mass: np.ndarray) -> None:
         """Search one candidate block for all queries of this block."""
         dims = min(len(self.q), len(c))
-        top = (np.abs(self.q).max(initial=0) * np.abs(c).max(initial=0)) * max(1, dims)
-        if top >= EXACT:
+        if self.q.dtype == object or c.dtype == object or \
+                np.abs(self.q).max(initial=0) * np.abs(c).max(initial=0) * max(1, dims) >= EXACT:
             return self._exact(ids, c, dims)
         step = min(STEP, dims)
         first = self.q[:step].T @ c[:step] if dims else np.zeros((len(self.ids), len(ids)))
@@ -143,10 +172,12 @@ class _Best:
             if len(self.best[j]) == self.k:
                 self.floor[j] = float(self.best[j][-1][0])
 
-    def rows(self) -> pd.DataFrame:
-        top = (1 << 63) - 1
-        return pd.DataFrame([(int(q), -i, max(-top, min(top, s))) for q, b in zip(self.ids, self.best, strict=True)
-                             for s, i in b], columns=["query_id", "vec_id", "score"])
+    def rows(self) -> pa.RecordBatch:
+        found = [(int(q), -i, max(-LONG, min(LONG, s)), _order(s)) for q, b in zip(self.ids, self.best, strict=True) for s, i in b]
+        return pa.RecordBatch.from_pydict({c: [r[j] for r in found] for j, c in enumerate(FOUND.names)}, FOUND)
+
+
+FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("exact", pa.binary())])
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, groups: int = 16) -> DataFrame:
@@ -158,8 +189,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, groups: int = 16)
     a null vector, or a null or non-finite component take no part; components
     missing at the end of a shorter vector count as 0. Repeated rows are separate
     candidates, and queries that repeat a vec_id share one result, the best over
-    their rows. Scores beyond a long are cut to its range. Fewer than ``k``
-    candidates give fewer rows; no query or no candidate gives none.
+    their rows. Scores beyond a long are ranked as they are and cut to its range in the
+    result; components may be as large as a double. Fewer than ``k`` candidates give fewer rows; no query or no candidate gives none.
 
     ``groups`` candidate groups bound how often a query block is repeated.
     """
@@ -183,16 +214,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, groups: int = 16)
                 r = batch.slice(i, 1).to_pylist()[0]
                 if r["q_block"] != current:
                     if best is not None:
-                        yield pa.RecordBatch.from_pandas(best.rows(), preserve_index=False)
+                        yield best.rows()
                     current, best = r["q_block"], _Best(*_unpack(r["q_ids"], r["q_dims"], r["q_m"], r["q_mass"]), k)
                 best.meet(*_unpack(r["ids"], r["dims"], r["m"], r["mass"]))
         if best is not None:
-            yield pa.RecordBatch.from_pandas(best.rows(), preserve_index=False)
+            yield best.rows()
 
     pairs = repeated.join(numbered.hint("shuffle_hash"), ["h", "g"]).sortWithinPartitions("q_block")
     found = pairs.select("q_block", "q_ids", "q_dims", "q_m", "q_mass", "ids", "dims", "m", "mass") \
-        .mapInArrow(search, "query_id long, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        .mapInArrow(search, "query_id long, vec_id long, score long, exact binary")
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("exact"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 

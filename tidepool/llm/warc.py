@@ -93,9 +93,10 @@ class _Archives:
 
     def open(self) -> None:
         if self.out is None:
-            self.name = f"{self.part:06d}-{self.n:04d}.warc.gz"
-            self.temp = posixpath.join(self.root, f"_attempt-{self.attempt}-{self.name}")
-            self.out, self.records = self.fs.open_output_stream(self.temp, compression=None), 0
+            # Named by the attempt: a retried or speculative one never meets another's file, and
+            # the manifest names those that count.
+            self.path = posixpath.join(self.root, f"{self.part:06d}-{self.n:04d}-{self.attempt}.warc.gz")
+            self.out, self.records = self.fs.open_output_stream(self.path, compression=None), 0
 
     def begin(self, head: bytes) -> None:
         self.open()
@@ -115,9 +116,7 @@ class _Archives:
     def close(self) -> None:
         if self.out is not None:
             self.out.close()
-            final = posixpath.join(self.root, self.name)
-            self.fs.move(self.temp, final)
-            self.done.append((final, self.records))
+            self.done.append((self.path, self.records))
             self.out, self.n = None, self.n + 1
 
 
