@@ -1,4 +1,4 @@
-"""Cross-tokenizer alignment (12): against whole texts and brute force, hashes, odd texts, many groups."""
+"""Cross-tokenizer alignment (12): against whole texts and brute force, hashes, odd texts, many groups of parts."""
 
 import hashlib
 import random
@@ -102,25 +102,32 @@ def test_query_equals_brute_force(spark, tokenizers):
     assert sorted(map(tuple, alignment.op12_alignment(spark, SF001).collect()), key=str) == brute(rows, tokenizers)
 
 
-def test_stretches_equal_whole_texts(spark, tokenizers):
-    """What is remembered by stretch is what both tokenizers give for whole texts of the table and random ones."""
+def test_ids_equal_the_tokenizers(spark, tokenizers):
+    """Both ways of encoding give the ids of the named tokenizers, for texts of the table and random ones."""
     a, b, _, _ = tokenizers
     rnd = random.Random(11)
-    alphabet = list("ab'sT .,;\n\t\r 09é東  ́▁<|>👍-_")
-    texts = ["".join(rnd.choices(alphabet, k=rnd.randint(1, 60))) for _ in range(4000)]
+    texts = ["".join(rnd.choices(list(alphabet), k=rnd.randint(1, 60))) for _ in range(4000) for alphabet in
+             ("ab'sT .,;\n\t\r 09é東  ́▁<|>👍-_", "aZ'sTre llm,.;!09\n \t\r éÀñßİıÆ¿«·½²ª×÷ǅʼ°µ-_")]
     texts += [r["text"] for r in spark.read.parquet(f"{SF01}/documents.parquet").select("text").collect() if r["text"]]
-    stretches = alignment.Stretches((public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")),
-                                    lambda x: (x.a, x.b))
-    for text, values in zip(texts, stretches.of(texts), strict=True):
-        ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
-        cut = alignment._CUT.split(" " + text)
-        if "▁" in text:                          # written as a space by B, so no tokens: cuts do not matter
-            assert values == []
-            continue
-        assert sum((a.encode(s, add_special_tokens=False).ids for s in cut), []) == ids_a, text
-        assert sum((b.encode(s[1:]) for s in cut), []) == ids_b, text
-        if values:
-            assert (sum((v[0] for v in values), []), sum((v[1] for v in values), [])) == (ids_a, ids_b), text
+    texts += ["a" * 600, " " * 700 + "b", "\n" * 800, "ab1" * 900, "don't'll've" * 100]
+    enc = alignment.encoder((public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
+    assert sum(alignment._ODD.search(t) is None for t in texts) > 3000
+    for text, (ids_a, ids_b) in zip(texts, enc.encode(texts), strict=True):
+        if ids_a or "▁" not in text:
+            assert (ids_a, ids_b) == (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)), text
+
+
+def test_documents_aligned_together_or_apart(tokenizers, monkeypatch):
+    enc = alignment.encoder((public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
+    ids = enc.encode(ODD)
+    pack = lambda x: np.array(x, dtype=alignment.KIND).tobytes()
+    together = alignment.Aligned([pack(a) for a, _ in ids], [pack(b) for _, b in ids], enc)
+    apart = [alignment.Aligned([pack(a)], [pack(b)], enc) for a, b in ids]
+    assert together.digests() == [x.digests()[0] for x in apart]
+    assert together.links.tolist() == [v for x in apart for v in x.links.tolist()]
+    assert together.n_groups.tolist() == [int(x.n_groups[0]) for x in apart]
+    none = alignment.Aligned([], [], enc)
+    assert none.digests() == [] and not len(none.links)
 
 
 def test_minimal_hash():

@@ -15,9 +15,8 @@ must be the pair looked for.
 Parts go to the tasks in groups of at most ``GROUP_KEYS`` pairs; with more pairs, the
 documents are passed over once for each group and the shares of a document added up.
 
-Neither tokenizer joins a character that is no white space with a space after it, so
-texts are cut before each space between two such characters, and what a stretch between
-such cuts gives is remembered by a task (``test_alignment`` holds it against whole texts).
+Texts are encoded once; their ids are kept in the shared folder, and the passes align
+many documents at a time, as arrays.
 """
 
 from __future__ import annotations
@@ -27,12 +26,13 @@ import os
 import pickle
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +48,10 @@ SPAN = 1 << 16
 FAN_IN = 64
 # Places of a hash level for each key left, and the levels before the rest is searched for.
 ROOM, LEVELS = 1.5, 24
-TOGETHER = 256
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+# Tokens aligned together; ids are kept in 16 bits, which both vocabularies fit.
+TOGETHER = 1 << 19
+KIND = np.dtype("<u2")
+IDS = 1 << 16
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -147,38 +149,30 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Aligned:
-    """The tokens of one stretch of text: ids of both sides, distinct linked pairs and how they are linked."""
-
-    __slots__ = ("a", "b", "links", "cut_a", "cut_b")
-
-    def __init__(self, a: list[int], b: list[int], links: np.ndarray, cut_a: list[int], cut_b: list[int]):
-        """``links``: the pair of every link. Group i has the tokens ``a[cut_a[i]:cut_a[i + 1]]`` and so on."""
-        self.a, self.b, self.links, self.cut_a, self.cut_b = a, b, links, cut_a, cut_b
-
-    def groups(self) -> str:
-        """The groups' ids in decimal: ``a1,a2|b1;a3|b2,b3``."""
-        a, b = self.a, self.b
-        return ";".join(f"{','.join(map(str, a[p:q]))}|{','.join(map(str, b[r:s]))}" for p, q, r, s in
-                        zip(self.cut_a, self.cut_a[1:], self.cut_b, self.cut_b[1:], strict=False))
+# Characters on whose kinds all pattern engines agree, in runs that a plain merge loop handles well.
+_ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f]|\S{500}|\s{500}")
 
 
-class Aligner:
-    """Aligns stretches of text that start with a space."""
+class Encoder:
+    """Ids of whole texts under both tokenizers, and the bytes of each id."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
-        self.batch = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
         letters, vocabulary = byte_letters(), self.a.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             if all(c in letters for c in token):
                 self.bytes_a[i] = bytes(letters[c] for c in token)
+        # The same vocabulary by rank, for texts of common characters: several times as fast.
+        special = self.a.get_added_tokens_decoder()
+        ranks = {x: i for i, x in enumerate(self.bytes_a) if x and i not in special}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
@@ -188,93 +182,132 @@ class Aligner:
         self.length_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.length_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
 
-    def __call__(self, stretches: list[str]) -> list[Aligned | None]:
-        """The alignment of each, or None where the joined bytes of its tokens differ from it."""
-        if not stretches:
-            return []
-        ids_a = [e.ids for e in self.batch(stretches, add_special_tokens=False)]
-        ids_b = self.b.encode([s[1:] for s in stretches], num_threads=1)
-        fine = []
-        for s, a, b in zip(stretches, ids_a, ids_b, strict=True):
-            raw = s.encode()
-            fine.append(b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw)
-        out: list[Aligned | None] = [None] * len(stretches)
-        some = [i for i, x in enumerate(fine) if x]
-        if not some:
-            return out
-        # All stretches one after another: their ends are ends of tokens on both sides.
-        a, b = (np.concatenate([np.array(ids[i], dtype=np.int64) for i in some]) for ids in (ids_a, ids_b))
-        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        ends = np.union1d(end_a, end_b)                       # a link for each stretch of bytes between two ends
-        link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        links = (a[link_a] << 32) | b[link_b]
-        common = np.intersect1d(end_a, end_b, assume_unique=True)
-        stop_a, stop_b = np.searchsorted(end_a, common) + 1, np.searchsorted(end_b, common) + 1
-        from_a = np.concatenate([[0], np.cumsum([len(ids_a[i]) for i in some])])
-        from_b = np.concatenate([[0], np.cumsum([len(ids_b[i]) for i in some])])
-        limit = end_a[from_a[1:] - 1]
-        link_at = np.concatenate([[0], np.searchsorted(ends, limit, side="right")])
-        group_at = np.concatenate([[0], np.searchsorted(common, limit, side="right")]).tolist()
-        for j, i in enumerate(some):
-            g, h = group_at[j], group_at[j + 1]
-            out[i] = Aligned(ids_a[i], ids_b[i], links[link_at[j]:link_at[j + 1]],
-                             [0, *(stop_a[g:h] - from_a[j]).tolist()], [0, *(stop_b[g:h] - from_b[j]).tolist()])
+    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+        """A ids of a space and the text and B ids of the text; none if their bytes differ from a space and the text."""
+        out = []
+        for text, b in zip(texts, self.b.encode([t or "" for t in texts], num_threads=1), strict=True):
+            if not text:
+                out.append(([], []))
+                continue
+            whole = " " + text
+            a = self.a.encode(whole, add_special_tokens=False).ids if _ODD.search(text) else self.fast.encode_ordinary(whole)
+            raw = whole.encode()
+            same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
+            out.append((a, b) if same else ([], []))
         return out
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder(paths: tuple[str, str]) -> Encoder:
+    """This worker's encoder, kept from task to task."""
+    if paths not in _ENCODERS:
+        _ENCODERS[paths] = Encoder(*paths)
+    return _ENCODERS[paths]
+
+
+def encoded(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """``row, doc_id, a, b``: the ids of every document under both tokenizers, packed."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(paths)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                some = batch.slice(lo, 64)
+                ids = enc.encode(some.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), *(pa.array([np.array(x[i], dtype=KIND).tobytes() for x in ids], pa.binary())
+                                              for i in (0, 1))], names=["doc_id", "a", "b"])
+
+    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, a binary, b binary") \
+        .withColumn("row", F.monotonically_increasing_id())
+
+
+class Aligned:
+    """Some documents aligned: the tokens of all of them one after another, and how they meet.
+
+    ``docs`` are the positions of those that have tokens. ``links`` has the pair of every
+    link, ``link_doc`` its document; ``group_a`` and ``group_b`` the group of every token.
+    """
+
+    def __init__(self, a: list[bytes], b: list[bytes], enc: Encoder):
+        self.n = len(a)
+        self.docs = np.flatnonzero([len(x) > 0 for x in a])
+        self.n_a, self.n_b = (np.array([len(x) // KIND.itemsize for x in ids], dtype=np.int64) for ids in (a, b))
+        self.a, self.b = (np.frombuffer(b"".join(ids), dtype=KIND).astype(np.int64) for ids in (a, b))
+        # Each document's last tokens end together, so offsets may run on from one to the next.
+        end_a, end_b = np.cumsum(enc.length_a[self.a]), np.cumsum(enc.length_b[self.b])
+        both = np.concatenate([end_a, end_b])
+        both.sort(kind="stable")
+        self.ends = both[np.append(both[1:] != both[:-1], True)] if len(both) else both
+        at_a, at_b = np.searchsorted(end_a, self.ends), np.searchsorted(end_b, self.ends)
+        # A link for each run of bytes between two neighbouring ends.
+        self.links = (self.a[at_a] << 32) | self.b[at_b]
+        last = end_a[np.cumsum(self.n_a[self.docs]) - 1]
+        self.link_doc = self.docs[np.searchsorted(last, self.ends)]
+        common = self.ends[(end_a[at_a] == self.ends) & (end_b[at_b] == self.ends)]
+        self.group_a, self.group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        self.n_groups = np.bincount(self.docs[np.searchsorted(last, common)], minlength=self.n)
+        self.n_links = np.bincount(self.link_doc, minlength=self.n)
+
+    def digests(self) -> list[str]:
+        """Of each document the sha256 of its groups' ids, ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
+        texts = _texts()
+        last_a, last_b = (np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, dtype=bool)
+                          for g in (self.group_a, self.group_b))
+        # In order of groups, in a group A's tokens before B's, each followed by its mark.
+        n = int(self.group_a[-1]) + 1 if len(self.group_a) else 0
+        upto_a, upto_b = (np.concatenate([[0], np.cumsum(np.bincount(g, minlength=n))]) for g in (self.group_a, self.group_b))
+        code = np.empty(len(self.a) + len(self.b), dtype=np.int64)
+        code[np.arange(len(self.a)) + upto_b[self.group_a]] = self.a + IDS * last_a
+        code[np.arange(len(self.b)) + upto_a[self.group_b + 1]] = self.b + IDS * (2 + last_b)
+        stop = np.cumsum(self.n_a + self.n_b).tolist()
+        code, out, at = code.tolist(), [], 0
+        for end in stop:
+            digest = hashlib.sha256()
+            for lo in range(at, end, 1 << 16):
+                hi = min(end, lo + (1 << 16))
+                text = b"".join([texts[c] for c in code[lo:hi]])
+                digest.update(text[:-1] if hi == end else text)
+            out.append(digest.hexdigest() if end > at else "")
+            at = end
+        return out
 
 
-class Stretches:
-    """What each stretch of the texts of a task gives, remembered for those that come again."""
+_TEXTS: list[bytes] = []
 
-    def __init__(self, paths: tuple[str, str], make: Callable[[Aligned], object], limit: int = 200_000, longest: int = 64):
-        if paths not in _ALIGNERS:
-            _ALIGNERS[paths] = Aligner(*paths)
-        self.aligner, self.make, self.limit, self.longest = _ALIGNERS[paths], make, limit, longest
-        self.memory: dict[str, object] = {}
 
-    def of(self, texts: list[str | None]) -> Iterator[list]:
-        """For each text the values of its stretches, in order; none if it has no tokens."""
-        cut = [_CUT.split(" " + t) if t else [] for t in texts]
-        memory = self.memory
-        if len(memory) > self.limit:
-            memory.clear()
-        new = list({s for c in cut for s in c if s not in memory})
-        long: dict[str, object] = {}
-        for lo in range(0, len(new), 1 << 14):
-            some = new[lo:lo + (1 << 14)]
-            for s, x in zip(some, self.aligner(some), strict=True):
-                (memory if len(s) <= self.longest else long)[s] = None if x is None else self.make(x)
-        for c in cut:
-            out = [memory[s] if s in memory else long[s] for s in c]
-            yield [] if any(x is None for x in out) else out
+def _texts() -> list[bytes]:
+    """An id in decimal with the mark after it: of A within and at the end of a group, then of B."""
+    if not _TEXTS:
+        _TEXTS.extend(f"{i}{mark}".encode() for mark in ",|,;" for i in range(IDS))
+    return _TEXTS
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lo in range(0, b.num_rows, TOGETHER):
-            yield b.slice(lo, TOGETHER)
+def _aligned(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+    """The documents aligned, about ``TOGETHER`` tokens at a time."""
+    enc = encoder(paths)
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch.column("a")).to_numpy(zero_copy_only=False)) // (TOGETHER * KIND.itemsize)
+        edges = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            some = batch.slice(lo, hi - lo)
+            yield some, Aligned(some.column("a").to_pylist(), some.column("b").to_pylist(), enc)
 
 
-def distinct_pairs(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """``slot, pair``: the distinct linked id pairs (A id << 32 | B id) of all documents; those of
-    a stretch count even if another stretch leaves its document without tokens."""
+def distinct_pairs(tokens: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """``slot, pair``: the distinct linked id pairs (A id << 32 | B id) of all documents."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, new = np.zeros(0, dtype=np.int64), []
-        stretches = Stretches(paths, lambda x: new.append(x.links) or True)
-        for b in _slices(batches):
-            for _ in stretches.of(b.column("text").to_pylist()):
-                pass
-            if new:
-                found = np.union1d(found, np.concatenate(new))
-                new.clear()
+        found = np.zeros(0, dtype=np.int64)
+        for _, x in _aligned(batches, paths):
+            found = np.union1d(found, x.links)
         for lo in range(0, len(found), 1 << 16):
             some = found[lo:lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(slot_of(some)), pa.array(some)], names=["slot", "pair"])
 
-    return docs.select("text").mapInArrow(pairs, "slot int, pair long").distinct()
+    return tokens.select("a", "b").mapInArrow(pairs, "slot int, pair long").distinct()
 
 
 def numbered(pairs: DataFrame, part_keys: int) -> DataFrame:
@@ -308,21 +341,17 @@ def numbered(pairs: DataFrame, part_keys: int) -> DataFrame:
         build, "first int, last int, n long, hash binary, held binary")
 
 
-def counted(docs: DataFrame, numbers, n: int, paths: tuple[str, str]) -> DataFrame:
+def counted(tokens: DataFrame, numbers, n: int, paths: tuple[str, str]) -> DataFrame:
     """``span, counts``: in how many documents each numbered pair is linked, 64 Ki numbers a row."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, total = numbers.value, np.zeros(n, dtype=np.int64)
-
-        def of(x: Aligned) -> np.ndarray:
-            k = number(np.unique(x.links))
-            return k[k >= 0]
-
-        stretches = Stretches(paths, of)
-        for b in _slices(batches):
-            for values in stretches.of(b.column("text").to_pylist()):
-                if values:
-                    total[np.unique(np.concatenate(list({id(x): x for x in values}.values())))] += 1
+        for _, x in _aligned(batches, paths):
+            pairs, at = np.unique(x.links, return_inverse=True)
+            once = np.unique(x.link_doc * len(pairs) + at) if len(pairs) else np.zeros(0, dtype=np.int64)
+            often = np.bincount(once % max(1, len(pairs)), minlength=len(pairs))
+            k = number(pairs)
+            total[k[k >= 0]] += often[k >= 0]
         lot = TaskContext.get().partitionId() % FAN_IN
         for lo in range(0, n, SPAN):
             some = total[lo:lo + SPAN]
@@ -336,53 +365,32 @@ def counted(docs: DataFrame, numbers, n: int, paths: tuple[str, str]) -> DataFra
         return pd.DataFrame({"span": [key[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     schema = "span int, counts binary"
-    return (docs.select("text").mapInArrow(count, "span int, lot int, counts binary")
+    return (tokens.select("a", "b").mapInArrow(count, "span int, lot int, counts binary")
             .groupBy("span", "lot").applyInPandas(add, schema).groupBy("span").applyInPandas(add, schema))
 
 
-LOOKED_UP = "n_best long, count_sum long"
-SHAPE = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
-
-
-def looked_up(docs: DataFrame, known, paths: tuple[str, str], shape: bool) -> DataFrame:
-    """``docs`` (doc_id, mark, text) aligned again, with their share of this group's counts in place of
-    the text, and with ``shape`` the counts and digest of their tokens."""
+def looked_up(tokens: DataFrame, known, paths: tuple[str, str], shape: bool) -> DataFrame:
+    """``row, doc_id``, each document's ``n_best, count_sum`` over this group's pairs, and with ``shape`` the
+    numbers and digest of its tokens."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, counts, best = known.value
-
-        def of(x: Aligned) -> tuple:
-            pairs, often = np.unique(x.links, return_counts=True)
+        for some, x in _aligned(batches, paths):
+            pairs, at = np.unique(x.links, return_inverse=True)
             k = number(pairs)
-            pairs, often, c = pairs[k >= 0], often[k >= 0], counts[k[k >= 0]]
-            share = (int(often[c == best[pairs >> 32]].sum()), int((often * c).sum()))
-            return (*share, len(x.a), len(x.b), len(x.cut_a) - 1, len(x.links), x.groups()) if shape else share
-
-        stretches = Stretches(paths, of)
-        for b in _slices(batches):
-            rows = []
-            for values in stretches.of(b.column("text").to_pylist()):
-                columns = list(zip(*values, strict=True)) or [()] * (len(numeric) + shape)
-                rows.append([*map(sum, columns[:len(numeric)]), *map(_digest, columns[len(numeric):])])
-            kinds = [*numeric, *[pa.string()] * shape]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("mark"),
-                 *(pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))],
-                names=["doc_id", "mark", *names])
-
-    numeric = [pa.int64()] * (6 if shape else 2)
-    names = ["n_best", "count_sum", *(["n_a", "n_b", "n_groups", "n_links", "groups_sha256"] if shape else [])]
-    return docs.select("doc_id", "mark", "text").mapInArrow(
-        look, f"doc_id long, mark long, {LOOKED_UP}" + (f", {SHAPE}" if shape else ""))
-
+            often = np.where(k >= 0, counts[k], 0) if len(counts) else np.zeros(len(pairs), dtype=np.int64)
+            highest = np.where(k >= 0, often == best[pairs >> 32], False)
+            first = np.concatenate([[0], np.cumsum(x.n_links)])
+            total = np.concatenate([[0], np.cumsum(often[at])])
+            out = [np.bincount(x.link_doc, highest[at], minlength=x.n).astype(np.int64), total[first[1:]] - total[first[:-1]]]
+            if shape:
+                out += [x.n_a, x.n_b, x.n_groups, x.n_links, x.digests()]
+            yield pa.RecordBatch.from_arrays([some.column("row"), some.column("doc_id"), *map(pa.array, out)],
+                                             names=["row", "doc_id", *names])
 
-def _digest(groups: tuple[str, ...]) -> str:
-    if not groups:
-        return ""
-    out = hashlib.sha256()
-    for lo in range(0, len(groups), 4096):
-        out.update(((";" if lo else "") + ";".join(groups[lo:lo + 4096])).encode())
-    return out.hexdigest()
+    names = ["n_best", "count_sum", *(["n_a", "n_b", "n_groups", "n_links", "groups_sha256"] if shape else [])]
+    return tokens.mapInArrow(look, "row long, doc_id long, n_best long, count_sum long" + (
+        ", n_a long, n_b long, n_groups long, n_links long, groups_sha256 string" if shape else ""))
 
 
 def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, part_keys: int = PART_KEYS,
@@ -402,9 +410,9 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     """
     spark = docs.sparkSession
     paths = (path_a or public_tokenizers.path("byte_bpe_50k.json"), path_b or public_tokenizers.path("piece_bpe_32k.model"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"),
-                       F.col("text").cast("string").alias("text"))
-    pairs = staged(spark, distinct_pairs(rows, paths), "align-pairs")
+    tokens = staged(spark, encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                               F.col("text").cast("string").alias("text")), paths), "align-tokens")
+    pairs = staged(spark, distinct_pairs(tokens, paths), "align-pairs")
     parts = staged(spark, numbered(pairs, part_keys), "align-parts")
     sizes = parts.select("first", "n").orderBy("first").collect()        # at most SLOTS rows
     groups, size = [[]], 0
@@ -418,7 +426,7 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     best, held = np.zeros(1, dtype=np.int64), []
     for g in groups:
         numbers = _numbers(parts, g)
-        totals = staged(spark, counted(rows, spark.sparkContext.broadcast(numbers), numbers.n, paths), "align-counts")
+        totals = staged(spark, counted(tokens, spark.sparkContext.broadcast(numbers), numbers.n, paths), "align-counts")
         counts = _counts(totals, numbers.n)
         a = numbers.pairs() >> 32
         best = np.concatenate([best, np.zeros(max(0, int(a.max(initial=0)) + 1 - len(best)), dtype=np.int64)])
@@ -428,20 +436,17 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     for i, (g, totals) in enumerate(held):
         numbers = _numbers(parts, g)
         known = spark.sparkContext.broadcast((numbers, _counts(totals, numbers.n), best))
-        shares.append(looked_up(rows, known, paths, shape=i == 0))
+        shares.append(looked_up(tokens, known, paths, shape=i == 0))
     out = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     if len(shares) == 1:
         return shares[0].select(*out)
-    # Rows with equal doc_id and text have equal shares.
-    shares = [staged(spark, s, "align-shares") for s in shares]
-    more = shares[1].dropDuplicates(["doc_id", "mark"])
-    for s in shares[2:]:
-        more = more.unionByName(s.dropDuplicates(["doc_id", "mark"]))
-    more = more.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(
-        F.sum("n_best").alias("_best"), F.sum("count_sum").alias("_sum"))
-    return (shares[0].join(more, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("mark").eqNullSafe(F.col("_mark")))
-            .withColumn("n_best", F.col("n_best") + F.col("_best"))
-            .withColumn("count_sum", F.col("count_sum") + F.col("_sum")).select(*out))
+    first, *more = (staged(spark, s, "align-shares") for s in shares)
+    rest = more[0]
+    for s in more[1:]:
+        rest = rest.unionByName(s)
+    rest = rest.groupBy("row").agg(F.sum("n_best").alias("best_there"), F.sum("count_sum").alias("sum_there"))
+    return (first.join(rest, "row").withColumn("n_best", F.col("n_best") + F.col("best_there"))
+            .withColumn("count_sum", F.col("count_sum") + F.col("sum_there")).select(*out))
 
 
 def _numbers(parts: DataFrame, group: list[int]) -> Numbers:
