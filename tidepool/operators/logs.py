@@ -104,6 +104,11 @@ def first_visit_fix(parsed: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> DataF
                .withColumn("is_new", F.when(F.col("repaired"), F.lit("0")).otherwise(F.col("is_new"))))
 
 
+def first_claims(parsed: DataFrame) -> DataFrame:
+    """W1's state after these records: the mids (``mid``) that have claimed ``is_new = "1"``."""
+    return parsed.where(F.col("reason").isNull() & (F.col("is_new") == "1")).select("mid").distinct()
+
+
 def is_start(start: Column) -> Column:
     """P5: a non-null, non-empty ``start`` makes a start record (Q13: ``{}`` counts)."""
     return start.isNotNull() & (F.length(start) > 0)
@@ -249,6 +254,13 @@ def unique_visit(pages: DataFrame, chunk_width: int = DEFAULT_CHUNK,
     return kept.withColumn("day", day_text(F.col("ts"))).drop("_day", "_chunk", "carry", "_prev", "_lag")
 
 
+def last_days(pages: DataFrame) -> DataFrame:
+    """W2's state after these records: ``mid, day`` (text) of the entry last kept, which is
+    the day of the last entry. One partial aggregate per mid."""
+    entries = pages.where(F.col("reason").isNull() & session_entry(F.col("last_page_id")))
+    return entries.groupBy("mid").agg(F.max_by(day_text(F.col("ts")), F.struct(*ORDER)).alias("day"))
+
+
 def page_rejects(pages: DataFrame) -> DataFrame:
     """Page records that unique visits cannot use (Q4, Q5): ``arrival, seq, reason, value``."""
     return pages.where(F.col("reason").isNotNull()).select("arrival", "seq", "reason", "value")

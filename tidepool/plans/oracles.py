@@ -75,8 +75,8 @@ uv as (
 """
 
 
-def _with(body: str) -> str:
-    return "with " + APP_LOG.strip() + "\n" + body
+def _with(body: str, recursive: bool = False) -> str:
+    return ("with recursive " if recursive else "with ") + APP_LOG.strip() + "\n" + body
 
 
 CDC = """
@@ -184,6 +184,19 @@ ORACLES: dict[str, str] = {
     "day_bucket": _with(
         "select seq, ts, strftime(epoch_ms(ts), '%Y-%m-%d') as day from clean where ts is not null"),
     "unique_visit": _with("select seq, arrival, mid, page_id, ts, day from uv"),
+    # The sequential rule itself, one entry of every mid a step.
+    "unique_visit_expiring": _with("""
+, numbered as (select *, row_number() over (partition by mid order by arrival, seq) as n,
+    strftime(epoch_ms(ts), '%Y-%m-%d') as day from entries),
+walk as (
+  select mid, n, seq, true as kept, day as state_day, arrival as written from numbered where n = 1
+  union all
+  select e.mid, e.n, e.seq, e.day <> w.state_day or e.arrival - w.written >= 600,
+    case when e.day <> w.state_day or e.arrival - w.written >= 600 then e.day else w.state_day end,
+    case when e.day <> w.state_day or e.arrival - w.written >= 600 then e.arrival else w.written end
+  from walk w join numbered e on e.mid = w.mid and e.n = w.n + 1
+)
+select e.seq, e.arrival, e.mid, e.page_id, e.ts, e.day from numbered e join walk w using (seq) where w.kept""", recursive=True),
     "log_detail": _with("""
 select 'dirty' as route, seq, 0 as pos, null as mid, null as is_new, null as page_id,
        null as last_page_id, cast(null as bigint) as ts, null as item from parsed where reason is not null

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators import logs as L
+from tidepool.operators.expiry import unique_visit_expiring
 from tidepool.plans import log_jobs
 from tidepool.session import checkpoint_root
 from tidepool.sources import fixtures as FX
@@ -70,6 +71,12 @@ def q_unique_visit(spark, sf_dir):
     return L.unique_visit(pages).select("seq", "arrival", "mid", "page_id", "ts", "day")
 
 
+def q_unique_visit_expiring(spark, sf_dir):
+    """W2 + W3 in batch: the state of a mid expires ``EXPIRY`` arrival units after it was written."""
+    pages = L.split_page(L.clean(_parsed(spark, sf_dir)))
+    return unique_visit_expiring(pages, FX.EXPIRY).select("seq", "arrival", "mid", "page_id", "ts", "day")
+
+
 def q_log_detail(spark, sf_dir):
     return log_jobs.detail_layer(FX.app_log(spark, sf_dir)).select(
         "route", "seq", "pos", "mid", "is_new", "page_id", "last_page_id", "ts", "item")
@@ -120,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "session_entries": q_session_entries,
     "day_bucket": q_day_bucket,
     "unique_visit": q_unique_visit,
+    "unique_visit_expiring": q_unique_visit_expiring,
     "log_detail": q_log_detail,
     "uv_daily": q_uv_daily,
     "dirty_kinds": q_dirty_kinds,

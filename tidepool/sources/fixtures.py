@@ -23,6 +23,8 @@ FIXED_RULES = [
     ("orders", "update", "hbase", "dim_order", "id,o_orderpriority,o_orderstatus"),
     ("orders", "delete", "clickhouse", "unused", "id"),
 ]
+# Arrival positions after which a device's state expires (FIXTURES.md §7).
+EXPIRY = 600
 RULE_COLUMNS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns"]
 CDC_DATABASE = "shop"
 CDC_SERVER = "dbserver"

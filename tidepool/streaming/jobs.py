@@ -33,8 +33,8 @@ from tidepool.session import checkpoint_root
 from tidepool.sources import landing as S4
 from tidepool.sources import topics as T
 from tidepool.streaming.processors import (
-    DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_INPUT, W2_OUTPUT, UniqueVisitProcessor,
-    first_visit_groups)
+    DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_INPUT, W2_OUTPUT, FirstVisitProcessor,
+    UniqueVisitProcessor, first_visit_groups)
 
 ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
 DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY = "dwd_start_log", "dwd_page_log", "dwd_display_log", "dirty_log"
@@ -61,9 +61,10 @@ def _start(df: DataFrame, name: str, checkpoint: str, handler, trigger: dict) ->
             .foreachBatch(handler).trigger(**trigger).start())
 
 
-def repaired_log(raw: DataFrame) -> DataFrame:
+def repaired_log(raw: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """P1 + W1 on a stream: claims go through the keyed processor, every other
-    record bypasses it (no state to touch, no shuffle).
+    record bypasses it (no state to touch, no shuffle). With ``history`` (raw records
+    from before the stream) the mids that have claimed there are its initial state.
 
     Returns the parsed columns of ``logs.parse_app_log`` plus ``is_new_in`` and
     ``repaired``, ready for ``logs.split_all``. Records are parsed once; only the
@@ -71,10 +72,13 @@ def repaired_log(raw: DataFrame) -> DataFrame:
     """
     parsed = L.parse_app_log(raw)
     is_claim = F.col("reason").isNull() & (F.col("is_new") == "1")
-    claims = (parsed.where(is_claim).select(*W1_INPUT).groupBy("mid")
-              .applyInPandasWithState(first_visit_groups, W1_OUTPUT, W1_STATE, "append",
-                                      GroupStateTimeout.NoTimeout)
-              .select("arrival", "seq", "value", F.col("is_new").alias("_fixed"), "repaired"))
+    keyed = parsed.where(is_claim).select(*W1_INPUT).groupBy("mid")
+    if history is None:
+        decided = keyed.applyInPandasWithState(first_visit_groups, W1_OUTPUT, W1_STATE, "append", GroupStateTimeout.NoTimeout)
+    else:
+        decided = keyed.transformWithStateInPandas(FirstVisitProcessor(), W1_OUTPUT, "Append", "None",
+                                                   L.first_claims(L.parse_app_log(history)).groupBy("mid"))
+    claims = (decided.select("arrival", "seq", "value", F.col("is_new").alias("_fixed"), "repaired"))
     claims = (L.parse_app_log(claims)
               .withColumn("is_new_in", F.col("is_new"))
               .withColumn("is_new", F.col("_fixed")).drop("_fixed"))
@@ -85,11 +89,16 @@ def repaired_log(raw: DataFrame) -> DataFrame:
 
 def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
                   checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                  source: DataFrame | None = None, sink=None) -> StreamingQuery:
-    """ods_base_log -> dirty / start / page / display topics."""
+                  source: DataFrame | None = None, sink=None,
+                  history: DataFrame | None = None) -> StreamingQuery:
+    """ods_base_log -> dirty / start / page / display topics.
+
+    A job on a new checkpoint has no state; ``history``, the raw records handled before
+    its stream begins (in batch, or by a job on another checkpoint), gives it that state.
+    """
     raw = source if source is not None else T.read_topic(
         spark, root, ODS_LOG, stream=True, max_files_per_trigger=max_files_per_trigger)
-    stream = repaired_log(raw)
+    stream = repaired_log(raw, history)
     sink = sink or T.FileTopics(root)
     topic_of = F.create_map(*[x for kv in ROUTE_TOPICS.items() for x in map(F.lit, kv)])
 
@@ -102,31 +111,34 @@ def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
                   trigger or {"availableNow": True})
 
 
-def unique_visits(raw_pages: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def unique_visits(raw_pages: DataFrame, ttl_ms: int | None = None, history: DataFrame | None = None) -> DataFrame:
     """P2 + P7 + W2 (+ W3 when ``ttl_ms``) on a stream of page records; only
-    session entries are shuffled to the keyed processor."""
-    return _visits_of(L.parse_page_log(raw_pages), ttl_ms)
+    session entries are shuffled to the keyed processor. ``history`` holds page records
+    from before the stream, whose last kept days are the initial state."""
+    return _visits_of(L.parse_page_log(raw_pages), ttl_ms, history)
 
 
-def _visits_of(parsed_pages: DataFrame, ttl_ms: int | None) -> DataFrame:
+def _visits_of(parsed_pages: DataFrame, ttl_ms: int | None, history: DataFrame | None = None) -> DataFrame:
     entries = (parsed_pages.where(F.col("reason").isNull() & L.session_entry(F.col("last_page_id")))
                .withColumn("day", day_text(F.col("ts"))).select(*W2_INPUT))
     time_mode = "ProcessingTime" if ttl_ms else "None"
     return (entries.groupBy("mid")
-            .transformWithStateInPandas(UniqueVisitProcessor(ttl_ms), W2_OUTPUT, "Append", time_mode))
+            .transformWithStateInPandas(UniqueVisitProcessor(ttl_ms), W2_OUTPUT, "Append", time_mode, None if history is None
+                                        else L.last_days(L.parse_page_log(history)).groupBy("mid")))
 
 
 def start_uv_job(spark: SparkSession, root: str, trigger: dict | None = None,
                  checkpoint: str | None = None, ttl: bool = False,
                  max_files_per_trigger: int | None = None, source: DataFrame | None = None,
-                 sink=None) -> StreamingQuery:
+                 sink=None, history: DataFrame | None = None) -> StreamingQuery:
     """dwd_page_log -> dwm_unique_visit; records it cannot use (Q4, Q5) to
     ``dirty_page_log``. ``ttl=True`` adds the 24 h state expiry (W3); such a query
-    keeps making batches, so stop it explicitly (H4)."""
+    keeps making batches, so stop it explicitly (H4). ``history`` is as for
+    ``start_log_job``: the page records before the stream."""
     pages = source if source is not None else T.read_topic(
         spark, root, DWD_PAGE, stream=True, max_files_per_trigger=max_files_per_trigger)
     parsed = L.parse_page_log(pages)
-    uv = _visits_of(parsed, DAY_MS if ttl else None).select(
+    uv = _visits_of(parsed, DAY_MS if ttl else None, history).select(
         F.lit(DWM_UV).alias("topic"), "arrival", "seq", "value")
     rejects = L.page_rejects(parsed).select(
         F.lit(DIRTY_PAGE).alias("topic"), "arrival", "seq", F.to_json(F.struct("reason", "value")).alias("value"))

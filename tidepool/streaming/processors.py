@@ -1,7 +1,9 @@
 """Keyed state for the two stateful reference operators, keyed by ``mid``:
 W1 as an ``applyInPandasWithState`` function (its one flag travels with the
-rows, no state call per key), W2 as a ``transformWithStateInPandas`` processor
-(it needs a value state with a time-to-live, W3).
+rows, no state call per key), or as a ``transformWithStateInPandas`` processor where
+it starts from history, W2 as such a processor (it needs a value state with a
+time-to-live, W3). A processor's initial state is what the batch forms find in the
+records before the stream; it is read once, in the first batch of a new checkpoint.
 
 Rows of one key in one micro-batch arrive unordered (H2). W2 sorts them by
 ``(arrival, seq)`` and applies the sequential rule vectorised over the batch; W1
@@ -46,6 +48,16 @@ def first_visit_groups(key, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.
     emitted as repaired at once, and one candidate row is held back to the end.
     A mid with a huge share of a micro-batch costs one Arrow batch of memory.
     """
+    held = yield from _all_but_earliest(rows)
+    if held is not None:
+        keep = not state.exists
+        if keep:
+            state.update((True,))
+        yield _decided(held, keep)
+
+
+def _all_but_earliest(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every claim but the earliest, as repaired; returns the earliest, if there is one."""
     held = None
     for pdf in rows:
         if not len(pdf):
@@ -58,12 +70,12 @@ def first_visit_groups(key, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.
         held = pdf.iloc[[pos]].reset_index(drop=True)
         rest = pdf.drop(index=pos)
         if len(rest):
-            yield rest.assign(is_new="0", repaired=True)[_W1_COLS]
-    if held is not None:
-        keep = not state.exists
-        if keep:
-            state.update((True,))
-        yield held.assign(is_new="1" if keep else "0", repaired=not keep)[_W1_COLS]
+            yield _decided(rest, False)
+    return held
+
+
+def _decided(pdf: pd.DataFrame, keep: bool) -> pd.DataFrame:
+    return pdf.assign(is_new="1" if keep else "0", repaired=not keep)[_W1_COLS]
 
 
 def _earliest(pdf: pd.DataFrame) -> int:
@@ -73,6 +85,28 @@ def _earliest(pdf: pd.DataFrame) -> int:
     return int(cand[pdf["seq"].to_numpy()[cand].argmin()])
 
 
+class FirstVisitProcessor(StatefulProcessor):
+    """W1 as ``first_visit_groups``, for mids of which some have claimed before the
+    stream: they come as initial state (``logs.first_claims``)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.claimed = handle.getValueState("claimed", W1_STATE)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.claimed.update((True,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = yield from _all_but_earliest(rows)
+        if held is not None:
+            keep = not self.claimed.exists()
+            if keep:
+                self.claimed.update((True,))
+            yield _decided(held, keep)
+
+    def close(self) -> None:
+        pass
+
+
 class UniqueVisitProcessor(StatefulProcessor):
     """Keep a session entry iff its day differs from the day last kept for
     the mid. With ``ttl_ms`` (W3) the stored day expires that long after it was
@@ -84,6 +118,11 @@ class UniqueVisitProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last_day = handle.getValueState("last_day", "day string", self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """The day last kept before the stream (``logs.last_days``); with a time-to-live it
+        expires that long after the stream began."""
+        self.last_day.update((str(initialState["day"].iloc[0]),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
         st = self.last_day.get()
