@@ -47,6 +47,14 @@ def _source(spark, args):
     return _kafka(spark, args) if args.kafka else None
 
 
+def _history(spark, args):
+    """The records handled before a stateful job's stream, from files of ``(arrival, seq, value)``, or None."""
+    if not args.history:
+        return None
+    return (spark.read.schema("arrival long, seq long, value string").option("recursiveFileLookup", "true")
+            .parquet(args.history))
+
+
 def _sink(args):
     from tidepool.sources import topics as T
 
@@ -73,6 +81,19 @@ def _envelopes(spark, args):
     return log
 
 
+def _handover_rows(spark, args):
+    """The rows of a hand-over snapshot as raw envelopes, and the name of their table."""
+    from pyspark.sql import functions as F
+
+    from tidepool.sources import changes as S
+
+    database, _, table = args.snapshot_table.partition(".")
+    columns = args.snapshot_columns.split(",")
+    rows = spark.read.parquet(f"{args.handover}/rows").select(
+        F.col(args.snapshot_key).cast("long").alias("seq"), *[F.col(c).cast("string").alias(c) for c in columns])
+    return S.snapshot_envelopes(rows, args.server, database, table, columns), table
+
+
 def _store(spark, args):
     from tidepool.operators.dims import DimStore
 
@@ -96,6 +117,11 @@ def build_parser() -> argparse.ArgumentParser:
                    help="where a new Kafka reader starts (default: latest, for rules earliest)")
     p.add_argument("--max-records", type=int, default=5_000_000, help="Kafka records per micro-batch")
     p.add_argument("--max-files", type=int, default=64, help="files per micro-batch of a file source")
+    p.add_argument("--history", help="parquet folder of the records handled before this job's stream (log, uv): "
+                                     "its state on a new checkpoint")
+    p.add_argument("--handover", help="folder of a snapshot taken by operators.handover.record_ranges while changes went "
+                                      "on; its table is --snapshot-table (cdc)")
+    p.add_argument("--range-width", type=int, default=1 << 16, help="keys of a range of the --handover snapshot")
     p.add_argument("--database", help="changes of this database only (cdc, rules, console)")
     p.add_argument("--tables", help="comma-separated tables; changes of others are left out")
     p.add_argument("--snapshot", help="parquet folder of a table to read first, as its initial snapshot")
@@ -134,13 +160,20 @@ def main(argv: list[str] | None = None, spark=None):
     ck = args.checkpoint
     sink = _sink(args)
     if args.job == "land":
-        q = SJ.start_landing_job(spark, args.incoming, args.root, args.landing, trig, ck, sink=sink)
+        q = SJ.start_landing_job(spark, args.incoming, args.root, args.landing, trig, ck, sink=sink,
+                                 max_files_per_trigger=args.max_files)
     elif args.job == "log":
         q = SJ.start_log_job(spark, args.root, trig, ck, max_files_per_trigger=args.max_files,
-                             source=_source(spark, args), sink=sink)
+                             source=_source(spark, args), sink=sink, history=_history(spark, args))
     elif args.job == "uv":
         q = SJ.start_uv_job(spark, args.root, trig, ck, ttl=args.ttl, max_files_per_trigger=args.max_files,
-                            source=_source(spark, args), sink=sink)
+                            source=_source(spark, args), sink=sink, history=_history(spark, args))
+    elif args.job == "cdc" and args.handover:
+        from tidepool.operators import handover as H
+
+        rows, table = _handover_rows(spark, args)
+        q = SJ.start_handover_job(spark, args.root, rows, H.ranges_of(spark, args.handover), _envelopes(spark, args), table,
+                                  key=args.snapshot_key, width=args.range_width, trigger=trig, checkpoint=ck, sink=sink)
     elif args.job == "cdc":
         q = SJ.start_cdc_job(spark, args.root, _envelopes(spark, args), trig, ck, sink=sink)
     elif args.job == "rules":
@@ -150,12 +183,12 @@ def main(argv: list[str] | None = None, spark=None):
     elif args.job == "route":
         q = SJ.start_route_job(spark, args.root, _store(spark, args), changes=_source(spark, args), trigger=trig,
                                checkpoint=ck, asof=not args.latest_rules, honour_sink_pk=args.honour_sink_pk,
-                               sink=sink, compact_every=args.compact_every)
+                               sink=sink, compact_every=args.compact_every, max_files_per_trigger=args.max_files)
     elif args.job == "console":
         q = SJ.start_console_job(spark, _envelopes(spark, args), trig, ck, out=args.print_to)
     else:
         q = SJ.start_topic_console(spark, args.root, args.topic, trig, ck, out=args.print_to,
-                                   source=_source(spark, args))
+                                   source=_source(spark, args), max_files_per_trigger=args.max_files)
     if not own:
         return q
     q.awaitTermination()

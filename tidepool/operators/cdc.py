@@ -17,6 +17,7 @@ OP_TYPES = {"c": "insert", "create": "insert", "r": "read", "u": "update",
 
 MALFORMED = "malformed"
 BAD_TOPIC = "bad_topic"
+NO_OP = "no_op"              # an object without an op is no change envelope
 
 
 def normalize(raw: DataFrame, strict: bool = False) -> DataFrame:
@@ -44,7 +45,7 @@ def normalize(raw: DataFrame, strict: bool = False) -> DataFrame:
     empty = F.create_map().cast("map<string,string>")
     ok = (env.isNotNull() & env["_corrupt_record"].isNull()
           & J.opens_object(F.col("value")))
-    reason = F.when(~ok, F.lit(MALFORMED)).when(F.size(parts) < 3, F.lit(BAD_TOPIC))
+    reason = F.when(~ok, F.lit(MALFORMED)).when(F.size(parts) < 3, F.lit(BAD_TOPIC)).when(op.isNull(), F.lit(NO_OP))
     out = raw.select(
         "arrival", "seq",
         F.try_element_at(parts, F.lit(2)).alias("database"),

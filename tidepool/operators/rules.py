@@ -102,9 +102,27 @@ def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
 MAX_ASOF_BROADCAST_EVENTS = 250_000
 
 
+def keyed_events(rule_events: DataFrame) -> DataFrame:
+    """Events whose key can match a change."""
+    return rule_events.where(F.col("source_table").isNotNull() & F.col("operate_type").isNotNull())
+
+
+def last_events(rule_events: DataFrame) -> DataFrame:
+    """The last event of every rule key, as it is; a partial aggregate per key."""
+    columns = rule_events.columns
+    return (rule_events.groupBy(*KEY).agg(F.max_by(F.struct(*columns), F.struct(*ORDER)).alias("_e"))
+            .select(*[F.col(f"_e.{c}").alias(c) for c in columns]))
+
+
+def events_from(rule_events: DataFrame, low: int) -> DataFrame:
+    """The events that decide for changes arriving from ``low`` on: of those up to ``low`` the
+    last of every key, and all later ones."""
+    return last_events(rule_events.where(F.col("arrival") <= low)).unionByName(rule_events.where(F.col("arrival") > low))
+
+
 def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_ASOF_BROADCAST_EVENTS,
                 chunk_width: int = DEFAULT_CHUNK, force: str | None = None,
-                fanout: int = DEFAULT_FANOUT) -> DataFrame:
+                fanout: int = DEFAULT_FANOUT, binned: DataFrame | None = None) -> DataFrame:
     """R2t: each change sees the rule in force when it arrives: the latest rule
     event of its key with ``rule.arrival <= change.arrival`` (a rule and a change
     arriving together: the rule first). Before the first rule, or after a retire,
@@ -124,10 +142,12 @@ def lookup_asof(changes: DataFrame, rule_events: DataFrame, bound: int = MAX_ASO
     * ``chunked``: otherwise, the chunked as-of scan: one shuffle on (key, chunk),
       linear in both sides, never one rule key in one task.
 
-    ``force`` ("broadcast" / "chunked") pins the plan for tests.
+    ``force`` ("broadcast" / "chunked") pins the plan for tests. ``binned`` is the outcome of
+    ``prepare_asof`` over these events, where a caller has it from before.
     """
-    rule_events = rule_events.where(F.col("source_table").isNotNull() & F.col("operate_type").isNotNull())
-    binned = None if force == "chunked" else prepare_asof(rule_events, bound, force == "broadcast")
+    rule_events = keyed_events(rule_events)
+    if binned is None and force != "chunked":
+        binned = prepare_asof(rule_events, bound, force == "broadcast")
     if binned is not None:
         out = _asof_broadcast(changes, binned)
     else:

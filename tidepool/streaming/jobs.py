@@ -272,10 +272,11 @@ def start_console_job(spark: SparkSession, changes: DataFrame, trigger: dict | N
 
 def start_topic_console(spark: SparkSession, root: str, topic: str, trigger: dict | None = None,
                         checkpoint: str | None = None, num_rows: int = 20, out: str | None = None,
-                        source: DataFrame | None = None) -> StreamingQuery:
+                        source: DataFrame | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """S1 + K5 debug reader: print a topic's records as they arrive (the
     reference's manual check of the page topic)."""
-    records = source if source is not None else T.read_topic(spark, root, topic, stream=True)
+    records = source if source is not None else T.read_topic(
+        spark, root, topic, stream=True, max_files_per_trigger=max_files_per_trigger)
     return _start_print(records, f"console_{topic}", topic, out, num_rows, trigger, checkpoint)
 
 
@@ -368,6 +369,73 @@ def current_rules(spark: SparkSession, root: str) -> DataFrame:
     return R.latest_rules(rule_log(spark, root))
 
 
+class RuleHistory:
+    """The rule events a routing job needs, kept from batch to batch.
+
+    For changes that arrive from some position on, of all events up to it only the last
+    of every rule key counts. So the events held are one per key and those after that
+    position; a batch reads the rule batches written since the one before, and bins
+    the events anew only if there are any. Its cost does not grow with the history. Changes
+    from before that position (late ones) are looked up in the whole log. A job
+    started anew reads the whole log once.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.seen: dict[str, int] = {}           # last rule batch read of each producer
+        self.held: DataFrame | None = None
+        self.at: int | None = None               # the position up to which events are folded
+        self.plan: dict = {}                     # how ``lookup_asof`` is to look the events held up
+        self.reads = 0                           # times that rule batches were read
+
+    def _written(self) -> dict[str, int]:
+        """The last batch of each producer in the rule log, from its folders' names."""
+        _ensure_rule_log(self.spark, self.root)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(_rule_path(self.root), "producer=*", "batch_id=*"))
+        found = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+        out: dict[str, int] = {}
+        for status in found or []:
+            producer, batch = (x.split("=", 1)[1] for x in status.getPath().toString().split("/")[-2:])
+            out[producer] = max(out.get(producer, -1), int(batch))
+        return out
+
+    def _extended(self) -> DataFrame | None:
+        """The events held and those written since, or None if there are no new ones."""
+        written = self._written()
+        new = {p: b for p, b in written.items() if b > self.seen.get(p, -1)}
+        if self.held is not None and not new:
+            return None
+        self.reads += 1
+        wanted = F.lit(False)
+        for p in new:
+            wanted = wanted | ((F.col("producer") == p) & (F.col("batch_id") > self.seen.get(p, -1)) & (F.col("batch_id") <= new[p]))
+        fresh = (self.spark.read.schema(_RULE_SCHEMA).parquet(_rule_path(self.root)).where(wanted).drop("producer", "batch_id"))
+        self.seen = written
+        return fresh if self.held is None else self.held.unionByName(fresh)
+
+    def since(self, low: int | None) -> tuple[DataFrame, dict]:
+        """Events for changes that arrive from ``low`` on, and the options to look them up with."""
+        if self.at is not None and low is not None and low < self.at:
+            return rule_log(self.spark, self.root), {}
+        known = self._extended()
+        if known is not None:
+            if low is not None:
+                known, self.at = R.events_from(known, low), low
+            checkpoint_root(self.spark)
+            self.held = known.checkpoint(eager=True)
+            binned = R.prepare_asof(R.keyed_events(self.held))
+            self.plan = {"force": "chunked"} if binned is None else {"binned": binned}
+        return self.held, self.plan
+
+    def latest(self) -> DataFrame:
+        """The last event of every rule key."""
+        known = self._extended()
+        if known is not None:
+            checkpoint_root(self.spark)
+            self.held = R.last_events(known).checkpoint(eager=True)
+        return self.held
+
+
 ODS_SCHEMA = ("struct<database: string, tableName: string, before: map<string,string>, "
               "after: map<string,string>, type: string, _corrupt_record: string>")
 
@@ -375,11 +443,12 @@ ODS_SCHEMA = ("struct<database: string, tableName: string, before: map<string,st
 def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: DataFrame | None = None,
                     trigger: dict | None = None, checkpoint: str | None = None,
                     asof: bool = True, honour_sink_pk: bool = False, sink=None,
-                    compact_every: int = 100) -> StreamingQuery:
+                    compact_every: int = 100, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """J4 query B: ods_base_db -> rule lookup (R2), trim (P10), route (R3) ->
     dynamic fact topics (K2) and dimension upsert (K4).
 
-    The rule log is re-read per micro-batch. With ``asof`` (default) each change
+    Rules are kept between micro-batches and extended by what the rule log has got
+    since (``RuleHistory``). With ``asof`` (default) each change
     takes the rule in force at its own arrival (R2t), as the reference does when
     it handles records in arrival order, even when a rule change and the changes
     around it fall into one batch. ``asof=False`` uses the latest rules, so a rule
@@ -391,15 +460,19 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
     records without a row key to ``dim_rejects``. Every ``compact_every`` batches the
     dimension store is folded, by this job as its only writer.
     """
-    src = changes if changes is not None else T.read_topic(spark, root, ODS_DB, stream=True)
+    src = changes if changes is not None else T.read_topic(
+        spark, root, ODS_DB, stream=True, max_files_per_trigger=max_files_per_trigger)
     rec = F.from_json(F.col("value"), ODS_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
     norm = _ods_columns(src, rec)
     sink = sink or T.FileTopics(root)
 
+    history = RuleHistory(spark, root)
+
     def lookup(batch: DataFrame) -> DataFrame:
-        if asof:
-            return R.apply_rules(R.lookup_asof(batch, rule_log(spark, root)))
-        return R.route_changes(batch, current_rules(spark, root))
+        if not asof:
+            return R.route_changes(batch, R.latest_rules(history.latest()))
+        events, plan = history.since(batch.agg(F.min("arrival")).first()[0])
+        return R.apply_rules(R.lookup_asof(batch, events, **plan))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         dirty = batch.where(F.col("reason").isNotNull()).select(
@@ -450,7 +523,8 @@ def _ods_columns(src: DataFrame, rec) -> DataFrame:
 
 
 def start_landing_job(spark: SparkSession, incoming: str, root: str, landing: str,
-                      trigger: dict | None = None, checkpoint: str | None = None, sink=None) -> StreamingQuery:
+                      trigger: dict | None = None, checkpoint: str | None = None, sink=None,
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Text lines of files dropped in ``incoming`` -> bare lines under
     ``landing/dt=<day of receipt>/batch_id=<n>/`` and the ods_base_log topic, in the
     order received (file time, path, place in the file)."""
@@ -458,12 +532,15 @@ def start_landing_job(spark: SparkSession, incoming: str, root: str, landing: st
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("line", F.monotonically_increasing_id()).persist()
+        counts = os.path.join(root, "_landing", T.producer_of(batch))
         try:
-            b = S4.in_order(lines)
+            before = S4.files_before(spark, counts, batch_id)
+            b = S4.in_order(lines, before)
+            S4.keep_files(spark, counts, batch_id, before + lines.select("received_ms", "path").distinct().count())
             S4.write_landing(S4.land(b, "received_ms"), landing, batch_id)
             sink.write(b.select(F.lit(ODS_LOG).alias("topic"), "arrival", "seq", "value"), batch_id)
         finally:
             lines.unpersist()
 
-    return _start(S4.received_lines(spark, incoming), "landing_job", _checkpoint(spark, "landing_job", checkpoint),
+    return _start(S4.received_lines(spark, incoming, max_files_per_trigger), "landing_job", _checkpoint(spark, "landing_job", checkpoint),
                   write, trigger or {"availableNow": True})
