@@ -111,7 +111,8 @@ def test_ids_equal_the_tokenizers(spark, tokenizers):
     texts += [r["text"] for r in spark.read.parquet(f"{SF01}/documents.parquet").select("text").collect() if r["text"]]
     texts += ["a" * 600, " " * 700 + "b", "\n" * 800, "ab1" * 900, "don't'll've" * 100]
     enc = alignment.encoder((public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
-    assert sum(alignment._ODD.search(t) is None for t in texts) > 3000
+    assert sum(not alignment.is_odd(t) for t in texts) > 3000
+    assert all(alignment.is_odd(t) for t in ("x" * 500, "a " + "b" * 500 + " c", " " * 500, "東")) and not alignment.is_odd("x" * 499)
     for text, (ids_a, ids_b) in zip(texts, enc.encode(texts), strict=True):
         if ids_a or "▁" not in text:
             assert (ids_a, ids_b) == (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)), text

@@ -27,6 +27,7 @@ import pickle
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -150,7 +151,13 @@ def byte_letters() -> dict[str, int]:
 
 
 # Characters on whose kinds all pattern engines agree, in runs that a plain merge loop handles well.
-_ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f]|\S{500}|\s{500}")
+_ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f]")
+_LONG_RUN = re.compile(r"(?<!\S)\S{500}|(?<!\s)\s{500}")
+
+
+def is_odd(text: str) -> bool:
+    """Whether a text is encoded by the named tokenizer itself, not by ranks."""
+    return _ODD.search(text) is not None or _LONG_RUN.search(text) is not None
 
 
 class Encoder:
@@ -190,7 +197,7 @@ class Encoder:
                 out.append(([], []))
                 continue
             whole = " " + text
-            a = self.a.encode(whole, add_special_tokens=False).ids if _ODD.search(text) else self.fast.encode_ordinary(whole)
+            a = self.a.encode(whole, add_special_tokens=False).ids if is_odd(text) else self.fast.encode_ordinary(whole)
             raw = whole.encode()
             same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
             out.append((a, b) if same else ([], []))
@@ -237,19 +244,43 @@ class Aligned:
         self.n_a, self.n_b = (np.array([len(x) // KIND.itemsize for x in ids], dtype=np.int64) for ids in (a, b))
         self.a, self.b = (np.frombuffer(b"".join(ids), dtype=KIND).astype(np.int64) for ids in (a, b))
         # Each document's last tokens end together, so offsets may run on from one to the next.
-        end_a, end_b = np.cumsum(enc.length_a[self.a]), np.cumsum(enc.length_b[self.b])
-        both = np.concatenate([end_a, end_b])
+        self.end_a, self.end_b = np.cumsum(enc.length_a[self.a]), np.cumsum(enc.length_b[self.b])
+        both = np.concatenate([self.end_a, self.end_b])
         both.sort(kind="stable")
         self.ends = both[np.append(both[1:] != both[:-1], True)] if len(both) else both
-        at_a, at_b = np.searchsorted(end_a, self.ends), np.searchsorted(end_b, self.ends)
+        self.at_a, self.at_b = np.searchsorted(self.end_a, self.ends), np.searchsorted(self.end_b, self.ends)
         # A link for each run of bytes between two neighbouring ends.
-        self.links = (self.a[at_a] << 32) | self.b[at_b]
-        last = end_a[np.cumsum(self.n_a[self.docs]) - 1]
-        self.link_doc = self.docs[np.searchsorted(last, self.ends)]
-        common = self.ends[(end_a[at_a] == self.ends) & (end_b[at_b] == self.ends)]
-        self.group_a, self.group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-        self.n_groups = np.bincount(self.docs[np.searchsorted(last, common)], minlength=self.n)
-        self.n_links = np.bincount(self.link_doc, minlength=self.n)
+        self.links = (self.a[self.at_a] << 32) | self.b[self.at_b]
+
+    def _doc(self, ends: np.ndarray) -> np.ndarray:
+        """The document in which each of some ends lies."""
+        last = self.end_a[np.cumsum(self.n_a[self.docs]) - 1]
+        return self.docs[np.searchsorted(last, ends)]
+
+    @cached_property
+    def link_doc(self) -> np.ndarray:
+        return self._doc(self.ends)
+
+    @cached_property
+    def n_links(self) -> np.ndarray:
+        return np.bincount(self.link_doc, minlength=self.n)
+
+    @cached_property
+    def common(self) -> np.ndarray:
+        """Ends of tokens of both sides, the ends of the groups."""
+        return self.ends[(self.end_a[self.at_a] == self.ends) & (self.end_b[self.at_b] == self.ends)]
+
+    @cached_property
+    def n_groups(self) -> np.ndarray:
+        return np.bincount(self._doc(self.common), minlength=self.n)
+
+    @cached_property
+    def group_a(self) -> np.ndarray:
+        return np.searchsorted(self.common, self.end_a)
+
+    @cached_property
+    def group_b(self) -> np.ndarray:
+        return np.searchsorted(self.common, self.end_b)
 
     def digests(self) -> list[str]:
         """Of each document the sha256 of its groups' ids, ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
