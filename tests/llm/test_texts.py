@@ -184,6 +184,31 @@ def test_secrets_of_odd_rows(spark, workdir):
     assert not secrets.scan(df.limit(0)).collect()
 
 
+def test_secrets_of_texts_with_thousands(spark):
+    """Running places over thousands of matches, characters of several bytes between them, and overlapping kinds."""
+    text = "".join(f"wörd{i} token=abcdefghijkl{i % 10}xy é AKIAABCDEFGHIJKLMN{i % 7} 😀 {i:016x} secret: short " for i in range(3000))
+    rows = [(1, text), (2, text[:1] * 5 + text), (3, "token=0123456789abcdef0123 " * 37), (4, "token=abcdefghijkl")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_secrets([r for r in spark_counts(secrets.scan(df))], rows)
+    for d, t in rows:
+        spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in base_spans(t)))
+        out, at = [], 0
+        for a, b, k in spans:
+            if a >= at:
+                out.append(t[at:a] + f"[{k}]")
+            at = max(at, b)
+        assert secrets.redact(df.filter(f"doc_id = {d}")).first()["text"] == "".join(out) + t[at:]
+
+
+def spark_counts(found):
+    """The query's columns over the base kinds of a scan."""
+    for r in found.collect():
+        s = [f"{x['kind']}:{x['start']}:{x['end']}" for x in r["secrets"] if x["ord"] < 3]
+        n = Counter(x.split(":")[0] for x in s)
+        yield {"doc_id": r["doc_id"], "n_assign": n["assign"], "n_access": n["access"], "n_hex": n["hex"],
+               "base_sha256": hashlib.sha256(",".join(s).encode()).hexdigest(), "spans": ",".join(s)}
+
+
 def test_trigram_queries_hold_for_every_match():
     q = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES}
     assert q["hex"] == [] and q["access"] == [[frozenset({"aki", "kia"})]]

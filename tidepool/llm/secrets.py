@@ -149,6 +149,47 @@ def candidates(index: DataFrame, queries: dict[str, list[list[frozenset[str]]]])
     return kinds.groupBy("doc_id", "mark").agg(F.collect_set("kind").alias("kinds"))
 
 
+SPANS = "array<struct<start:int,ord:int,kind:string,end:int>>"
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """An array cut into about as many blocks as each has elements."""
+    def cut(x):
+        width = F.ceil(F.sqrt(F.size(x))).cast("int")
+        return F.when(F.size(x) > 0, F.transform(F.sequence(F.lit(1), F.size(x), width), lambda i: F.slice(x, i, width))) \
+            .otherwise(F.slice(F.array(x), 1, 0))
+
+    return _bound(items, cut)
+
+
+def _scanned(items: Column, value, combine) -> Column:
+    """Blocks of ``struct<before, item>``: with each element the combined ``value`` of those before it, from 0 on.
+
+    An array grows by copying, so running values are taken in two levels: over the blocks,
+    and within each from what the block starts with. n elements cost n times the root of n.
+    """
+    def running(block, first):
+        start = F.struct(first.alias("at"), F.slice(F.transform(block, lambda x: F.struct(first.alias("before"), x.alias("item"))), 1, 0).alias("out"))
+
+        def step(acc, x):
+            one = F.struct(acc["at"].alias("before"), x.alias("item"))
+            return F.struct(combine(acc["at"], value(x)).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(block, start, step, lambda acc: acc["out"])
+
+    def over(blocks):
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, x: combine(acc, value(x))))
+        firsts = F.aggregate(totals, F.array(F.lit(0)), lambda acc, t: F.concat(acc, F.array(combine(F.element_at(acc, -1), t))))
+        return _bound(firsts, lambda first: F.transform(blocks, lambda b, i: running(b, first[i])))
+
+    return _bound(_blocks(items), over)
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """All spans of a rule: ``array<struct<start, ord, kind, end>>`` in code points."""
     gaps = F.split(text, rule.pattern, -1)
@@ -156,17 +197,14 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     part = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else whole
     steps = F.arrays_zip(F.slice(F.transform(gaps, F.length), 1, F.size(whole)).alias("gap"),
                          F.transform(whole, F.length).alias("len"), F.transform(part, F.length).alias("part"))
-    span = "array<struct<start:int,ord:int,kind:string,end:int>>"
 
-    def add(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + x["len"]
-        one = F.struct(start.alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(x["part"] >= rule.least, F.concat(acc["out"], F.array(one)))
-                        .otherwise(acc["out"]).cast(span).alias("out"))
+    def span(x):
+        start = x["before"] + x["item"]["gap"]
+        return F.struct(start.alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"),
+                        (start + x["item"]["len"]).alias("end"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("out"))
-    return F.aggregate(steps, start, add, lambda acc: acc["out"])
+    placed = F.flatten(_scanned(steps, lambda x: x["gap"] + x["len"], lambda a, b: a + b))
+    return F.transform(F.filter(placed, lambda x: x["item"]["part"] >= rule.least), span).cast(SPANS)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -191,7 +229,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     found = staged(docs.sparkSession, candidates(index, queries), "secret-candidates") \
         .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_m"), F.col("kinds").alias("_kinds"))
     joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")), "left")
-    none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
+    none = F.array().cast(SPANS)
     lists = []
     for i, r in enumerate(rules):
         wanted = F.array_contains("_kinds", r.kind) if r.kind in queries else body.rlike(r.pattern)
@@ -209,14 +247,17 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     text = F.col("text")
     sealed = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in columns], "doc_id", "text")
 
-    def step(acc, s):
-        new = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(new, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                                             F.lit("["), s["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"))
-
-    clean = F.aggregate("secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    def pieces(block):
+        """What the spans of a block leave of the text before each, with its kind; read from that stretch of the text alone."""
+        first = block[0]["before"]
+        stretch = F.substring(text, first + 1, F.greatest(F.lit(0), F.element_at(block, -1)["item"]["start"] - first))
+        return _bound(stretch, lambda part: F.array_join(F.transform(block, lambda x: F.when(
+            x["item"]["start"] >= x["before"], F.concat(F.substring(part, x["before"] - first + 1, x["item"]["start"] - x["before"]),
+                                                     F.lit("["), x["item"]["kind"], F.lit("]"))).otherwise(F.lit(""))), ""))
+
+    covered = F.array_max(F.transform("secrets", lambda s: s["end"]))
+    clean = F.concat(F.array_join(F.transform(_scanned(F.col("secrets"), lambda s: s["end"], F.greatest), pieces), ""),
+                     F.substring(text, covered + 1, F.length(text)))
     changed = F.size("secrets") > 0
     out = {"text": F.when(changed, F.col("_clean")).otherwise(text)}
     if "n_chars" in columns:
