@@ -29,12 +29,13 @@ from tidepool.operators import dims as D
 from tidepool.operators import handover as H
 from tidepool.operators import logs as L
 from tidepool.operators import rules as R
+from tidepool.operators.ordering import DEFAULT_CHUNK, chunk_of
 from tidepool.session import checkpoint_root
 from tidepool.sources import landing as S4
 from tidepool.sources import topics as T
 from tidepool.streaming.processors import (
-    DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_INPUT, W2_OUTPUT, FirstVisitProcessor,
-    UniqueVisitProcessor, first_visit_groups)
+    DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_CHUNKED, W2_INPUT, W2_OUTPUT, FirstVisitProcessor,
+    UniqueVisitProcessor, first_visit_groups, reduced_chunk)
 
 ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
 DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY = "dwd_start_log", "dwd_page_log", "dwd_display_log", "dirty_log"
@@ -111,18 +112,24 @@ def start_log_job(spark: SparkSession, root: str, trigger: dict | None = None,
                   trigger or {"availableNow": True})
 
 
-def unique_visits(raw_pages: DataFrame, ttl_ms: int | None = None, history: DataFrame | None = None) -> DataFrame:
+def unique_visits(raw_pages: DataFrame, ttl_ms: int | None = None, history: DataFrame | None = None,
+                  chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """P2 + P7 + W2 (+ W3 when ``ttl_ms``) on a stream of page records; only
-    session entries are shuffled to the keyed processor. ``history`` holds page records
-    from before the stream, whose last kept days are the initial state."""
-    return _visits_of(L.parse_page_log(raw_pages), ttl_ms, history)
+    session entries are shuffled, to be reduced by mid and chunk of ``chunk_width``
+    arrival units, and of these a row or few a chunk to the keyed processor. ``history``
+    holds page records from before the stream, whose last kept days are the initial
+    state."""
+    return _visits_of(L.parse_page_log(raw_pages), ttl_ms, history, chunk_width)
 
 
-def _visits_of(parsed_pages: DataFrame, ttl_ms: int | None, history: DataFrame | None = None) -> DataFrame:
+def _visits_of(parsed_pages: DataFrame, ttl_ms: int | None, history: DataFrame | None = None,
+               chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     entries = (parsed_pages.where(F.col("reason").isNull() & L.session_entry(F.col("last_page_id")))
                .withColumn("day", day_text(F.col("ts"))).select(*W2_INPUT))
     time_mode = "ProcessingTime" if ttl_ms else "None"
-    return (entries.groupBy("mid")
+    reduced = (entries.groupBy("mid", chunk_of(F.col("arrival"), chunk_width).alias("chunk"))
+               .applyInPandas(reduced_chunk, W2_CHUNKED))
+    return (reduced.groupBy("mid")
             .transformWithStateInPandas(UniqueVisitProcessor(ttl_ms), W2_OUTPUT, "Append", time_mode, None if history is None
                                         else L.last_days(L.parse_page_log(history)).groupBy("mid")))
 
@@ -130,7 +137,7 @@ def _visits_of(parsed_pages: DataFrame, ttl_ms: int | None, history: DataFrame |
 def start_uv_job(spark: SparkSession, root: str, trigger: dict | None = None,
                  checkpoint: str | None = None, ttl: bool = False,
                  max_files_per_trigger: int | None = None, source: DataFrame | None = None,
-                 sink=None, history: DataFrame | None = None) -> StreamingQuery:
+                 sink=None, history: DataFrame | None = None, chunk_width: int = DEFAULT_CHUNK) -> StreamingQuery:
     """dwd_page_log -> dwm_unique_visit; records it cannot use (Q4, Q5) to
     ``dirty_page_log``. ``ttl=True`` adds the 24 h state expiry (W3); such a query
     keeps making batches, so stop it explicitly (H4). ``history`` is as for
@@ -138,7 +145,7 @@ def start_uv_job(spark: SparkSession, root: str, trigger: dict | None = None,
     pages = source if source is not None else T.read_topic(
         spark, root, DWD_PAGE, stream=True, max_files_per_trigger=max_files_per_trigger)
     parsed = L.parse_page_log(pages)
-    uv = _visits_of(parsed, DAY_MS if ttl else None, history).select(
+    uv = _visits_of(parsed, DAY_MS if ttl else None, history, chunk_width).select(
         F.lit(DWM_UV).alias("topic"), "arrival", "seq", "value")
     rejects = L.page_rejects(parsed).select(
         F.lit(DIRTY_PAGE).alias("topic"), "arrival", "seq", F.to_json(F.struct("reason", "value")).alias("value"))

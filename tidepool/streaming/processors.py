@@ -5,9 +5,12 @@ it starts from history, W2 as such a processor (it needs a value state with a
 time-to-live, W3). A processor's initial state is what the batch forms find in the
 records before the stream; it is read once, in the first batch of a new checkpoint.
 
-Rows of one key in one micro-batch arrive unordered (H2). W2 sorts them by
-``(arrival, seq)`` and applies the sequential rule vectorised over the batch; W1
-needs only the earliest claim, so it streams the rows with one row held back.
+Rows of one key in one micro-batch arrive unordered (H2). W2 takes two stages: the
+entries of one mid and chunk of arrivals are sorted and reduced without any state, to
+the first one and those that are kept whatever came before; the state then decides the
+first ones in order. So a mid with any share of a batch is many small tasks and one
+that holds a row a chunk. W1 needs only the earliest claim, so it streams the rows
+with one row held back.
 Only rows that can touch state are sent to a processor: claims of ``is_new = "1"``
 for W1 and session entries for W2; the filters run before the shuffle.
 """
@@ -107,6 +110,25 @@ class FirstVisitProcessor(StatefulProcessor):
         pass
 
 
+_W2_COLS = ["mid", "arrival", "seq", "value", "day"]
+W2_CHUNKED = f"{W2_OUTPUT}, tail string, turned boolean"
+
+
+def reduced_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+    """W2 within the entries of one mid and chunk of arrivals, which need no state.
+
+    The first entry is left to the state: it comes with ``tail``, the day of the chunk's
+    last entry, and ``turned``, whether any later one is kept. Of the others those are
+    returned, without a ``tail``, whose day differs from the entry's before: they are
+    kept whatever the state.
+    """
+    pdf = pdf.sort_values(["arrival", "seq"], kind="stable").reset_index(drop=True)
+    keep = pdf["day"] != pdf["day"].shift(1)
+    out = pdf.loc[keep, _W2_COLS].reset_index(drop=True)
+    first = out.index == 0
+    return out.assign(tail=np.where(first, pdf["day"].iloc[-1], None), turned=first & (len(out) > 1))
+
+
 class UniqueVisitProcessor(StatefulProcessor):
     """Keep a session entry iff its day differs from the day last kept for
     the mid. With ``ttl_ms`` (W3) the stored day expires that long after it was
@@ -124,17 +146,26 @@ class UniqueVisitProcessor(StatefulProcessor):
         self.last_day.update((str(initialState["day"].iloc[0]),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
+        """Rows are those of ``reduced_chunk``. What a chunk has decided goes on as it comes;
+        only the first entries of the chunks are held, sorted and decided here."""
+        heads = []
+        for pdf in rows:
+            decided = pdf["tail"].isna()
+            if decided.any():
+                yield pdf.loc[decided, _W2_COLS]
+            heads.append(pdf[~decided])
+        pdf = _sorted(iter(heads))
+        if not len(pdf):
+            return
         st = self.last_day.get()
-        prev = pdf["day"].shift(1)
-        if len(pdf):
-            prev.iloc[0] = st[0] if st is not None else None
+        prev = pdf["tail"].shift(1)
+        prev.iloc[0] = st[0] if st is not None else None
         keep = pdf["day"] != prev
-        if keep.any():
+        if keep.any() or pdf["turned"].any():
             # Written only on a keep, as the reference does, so the TTL is
             # refreshed by keeps alone. The last kept day equals the last row's day.
-            self.last_day.update((str(pdf["day"].iloc[-1]),))
-        yield pdf.loc[keep, ["mid", "arrival", "seq", "value", "day"]]
+            self.last_day.update((str(pdf["tail"].iloc[-1]),))
+        yield pdf.loc[keep, _W2_COLS]
 
     def close(self) -> None:
         pass
