@@ -86,6 +86,34 @@ def drop_empty_after(changes: DataFrame) -> DataFrame:
     return changes.where(F.cardinality("after") > 0)
 
 
+def table_changelog(changes: DataFrame, table: str, columns: list[str],
+                    not_null: list[str] = ("id",)) -> tuple[DataFrame, DataFrame]:
+    """S3: the changes of one table projected to its declared columns, and the rows that
+    violate a NOT NULL column, with the ``reason`` ``null_<column>``. Batch or stream.
+
+    Every change has its ``op`` and order; the row image is ``after``, or ``before`` for a
+    change with an empty ``after`` (a delete).
+    """
+    image = F.when(F.cardinality("after") > 0, F.col("after")).otherwise(F.col("before"))
+    log = (changes.where(F.col("reason").isNull() & (F.col("table_name") == table))
+                  .select("arrival", "seq", F.col("type").alias("op"),
+                          *[image[c].alias(c) for c in columns]))
+    broken = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in not_null], F.lit(None).cast("string"))
+    rejects = log.withColumn("reason", broken).where(F.col("reason").isNotNull())
+    for c in not_null:
+        log = log.where(F.col(c).isNotNull())
+    return log, rejects
+
+
+def folded_retractions(rows: DataFrame) -> DataFrame:
+    """The table that a stream of retractions stands for: ``rows`` holds ``kind`` (``+I``,
+    ``-U``, ``+U``, ``-D``) and a row image. An image is in the table as often as it was
+    added more than taken back; sums commute, so the order of rows plays no part."""
+    image = [c for c in rows.columns if c != "kind"]
+    sign = F.when(F.col("kind").startswith("+"), 1).otherwise(-1)
+    return rows.groupBy(*image).agg(F.sum(sign).alias("_n")).where(F.col("_n") > 0).drop("_n")
+
+
 def register_table_views(spark: SparkSession, changes: DataFrame, table: str,
                          columns: list[str], not_null: list[str] = ("id",)) -> tuple[str, str]:
     """S3: declare a SQL table over a change stream as temp views.
@@ -97,14 +125,8 @@ def register_table_views(spark: SparkSession, changes: DataFrame, table: str,
     ``<table>_current``: the table the change log converges to, latest change per
     key, deleted keys absent. One partial aggregate per key, no window.
     """
-    image = F.when(F.cardinality("after") > 0, F.col("after")).otherwise(F.col("before"))
-    log = (changes.where(F.col("reason").isNull() & (F.col("table_name") == table))
-                  .select("arrival", "seq", F.col("type").alias("op"),
-                          *[image[c].alias(c) for c in columns]))
-    broken = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in not_null], F.lit(None).cast("string"))
-    log.withColumn("reason", broken).where(F.col("reason").isNotNull()).createOrReplaceTempView(f"{table}_rejects")
-    for c in not_null:
-        log = log.where(F.col(c).isNotNull())
+    log, rejects = table_changelog(changes, table, columns, not_null)
+    rejects.createOrReplaceTempView(f"{table}_rejects")
     changelog_view = f"{table}_changelog"
     current_view = f"{table}_current"
     log.createOrReplaceTempView(changelog_view)

@@ -34,8 +34,8 @@ from tidepool.session import checkpoint_root
 from tidepool.sources import landing as S4
 from tidepool.sources import topics as T
 from tidepool.streaming.processors import (
-    DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_CHUNKED, W2_INPUT, W2_OUTPUT, FirstVisitProcessor,
-    UniqueVisitProcessor, first_visit_groups, reduced_chunk)
+    DAY_MS, W1_INPUT, W1_OUTPUT, W1_STATE, W2_CHUNKED, W2_INPUT, W2_OUTPUT, CurrentRowProcessor,
+    FirstVisitProcessor, UniqueVisitProcessor, first_visit_groups, last_change, reduced_chunk)
 
 ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
 DWD_START, DWD_PAGE, DWD_DISPLAY, DIRTY = "dwd_start_log", "dwd_page_log", "dwd_display_log", "dirty_log"
@@ -176,6 +176,57 @@ def start_cdc_job(spark: SparkSession, root: str, changes: DataFrame, trigger: d
                   trigger or {"availableNow": True})
 
 
+def retractions(changes: DataFrame, table: str, columns: list[str], not_null: list[str] = ("id",),
+                chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
+    """S3 on a stream of normalised changes: what every micro-batch takes back from the
+    current table and adds to it, as ``kind`` (``+I``, ``-U``, ``+U``, ``-D``), the place of the change
+    in the log and the row. A batch's changes are first reduced to the last of every key
+    and chunk of arrivals, so a hot key is many small tasks and the state sees a row a chunk.
+    """
+    log, _ = C.table_changelog(changes, table, columns, not_null)
+    key, schema = not_null[0], ", ".join(f"`{c}` string" for c in columns)
+    last = log.groupBy(key, chunk_of(F.col("arrival"), chunk_width).alias("chunk")).applyInPandas(
+        last_change, f"arrival long, seq long, op string, {schema}")
+    return last.groupBy(key).transformWithStateInPandas(
+        CurrentRowProcessor(columns), f"kind string, arrival long, seq long, {schema}", "Append", "None")
+
+
+def table_topic(table: str) -> str:
+    """The topic of a running table's retractions."""
+    return f"{table}_retractions"
+
+
+def start_table_job(spark: SparkSession, root: str, changes: DataFrame, table: str, columns: list[str],
+                    not_null: list[str] = ("id",), trigger: dict | None = None, checkpoint: str | None = None,
+                    sink=None, chunk_width: int = DEFAULT_CHUNK) -> StreamingQuery:
+    """J5 as a running job: raw change envelopes -> the retractions of the declared table;
+    its rows at any time are ``current_table``. Rows that violate a NOT NULL column go to
+    ``dirty_db`` with their reason, as do envelopes that cannot be read."""
+    norm = C.normalize(changes)
+    out = retractions(norm, table, columns, not_null, chunk_width).select(
+        F.lit(table_topic(table)).alias("topic"), "arrival", "seq",
+        F.to_json(F.struct("kind", F.struct(*columns).alias("row")), {"ignoreNullFields": "false"}).alias("value"))
+    _, broken = C.table_changelog(norm, table, columns, not_null)
+    dirty = norm.where(F.col("reason").isNotNull()).select(
+        F.lit(DIRTY_DB).alias("topic"), "arrival", "seq", C.reject_json().alias("value"))
+    dirty = dirty.unionByName(broken.select(F.lit(DIRTY_DB).alias("topic"), "arrival", "seq",
+                                            F.to_json(F.struct("reason", "op", *columns)).alias("value")))
+    sink = sink or T.FileTopics(root)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.write(batch, batch_id)
+
+    return _start(out.unionByName(dirty), f"table_{table}", _checkpoint(spark, f"table_{table}", checkpoint), write,
+                  trigger or {"availableNow": True})
+
+
+def current_table(spark: SparkSession, root: str, table: str, columns: list[str]) -> DataFrame:
+    """The rows of a running table now: the fold of its retractions."""
+    schema = f"struct<kind: string, row: struct<{', '.join(f'{c}: string' for c in columns)}>>"
+    rows = T.read_topic(spark, root, table_topic(table)).select(F.from_json("value", schema).alias("r"))
+    return C.folded_retractions(rows.select("r.kind", "r.row.*"))
+
+
 _PLACED = ["_key", "_range", "_low", "_high"]
 
 

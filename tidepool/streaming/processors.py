@@ -17,6 +17,7 @@ for W1 and session entries for W2; the filters run before the shuffle.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,3 +170,47 @@ class UniqueVisitProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def last_change(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The last change of one key and chunk of arrivals."""
+    order = np.lexsort((pdf["seq"].to_numpy(), pdf["arrival"].to_numpy()))
+    return pdf.iloc[[order[-1]]]
+
+
+class CurrentRowProcessor(StatefulProcessor):
+    """S3 as a running table: the current row of a key, and what a change takes back and adds.
+
+    State: the last change's place in the log, kept after a delete too, and the row, if
+    there is one. Of a micro-batch only the last change counts; one from before the place
+    kept changes nothing, as in the batch view.
+    """
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.row = handle.getValueState("row", "arrival long, seq long, image string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best = None
+        for pdf in rows:
+            if len(pdf):
+                last = last_change(pdf).iloc[0]
+                if best is None or (last["arrival"], last["seq"]) > (best["arrival"], best["seq"]):
+                    best = last
+        st = self.row.get()
+        if best is None or (st is not None and (st[0], st[1]) >= (best["arrival"], best["seq"])):
+            return
+        at = int(best["arrival"]), int(best["seq"])
+        image = None if best["op"] == "delete" else json.dumps([None if best[c] is None else str(best[c]) for c in self.columns])
+        old = st[2] if st is not None else None
+        self.row.update((*at, image))
+        if old == image:
+            return
+        out = [("-D" if image is None else "-U", old)] if old is not None else []
+        out += [("+I" if old is None else "+U", image)] if image is not None else []
+        yield pd.DataFrame([(kind, *at, *json.loads(x)) for kind, x in out], columns=["kind", "arrival", "seq", *self.columns])
+
+    def close(self) -> None:
+        pass
