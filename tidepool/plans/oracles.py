@@ -293,6 +293,25 @@ select case when event_type = 'signup' then 'start' else 'page' end as route, se
     case when contains(plain, '"last_page_id"') then 'last_page_id,page_id' else 'page_id' end end as page_fields,
   case when seq % 2 = 0 and seq = first then '1' else '0' end as is_new
 from objects left join firsts using (user_id) where not dirty"""),
+    # Records with nulls or a repaired flag are written anew with sorted keys, all others as received.
+    "published_texts": _with(f"""
+, sent as (
+  select a.seq, a.value as plain, e.event_type, e.user_id, e.event_id % 10 as kind, {_K} as k, epoch_us(e.ts) // 1000 as ms,
+    e.event_id % 2 = 0 and row_number() over (partition by e.user_id, e.event_id % 2 order by e.event_id) > 1 as repaired
+  from events e join app_log a on a.seq = e.event_id where a.value <> '{{bad'
+),
+texts as (
+  select seq, plain, repaired, event_type, kind in (5, 6) and (kind = 5 or event_type <> 'signup') as nulls, concat(
+    '{{"common":{{"is_new":"', case when seq % 2 = 0 and not repaired then '1' else '0' end, '","mid":"', user_id, '"}},',
+    case when event_type = 'signup' then '"start":{{"entry":"icon"}},' else concat(
+      '"displays":[', array_to_string(list_transform(range(1, k % 4 + 1), lambda i: concat('{{"item":"', i, '"}}')), ','), '],',
+      '"page":{{', case when k < 30 then '' when k < 40 then '"last_page_id":"",' else concat('"last_page_id":"p', k, '",') end,
+      '"page_id":"', event_type, '"', case when kind = 6 then ',"ref":{{"b":[null,{{"d":{{}}}}]}}' else '' end, '}},') end,
+    '"ts":', ms, '}}') as anew
+  from sent
+)
+select case when event_type = 'signup' then 'start' else 'page' end as route, seq,
+  case when nulls or repaired then anew else plain end as value from texts"""),
     "uv_rejects": _with("""
 select arrival, seq, coalesce(reason, 'no_page') as reason, value from parsed
 where reason is not null or json_extract(j, '$.page') is null"""),

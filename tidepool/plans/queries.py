@@ -107,6 +107,12 @@ def q_published_json(spark, sf_dir):
                       F.get_json_object("value", "$.common.is_new").alias("is_new"))
 
 
+def q_published_texts(spark, sf_dir):
+    """Whole published texts of start and page records, nested nulls among them."""
+    out = log_jobs.detail_layer(FX.app_log_nested(spark, sf_dir)).where(F.col("route").isin("start", "page"))
+    return out.select("route", "seq", "value")
+
+
 def q_uv_rejects(spark, sf_dir):
     return L.page_rejects(L.parse_page_log(FX.app_log(spark, sf_dir)))
 
@@ -132,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "uv_daily": q_uv_daily,
     "dirty_kinds": q_dirty_kinds,
     "published_json": q_published_json,
+    "published_texts": q_published_texts,
     "uv_rejects": q_uv_rejects,
     "first_visit_fix_large": q_first_visit_fix_large,
 }

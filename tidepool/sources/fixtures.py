@@ -140,6 +140,19 @@ def app_log_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.expr(LOG_KINDS.format(plain=f"({APP_LOG_VALUE})")).alias("value"))
 
 
+# Nested nulls put into the page of every tenth record, and into the object of another tenth (FIXTURES.md §7).
+NESTED_NULLS = '"page":{"ref":{"a":null,"b":[null,{"c":null,"d":{"e":null}}]},'
+
+
+def app_log_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The app log with null fields at several depths, in objects within arrays too."""
+    ev = table(spark, sf_dir, "events")
+    plain = f"({APP_LOG_VALUE})"
+    return ev.select(F.col("event_id").alias("arrival"), F.col("event_id").alias("seq"), F.expr(f"""
+        case event_id % 10 when 5 then concat('{{"x":null,', substring({plain}, 2))
+          when 6 then replace({plain}, '"page":{{', '{NESTED_NULLS}') else {plain} end""").alias("value"))
+
+
 def cdc_envelopes_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw change envelopes of ``orders`` with what a change source also sends: deletes
     with a filled ``before`` and no ``after``, cut-off text, topics without a table, and
