@@ -100,14 +100,14 @@ class Index:
         place[order] = np.arange(n)
         self.ids, self.toxic, owner = ids[order], toxic[order], place[owner]
         by = np.lexsort((owner, term))
-        term, self.example, self.weight = term[by], owner[by], weight[by]
+        term, self.example, self.weight = term[by], owner[by].astype(np.int32), weight[by]
         self.blocks = -(-n // BLOCK)
         slot = term.astype(np.int64) * max(1, self.blocks) + self.example // BLOCK
         first = np.flatnonzero(np.diff(slot, prepend=-1))
-        self.posting_at = np.append(first, len(term))
+        self.posting_at = np.append(first, len(term)).astype(np.int32)
         self.block = self.example[first] // BLOCK
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.entry_at = np.searchsorted(term[first], np.arange(v + 1))
+        self.entry_at = np.searchsorted(term[first], np.arange(v + 1)).astype(np.int32)
         self.memory: dict[str, int] = {}
 
     @staticmethod
@@ -118,7 +118,7 @@ class Index:
         theme[some] = np.where(value[largest] > 0, term[largest], -1)
         return theme
 
-    def counts(self, words: list[str], limit: int = 300_000) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    def counts(self, words: list[str], limit: int = 100_000) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """The known terms of a text: their numbers, counts and words."""
         often, memory = Counter(words), self.memory
         try:
@@ -214,8 +214,9 @@ class Sent:
         return Sent, (self.parts,)
 
     def index(self, without_fold: int | None = None) -> Index:
-        """The index of all examples, or of those of the other folds."""
+        """The index of all examples, or of those of the other folds; a worker holds one at a time."""
         if without_fold not in self.built:
+            self.built.clear()
             ids, toxic, at, *rest = self.parts
             marks, term, count = (np.frombuffer(zlib.decompress(x), dtype=k) for x, k in
                                   zip(rest, (np.uint64, np.int32, np.int32), strict=True))
@@ -303,8 +304,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
     def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            folds = fold_of(b.column("doc_id").to_numpy()).tolist()
-            votes = [model.vote(t, f)[0] for t, f in zip(b.column("text").to_pylist(), folds, strict=True)]
+            folds, texts = fold_of(b.column("doc_id").to_numpy()), b.column("text").to_pylist()
+            votes = np.zeros(len(texts))
+            for i in np.argsort(folds, kind="stable").tolist():
+                votes[i] = model.vote(texts[i], int(folds[i]))[0]
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column("toxic")], names=["vote", "toxic"])
 
     votes = rows.select("doc_id", "toxic", "text").mapInArrow(own_votes, "vote double, toxic int").collect()
@@ -340,7 +343,7 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
                 for text in b.column("text").to_pylist():
                     key = hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
                     if key not in memory:
-                        if len(memory) > 20_000:
+                        if len(memory) > 5_000:
                             memory.clear()
                         memory[key] = _scored(model, text, evidence)
                     out.append(memory[key])
