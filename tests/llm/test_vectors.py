@@ -45,7 +45,8 @@ def test_top_k_equals_its_sql(spark):
 
 def test_top_k_of_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 4)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "TOGETHER", 2)
     rows = [(0, [0.5, 0.25, 1.0]), (1, [0.5, 0.25, 1.0]), (2, [0.5, 0.25, 1.0]), (3, None), (4, [NAN, 1.0, 1.0]),
             (5, [INF, 0.0, 0.0]), (6, [None, 1.0, 1.0]), (7, []), (8, [2.0]), (9, [0.5, 0.25, 1.0, -3.0]), (None, [1.0, 1.0, 1.0]),
             (50, [0.001, -0.001, 0.0]), (50, [1.0, 0.0, 0.0]), (100, [-1.0, -1.0, -1.0]), (10, [0.5, 0.25, 1.0])]

@@ -28,7 +28,9 @@ from tidepool.llm.common import staged, table
 
 SCALE = 256
 BLOCK = 8192
-QUERY_BLOCK = 1024
+# Queries of a block, for each of which every candidate is sent once, and those searched together.
+QUERY_BLOCK = 16_384
+TOGETHER = 1024
 STEP = 16
 BLOCK_SCHEMA = "block long, ids binary, dims long, m binary, mass binary"
 EXACT = 1 << 53
@@ -44,6 +46,14 @@ def _integers(v: np.ndarray) -> np.ndarray:
                                                     for x in v.tolist()], dtype=object)
 
 
+def _double(score: int) -> float:
+    """An integer as a double; infinite beyond its range."""
+    try:
+        return float(score)
+    except OverflowError:
+        return np.inf if score > 0 else -np.inf
+
+
 def _order(score: int) -> bytes:
     """Bytes that sort as the scores beyond a long do; none for the others."""
     if -LONG < score < LONG:
@@ -127,7 +137,7 @@ class _Best:
         found = self.best[j] + [(int(s), -int(i)) for s, i in zip(scores, ids, strict=True)]
         self.best[j] = heapq.nlargest(self.k, found)
         if len(self.best[j]) == self.k:
-            self.floor[j] = float(self.best[j][-1][0])
+            self.floor[j] = _double(self.best[j][-1][0])
 
     def meet(self, ids: np.ndarray, c: np.ndarray, mass: np.ndarray) -> None:
         """Search one candidate block for all queries of this block."""
@@ -170,7 +180,7 @@ class _Best:
                       for i, col in zip(ids, cols, strict=True) if i != self.ids[j]]
             self.best[j] = heapq.nlargest(self.k, self.best[j] + scored)
             if len(self.best[j]) == self.k:
-                self.floor[j] = float(self.best[j][-1][0])
+                self.floor[j] = _double(self.best[j][-1][0])
 
     def rows(self) -> pa.RecordBatch:
         found = [(int(q), -i, max(-LONG, min(LONG, s)), _order(s)) for q, b in zip(self.ids, self.best, strict=True) for s, i in b]
@@ -208,17 +218,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, groups: int = 16)
         F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("g"), "block", "ids", "dims", "m", "mass")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, best = None, None
+        current, best = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 r = batch.slice(i, 1).to_pylist()[0]
                 if r["q_block"] != current:
-                    if best is not None:
-                        yield best.rows()
-                    current, best = r["q_block"], _Best(*_unpack(r["q_ids"], r["q_dims"], r["q_m"], r["q_mass"]), k)
-                best.meet(*_unpack(r["ids"], r["dims"], r["m"], r["mass"]))
-        if best is not None:
-            yield best.rows()
+                    yield from (b.rows() for b in best)
+                    ids, q, mass = _unpack(r["q_ids"], r["q_dims"], r["q_m"], r["q_mass"])
+                    current, best = r["q_block"], [
+                        _Best(ids[lo:lo + TOGETHER], np.ascontiguousarray(q[:, lo:lo + TOGETHER]), mass[:, lo:lo + TOGETHER], k)
+                        for lo in range(0, len(ids), TOGETHER)]
+                block = _unpack(r["ids"], r["dims"], r["m"], r["mass"])
+                for b in best:
+                    b.meet(*block)
+        yield from (b.rows() for b in best)
 
     pairs = repeated.join(numbered.hint("shuffle_hash"), ["h", "g"]).sortWithinPartitions("q_block")
     found = pairs.select("q_block", "q_ids", "q_dims", "q_m", "q_mass", "ids", "dims", "m", "mass") \
