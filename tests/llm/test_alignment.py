@@ -122,12 +122,12 @@ def test_documents_aligned_together_or_apart(tokenizers, monkeypatch):
     enc = alignment.encoder((public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
     ids = enc.encode(ODD)
     pack = lambda x: np.array(x, dtype=alignment.KIND).tobytes()
-    together = alignment.Aligned([pack(a) for a, _ in ids], [pack(b) for _, b in ids], enc)
-    apart = [alignment.Aligned([pack(a)], [pack(b)], enc) for a, b in ids]
+    together = alignment.Aligned([pack(a) for a, _ in ids], [pack(b) for _, b in ids], enc.lengths())
+    apart = [alignment.Aligned([pack(a)], [pack(b)], enc.lengths()) for a, b in ids]
     assert together.digests() == [x.digests()[0] for x in apart]
     assert together.links.tolist() == [v for x in apart for v in x.links.tolist()]
     assert together.n_groups.tolist() == [int(x.n_groups[0]) for x in apart]
-    none = alignment.Aligned([], [], enc)
+    none = alignment.Aligned([], [], enc.lengths())
     assert none.digests() == [] and not len(none.links)
 
 

@@ -50,7 +50,7 @@ FAN_IN = 64
 # Places of a hash level for each key left, and the levels before the rest is searched for.
 ROOM, LEVELS = 1.5, 24
 # Tokens aligned together; ids are kept in 16 bits, which both vocabularies fit.
-TOGETHER = 1 << 19
+TOGETHER = 1 << 17
 KIND = np.dtype("<u2")
 IDS = 1 << 16
 
@@ -186,8 +186,10 @@ class Encoder:
             piece = self.b.id_to_piece(i)
             byte = re.fullmatch("<0x([0-9A-F]{2})>", piece)
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
-        self.length_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
-        self.length_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
+
+    def lengths(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of each id of A and of B."""
+        return tuple(np.array([len(x) for x in tokens], dtype=np.uint16) for tokens in (self.bytes_a, self.bytes_b))
 
     def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """A ids of a space and the text and B ids of the text; none if their bytes differ from a space and the text."""
@@ -238,13 +240,14 @@ class Aligned:
     link, ``link_doc`` its document; ``group_a`` and ``group_b`` the group of every token.
     """
 
-    def __init__(self, a: list[bytes], b: list[bytes], enc: Encoder):
+    def __init__(self, a: list[bytes], b: list[bytes], lengths: tuple[np.ndarray, np.ndarray]):
+        """Packed ids of each document under both tokenizers, and the bytes of each id of both."""
         self.n = len(a)
         self.docs = np.flatnonzero([len(x) > 0 for x in a])
         self.n_a, self.n_b = (np.array([len(x) // KIND.itemsize for x in ids], dtype=np.int64) for ids in (a, b))
         self.a, self.b = (np.frombuffer(b"".join(ids), dtype=KIND).astype(np.int64) for ids in (a, b))
         # Each document's last tokens end together, so offsets may run on from one to the next.
-        self.end_a, self.end_b = np.cumsum(enc.length_a[self.a]), np.cumsum(enc.length_b[self.b])
+        self.end_a, self.end_b = (np.cumsum(n[ids], dtype=np.int64) for n, ids in zip(lengths, (self.a, self.b), strict=True))
         both = np.concatenate([self.end_a, self.end_b])
         both.sort(kind="stable")
         self.ends = both[np.append(both[1:] != both[:-1], True)] if len(both) else both
@@ -316,23 +319,22 @@ def _texts() -> list[bytes]:
     return _TEXTS
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+def _aligned(batches: Iterator[pa.RecordBatch], lengths: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
     """The documents aligned, about ``TOGETHER`` tokens at a time."""
-    enc = encoder(paths)
     for batch in batches:
         size = np.cumsum(pc.binary_length(batch.column("a")).to_numpy(zero_copy_only=False)) // (TOGETHER * KIND.itemsize)
         edges = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(edges, edges[1:], strict=False):
             some = batch.slice(lo, hi - lo)
-            yield some, Aligned(some.column("a").to_pylist(), some.column("b").to_pylist(), enc)
+            yield some, Aligned(some.column("a").to_pylist(), some.column("b").to_pylist(), lengths)
 
 
-def distinct_pairs(tokens: DataFrame, paths: tuple[str, str]) -> DataFrame:
+def distinct_pairs(tokens: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """``slot, pair``: the distinct linked id pairs (A id << 32 | B id) of all documents."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(0, dtype=np.int64)
-        for _, x in _aligned(batches, paths):
+        for _, x in _aligned(batches, lengths):
             found = np.union1d(found, x.links)
         for lo in range(0, len(found), 1 << 16):
             some = found[lo:lo + (1 << 16)]
@@ -372,12 +374,12 @@ def numbered(pairs: DataFrame, part_keys: int) -> DataFrame:
         build, "first int, last int, n long, hash binary, held binary")
 
 
-def counted(tokens: DataFrame, numbers, n: int, paths: tuple[str, str]) -> DataFrame:
+def counted(tokens: DataFrame, numbers, n: int, lengths: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """``span, counts``: in how many documents each numbered pair is linked, 64 Ki numbers a row."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, total = numbers.value, np.zeros(n, dtype=np.int64)
-        for _, x in _aligned(batches, paths):
+        for _, x in _aligned(batches, lengths):
             pairs, at = np.unique(x.links, return_inverse=True)
             once = np.unique(x.link_doc * len(pairs) + at) if len(pairs) else np.zeros(0, dtype=np.int64)
             often = np.bincount(once % max(1, len(pairs)), minlength=len(pairs))
@@ -400,13 +402,13 @@ def counted(tokens: DataFrame, numbers, n: int, paths: tuple[str, str]) -> DataF
             .groupBy("span", "lot").applyInPandas(add, schema).groupBy("span").applyInPandas(add, schema))
 
 
-def looked_up(tokens: DataFrame, known, paths: tuple[str, str], shape: bool) -> DataFrame:
+def looked_up(tokens: DataFrame, known, lengths: tuple[np.ndarray, np.ndarray], shape: bool) -> DataFrame:
     """``row, doc_id``, each document's ``n_best, count_sum`` over this group's pairs, and with ``shape`` the
     numbers and digest of its tokens."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, counts, best = known.value
-        for some, x in _aligned(batches, paths):
+        for some, x in _aligned(batches, lengths):
             pairs, at = np.unique(x.links, return_inverse=True)
             k = number(pairs)
             often = np.where(k >= 0, counts[k], 0) if len(counts) else np.zeros(len(pairs), dtype=np.int64)
@@ -443,7 +445,8 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     paths = (path_a or public_tokenizers.path("byte_bpe_50k.json"), path_b or public_tokenizers.path("piece_bpe_32k.model"))
     tokens = staged(spark, encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                                F.col("text").cast("string").alias("text")), paths), "align-tokens")
-    pairs = staged(spark, distinct_pairs(tokens, paths), "align-pairs")
+    lengths = encoder(paths).lengths()
+    pairs = staged(spark, distinct_pairs(tokens, lengths), "align-pairs")
     parts = staged(spark, numbered(pairs, part_keys), "align-parts")
     sizes = parts.select("first", "n").orderBy("first").collect()        # at most SLOTS rows
     groups, size = [[]], 0
@@ -457,7 +460,7 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     best, held = np.zeros(1, dtype=np.int64), []
     for g in groups:
         numbers = _numbers(parts, g)
-        totals = staged(spark, counted(tokens, spark.sparkContext.broadcast(numbers), numbers.n, paths), "align-counts")
+        totals = staged(spark, counted(tokens, spark.sparkContext.broadcast(numbers), numbers.n, lengths), "align-counts")
         counts = _counts(totals, numbers.n)
         a = numbers.pairs() >> 32
         best = np.concatenate([best, np.zeros(max(0, int(a.max(initial=0)) + 1 - len(best)), dtype=np.int64)])
@@ -467,7 +470,7 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     for i, (g, totals) in enumerate(held):
         numbers = _numbers(parts, g)
         known = spark.sparkContext.broadcast((numbers, _counts(totals, numbers.n), best))
-        shares.append(looked_up(tokens, known, paths, shape=i == 0))
+        shares.append(looked_up(tokens, known, lengths, shape=i == 0))
     out = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     if len(shares) == 1:
         return shares[0].select(*out)
