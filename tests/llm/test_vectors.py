@@ -148,3 +148,24 @@ def test_links_of_odd_rows(spark):
         assert got[v] == [(0, v, True)]
     assert sorted(got[None], key=str) == sorted([(5, 1, False), (0, None, True), (0, None, True)], key=str)
     assert not caps.linked(df.limit(0)).collect()
+
+
+def test_sketches_leave_out_no_link():
+    """Pairs right at the threshold stay, whatever the rounding; far ones go."""
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    for dims in (2, 16, 64, 300):
+        u = rng.normal(size=(200, dims))
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        w = rng.normal(size=(200, dims))
+        w -= (w * u).sum(1, keepdims=True) * u
+        w /= np.linalg.norm(w, axis=1, keepdims=True)
+        v = 0.95 * u + np.sqrt(1 - 0.95 ** 2) * w                    # cosine 0.95 with u
+        far = 0.6 * u + 0.8 * w
+        for other, most in ((v, 200), (far, 60)):
+            kept = 0
+            for a, b in zip(u, other, strict=True):
+                rows = pd.DataFrame({"sketch": caps.sketches(np.stack([a, b])), "sub": [0, 1]})
+                kept += len(caps._may_link(rows, (0, 0), 0.95 - 1e-12)) == 2
+            assert kept == 200 if other is v else kept <= most, dims

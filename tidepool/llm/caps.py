@@ -5,7 +5,9 @@ dimensions, which are turned at random first; a book of B words a half gives B^2
 filters, and there are eight such codes. A vector passes the filters
 whose inner product with it exceeds a threshold (of each code one at least). These are listed without trying
 all: with the second half's products sorted, each word of the first half takes a
-prefix of them. Vectors that share a filter meet and are compared exactly.
+prefix of them. Vectors that share a filter meet there as sketches of a byte a
+component, whose error is known; those that may link meet again whole and are compared
+exactly.
 
 The number of filters follows the number of vectors, so that a filter holds about
 ``bucket`` unrelated vectors at any size; the threshold follows from how many
@@ -108,6 +110,31 @@ def passes_for(recall: float, cosine: float, rate: float) -> float:
     return -math.log(1 - recall) / both
 
 
+def sketches(units: np.ndarray) -> list[bytes]:
+    """Unit vectors in a byte a component: each with its scale and its distance from the vector."""
+    scale = (np.abs(units).max(axis=1) / 127).astype(np.float32)
+    small = np.rint(units / scale[:, None]).astype(np.int8)
+    off = np.linalg.norm(units - small * scale[:, None].astype(np.float64), axis=1)
+    # Rounded up, so that the distance is never told too small.
+    head = np.stack([scale, np.nextafter(off.astype(np.float32), np.float32(np.inf))], axis=1)
+    return [h.tobytes() + q.tobytes() for h, q in zip(head, small, strict=True)]
+
+
+def _may_link(rows: pd.DataFrame, cell: tuple[int, int], cosine: float) -> np.ndarray:
+    """Members of one cell that may link with another, by their sketches: no one that does is left out."""
+    raw = np.stack([np.frombuffer(x, dtype=np.uint8) for x in rows["sketch"]])
+    head = np.ascontiguousarray(raw[:, :8]).view(np.float32)
+    q = np.ascontiguousarray(raw[:, 8:]).view(np.int8).astype(np.float32) * head[:, :1]
+    off = head[:, 1]
+    # The cosine differs by no more than both distances allow, and by the rounding of the product.
+    close = q @ q.T >= cosine - (off[:, None] + off[None, :] + off[:, None] * off[None, :]) - 1e-4
+    np.fill_diagonal(close, False)
+    if cell[0] != cell[1]:
+        sub = rows["sub"].to_numpy()
+        close &= sub[:, None] != sub[None, :]
+    return np.flatnonzero(close.any(axis=1))
+
+
 def _meet(rows: pd.DataFrame, cell: tuple[int, int], number: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Linked members of one cell: class ids, weights of their links, smallest class reached here."""
     v = np.stack([np.frombuffer(x, dtype=np.float64) for x in rows["v"]])
@@ -167,6 +194,7 @@ def linked(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.9999, buc
                 vs = [np.asarray(x, dtype=np.float64) for x in b.column("e").to_pylist()]
                 found: list = [None] * len(vs)
                 unit: list = [None] * len(vs)
+                sketch: list = [None] * len(vs)
                 for d in {len(x) for x in vs}:
                     at = [i for i, x in enumerate(vs) if len(x) == d]
                     if d not in codes:
@@ -174,35 +202,47 @@ def linked(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.9999, buc
                     m = np.stack([vs[i] for i in at])
                     m = m / np.abs(m).max(axis=1, keepdims=True)
                     m = m / np.linalg.norm(m, axis=1, keepdims=True)
-                    for i, row, f in zip(at, m, codes[d].decode(m), strict=True):
+                    for i, row, f, short in zip(at, m, codes[d].decode(m), sketches(m), strict=True):
                         found[i] = f + d * (1 << 40)
-                        unit[i] = row.tobytes()
+                        unit[i], sketch[i] = row.tobytes(), short
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("cid"), b.column("w"), pa.array(unit, pa.binary()),
+                    [b.column("cid"), b.column("w"), pa.array(unit, pa.binary()), pa.array(sketch, pa.binary()),
                      pa.array([f.astype(np.int64).tobytes() for f in found], pa.binary()),
-                     pa.array(found, pa.list_(pa.int64()))], names=["cid", "w", "v", "filters", "list"])
+                     pa.array(found, pa.list_(pa.int64()))], names=["cid", "w", "v", "sketch", "filters", "list"])
 
     passed = staged(spark, classes.select("cid", "w", "e").mapInArrow(
-        decode, "cid long, w long, v binary, filters binary, list array<long>"), "cap-filters")
+        decode, "cid long, w long, v binary, sketch binary, filters binary, list array<long>"), "cap-filters")
     sizes = passed.select(F.explode("list").alias("f")).groupBy("f").agg(F.count("*").alias("m"))
     crowded = staged(spark, sizes.filter(F.col("m") > BLOCK).select(
         "f", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts")), "cap-crowded")
-    members = (passed.select("cid", "w", "v", "filters", F.explode("list").alias("f")).join(crowded, "f", "left")
+    # Filters get a class id and a sketch of each vector; whole vectors and lists only follow those that may link.
+    members = (passed.select("cid", "sketch", F.explode("list").alias("f")).join(crowded, "f", "left")
                .withColumn("parts", F.coalesce("parts", F.lit(1)))
                .withColumn("sub", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
                .select("f", F.least("sub", "other").alias("x"), F.greatest("sub", "other").alias("y"),
-                       "sub", "cid", "w", "v", "filters"))
+                       "sub", "cid", "sketch"))
+    cell = ["f", "x", "y"]
+
+    def screen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b, bounds in whole_groups(batches, cell):
+            some = [s + _may_link(b.iloc[s:e], (b["x"].iat[s], b["y"].iat[s]), cosine) for s, e in bounds if e - s > 1]
+            if some and len(at := np.concatenate(some)):
+                yield b.iloc[at][[*cell, "sub", "cid"]]
+
+    suspects = staged(spark, members.repartition(*cell).sortWithinPartitions(*cell)
+                      .mapInPandas(screen, "f long, x int, y int, sub int, cid long"), "cap-suspects")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b, bounds in whole_groups(batches, ["f", "x", "y"]):
+        for b, bounds in whole_groups(batches, cell):
             out = [_meet(b.iloc[s:e], (b["x"].iat[s], b["y"].iat[s]), b["f"].iat[s], cosine)
                    for s, e in bounds if e - s > 1]
             if out:
                 yield pd.DataFrame({k: np.concatenate(c) for k, c in
                                     zip(("cid", "links", "label"), zip(*out, strict=True), strict=True)})
 
-    found = staged(spark, members.repartition("f", "x", "y").sortWithinPartitions("f", "x", "y")
+    found = staged(spark, suspects.join(passed.select("cid", "w", "v", "filters"), "cid")
+                   .repartition(*cell).sortWithinPartitions(*cell)
                    .mapInPandas(compare, "cid long, links long, label long")
                    .groupBy("cid", "label").agg(F.sum("links").alias("links")), "cap-links")
     labels = components(found.select(F.col("cid").alias("a"), F.col("label").alias("b")))
