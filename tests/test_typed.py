@@ -1,0 +1,81 @@
+"""P9 by the record's own schema: wire forms, odd values, records that say nothing of themselves."""
+
+import base64
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.operators import typed as TY
+
+ENV = "arrival long, seq long, topic string, value string"
+DEC = TY.DECIMAL
+
+
+def wire(n):
+    return base64.b64encode(n.to_bytes(max(1, (n.bit_length() + 8) // 8), "big", signed=True)).decode()
+
+
+def field(name, type_="string", logical=None, scale=None, fields=None):
+    out = {"field": name, "type": type_}
+    if logical:
+        out["name"] = logical
+    if scale is not None:
+        out["parameters"] = {"scale": str(scale)}
+    if fields is not None:
+        out["fields"] = fields
+    return out
+
+
+def envelope(fields, after, op="c", before=None):
+    row = {"type": "struct", "fields": fields}
+    return json.dumps({"schema": {"type": "struct", "fields": [{"field": "before", **row}, {"field": "after", **row}]},
+                       "payload": {"before": before, "after": after, "op": op}})
+
+
+def normal(spark, *texts, topic="s.d.t"):
+    rows = [(i, i, topic, t) for i, t in enumerate(texts)]
+    return TY.normalize_typed(spark.createDataFrame(rows, ENV)).orderBy("seq").collect()
+
+
+@pytest.mark.parametrize("scale", [0, 1, 2, 10])
+def test_decimals_of_any_size(spark, scale):
+    numbers = [0, 1, -1, 127, 128, -128, -129, 255, 256, 10 ** 18, -(10 ** 18), 2 ** 63, -(2 ** 63) - 1, 10 ** 37 - 1, 1 - 10 ** 37, 99, -5]
+    df = spark.createDataFrame([(i, wire(n)) for i, n in enumerate(numbers)], "i int, v string")
+    got = [r["t"] for r in df.select("i", TY.decimal_text(F.col("v"), F.lit(scale)).alias("t")).orderBy("i").collect()]
+    want = []
+    for n in numbers:
+        digits = str(abs(n)).rjust(scale + 1, "0")
+        want.append(("-" if n < 0 else "") + (f"{digits[:-scale]}.{digits[-scale:]}" if scale else digits))
+    assert got == want
+
+
+def test_numbers_that_are_none(spark):
+    df = spark.createDataFrame([("*",), ("",), (wire(10 ** 40),), (None,)], "v string")
+    assert [r["t"] for r in df.select(TY.decimal_text(F.col("v"), F.lit(2)).alias("t")).collect()] == [None] * 4
+
+
+def test_types_of_fields(spark):
+    fields = [field("id", "int64"), field("d", "int32", TY.DAYS[0]), field("m", "int64", TY.MILLIS[0]), field("u", "int64", TY.MICROS[0]),
+              field("x", "bytes", DEC, 3), field("b", "boolean"), field("f", "double"), field("z", "string", "io.debezium.time.ZonedTimestamp"),
+              field("r", "struct", fields=[field("n", "bytes", DEC, 1), field("s"), field("gone")])]
+    after = {"id": 7, "d": 19000, "m": 86400123, "u": -1, "x": wire(-1234567), "b": True, "f": 1.5, "z": "2024-01-01T00:00:00Z",
+             "r": {"n": wire(25), "s": 'q"', "gone": None}, "more": [1, 2]}
+    r = normal(spark, envelope(fields, after, "u", {"id": 7, "d": None}))[0]
+    assert r["reason"] is None and r["type"] == "update" and r["before"] == {"id": "7"}
+    assert r["after"] == {"id": "7", "d": "2022-01-08", "m": "1970-01-02 00:00:00.123", "u": "1969-12-31 23:59:59.999999", "x": "-1234.567",
+                          "b": "true", "f": "1.5", "z": "2024-01-01T00:00:00Z", "r": '{"n":"2.5","s":"q\\""}', "more": "[1,2]"}
+
+
+def test_records_that_cannot_be_read(spark):
+    f = [field("id"), field("x", "bytes", DEC, 2), field("d", "int32", TY.DAYS[0])]
+    bare = json.dumps({"payload": {"before": None, "after": {"id": "1"}, "op": "c"}})
+    texts = [envelope(f, {"id": "1", "x": "*"}), envelope(f, {"id": "1", "d": "soon"}), bare, "{oops", "[1]", "", None, '{"after":{"id":"1"},"op":"c"}',
+             envelope(f, {"id": "1"}, None), envelope(f, None, "d", {"id": "9"}), envelope(f, {})]
+    out = normal(spark, *texts)
+    assert [r["reason"] for r in out] == ["bad_value", "bad_value", "no_schema", "malformed", "malformed", "malformed", "malformed", "no_schema",
+                                          "no_op", None, None]
+    assert all(r["raw"]["value"] == t for r, t in zip(out, texts, strict=True) if r["reason"])
+    assert out[9]["before"] == {"id": "9"} and out[9]["after"] == {} and out[9]["type"] == "delete"
+    assert normal(spark, texts[9], topic="nowhere")[0]["reason"] == "bad_topic"
+    assert TY.normalize_typed(spark.createDataFrame([], ENV)).collect() == []

@@ -8,6 +8,7 @@ from tidepool.operators import cdc as C
 from tidepool.operators import dims as D
 from tidepool.operators import handover as H
 from tidepool.operators import rules as R
+from tidepool.operators.typed import normalize_typed
 from tidepool.plans import db_jobs as DB
 from tidepool.sources import changes as S
 from tidepool.sources import fixtures as FX
@@ -139,6 +140,15 @@ def q_cdc_kinds(spark, sf_dir):
                     F.col("after")["id"].alias("id_after"))
 
 
+def q_cdc_typed_envelopes(spark, sf_dir):
+    """P9 by the schema that every record carries."""
+    n = normalize_typed(FX.typed_envelopes(spark, sf_dir))
+    image = F.when(F.cardinality("after") > 0, F.col("after")).otherwise(F.col("before"))
+    fine = [F.when(F.col("reason").isNull(), image[c]).alias(c) for c in
+            ("l_orderkey", "l_linenumber", "price", "discount", "day", "at", "flags")]
+    return n.select("seq", "table_name", "type", "reason", *fine)
+
+
 def q_cdc_filled_after(spark, sf_dir):
     """P13 where it has something to drop."""
     n = C.normalize(FX.cdc_envelopes_kinds(spark, sf_dir)).where(F.col("reason").isNull())
@@ -187,6 +197,7 @@ def q_rule_asof_large(spark, sf_dir):
 QUERIES = {
     "cdc_kinds": q_cdc_kinds,
     "cdc_filled_after": q_cdc_filled_after,
+    "cdc_typed_envelopes": q_cdc_typed_envelopes,
     "cdc_rejects": q_cdc_rejects,
     "route_rejects": q_route_rejects,
     "rule_retired": q_rule_retired,

@@ -322,6 +322,17 @@ select arrival, seq, 'orders' as table_name, type,
   case when type = 'insert' then 0 else 2 end as n_before, case when type = 'delete' then 0 else 2 end as n_after,
   case when type <> 'insert' then id end as id_before, case when type <> 'delete' then id end as id_after
 from kinds where reason is null""",
+    "cdc_typed_envelopes": """
+select l_orderkey * 10 + l_linenumber as seq, 'lineitem' as table_name, case when l_linenumber = 7 then 'delete' else 'insert' end as type,
+  case when l_suppkey % 10 = 0 then 'bad_value' end as reason,
+  case when fine then cast(l_orderkey as varchar) end as l_orderkey, case when fine then cast(l_linenumber as varchar) end as l_linenumber,
+  case when fine then cast(cast(l_extendedprice as decimal(18, 2)) as varchar) end as price,
+  case when fine then cast(cast(case when l_returnflag = 'R' then -abs(l_discount) else abs(l_discount) end as decimal(18, 4)) as varchar) end as discount,
+  case when fine then strftime(l_shipdate, '%Y-%m-%d') end as day,
+  case when fine then strftime(l_shipdate + l_linenumber * interval 1 hour, '%Y-%m-%d %H:%M:%S') end as at,
+  case when fine then concat('{"returnflag":"', l_returnflag, '"',
+    case when l_partkey % 10 = 0 then '' else concat(',"tax":"', cast(cast(l_tax as decimal(18, 2)) as varchar), '"') end, '}') end as flags
+from (select *, l_suppkey % 10 <> 0 as fine from lineitem)""",
     "cdc_filled_after": CDC_KINDS + "select arrival, seq, type from kinds where reason is null and type <> 'delete'",
     "cdc_rejects": CDC_KINDS + "select arrival, seq, reason, topic, value from kinds where reason is not null",
     "route_rejects": _cdc("""

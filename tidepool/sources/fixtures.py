@@ -199,3 +199,38 @@ def handover_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.max_by(F.struct("type", "o_orderpriority", "o_orderstatus"), "arrival").alias("r")))
     return last.where("r.type <> 'delete'").select(
         F.col("id").cast("long").alias("seq"), "id", "r.o_orderpriority", "r.o_orderstatus")
+
+
+_DECIMAL = "org.apache.kafka.connect.data.Decimal"
+_ROW_SCHEMA = (
+    '"type":"struct","optional":true,"fields":['
+    '{"field":"l_orderkey","type":"int64"},{"field":"l_linenumber","type":"int32"},'
+    f'{{"field":"price","type":"bytes","name":"{_DECIMAL}","parameters":{{"scale":"2"}}}},'
+    f'{{"field":"discount","type":"bytes","name":"{_DECIMAL}","parameters":{{"scale":"4"}}}},'
+    '{"field":"day","type":"int32","name":"io.debezium.time.Date"},'
+    '{"field":"at","type":"int64","name":"io.debezium.time.MicroTimestamp"},'
+    '{"field":"flags","type":"struct","fields":[{"field":"returnflag","type":"string"},'
+    f'{{"field":"tax","type":"bytes","name":"{_DECIMAL}","parameters":{{"scale":"2"}}}}]}}]')
+_TYPED_SCHEMA = ('{"type":"struct","fields":[{"field":"before",' + _ROW_SCHEMA + '},{"field":"after",' + _ROW_SCHEMA
+                 + '},{"field":"op","type":"string"}]}')
+
+
+def typed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` rows as change envelopes that carry their schema (FIXTURES.md §7)."""
+    def wire(number: str) -> str:
+        return f"base64(unhex(lpad(hex(cast({number} as bigint)), 16, '0')))"
+
+    li = table(spark, sf_dir, "lineitem")
+    row = f"""concat('{{"l_orderkey":', l_orderkey, ',"l_linenumber":', l_linenumber,
+      ',"price":"', {wire("round(l_extendedprice * 100)")}, '","discount":"',
+      case when l_suppkey % 10 = 0 then '*' else {wire("round(l_discount * 10000) * if(l_returnflag = 'R', -1, 1)")} end,
+      '","day":', unix_date(cast(l_shipdate as date)), ',"at":', unix_micros(cast(l_shipdate as timestamp)) + l_linenumber * 3600000000,
+      ',"flags":{{"returnflag":"', l_returnflag, '","tax":',
+      case when l_partkey % 10 = 0 then 'null' else concat('"', {wire("round(l_tax * 100)")}, '"') end, '}}}}')"""
+    return li.select(
+        F.expr("l_orderkey * 10 + l_linenumber").alias("arrival"), F.expr("l_orderkey * 10 + l_linenumber").alias("seq"),
+        F.lit(f"{CDC_SERVER}.{CDC_DATABASE}.lineitem").alias("topic"),
+        F.concat(F.lit('{"schema":' + _TYPED_SCHEMA + ',"payload":{"before":'),
+                 F.expr(f"case when l_linenumber = 7 then {row} else 'null' end"), F.lit(',"after":'),
+                 F.expr(f"case when l_linenumber = 7 then 'null' else {row} end"),
+                 F.expr("""concat(',"op":"', if(l_linenumber = 7, 'd', 'c'), '"}}')""")).alias("value"))
