@@ -98,16 +98,20 @@ def test_three_thousand_sources_hold_given_proportions(spark):
                        proportions=weights).collect()
     assert sum(r["length"] for r in out) == sum(w + 1 for w in words)
     dry = min((w + 1) / weights[f"s{i:04d}"] for i, w in enumerate(words))
-    phase = sum(round(weights[f"s{i:04d}"] * dry) for i in range(n))      # tokens of the first phase
+    gives = [round(weights[f"s{i:04d}"] * dry) for i in range(n)]        # tokens of the first phase, by source
+    phase = sum(gives)
+    # A window ends where the credit dealt out by then is served; fractions of a token are left for the next.
+    credit = [min(phase, t * window) for t in range(-(-phase // window) + 1)]
+    ends = [sum(x * g // phase for g in gives) for x in credit]
+    assert all(window - n <= b - a <= window + n for a, b in zip(ends[:-1], ends[1:-1], strict=False)) and ends[-1] == phase
     held = defaultdict(lambda: defaultdict(int))
     for r in out:
         at = r["sequence_id"] * 512 + r["offset"]
-        for t in range(at // window, (min(at + r["length"], phase) - 1) // window + 1 if at < phase else 0):
-            held[t][r["doc_id"]] += min(at + r["length"], phase, (t + 1) * window) - max(at, t * window)
-    assert len(held) == -(-phase // window)
+        for t, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+            held[t][r["doc_id"]] += max(0, min(at + r["length"], b) - max(at, a))
     for t, by in held.items():
-        size = min(phase, (t + 1) * window) - t * window
-        assert all(abs(by[i] - size * round(weights[f"s{i:04d}"] * dry) / phase) <= 1 for i in range(n))
+        share = (credit[t + 1] - credit[t]) / phase
+        assert all(abs(by[i] - share * gives[i]) <= 1 for i in range(n))
 
 
 def test_round_robin_places_every_token_once():

@@ -3,7 +3,8 @@
 Documents queue by source. A deficit round-robin visits the queues once per window
 (``window_sequences`` sequences): each visit credits the queue with its share of
 the window and takes the tokens of its whole credit; what is left of the credit, a
-fraction of a token (tokens can be cut off anywhere), is carried to the next window. So every window holds its
+fraction of a token (tokens can be cut off anywhere), is carried to the next window. So every window, which
+ends where its credit is served, holds its
 target proportions to within a token a source, and no padding arises before the
 very last sequence. When a queue runs dry, a new phase shares the windows among the
 others.
