@@ -35,7 +35,11 @@ DEFAULT_CHUNK = 1024
 DEFAULT_FANOUT = 1024
 
 
-# Chunks of rows that precede all arrivals are numbered from here, by their ``seq``.
+# Arrival of the rows of an initial snapshot: before all others of the log.
+SNAPSHOT = -1
+# Chunks of snapshot rows are numbered from here, by their ``seq``; those of rows from before
+# the snapshot from the other, by arrival. Both fit a double, in order, below chunk 0.
+SNAPSHOT_CHUNK = -(1 << 51)
 FIRST_CHUNK = -(1 << 52)
 
 
@@ -44,11 +48,13 @@ def chunk_of(arrival: Column, width: int, seq: Column | None = None) -> Column:
 
     A power-of-two width is an arithmetic shift, exact for every long (floor
     division); other widths divide in double, exact below 2^53. With ``seq``, the
-    rows of an initial snapshot, which all have one negative arrival, are cut by
-    their (non-negative) ``seq`` instead, in order and before every other chunk.
+    rows of an initial snapshot, which all have the arrival ``SNAPSHOT``, are cut by
+    their (non-negative) ``seq`` instead, in order and before every chunk of the log.
     """
     if seq is not None:
-        return F.when(arrival < 0, chunk_of(seq, width) + F.lit(FIRST_CHUNK)).otherwise(chunk_of(arrival, width))
+        return (F.when(arrival == SNAPSHOT, chunk_of(seq, width) + F.lit(SNAPSHOT_CHUNK))
+                .when(arrival < SNAPSHOT, chunk_of(arrival, width) + F.lit(FIRST_CHUNK))
+                .otherwise(chunk_of(arrival, width)))
     if width > 0 and width & (width - 1) == 0:
         return F.shiftright(arrival.cast("long"), width.bit_length() - 1)
     return F.floor(arrival / F.lit(width)).cast("long")

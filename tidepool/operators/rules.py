@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, fits
-from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, FIRST_CHUNK, ORDER, carry_in, chunk_of
+from tidepool.operators.ordering import DEFAULT_CHUNK, DEFAULT_FANOUT, ORDER, SNAPSHOT, SNAPSHOT_CHUNK, carry_in, chunk_of
 from tidepool.session import checkpoint_root
 
 RULE_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns",
@@ -245,7 +245,7 @@ def _asof_chunked(changes: DataFrame, rule_events: DataFrame, chunk_width: int,
     u = (r.withColumn("_row", F.lit(None).cast(c.schema["_row"].dataType))
           .unionByName(c)
           # Snapshot rules come before all snapshot changes, whatever their own order.
-          .withColumn("_chunk", F.when((F.col("_tag") == 0) & (F.col("arrival") < 0), F.lit(FIRST_CHUNK - 1))
+          .withColumn("_chunk", F.when((F.col("_tag") == 0) & (F.col("arrival") == SNAPSHOT), F.lit(SNAPSHOT_CHUNK - 1))
                       .otherwise(chunk_of(F.col("arrival"), chunk_width, F.col("seq")))))
     keys = ["_st", "_ot"]
     # NULL-keyed changes match nothing; their own seq keeps them out of one group.
