@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import staged, table
+from tidepool.llm.common import held, staged, table
 
 # Pairs in a part, whose hash one task builds, and in a group of parts, which is broadcast.
 PART_KEYS = 1 << 20
@@ -206,14 +206,9 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(paths: tuple[str, str]) -> Encoder:
     """This worker's encoder, kept from task to task."""
-    if paths not in _ENCODERS:
-        _ENCODERS[paths] = Encoder(*paths)
-    return _ENCODERS[paths]
+    return held(("tokenizers", paths), lambda: Encoder(*paths))
 
 
 def encoded(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:

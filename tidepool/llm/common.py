@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,22 @@ def drop_staged(spark: SparkSession, paths: list[str]) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What a Python worker keeps from task to task for one operator: ``make()``, once.
+
+    Workers are reused, and encoders and indexes with their memories are large, so a worker
+    holds one at a time: those of an operator that ran in it before are let go.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

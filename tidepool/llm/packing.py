@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import staged, table
+from tidepool.llm.common import held, staged, table
 
 SEQUENCE = 2048
 END_ID = 1
@@ -93,14 +93,9 @@ class WordEncoder:
         return [self._ids([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return held(("words", path), lambda: WordEncoder(path))
 
 
 def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:

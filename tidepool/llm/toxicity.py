@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import staged, table
+from tidepool.llm.common import held, staged, table
 
 # The bounds of the sample: rows, characters of all its texts and of one text.
 SAMPLE_ROWS = 4_000
@@ -207,28 +208,28 @@ def monotone_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.
 class Sent:
     """The packed examples; each Python worker builds its index where it uses it first."""
 
-    def __init__(self, parts: tuple):
-        self.parts, self.built = parts, {}
+    def __init__(self, parts: tuple, name: str | None = None):
+        self.parts, self.name = parts, name or uuid.uuid4().hex
 
     def __reduce__(self):
-        return Sent, (self.parts,)
+        return Sent, (self.parts, self.name)
 
     def index(self, without_fold: int | None = None) -> Index:
         """The index of all examples, or of those of the other folds; a worker holds one at a time."""
-        if without_fold not in self.built:
-            self.built.clear()
-            ids, toxic, at, *rest = self.parts
-            marks, term, count = (np.frombuffer(zlib.decompress(x), dtype=k) for x, k in
-                                  zip(rest, (np.uint64, np.int32, np.int32), strict=True))
-            if without_fold is not None:
-                stay = fold_of(ids) != without_fold
-                n = np.diff(at)
-                inside = np.repeat(stay, n)
-                ids, toxic, at = ids[stay], toxic[stay], np.concatenate([[0], np.cumsum(n[stay])])
-                used, term = np.unique(term[inside], return_inverse=True)
-                marks, count = marks[used], count[inside]
-            self.built[without_fold] = Index(ids, toxic, at, marks, term, count)
-        return self.built[without_fold]
+        return held(("examples", self.name, without_fold), lambda: self._built(without_fold))
+
+    def _built(self, without_fold: int | None) -> Index:
+        ids, toxic, at, *rest = self.parts
+        marks, term, count = (np.frombuffer(zlib.decompress(x), dtype=k) for x, k in
+                              zip(rest, (np.uint64, np.int32, np.int32), strict=True))
+        if without_fold is not None:
+            stay = fold_of(ids) != without_fold
+            n = np.diff(at)
+            inside = np.repeat(stay, n)
+            ids, toxic, at = ids[stay], toxic[stay], np.concatenate([[0], np.cumsum(n[stay])])
+            used, term = np.unique(term[inside], return_inverse=True)
+            marks, count = marks[used], count[inside]
+        return Index(ids, toxic, at, marks, term, count)
 
 
 def fold_of(ids: np.ndarray) -> np.ndarray:
