@@ -4,10 +4,13 @@ smallest fixture with ``--trigger available-now``."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from tidepool.__main__ import build_parser, main
+from tidepool.operators import handover as H
 from tidepool.plans import db_jobs as DB
+from tidepool.session import scale_conf
 from tidepool.sources import fixtures as FX
 from tidepool.sources import topics as T
 from tidepool.streaming import jobs as SJ
@@ -25,6 +28,35 @@ def test_parser_rejects_unknown_job():
         build_parser().parse_args(["nope"])
 
 
+def test_partitions_follow_the_size_of_a_batch(spark, workdir):
+    kept = {k: spark.conf.get(k, None) for k in scale_conf(1, 1)}
+    try:
+        incoming = os.path.join(workdir, "incoming")
+        FX.app_log_received(spark, SF001).select("value").limit(5).coalesce(1).write.text(incoming)
+        _run(spark, workdir, "land", "--incoming", incoming, "--root", os.path.join(workdir, "topics"),
+             "--landing", os.path.join(workdir, "landing"), "--batch-gb", "50", "--cores", "10")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_cdc_job_hands_a_snapshot_over(spark, workdir):
+    """The whole path by options: ranges recorded while the log goes on, then one job over both."""
+    root, binlog, snap = (os.path.join(workdir, x) for x in ("topics", "binlog", "snap"))
+    log = DB.ods_changes(spark, SF001)
+    log.coalesce(1).write.parquet(binlog)
+    rows = FX.handover_rows(spark, SF001)
+    last = iter(range(300, 10_000, 10))
+    H.record_ranges(spark, lambda a, b: rows.where(F.col("seq").between(a, b - 1)).drop("seq"), lambda: next(last), 0, 149, snap, width=50)
+    _run(spark, workdir, "cdc", "--root", root, "--input", binlog, "--handover", snap, "--range-width", "50",
+         "--snapshot-table", "shop.orders", "--snapshot-columns", "id,o_orderpriority,o_orderstatus")
+    out = T.read_topic(spark, root, SJ.ODS_DB).select("arrival", F.from_json("value", SJ.ODS_SCHEMA).alias("r")).select("arrival", "r.*")
+    reads = out.where("type = 'read' and arrival in (310, 330, 350)")
+    assert reads.count() == reads.select(F.col("after")["id"]).distinct().count() > 0
+    assert out.where("arrival <= 300").count() == 0
+
+
 def test_all_jobs_run(spark, workdir):
     root = os.path.join(workdir, "topics")
     incoming = os.path.join(workdir, "incoming")

@@ -140,6 +140,8 @@ def build_parser() -> argparse.ArgumentParser:
                    help="key dimension rows by the rule's sink_pk instead of id")
     p.add_argument("--latest-rules", action="store_true",
                    help="route by the latest rules instead of the rules in force at arrival")
+    p.add_argument("--batch-gb", type=float, help="gigabytes that a micro-batch reads; sizes the partitions (session.scale_conf)")
+    p.add_argument("--cores", type=int, default=0, help="task slots of the cluster, for --batch-gb (default: what the session has)")
     p.add_argument("--trigger", default="10 seconds",
                    help="'available-now' or a processing-time interval such as '10 seconds'")
     p.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
@@ -150,11 +152,14 @@ def main(argv: list[str] | None = None, spark=None):
     """Start the job; wait for it unless ``spark`` is given (tests), in which case
     the started query is returned."""
     args = build_parser().parse_args(argv)
-    from tidepool.session import checkpoint_root, get_session
+    from tidepool.session import checkpoint_root, get_session, scale_conf
     from tidepool.streaming import jobs as SJ
 
     own = spark is None
     spark = spark or get_session(app_name=f"tidepool-{args.job}")
+    if args.batch_gb:
+        for key, value in scale_conf(int(args.batch_gb * (1 << 30)), args.cores or spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(key, value)
     checkpoint_root(spark)
     trig = _trigger(args.trigger)
     ck = args.checkpoint

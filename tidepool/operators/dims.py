@@ -162,7 +162,8 @@ group by row_key""")
         if not old:
             return
         seen = self.spark.createDataFrame(old, "sink_table string, part string")
-        folded = latest_cells(self.spark.table(self.table).join(F.broadcast(seen), ["sink_table", "part"]))
+        # The optimizer knows the size of the list and broadcasts it while it is small.
+        folded = latest_cells(self.spark.table(self.table).join(seen, ["sink_table", "part"]))
         self._write(folded, f"fold-{uuid.uuid4().hex}")
         for dimension, part in old:
             spec = f"sink_table='{dimension}', part='{part}'"
