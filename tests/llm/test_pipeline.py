@@ -60,6 +60,22 @@ def test_odd_rows(spark):
     assert [s.count() for s in run_stages(spark, SF001, docs.limit(0))] == [0] * 6
 
 
+def test_extra_columns_are_carried_whatever_their_names(spark):
+    """Columns that stages use themselves come through with their values."""
+    names = ["_m", "mark", "score", "predicted", "secrets", "slot", "size", "terms", "queue", "in_text", "kept", "a.b", "part"]
+    rows = [(i, f"word{i} " * (3 + i) + ("secret=abcdefghijklmnop" if i % 3 == 0 else ""), "en", f"s{i % 2}", None,
+             *[1000 * i + j for j in range(len(names))]) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{n}` long" for n in names))
+    raw, clean, single, masked, mixed, packed = run_stages(spark, SF001, docs)
+    assert all(x.columns == raw.columns for x in (clean, single, masked, mixed))
+    want = {r[0]: r[5:] for r in rows}
+    for step in (clean, single, masked, mixed):
+        got = step.collect()
+        assert got and all(tuple(r)[5:] == want[r["doc_id"]] for r in got)
+    assert masked.count() == 12 and packed.count() > 0
+
+
 def test_the_rest_works_without_the_subpackage(workdir):
     """A copy without llm/ and corpus_pipeline.py still registers the other queries."""
     for folder in ("tidepool/functions", "tidepool/operators", "tidepool/plans", "tidepool/sources", "tidepool/streaming"):

@@ -370,9 +370,9 @@ def _scored(model: Model | None, text: str | None, evidence: int) -> tuple[float
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns as they are."""
-    marked = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns], F.col("text"), F.col("doc_id"))
+    marked = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)], F.col("text"), F.col("doc_id"))
     return score(marked, labels, **options).filter("predicted = 0") \
-        .select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
+        .select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op2_toxicity(spark, sf_dir):
