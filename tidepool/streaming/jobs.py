@@ -533,6 +533,8 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
         return R.apply_rules(R.lookup_asof(batch, events, **plan))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Parsed once: its first arrival, its rejects and its look-up all read it.
+        batch = batch.persist()
         dirty = batch.where(F.col("reason").isNotNull()).select(
             F.lit(DIRTY_DB).alias("topic"), "arrival", "seq",
             F.to_json(F.struct("reason", F.lit(ODS_DB).alias("topic"), "value")).alias("value"))
@@ -548,6 +550,7 @@ def start_route_job(spark: SparkSession, root: str, dims: D.DimStore, changes: D
             dims.append(cells, f"{T.producer_of(batch)}-{batch_id}")
         finally:
             routed.unpersist()
+            batch.unpersist()
         if compact_every and batch_id % compact_every == compact_every - 1:
             dims.compact()
 
