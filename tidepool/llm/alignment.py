@@ -292,12 +292,12 @@ class Aligned:
         code[np.arange(len(self.a)) + upto_b[self.group_a]] = self.a + IDS * last_a
         code[np.arange(len(self.b)) + upto_a[self.group_b + 1]] = self.b + IDS * (2 + last_b)
         stop = np.cumsum(self.n_a + self.n_b).tolist()
-        code, out, at = code.tolist(), [], 0
+        out, at = [], 0
         for end in stop:
             digest = hashlib.sha256()
             for lo in range(at, end, 1 << 16):
                 hi = min(end, lo + (1 << 16))
-                text = b"".join([texts[c] for c in code[lo:hi]])
+                text = b"".join([texts[c] for c in code[lo:hi].tolist()])
                 digest.update(text[:-1] if hi == end else text)
             out.append(digest.hexdigest() if end > at else "")
             at = end
