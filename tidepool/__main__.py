@@ -97,7 +97,7 @@ def _handover_rows(spark, args):
 def _store(spark, args):
     from tidepool.operators.dims import DimStore
 
-    return DimStore(spark, args.dims_path, database=args.dims_db)
+    return DimStore(spark, args.dims_path, database=args.dims_db, buckets=args.dims_buckets)
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -135,6 +135,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--print-to", help="folder of the printed records (console, topic-console)")
     p.add_argument("--dims-path", help="folder of the dimension cell store (rules, route)")
     p.add_argument("--dims-db", default="dims", help="catalog database of the dimensions")
+    p.add_argument("--dims-buckets", type=int, default=16,
+                   help="buckets of row keys a dimension is cut into; a fold rewrites those with new cells")
     p.add_argument("--ttl", action="store_true", help="24 h expiry of unique-visit state (W3)")
     p.add_argument("--honour-sink-pk", action="store_true",
                    help="key dimension rows by the rule's sink_pk instead of id")

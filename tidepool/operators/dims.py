@@ -5,15 +5,18 @@ A dimension is kept in long form, one row per cell
 wide-column store with one column family. Writing a cell replaces it; cells not
 in a record stay. The store is append-only: each write adds the batch's latest
 cells, and the current table is the latest cell per ``(sink_table, row_key,
-qualifier)``. Each append is a partition of its own, so a retried batch replaces
-exactly its cells, and compaction folds only the appends it has seen: it writes the
-fold as one more part, then drops those. Reading a cell twice changes nothing.
+qualifier)``. A dimension is cut into buckets of row keys, and each append is a
+partition of its own in every bucket it has cells for, so a retried batch replaces
+exactly its cells. Compaction folds the buckets that got cells since their last fold
+and leaves the others as they are. It folds only the appends it has seen: it writes
+the fold as one more part, then drops those. Reading a cell twice changes nothing.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,9 @@ from tidepool.operators.ordering import ORDER
 CELL_KEY = ["sink_table", "row_key", "qualifier"]
 CELL_COLUMNS = ["sink_table", "row_key", "qualifier", "value", "arrival", "seq"]
 NO_ROW_KEY = "no_row_key"
+FOLD = "fold-"
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"      # fixed value: Spark's folder name of a null partition value
+DROPS = 500                                 # partitions dropped by one statement
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -70,12 +76,19 @@ def is_name(text: str | None) -> bool:
 
 class DimStore:
     """Cells under a shared folder, registered in the catalog as one table
-    partitioned by dimension and by append (``part``)."""
+    partitioned by dimension, by bucket of row keys and by append (``part``).
 
-    def __init__(self, spark: SparkSession, path: str, database: str = "dims"):
+    ``buckets`` sizes a fold: about one bucket of a dimension is one to a few tasks'
+    work. Another number on a store that exists reads the same; cells move to their new
+    buckets as they are folded.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, database: str = "dims", buckets: int = 16):
         if not is_name(database):
             raise ValueError(f"bad database name {database!r}")
-        self.spark, self.path, self.database = spark, path, database
+        if buckets < 1:
+            raise ValueError("a store needs a bucket")
+        self.spark, self.path, self.database, self.buckets = spark, path, database, buckets
         self.table = f"{database}.cells"
         self.ready = False
 
@@ -95,8 +108,8 @@ class DimStore:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (row_key STRING, qualifier STRING, "
-            f"value STRING, arrival BIGINT, seq BIGINT, sink_table STRING, part STRING) USING parquet "
-            f"PARTITIONED BY (sink_table, part) LOCATION '{self.path}'")
+            f"value STRING, arrival BIGINT, seq BIGINT, sink_table STRING, bucket INT, part STRING) "
+            f"USING parquet PARTITIONED BY (sink_table, bucket, part) LOCATION '{self.path}'")
         self.spark.sql(f"MSCK REPAIR TABLE {self.table}")
         self.ready = True
 
@@ -130,10 +143,14 @@ group by row_key""")
         self._write(latest_cells(cell_rows), part or uuid.uuid4().hex)
 
     def _write(self, rows: DataFrame, part: str) -> None:
+        bucket = F.pmod(F.xxhash64("row_key"), F.lit(self.buckets)).cast("int")
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            (rows.select("row_key", "qualifier", "value", "arrival", "seq", "sink_table", F.lit(part).alias("part"))
+            # Rebalanced, so that a bucket is a file or, when it is large, a few, and not one of every task.
+            (rows.select("row_key", "qualifier", "value", "arrival", "seq", "sink_table", bucket.alias("bucket"),
+                         F.lit(part).alias("part"))
+             .hint("rebalance", "sink_table", "bucket")
              .write.mode("overwrite").insertInto(self.table, overwrite=True))
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
@@ -142,31 +159,61 @@ group by row_key""")
         self.ensure()
         return latest_cells(self.spark.table(self.table))
 
+    def _places(self, sink_tables: list[str] | None = None) -> list[tuple[str, int, str, str]]:
+        """(dimension, bucket, part, folder) of every partition; the dimension of cells
+        without a name is ``NO_NAME``."""
+        self.ensure()
+        out = []
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect():
+            shown = dict(x.split("=", 1) for x in row[0].split("/"))
+            if shown["sink_table"] == "null" and not self._is_folder("null"):
+                shown["sink_table"] = NO_NAME
+            name = unquote(shown["sink_table"])
+            if sink_tables is None or name in sink_tables:
+                out.append((name, int(shown["bucket"]), unquote(shown["part"]),
+                            "/".join(f"{k}={v}" for k, v in shown.items())))
+        return out
+
+    def _is_folder(self, escaped_name: str) -> bool:
+        folder = f"{self.path}/sink_table={escaped_name}"
+        return self._filesystem(folder).exists(self._hadoop_path(folder))
+
     def parts(self, sink_tables: list[str] | None = None) -> list[tuple[str, str]]:
         """(dimension, part) of every append there is; one each, kept few by compaction."""
-        self.ensure()
-        found = [dict(x.split("=", 1) for x in r[0].split("/"))
-                 for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()]
-        return [(p["sink_table"], p["part"]) for p in found
-                if sink_tables is None or p["sink_table"] in sink_tables]
+        return sorted({(name, part) for name, _, part, _ in self._places(sink_tables)})
 
     def compact(self, sink_tables: list[str] | None = None) -> None:
-        """Fold the parts present now to the latest cell per key, for the dimensions
-        named (all when None).
+        """Fold the parts present now to the latest cell per key, in the buckets with
+        appends since their last fold, for the dimensions named (all when None).
 
         The fold is written as a new part before the folded ones are dropped. A part
         appended meanwhile is not touched, and a run that stops in between leaves
         cells twice, which reads the same.
         """
-        old = self.parts(sink_tables)
+        places = self._places(sink_tables)
+        changed = {p[:2] for p in places if not p[2].startswith(FOLD)}
+        old = [p for p in places if p[:2] in changed]
         if not old:
             return
-        seen = self.spark.createDataFrame(old, "sink_table string, part string")
-        # The optimizer knows the size of the list and broadcasts it while it is small.
-        folded = latest_cells(self.spark.table(self.table).join(seen, ["sink_table", "part"]))
-        self._write(folded, f"fold-{uuid.uuid4().hex}")
-        for dimension, part in old:
-            spec = f"sink_table='{dimension}', part='{part}'"
-            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec})")
-            folder = f"{self.path}/sink_table={dimension}/part={part}"
-            self._filesystem(folder).delete(self._hadoop_path(folder), True)
+        self._write(latest_cells(self._cells_of(changed, {p[2] for p in old})), f"{FOLD}{uuid.uuid4().hex}")
+        for i in range(0, len(old), DROPS):
+            specs = ", ".join(f"PARTITION (sink_table={_literal(name)}, bucket={bucket}, part={_literal(part)})"
+                              for name, bucket, part, _ in old[i:i + DROPS])
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {specs}")
+        for *_, folder in old:
+            path = f"{self.path}/{folder}"
+            self._filesystem(path).delete(self._hadoop_path(path), True)
+
+    def _cells_of(self, buckets: set[tuple[str, int]], parts: set[str]) -> DataFrame:
+        """Cells of these (dimension, bucket) and parts: conditions on partition columns
+        alone, so that no other file is listed or read."""
+        place = F.concat_ws("/", F.col("bucket").cast("string"), F.coalesce("sink_table", F.lit(NO_NAME)))
+        return self.spark.table(self.table).where(
+            place.isin([f"{b}/{name}" for name, b in sorted(buckets)]) & F.col("part").isin(sorted(parts)))
+
+
+def _literal(name: str) -> str:
+    """A partition value as SQL text."""
+    if name == NO_NAME:
+        return "null"
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
