@@ -10,6 +10,9 @@ The weights form an inverted index cut into blocks of neighbouring examples; eac
 (term, block) entry has its largest weight. A query adds up these maxima to an upper
 bound for every block, reads blocks from the highest bound down, and stops when no
 block left can hold a nearer example than the k-th found: the neighbours are exact.
+Within a block, a term that many examples have keeps their weights as one row, zeros
+among them, and the queries that want a block read its rows together, as one product;
+other terms keep lists.
 
 The nearest examples vote with the inverse of their distance. The vote is turned
 into a probability by a monotone fit on the sample, each fold of which is scored by
@@ -48,10 +51,15 @@ LONGEST_EXAMPLE = 1 << 19
 NEIGHBOURS = 15
 BLOCK = 128
 FIRST_BLOCKS = 4
+# A term of at least one in so many examples has rows instead of lists.
+ROWS_FROM = 16
 # Standard deviations above chance by which blocks are arranged (weights know no such bound).
 LEANING = 4.0
 # Folds of the sample for the fit of the votes.
 FOLDS = 4
+# Texts searched together, and their terms.
+TOGETHER = 32
+TERMS_TOGETHER = 1 << 15
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -61,13 +69,14 @@ def _words(text: str | None) -> list[str]:
 
 def _marks(words: list[str]) -> np.ndarray:
     """64-bit hashes of words."""
-    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), dtype=np.uint64,
-                       count=len(words))
+    return np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
 
 
 def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The numbers ``first[i] .. first[i] + n[i]`` of all i, in order."""
-    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    out = np.repeat(first - np.cumsum(n) + n, n)
+    out += np.arange(len(out))
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -101,14 +110,23 @@ class Index:
         place[order] = np.arange(n)
         self.ids, self.toxic, owner = ids[order], toxic[order], place[owner]
         by = np.lexsort((owner, term))
-        term, self.example, self.weight = term[by], owner[by].astype(np.int32), weight[by]
+        term, self.example, self.weight = term[by], owner[by], weight[by]
         self.blocks = -(-n // BLOCK)
         slot = term.astype(np.int64) * max(1, self.blocks) + self.example // BLOCK
         first = np.flatnonzero(np.diff(slot, prepend=-1))
-        self.posting_at = np.append(first, len(term)).astype(np.int32)
+        self.posting_at = np.append(first, len(term))
         self.block = self.example[first] // BLOCK
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.entry_at = np.searchsorted(term[first], np.arange(v + 1)).astype(np.int32)
+        self.entry_at = np.searchsorted(term[first], np.arange(v + 1))
+        # Rows take at most ROWS_FROM times the room of the weights that they hold.
+        often = np.flatnonzero(df * ROWS_FROM >= max(1, self.blocks * BLOCK))
+        self.row = np.full(v, -1)
+        self.row[often] = np.arange(len(often))
+        row = self.row[term]
+        here = np.flatnonzero(row >= 0)
+        self.rows = np.zeros((self.blocks, len(often), BLOCK))
+        self.rows[self.example[here] // BLOCK, row[here], self.example[here] % BLOCK] = self.weight[here]
+        self.peak = self.rows.max(axis=2, initial=0.0)
         self.memory: dict[str, int] = {}
 
     @staticmethod
@@ -119,20 +137,21 @@ class Index:
         theme[some] = np.where(value[largest] > 0, term[largest], -1)
         return theme
 
-    def counts(self, words: list[str], limit: int = 100_000) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    def counts(self, words: list[str], limit: int = 250_000) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """The known terms of a text: their numbers, counts and words."""
         often, memory = Counter(words), self.memory
-        try:
-            number = [memory[w] for w in often]
-        except KeyError:
+        number = list(map(memory.get, often))
+        if None in number:
             if len(memory) > limit:
                 memory.clear()
-            new = [w for w in often if w not in memory]
+            new = [w for w, x in zip(often, number, strict=True) if x is None]
             marks = _marks(new)
             at = np.minimum(np.searchsorted(self.marks, marks), max(0, len(self.marks) - 1))
             known = self.marks[at] == marks if len(self.marks) else np.zeros(len(new), dtype=bool)
-            memory.update(zip(new, np.where(known, at, -1).tolist(), strict=True))
-            number = [memory[w] for w in often]
+            found = np.where(known, at, -1).tolist()
+            memory.update(zip(new, found, strict=True))
+            rest = iter(found)
+            number = [next(rest) if x is None else x for x in number]
         terms, count = np.array(number, dtype=np.int64), np.array(list(often.values()), dtype=np.int64)
         known = terms >= 0
         return terms[known], count[known], list(compress(often, known.tolist()))
@@ -140,37 +159,71 @@ class Index:
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k nearest examples as (similarity, example); ties go to the earlier example.
 
-        The cosine is over the terms that any example has. The blocks of the highest
-        bounds are read first; then, at once, all others whose bound reaches the k-th
-        similarity found.
+        The cosine is over the terms that any example has.
         """
-        if not len(terms):
-            return []
-        q = (1 + np.log(counts)) * self.idf[terms]
-        q = q / math.sqrt(q @ q)
+        return self.nearest_of([(terms, counts)], k)[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
+        """The k nearest examples of each query (its terms and counts).
+
+        Of each query, the blocks of the highest bounds are read first; then, at once,
+        all others whose bound reaches the k-th similarity found.
+        """
+        m, size = len(queries), [len(terms) for terms, _ in queries]
+        if not sum(size):
+            return [[] for _ in queries]
+        owner, terms = np.repeat(np.arange(m), size), np.concatenate([terms for terms, _ in queries])
+        q = (1 + np.log(np.concatenate([counts for _, counts in queries]))) * self.idf[terms]
+        q /= np.sqrt(np.bincount(owner, q * q, minlength=m))[owner]
+        row = self.row[terms]
+        rare = row < 0
+        by_row = np.zeros((m, self.rows.shape[1]))
+        by_row[owner[~rare], row[~rare]] = q[~rare]
+        terms, owner = terms[rare], owner[rare]
         n = self.entry_at[terms + 1] - self.entry_at[terms]
-        entry, share = _ranges(self.entry_at[terms], n), np.repeat(q, n)
-        block = self.block[entry]
-        bound = np.bincount(block, self.most[entry] * share, minlength=self.blocks)
-        chosen = np.zeros(self.blocks, dtype=bool)
-        chosen[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
-        score = self._read(entry, share, chosen[block])
-        floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+        entry, share, owner = _ranges(self.entry_at[terms], n), np.repeat(q[rare], n), np.repeat(owner, n)
+        # The place of each entry's query and block.
+        place = owner * self.blocks + self.block[entry]
+        bound = np.bincount(place, self.most[entry] * share, minlength=m * self.blocks).reshape(m, -1) + by_row @ self.peak.T
+        chosen = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(chosen, np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
+        score = self._read(chosen, place, entry, share, by_row)
+        floor = self._least(score, k)
         # The slack covers rounding; a block that only ties may hold an earlier example.
-        more = (bound >= max(floor - 1e-9, 1e-12)) & ~chosen
+        more = (bound >= np.maximum(floor - 1e-9, 1e-12)[:, None]) & ~chosen
         if more.any():
-            score = score + self._read(entry, share, more[block])
-        floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
-        near = np.flatnonzero((score > 0) & (score >= floor - 1e-8))
-        best = near[np.lexsort((near, -np.round(score[near], 9)))][:k]
-        return list(zip(score[best].tolist(), best.tolist(), strict=True))
-
-    def _read(self, entry: np.ndarray, share: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Similarity of each example, as far as it lies in the wanted entries."""
-        entry, share = entry[wanted], share[wanted]
-        n = self.posting_at[entry + 1] - self.posting_at[entry]
-        at = _ranges(self.posting_at[entry], n)
-        return np.bincount(self.example[at], self.weight[at] * np.repeat(share, n), minlength=len(self.ids))
+            score += self._read(more, place, entry, share, by_row)
+            floor = self._least(score, k)
+        who, near = np.nonzero((score > 0) & (score >= floor[:, None] - 1e-8))
+        value = score[who, near]
+        by = np.lexsort((near, -np.round(value, 9), who))
+        near, value, first = near[by].tolist(), value[by].tolist(), np.searchsorted(who, np.arange(m + 1)).tolist()
+        return [list(zip(value[lo:min(hi, lo + k)], near[lo:min(hi, lo + k)], strict=True))
+                for lo, hi in zip(first, first[1:], strict=False)]
+
+    @staticmethod
+    def _least(score: np.ndarray, k: int) -> np.ndarray:
+        """The k-th highest similarity of each query; 0 where there are fewer."""
+        n = score.shape[1]
+        return np.partition(score, n - k, axis=1)[:, n - k] if n >= k else np.zeros(len(score))
+
+    def _read(self, wanted: np.ndarray, place: np.ndarray, entry: np.ndarray, share: np.ndarray,
+              by_row: np.ndarray) -> np.ndarray:
+        """Similarity of each query and example of the blocks it wants; 0 in others and in what the last block lacks."""
+        here = np.flatnonzero(wanted.ravel()[place])
+        place, entry, share = place[here], entry[here], share[here]
+        first = self.posting_at[entry]
+        n = self.posting_at[entry + 1] - first
+        at = _ranges(first, n)
+        # The examples of a query lie one after another, as its blocks do.
+        example = self.example[at] + np.repeat(place // self.blocks * (self.blocks * BLOCK), n)
+        score = np.bincount(example, self.weight[at] * np.repeat(share, n), minlength=wanted.size * BLOCK) \
+            .astype(float, copy=False).reshape(len(wanted), self.blocks, BLOCK)
+        if by_row.shape[1]:
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                who = np.flatnonzero(wanted[:, b])
+                score[who, b] += by_row[who] @ self.rows[b]
+        return score.reshape(len(wanted), -1)
 
     def shared(self, example: int, terms: np.ndarray) -> np.ndarray:
         """Positions in ``terms`` of those this example has, the heaviest first."""
@@ -244,17 +297,28 @@ class Model:
     examples: Broadcast
     knots: tuple[np.ndarray, np.ndarray] | None = None
 
-    def vote(self, text: str | None, without_fold: int | None = None) -> tuple[float, list[tuple[float, int]], list[str]]:
-        """The vote, the nearest examples, and the terms that speak for it."""
-        index = self.examples.value.index(without_fold)
-        terms, counts, words = index.counts(_words(text))
-        near = index.nearest(terms, counts)
-        weight = (1 + np.log(counts)) * index.idf[terms]
-        speak = np.flatnonzero(index.lean[terms] > 0)
-        speak = speak[np.lexsort((speak, -weight[speak]))][:10]
-        if not len(speak) and near:
-            speak = index.shared(near[0][1], terms)[:10]
-        return vote(near, index.toxic, index.rate), near, [words[i] for i in speak]
+    def votes(self, texts: list[str | None], without_fold: int | None = None
+              ) -> Iterator[tuple[float, list[tuple[float, int]], list[str]]]:
+        """Of each text the vote, the nearest examples, and the terms that speak for it."""
+        index, some, size = self.examples.value.index(without_fold), [], 0
+        for text in texts:
+            some.append(index.counts(_words(text)))
+            size += len(some[-1][0])
+            if len(some) == TOGETHER or size >= TERMS_TOGETHER:
+                yield from self._votes(index, some)
+                some, size = [], 0
+        yield from self._votes(index, some)
+
+    @staticmethod
+    def _votes(index: Index, some: list[tuple[np.ndarray, np.ndarray, list[str]]]) -> Iterator[tuple]:
+        found = index.nearest_of([x[:2] for x in some])
+        for (terms, counts, words), near in zip(some, found, strict=True):
+            leans = np.flatnonzero(index.lean[terms] > 0)
+            weight = (1 + np.log(counts[leans])) * index.idf[terms[leans]]
+            speak = leans[np.lexsort((leans, -weight))[:10]]
+            if not len(speak) and near:
+                speak = index.shared(near[0][1], terms)[:10]
+            yield vote(near, index.toxic, index.rate), near, [words[i] for i in speak.tolist()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
@@ -307,8 +371,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         for b in batches:
             folds, texts = fold_of(b.column("doc_id").to_numpy()), b.column("text").to_pylist()
             votes = np.zeros(len(texts))
-            for i in np.argsort(folds, kind="stable").tolist():
-                votes[i] = model.vote(texts[i], int(folds[i]))[0]
+            for f in np.unique(folds).tolist():
+                here = np.flatnonzero(folds == f)
+                votes[here] = [v for v, _, _ in model.votes([texts[i] for i in here], f)]
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column("toxic")], names=["vote", "toxic"])
 
     votes = rows.select("doc_id", "toxic", "text").mapInArrow(own_votes, "vote double, toxic int").collect()
@@ -340,14 +405,13 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 b = whole.slice(lo, 256)
-                out = []
-                for text in b.column("text").to_pylist():
-                    key = hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                    if key not in memory:
-                        if len(memory) > 5_000:
-                            memory.clear()
-                        memory[key] = _scored(model, text, evidence)
-                    out.append(memory[key])
+                texts = b.column("text").to_pylist()
+                keys = [hashlib.blake2b((x or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in texts]
+                if len(memory) > 5_000:
+                    memory.clear()
+                new = {k: x for k, x in zip(keys, texts, strict=True) if k not in memory}
+                memory.update(zip(new, _scored(model, list(new.values()), evidence), strict=True))
+                out = [memory[k] for k in keys]
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array([x[0] for x in out], pa.float64()),
                      pa.array([x[1] for x in out], pa.list_(pa.struct(
@@ -359,13 +423,14 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ev
         .withColumn("held_out", held_out(F.col("doc_id")))
 
 
-def _scored(model: Model | None, text: str | None, evidence: int) -> tuple[float, list[dict], list[str]]:
+def _scored(model: Model | None, texts: list[str | None], evidence: int) -> Iterator[tuple[float, list[dict], list[str]]]:
     if model is None:
-        return 0.0, [], []
-    share, near, terms = model.vote(text)
+        yield from ((0.0, [], []) for _ in texts)
+        return
     index = model.examples.value.index()
-    return (float(np.interp(share, *model.knots)),
-            [{"doc_id": int(index.ids[e]), "similarity": s, "toxic": int(index.toxic[e])} for s, e in near[:evidence]], terms)
+    for share, near, terms in model.votes(texts):
+        yield (float(np.interp(share, *model.knots)),
+               [{"doc_id": int(index.ids[e]), "similarity": s, "toxic": int(index.toxic[e])} for s, e in near[:evidence]], terms)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
