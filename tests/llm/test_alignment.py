@@ -156,3 +156,21 @@ def test_unknown_pairs_have_no_number():
     held[number(keys)] = keys
     numbers = alignment.Numbers([(0, alignment.SLOTS - 1, number, held)])
     assert sorted(numbers(keys).tolist()) == list(range(500)) and (numbers(keys + 1) == -1).all()
+
+
+def test_units_equal_whole_texts(monkeypatch):
+    """Ids put together from units are those of the whole text, also where a worker forgets its units."""
+    monkeypatch.setattr(alignment, "UNITS_ROOM", 2_000)
+    enc = alignment.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    assert enc.parted
+    rng = random.Random(7)
+    bits = ["a", "of", "The", "'s", "1234", "-", "é", "ß", "ŉ", "ł", "<s>", "</s>", "<unk>", "<0x41>", "▁", "\n", "\t", " ",
+            "  ", "\xa0", "´", "½", "中", "x" * 30]
+    texts = [rng.choice(["", " "]).join(rng.choice(bits) for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    texts += ["b " * 300, " a", "a ", "a  b", " ", "a\n" * 400]
+    for text in texts:
+        a, b = enc.a.encode(" " + text, add_special_tokens=False).ids, enc.b.encode(text)
+        raw = (" " + text).encode()
+        same = b"".join(enc.bytes_a[i] for i in a) == raw and b"".join(enc.bytes_b[i] for i in b) == raw
+        assert enc.encode([text]) == [(a, b) if same and text else ([], [])], text
+    assert sum(bool(enc.by_units(t)) for t in texts) > 500

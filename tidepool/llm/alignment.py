@@ -152,12 +152,21 @@ def byte_letters() -> dict[str, int]:
 
 # Characters on whose kinds all pattern engines agree, in runs that a plain merge loop handles well.
 _ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f]")
-_LONG_RUN = re.compile(r"(?<!\S)\S{500}|(?<!\s)\s{500}")
+_LONG_RUN = 500
+_LONG_GAP = re.compile(r"\s{500}")
+# Room that a worker keeps for the units of B it has met: their characters and so many for each.
+UNITS_ROOM, UNIT_ROOM = 16 << 20, 64
 
 
 def is_odd(text: str) -> bool:
-    """Whether a text is encoded by the named tokenizer itself, not by ranks."""
-    return _ODD.search(text) is not None or _LONG_RUN.search(text) is not None
+    """Whether a text is encoded by the named tokenizers themselves, whole, not by ranks and units."""
+    if _ODD.search(text):
+        return True
+    words = text.split()
+    if words and len(max(words, key=len)) >= _LONG_RUN:
+        return True
+    gaps = len(text) - sum(map(len, words))
+    return gaps - len(words) >= _LONG_RUN - 2 and _LONG_GAP.search(text) is not None
 
 
 class Encoder:
@@ -186,23 +195,60 @@ class Encoder:
             piece = self.b.id_to_piece(i)
             byte = re.fullmatch("<0x([0-9A-F]{2})>", piece)
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
+        # Where a space can only begin a piece, no piece reaches over a space: what lies between is encoded alone.
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.parted = all("▁" not in p.lstrip("▁") for p in pieces)
+        self.begins = np.array([p.startswith("▁") for p in pieces])
+        self.units: dict[str, bytes] = {}
+        self.used = 0
 
     def lengths(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of each id of A and of B."""
         return tuple(np.array([len(x) for x in tokens], dtype=np.uint16) for tokens in (self.bytes_a, self.bytes_b))
 
+    def _checked(self, text: str, ids: list[int]) -> bytes:
+        """B ids packed; none where their bytes are not a space and the text."""
+        same = b"".join([self.bytes_b[i] for i in ids]) == (" " + text).encode()
+        return np.array(ids, dtype=KIND).tobytes() if same else b""
+
+    def by_units(self, text: str) -> bytes:
+        """B ids of a text, packed, from those of what lies between its spaces, remembered; units not met
+        before are encoded together. None where a unit is empty or the tokenizer changes it: such a text
+        must be encoded whole."""
+        memory, units = self.units, text.split(" ")
+        packed = list(map(memory.get, units))
+        if None in packed:
+            if self.used > UNITS_ROOM:
+                memory.clear()
+                self.used = 0
+            new = [u for u in dict.fromkeys(units) if u not in memory]
+            joined = " ".join(new)
+            ids = self.b.encode(joined)
+            whole, first = self._checked(joined, ids), np.flatnonzero(self.begins[ids]).tolist()
+            if "" in new or not whole or len(first) != len(new):
+                return b""
+            edges = [i * KIND.itemsize for i in [*first, len(ids)]]
+            memory.update(zip(new, [whole[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
+            self.used += len(joined) + UNIT_ROOM * len(new)
+            packed = list(map(memory.get, units))
+        return b"".join(packed)
+
     def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """A ids of a space and the text and B ids of the text; none if their bytes differ from a space and the text."""
+        """As ``packed``, as lists."""
+        return [tuple(np.frombuffer(x, dtype=KIND).tolist() for x in ids) for ids in self.packed(texts)]
+
+    def packed(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """A ids of a space and the text and B ids of the text, packed; none if their bytes differ from a space and the text."""
         out = []
-        for text, b in zip(texts, self.b.encode([t or "" for t in texts], num_threads=1), strict=True):
+        for text in texts:
             if not text:
-                out.append(([], []))
+                out.append((b"", b""))
                 continue
-            whole = " " + text
-            a = self.a.encode(whole, add_special_tokens=False).ids if is_odd(text) else self.fast.encode_ordinary(whole)
-            raw = whole.encode()
-            same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
-            out.append((a, b) if same else ([], []))
+            whole, odd = " " + text, is_odd(text)
+            b = (b"" if odd or not self.parted else self.by_units(text)) or self._checked(text, self.b.encode(text))
+            a = self.a.encode(whole, add_special_tokens=False).ids if odd else self.fast.encode_ordinary(whole)
+            same = b and b"".join([self.bytes_a[i] for i in a]) == whole.encode()
+            out.append((np.array(a, dtype=KIND).tobytes(), b) if same else (b"", b""))
         return out
 
 
@@ -219,10 +265,10 @@ def encoded(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 some = batch.slice(lo, 64)
-                ids = enc.encode(some.column("text").to_pylist())
+                ids = enc.packed(some.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), *(pa.array([np.array(x[i], dtype=KIND).tobytes() for x in ids], pa.binary())
-                                              for i in (0, 1))], names=["doc_id", "a", "b"])
+                    [some.column("doc_id"), *(pa.array([x[i] for x in ids], pa.binary()) for i in (0, 1))],
+                    names=["doc_id", "a", "b"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, a binary, b binary") \
         .withColumn("row", F.monotonically_increasing_id())
