@@ -191,3 +191,23 @@ def test_the_sample_is_bounded(spark, monkeypatch):
     assert size() == 199
     monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 1000)
     assert 0 < size() < 60
+
+
+def test_queries_together_are_exact():
+    """Terms kept as rows and as lists, queries without terms among others: each as if alone, and as brute force."""
+    rnd = random.Random(9)
+    pick = lambda n: {f"t{int(400 * rnd.random() ** 3)}": rnd.choice([1, 1, 2, 5]) for _ in range(rnd.randint(1, n))}
+    rows = [(i, rnd.randint(0, 1), pick(9)) for i in range(1000)]
+    index, model = index_of(rows), brute_model(rows)
+    assert 0 < index.rows.shape[1] < len(index.marks)
+    texts = [pick(12) if i % 7 else {} for i in range(80)]
+    queries = [index.counts([t for t, n in c.items() for _ in range(n)])[:2] for c in texts]
+    together = index.nearest_of(queries)
+    for counts, query, near in zip(texts, queries, together, strict=True):
+        alone = index.nearest(*query)
+        assert [e for _, e in near] == [e for _, e in alone]
+        known = {t: n for t, n in counts.items() if any(t in c for _, _, c in rows)}
+        if not known:
+            assert near == []
+        else:
+            assert [s for s, _ in near] == pytest.approx([s for s, _, _ in brute_nearest(model, known, toxicity.NEIGHBOURS)])
