@@ -79,3 +79,23 @@ def test_records_that_cannot_be_read(spark):
     assert out[9]["before"] == {"id": "9"} and out[9]["after"] == {} and out[9]["type"] == "delete"
     assert normal(spark, texts[9], topic="nowhere")[0]["reason"] == "bad_topic"
     assert TY.normalize_typed(spark.createDataFrame([], ENV)).collect() == []
+
+
+def test_a_value_is_decoded_once(spark):
+    """A number named several times in its text is not decoded as often: four places hold decimals,
+    the fields of two images and those of rows within them."""
+    def places(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("unbase64")
+
+    text = F.col("id").cast("string")
+    assert places(spark.range(1).select(TY.decimal_text(text, F.col("id").cast("int")))) == 1
+    raw = spark.range(1).select(F.col("id").alias("arrival"), F.col("id").alias("seq"), F.lit("s.d.t").alias("topic"), text.alias("value"))
+    assert places(TY.normalize_typed(raw)) == 4
+
+
+def test_decimals_with_leading_bytes(spark):
+    cases = [(n, size) for n in (0, 5, -5, 2 ** 63 - 1, -(2 ** 63), 2 ** 64, -(2 ** 64), 10 ** 37 - 1, 1 - 10 ** 37) for size in (1, 7, 8, 9, 16, 20)
+             if -(1 << 8 * size - 1) <= n < 1 << 8 * size - 1]
+    df = spark.createDataFrame([(i, base64.b64encode(n.to_bytes(size, "big", signed=True)).decode()) for i, (n, size) in enumerate(cases)], "i int, v string")
+    got = [r["t"] for r in df.select("i", TY.decimal_text(F.col("v"), F.lit(0)).alias("t")).orderBy("i").collect()]
+    assert got == [str(n) for n, _ in cases]
